@@ -67,8 +67,10 @@ def remove_quoted_lines(text: Column) -> Column:
 
 def remove_emails(text: Column) -> Column:
     # An address starts at the start of a run of name characters, or where the last one ended.
+    # The run scan is the dearest rule, so texts without any @ skip it.
     name = rf"[{WORD}.\-+]"
-    return _replace(text, rf"(?:\G|(?<!{name})){name}++@[{WORD}.\-]+\.[{WORD}]++")
+    removed = _replace(text, rf"(?:\G|(?<!{name})){name}++@[{WORD}.\-]+\.[{WORD}]++")
+    return F.when(F.contains(text, F.lit("@")), removed).otherwise(text)
 
 
 def remove_tags(text: Column) -> Column:
@@ -82,7 +84,7 @@ def remove_tags(text: Column) -> Column:
 
 def remove_urls(text: Column) -> Column:
     rest = rf"[^{BLANKS}]++"
-    return _replace(text, rf"https?://{rest}|ftp://{rest}|www\.{rest}")
+    return _replace(text, rf"(?=[hfw])(?:https?://|ftp://|www\.){rest}")
 
 
 def remove_non_ascii(text: Column) -> Column:
@@ -95,7 +97,8 @@ def normalize_whitespace(text: Column) -> Column:
     Expects ASCII text, as the rule before it leaves.
     """
     text = _replace(text, r"\n{3,}+", "\n\n")
-    text = _replace(text, rf"(?<![{ASCII_BLANKS_IN_LINE}])[{ASCII_BLANKS_IN_LINE}]++(?=\n|\z)")
+    blank = f"[{ASCII_BLANKS_IN_LINE}]"
+    text = _replace(text, rf"{blank}(?<!{blank}{blank}){blank}*+(?=\n|\z)")
     return F.btrim(text, F.lit(ASCII_BLANK_CHARACTERS))
 
 

@@ -1,0 +1,54 @@
+"""Meeting a large table with bounded tiles of another one.
+
+Similarity needs every row of one side to meet rows of the other. One side stays where it is,
+partition by partition; the other comes as tiles of at most ``tile_rows`` rows that a broadcast
+can hold. One tile is the normal case and gives one lazy pass. Beyond it the tiles take turns and
+their results go to a staged table, so neither the driver nor a task ever holds more than a tile.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable, Iterator
+from itertools import chain
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from corpusloom.session import stage, stage_path
+
+TILE_ROWS = 4096
+
+
+def tiles(df: DataFrame, key: str, tile_rows: int = TILE_ROWS) -> Iterator[pa.Table]:
+    """The table in pieces of about ``tile_rows`` rows; an empty table is one empty piece."""
+    head = df.limit(tile_rows + 1).toArrow()
+    if head.num_rows <= tile_rows:
+        yield head
+        return
+    staged = stage(df, "tile-input")
+    # Keys are unique, so hashing spreads them evenly; a tenth more tiles absorbs the spread.
+    count = -(-staged.count() * 11 // (tile_rows * 10))
+    tiled = stage(staged.withColumn("_tile", F.pmod(F.xxhash64(key), F.lit(count))), "tiles", partition_by="_tile")
+    for tile in range(count):
+        yield tiled.filter(F.col("_tile") == tile).drop("_tile").toArrow()
+
+
+def over_tiles(large: DataFrame, small: DataFrame, key: str, run: Callable, schema: str, tile_rows: int = TILE_ROWS) -> DataFrame:
+    """Rows that ``run(tile)``, a function over Arrow batches, yields for every tile of ``small``."""
+    spark = large.sparkSession
+    pieces = tiles(small, key, tile_rows)
+    first = next(pieces)
+    second = next(pieces, None)
+    if second is None:
+        return large.mapInArrow(run(spark.sparkContext.broadcast(first)), schema)
+    path = stage_path(spark, "tile-results")
+    for piece in chain((first, second), pieces):
+        _append(large, run, piece, schema, path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _append(large: DataFrame, run: Callable, piece: pa.Table, schema: str, path: str) -> None:
+    shared = large.sparkSession.sparkContext.broadcast(piece)
+    large.mapInArrow(run(shared), schema).write.mode("append").parquet(path)
+    shared.unpersist()
