@@ -15,7 +15,6 @@ from corpusloom.operators.tiles import tiles
 from corpusloom.session import stage, stage_path
 
 PREFIX_ROWS = 2048
-ADMITTED_SCHEMA = "qid bigint, entry_id bigint, embedding array<double>, dominant_cluster int"
 ADMITTED_COLUMNS = ["qid", "entry_id", "embedding", "dominant_cluster"]
 
 
@@ -61,14 +60,13 @@ def replay_log(
     No pairs are kept. At the end each query takes its best match among all earlier entries.
     """
     spark = log.sparkSession
-    vector = F.col("embedding").cast("array<double>").alias("embedding")
-    known = log.select("qid", vector, "route", "dominant_cluster").filter(F.col("embedding").isNotNull())
+    known = log.select("qid", "embedding", "route", "dominant_cluster").filter(F.col("embedding").isNotNull())
     undecided = log_rows = stage(known, "log")
     if entries is not None:
         for tile in tiles(entries.select("entry_id", "embedding", "dominant_cluster"), "entry_id"):
             undecided = stage(drop_answered(undecided, tile, threshold), "undecided")
     admitted_path = stage_path(spark, "admitted")
-    spark.createDataFrame([], ADMITTED_SCHEMA).write.parquet(admitted_path)
+    log_rows.limit(0).withColumn("entry_id", F.col("qid")).select(*ADMITTED_COLUMNS).write.parquet(admitted_path)
     while True:
         prefix = undecided.orderBy("qid").limit(prefix_rows).toArrow()
         if prefix.num_rows == 0:
@@ -83,6 +81,6 @@ def replay_log(
     admitted = spark.read.parquet(admitted_path)
     candidates = admitted.select("entry_id", "embedding", "dominant_cluster")
     if entries is not None:
-        candidates = candidates.unionByName(entries.select("entry_id", vector, "dominant_cluster"))
+        candidates = candidates.unionByName(entries.select("entry_id", "embedding", "dominant_cluster"))
     hits = best_match(log_rows, candidates, earlier_only=True, min_score=threshold)
     return Replay(admitted.select("qid"), hits)

@@ -50,3 +50,15 @@ def wave_partitions(df: DataFrame, target_rows: int, rows: int) -> DataFrame:
     """Merge small partitions for streaming passes, without a shuffle, keeping every core busy."""
     cores = df.sparkSession.sparkContext.defaultParallelism
     return df.coalesce(max(cores, -(-rows // target_rows)))
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Spread an input that is too small to give every core a split of its own.
+
+    Larger inputs, by the optimizer's size figure, keep their splits and are not shuffled.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    return df.repartition(cores, key) if size < cores * split else df
