@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,8 +12,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.functions.blocks import to_lists
-
 DIMENSION = 384
 
 
@@ -23,46 +22,43 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
 
 
 def tokens(text: Column) -> Column:
-    return F.filter(F.split(F.lower(text), "[^a-z0-9]+"), lambda token: token != "")
+    """Runs of ASCII letters and digits, lower case; empty strings may stand at the ends."""
+    return F.split(F.lower(text), "[^a-z0-9]+")
 
 
-def token_codes(text: Column, dimension: int) -> Column:
-    """One integer per token: its bucket, or the bucket's complement when the sign is negative.
+def token_code(token: str, dimension: int) -> tuple[int, float]:
+    """Bucket and sign of a token, from the first nine hex digits of its md5.
 
-    The first nine hex digits of the token's md5 give the bucket (eight digits) and the sign
-    (parity of the ninth).
+    Eight digits give the bucket, the parity of the ninth gives the sign.
     """
-
-    def code(token: Column) -> Column:
-        value = F.conv(F.substring(F.md5(token), 1, 9), 16, 10).cast("bigint")
-        bucket = F.shiftright(value, 4) % dimension
-        return F.when(value % 2 == 0, bucket).otherwise(-bucket - 1).cast("int")
-
-    return F.transform(tokens(text), code)
+    value = int(hashlib.md5(token.encode()).hexdigest()[:9], 16)
+    return (value >> 4) % dimension, -1.0 if value % 2 else 1.0
 
 
 def hash_embedding(text: Column, dimension: int = DIMENSION) -> Column:
-    """Signed token counts by bucket, scaled to unit length.
+    """Signed token counts by bucket, scaled to unit length; null for a missing text.
 
-    Adding into a dense array is the one step without a built-in, so it is an Arrow function
-    over whole batches of token codes.
+    Adding into a dense array is the one step without a built-in, so it is an Arrow function over
+    whole batches. Every distinct token of a batch is hashed once.
     """
 
     @F.arrow_udf("array<float>")
-    def scatter(codes: pa.Array) -> pa.Array:
-        lengths = np.diff(codes.offsets.to_numpy())
-        if codes.null_count:
-            lengths = np.where(codes.is_null().to_numpy(zero_copy_only=False), 0, lengths)
-        flat = codes.flatten().to_numpy(zero_copy_only=False)
-        bucket = np.where(flat < 0, ~flat, flat)
-        row = np.repeat(np.arange(len(codes)), lengths)
-        counts = np.bincount(row * dimension + bucket, np.where(flat < 0, -1.0, 1.0), len(codes) * dimension)
-        lists = to_lists(unit_rows(counts.reshape(len(codes), dimension)), pa.float32())
-        if not codes.null_count:
-            return lists
-        return pa.array(lists.to_pylist(), type=lists.type, mask=codes.is_null().to_numpy(zero_copy_only=False))
-
-    return scatter(token_codes(text, dimension))
+    def scatter(lists: pa.Array) -> pa.Array:
+        present = lists.is_valid().to_numpy(zero_copy_only=False)
+        lengths = np.where(present, np.diff(lists.offsets.to_numpy()), 0)
+        words = lists.flatten().dictionary_encode()
+        codes = [token_code(word, dimension) if word else (0, 0.0) for word in words.dictionary.to_pylist()]
+        bucket, sign = (np.array(column) for column in zip(*codes)) if codes else (np.zeros(0, int), np.zeros(0))
+        which = words.indices.to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(lists)), lengths)
+        cells = np.bincount(row * dimension + bucket[which], sign[which], len(lists) * dimension)
+        vectors = unit_rows(cells.reshape(len(lists), dimension))
+        offsets = np.arange(len(lists) + 1, dtype=np.int32) * dimension
+        return pa.ListArray.from_arrays(
+            pa.array(offsets), pa.array(vectors.ravel(), pa.float32()), mask=pa.array(~present)
+        )
+
+    return scatter(tokens(text))
 
 
 def embed_documents(

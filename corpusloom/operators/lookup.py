@@ -37,33 +37,47 @@ def route_ranks(routes: pa.Array, clusters: np.ndarray) -> np.ndarray:
 
 
 class _Entries:
-    """A tile of cache entries, ready to be compared with batches of queries."""
+    """A tile of cache entries filed by cluster, ready to be compared with batches of queries.
+
+    Of equal vectors in a cluster only the first entry can be a match, so the others are left out.
+    """
 
     def __init__(self, tile: pa.Table):
-        self.vectors = to_matrix(tile["embedding"])
-        self.ids = to_keys(tile["entry_id"].combine_chunks())
-        self.clusters, self.code = np.unique(tile["dominant_cluster"].to_numpy(), return_inverse=True)
+        vectors, cluster = to_matrix(tile["embedding"]), tile["dominant_cluster"].to_numpy()
+        ids = to_keys(tile["entry_id"].combine_chunks())
+        order = np.lexsort((ids, cluster))
+        firsts = np.unique(np.column_stack([cluster, vectors])[order], axis=0, return_index=True)[1]
+        order = order[np.sort(firsts)]
+        self.vectors, self.ids = vectors[order], ids[order]
+        self.clusters, self.starts = np.unique(cluster[order], return_index=True)
+        self.parts = [slice(a, b) for a, b in zip(self.starts, [*self.starts[1:], len(order)])]
 
     def best(self, batch: pa.RecordBatch, earlier_only: bool, min_score: float):
-        """``(query row, entry, score, route rank)`` arrays of the best entries, for queries that have one."""
-        vectors = to_matrix(batch["embedding"])
+        """``(query row, entry, score, route rank)`` arrays of the best entries, for queries that have one.
+
+        A query is compared with the entries of its routed clusters only.
+        """
+        vectors, qids = to_matrix(batch["embedding"]), to_keys(batch["qid"])
         ranks = route_ranks(batch["route"], self.clusters)
-        found = []
-        for part in row_blocks(len(vectors), len(self.vectors)):
-            block, rank = vectors[part], ranks[part][:, self.code]
-            allowed = rank < FAR
-            if earlier_only:
-                allowed &= self.ids[None, :] < to_keys(batch["qid"])[part, None]
-            scores = np.where(allowed, block @ self.vectors.T, -np.inf)
-            best = np.maximum(scores.max(axis=1, keepdims=True), min_score)
-            rows, cols = np.nonzero(allowed & (scores >= best - SCORE_MARGIN))
-            exact = ordered_dots(block, self.vectors, rows, cols)
-            keep = exact >= min_score
-            rows, cols, exact = rows[keep], cols[keep], exact[keep]
-            pick = first_in_order(rows, -exact, rank[rows, cols], self.ids[cols])
-            rows, cols, exact = rows[pick], cols[pick], exact[pick]
-            found.append((rows + part.start, cols, exact, rank[rows, cols]))
-        return tuple(np.concatenate(columns) for columns in zip(*found))
+        floor = np.full(len(vectors), min_score)
+        found = [np.zeros((2, 0), dtype=np.int64)]
+        for cluster, entries in enumerate(self.parts):
+            routed = np.flatnonzero(ranks[:, cluster] < FAR)
+            for part in row_blocks(len(routed), entries.stop - entries.start):
+                rows = routed[part]
+                scores = vectors[rows] @ self.vectors[entries].T
+                if earlier_only:
+                    scores[self.ids[entries][None, :] >= qids[rows][:, None]] = -np.inf
+                floor[rows] = np.maximum(floor[rows], scores.max(axis=1))
+                near, entry = np.nonzero(scores >= floor[rows][:, None] - SCORE_MARGIN)
+                found.append(np.stack([rows[near], entry + entries.start]))
+        rows, cols = np.concatenate(found, axis=1)
+        score = ordered_dots(vectors, self.vectors, rows, cols)
+        keep = (score >= min_score) & (score >= floor[rows] - SCORE_MARGIN)
+        rows, cols, score = rows[keep], cols[keep], score[keep]
+        rank = ranks[rows, np.searchsorted(self.starts, cols, side="right") - 1]
+        pick = first_in_order(rows, -score, rank, self.ids[cols])
+        return rows[pick], cols[pick], score[pick], rank[pick]
 
 
 def _match(earlier_only: bool, min_score: float):

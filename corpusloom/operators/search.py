@@ -13,8 +13,11 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
 from corpusloom.operators.tiles import TILE_ROWS, over_tiles
+from corpusloom.session import stage
 
 SNIPPET_LENGTH = 500
+# Hits whose ids and details (a snippet each) a broadcast may carry.
+BROADCAST_HITS = 200_000
 
 
 def _best_candidates(scores: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,19 +123,31 @@ def top_k(
 
 def top_k_overfetch(vectors: DataFrame, queries: DataFrame, k: int = 5, overfetch: int = 5) -> DataFrame:
     """Filter after fetching ``overfetch * k`` hits, so a query may end with fewer than ``k``."""
-    fetched = top_k(vectors, queries, k * overfetch)
-    kept = (
-        fetched.drop("rank")
-        .join(vectors.select("doc_id", "category"), "doc_id")
-        .join(queries.select("qid", "category_filter"), "qid")
-        .filter(F.col("category_filter").isNull() | (F.col("category") == F.col("category_filter")))
+    fetched = top_k(vectors, queries, k * overfetch).drop("rank")
+    found = with_metadata_columns(fetched, vectors.select("doc_id", "category"))
+    kept = found.join(queries.select("qid", "category_filter"), "qid").filter(
+        F.col("category_filter").isNull() | (F.col("category") == F.col("category_filter"))
     )
     return ranked(kept, k).select("qid", "rank", "doc_id", "score")
 
 
+def with_metadata_columns(hits: DataFrame, table: DataFrame) -> DataFrame:
+    """Join hits to columns of the vector table by ``doc_id``.
+
+    The hits are staged, so their number is known: up to ``BROADCAST_HITS`` the table is filtered
+    in place by the hit ids and never shuffled; more hits are joined by shuffle.
+    """
+    staged = stage(hits, "hits")
+    if staged.count() <= BROADCAST_HITS:
+        wanted = F.broadcast(staged.select("doc_id").distinct())
+        table = F.broadcast(table.join(wanted, "doc_id", "left_semi"))
+    return staged.join(table, "doc_id", "left")
+
+
 def with_metadata(hits: DataFrame, index: DataFrame) -> DataFrame:
     """Look up category, text and file name of the final hits only."""
-    return hits.join(index.select("doc_id", "category", "snippet", "filename"), "doc_id", "left").select(
+    found = with_metadata_columns(hits, index.select("doc_id", "category", "snippet", "filename"))
+    return found.select(
         "qid",
         "rank",
         "doc_id",
@@ -154,9 +169,14 @@ def search(
     return with_metadata(hits, index)
 
 
-def build_index(docs: DataFrame, embeddings: DataFrame) -> DataFrame:
-    """Vector table: documents joined to their vectors by ``doc_id``, with a snippet of the cleaned text."""
-    return docs.join(embeddings.select("doc_id", "embedding"), "doc_id").select(
+def build_index(docs: DataFrame, embeddings: DataFrame | None = None) -> DataFrame:
+    """Vector table with a snippet of the cleaned text.
+
+    ``docs`` has ``doc_id, category, filename, cleaned_text`` and either its own ``embedding`` or
+    gets it from ``embeddings(doc_id, embedding)``.
+    """
+    joined = docs if embeddings is None else docs.join(embeddings.select("doc_id", "embedding"), "doc_id")
+    return joined.select(
         "doc_id",
         "category",
         "filename",

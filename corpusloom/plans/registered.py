@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -173,9 +175,8 @@ def profile_all(spark: SparkSession, sf: str) -> DataFrame:
 
 def _indexed_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Vector table of the cleaned documents, staged: text is hashed once."""
-    docs = with_cleaned_text(_plain_posts(spark, sf)).drop("text")
-    embedded = embed_documents(docs, dimension=EMBED_DIMENSION)
-    return stage(build_index(docs, embedded.select("doc_id", "embedding")), "index")
+    docs = with_cleaned_text(_plain_posts(spark, sf))
+    return stage(build_index(embed_documents(docs, dimension=EMBED_DIMENSION)), "index")
 
 
 def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,12 +188,10 @@ def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _label_queries(vectors: DataFrame) -> DataFrame:
     """The mean direction of each label as a query that may look within its label only."""
-    elements = vectors.select("label", F.posexplode("embedding").alias("d", "x"))
-    means = elements.groupBy("label", "d").agg(F.avg(F.col("x").cast("double")).alias("x"))
-    listed = means.groupBy("label").agg(F.array_sort(F.collect_list(F.struct("d", "x"))).alias("mean"))
-    return listed.select(
+    mean = Summarizer.mean(array_to_vector(F.transform("embedding", lambda x: x.cast("double"))))
+    return vectors.groupBy("label").agg(vector_to_array(mean).alias("mean")).select(
         F.col("label").cast("bigint").alias("qid"),
-        l2_normalize(F.transform("mean", lambda e: e["x"])).alias("embedding"),
+        l2_normalize(F.col("mean")).alias("embedding"),
         F.concat(F.lit("label_"), F.col("label").cast("string")).alias("category_filter"),
     )
 
