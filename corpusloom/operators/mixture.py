@@ -218,7 +218,8 @@ def fit_mixtures(
             break
     best: dict[int, Fit] = {}
     for i, (k, _) in enumerate(jobs):
-        if k not in best or fits[i].log_likelihood > best[k].log_likelihood:
+        # Starts that end in the same optimum differ by rounding only: the first of them is kept.
+        if k not in best or fits[i].log_likelihood - best[k].log_likelihood > 1e-9 * abs(best[k].log_likelihood):
             best[k] = fits[i]
     return best
 
