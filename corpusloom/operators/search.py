@@ -21,10 +21,17 @@ BROADCAST_HITS = 200_000
 
 
 def _best_candidates(scores: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Cells that can be among the ``k`` best of their column, given what the column holds already."""
-    kth = np.partition(scores, max(0, len(scores) - k), axis=0)[max(0, len(scores) - k)]
-    wanted = scores >= np.maximum(kth, floor) - SCORE_MARGIN
-    return np.nonzero(wanted & np.isfinite(scores))
+    """Cells that can be among the ``k`` best of their column, given the ``k``-th best it holds already.
+
+    The block's own ``k``-th best is looked for only where the floor lets too much through.
+    """
+    wanted = (scores >= floor - SCORE_MARGIN) & np.isfinite(scores)
+    open_columns = np.flatnonzero(np.count_nonzero(wanted, axis=0) > 2 * k)
+    if len(open_columns):
+        columns = np.ascontiguousarray(scores[:, open_columns].T)
+        kth = np.partition(columns, len(scores) - k, axis=1)[:, len(scores) - k]
+        wanted[:, open_columns] &= scores[:, open_columns] >= kth - SCORE_MARGIN
+    return np.nonzero(wanted)
 
 
 def _first_copies(block: np.ndarray, ids: np.ndarray, rows: np.ndarray, cols: np.ndarray, k: int):

@@ -321,6 +321,11 @@ ORACLE_SQL: dict[str, str] = {
     "corpus_summary": f"with {CLEANED_MIXED}, d as ({first_of('cleaned_text', 'c', '*')}) "
     "select count(*) as documents, count(distinct category) as categories, round(avg(length(cleaned_text)), 6) as mean_length, "
     "min(length(cleaned_text))::integer as min_length, max(length(cleaned_text))::integer as max_length from d where length(cleaned_text) >= 50",
+    "saved_corpus": f"with {POSTS}, c as (select *, {cleaned('text')} as cleaned_text from posts), "
+    f"d as ({first_of('cleaned_text', 'c', 'category, filename, cleaned_text')}) select * from d where length(cleaned_text) >= 50",
+    "sample_documents": "select doc_id, source as category from documents order by md5('42:'||doc_id), doc_id limit 5000",
+    "rejected_queries": "select role, count(*) filter (where length(text) >= 1) as valid, "
+    "count(*) filter (where not coalesce(length(text) >= 1, false)) as rejected from conversations group by role",
     "docs_per_category": "select source as category, count(*) as n from documents group by 1 order by n desc, category",
     "load_totals": "select count(*) as documents, count(distinct source) as categories from documents",
     "first_document": "select source as category, doc_id::varchar as filename, substr(text, 1, 500) as sample "
@@ -348,6 +353,8 @@ ORACLE_SQL: dict[str, str] = {
     "scores as (select qid, doc_id, category, filename, substr(cleaned_text, 1, 500) as text, "
     "list_inner_product(s.vec, d.vec) as score from smoke_vectors s, doc_vectors d join docs using (doc_id)) "
     f"select qid, rank, doc_id, category, round(score, 6) as score, text, filename from {ranked('scores', 3)}",
+    "saved_index": "select doc_id, source as category, doc_id::varchar as filename, substr(text, 1, 500) as snippet, "
+    "len(embedding)::integer as dimension from documents join embeddings on vec_id = doc_id",
     "tag_clusters": f"with {ASSIGNED} select doc_id, substr(text, 1, 500) as snippet, best as dominant_cluster "
     "from documents left join probs_best on id = doc_id",
     "dominant_cluster": f"with {ASSIGNED} select id as doc_id, best as dominant_cluster, round(top, 6) as dominant_prob from probs_best",
@@ -362,6 +369,11 @@ ORACLE_SQL: dict[str, str] = {
     "prob_map_top5": f"with {ASSIGNED} select id as doc_id, probabilities from {PROBABILITY_TEXT}",
     "membership_check": f"with {ASSIGNED}, sums as (select id, sum(p) as total, count(*) as n from probs group by id) "
     "select count(*) as n_documents, min(n)::integer as n_clusters, max(abs(total - 1)) < 1e-5 and min(n) > 1 as is_distribution from sums",
+    "pca_projection": f"with {VECTORS}, {ELEMENTS}, spread as (select var_samp(x) as variance from elements group by d) "
+    "select (select count(*) from vectors) as n, round(sum(variance), 6) as total_variance, true as centered, true as uncorrelated from spread",
+    "saved_model": f"with {ASSIGNED_LOG} select b.id as qid, best as dominant_cluster, round(top, 6) as dominant_prob, "
+    "case when b.id % 2 = 0 then (select count(*) from weights)::integer end as known_clusters from probs_best b",
+    "saved_reports": composition(10, 5, "category||':'||n", ","),
     "gmm_one_step": f"with {ASSIGNED}, {STEP} select k, (d - 1)::integer as d, round(n / (select count(*) from vectors), 6) as weight, "
     "round(mean, 6) as mean, round(square - mean * mean + 1e-6, 6) as var from updated",
     "bic_aic": f"with {ASSIGNED}, fit as (select count(*) as n, sum(lse) as ll from probs where place = 1), "
@@ -382,6 +394,8 @@ select 'label' as labelling, round(avg(case when a is null then 0 else (b - a) /
     "cache_stats": f"with {CACHE}, counted as (select (select count(*) from entries) as total_entries, (select count(*) from hits) as hit_count, "
     "(select count(*) from log where id % 2 = 1) as probes) select total_entries, hit_count, probes - hit_count as miss_count, "
     "round(hit_count / probes, 4) as hit_rate from counted",
+    "cache_admit": f"with {ASSIGNED_LOG} select best as dominant_cluster, count(*) as entries, min(id) as first_entry, "
+    "max(id) as last_entry from probs_best group by best",
     "cache_lru": f"with {CACHE}, touched as (select h.entry_id, max(l.ts + interval 1 day) as ts from hits h join log l on l.id = h.id group by all) "
     "select e.entry_id, e.query, epoch_us(greatest(e.ts, coalesce(t.ts, e.ts))) as last_accessed_us from entries e "
     f"left join touched t on t.entry_id = e.entry_id order by last_accessed_us desc, e.entry_id desc limit {LRU_ENTRIES}",

@@ -13,12 +13,19 @@ from pyspark.sql import functions as F
 from corpusloom.functions.text import clean_text, strip_headers
 from corpusloom.functions.vectors import dot, l2_normalize, probability_map
 from corpusloom.operators import profile as figures
-from corpusloom.operators.clusters import ClusterModel, find_optimal_clusters, predict, train
+from corpusloom.operators.clusters import (
+    ClusterModel,
+    find_optimal_clusters,
+    load_model,
+    predict,
+    save_model,
+    train,
+)
 from corpusloom.operators.dedup import dedup_keep_first, duplicate_count, removed_per_step, with_cleaned_text
 from corpusloom.operators.embed import embed_documents
 from corpusloom.operators.lookup import lookup, with_route
 from corpusloom.operators.mixture import mixture_from_labels, mixture_step, one_pass
-from corpusloom.operators.project import explained_variance, fit_projection
+from corpusloom.operators.project import explained_variance, fit_projection, project
 from corpusloom.operators.replay import replay_log
 from corpusloom.operators.report import (
     cluster_composition,
@@ -29,11 +36,13 @@ from corpusloom.operators.report import (
 from corpusloom.operators.sample import hash_sample
 from corpusloom.operators.search import build_index, search, tag_clusters, top_k
 from corpusloom.operators.selection import aic, bic, silhouette
-from corpusloom.operators.state import cache_stats, retain, touch
+from corpusloom.operators.state import admit, cache_stats, empty_cache, retain, touch
 from corpusloom.operators.sweep import pair_similarity, threshold_sweep
-from corpusloom.plans.answer import answer_queries
+from corpusloom.plans.answer import answer_queries, split_empty
 from corpusloom.plans.clean_job import clean_corpus, corpus_summary
 from corpusloom.session import spread, stage, stage_path
+from corpusloom.sources.posts import RAW_SCHEMA, load_cleaned, save_cleaned, save_cleaned_json, save_raw
+from corpusloom.sources.tables import append_index, load_embeddings, load_index, save_composition, save_embeddings, save_index
 from corpusloom.streaming.cache_stream import answer_stream, read_responses
 
 # Posts made of a document: header with sender and groups, a quoted line, the text, a signature.
@@ -170,6 +179,28 @@ def profile_all(spark: SparkSession, sf: str) -> DataFrame:
     return figures.profile_all(_mixed_posts(spark, sf)).select("metric", *_round("value"))
 
 
+def saved_corpus(spark: SparkSession, sf: str) -> DataFrame:
+    """The cleaned corpus through its files: raw and cleaned tables, then the JSON form read back."""
+    folder = stage_path(spark, "corpus")
+    save_raw(_posts(spark, sf), f"{folder}/raw")
+    save_cleaned(clean_corpus(spark.read.schema(RAW_SCHEMA).parquet(f"{folder}/raw")), f"{folder}/cleaned")
+    save_cleaned_json(load_cleaned(spark, f"{folder}/cleaned"), f"{folder}/json")
+    return spark.read.schema("category string, filename string, cleaned_text string").json(f"{folder}/json")
+
+
+def sample_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """The sample that the silhouette draws, drawn from the documents."""
+    return hash_sample(_plain_posts(spark, sf).select("doc_id", "category"))
+
+
+def rejected_queries(spark: SparkSession, sf: str) -> DataFrame:
+    """Turns of the conversations that can and cannot be asked, by role."""
+    turns = _table(spark, sf, "conversations").select("role", F.col("text").alias("query"))
+    valid, rejected = split_empty(turns)
+    both = valid.select("role", F.lit(True).alias("valid")).unionByName(rejected.select("role", F.lit(False).alias("valid")))
+    return both.groupBy("role").agg(F.count_if("valid").alias("valid"), F.count_if(~F.col("valid")).alias("rejected"))
+
+
 # --- vectors --------------------------------------------------------------------------------------
 
 
@@ -224,6 +255,19 @@ def smoke_search(spark: SparkSession, sf: str) -> DataFrame:
     return hits.select("qid", "rank", "doc_id", "category", *_round("score"), "text", "filename")
 
 
+def saved_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Vectors saved and loaded, joined to the documents of the same ids, written in two appends, loaded."""
+    folder = stage_path(spark, "vectors")
+    save_embeddings(_vectors(spark, sf), f"{folder}/embeddings")
+    docs = _plain_posts(spark, sf).withColumnRenamed("text", "cleaned_text")
+    index = build_index(docs, load_embeddings(spark, f"{folder}/embeddings"))
+    long = F.length("snippet") >= 500
+    save_index(index.filter(long), f"{folder}/index")
+    append_index(index.filter(~long), f"{folder}/index")
+    loaded = load_index(spark, f"{folder}/index")
+    return loaded.select("doc_id", "category", "filename", "snippet", F.size("embedding").alias("dimension"))
+
+
 # --- clusters -------------------------------------------------------------------------------------
 
 
@@ -337,6 +381,52 @@ def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
     return spark.createDataFrame(list(enumerate(shares)), "component int, share double")
 
 
+def pca_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """What a full projection must keep: centered, uncorrelated components with the variance of the vectors."""
+    vectors = _vectors(spark, sf)
+    dimension = vectors.select(F.max(F.size("embedding"))).first()[0]
+    points = project(vectors, fit_projection(vectors, dimension))
+    mean = Summarizer.mean(array_to_vector("features"))
+    variance = Summarizer.variance(array_to_vector("features"))
+    rows = points.agg(
+        F.count(F.lit(1)).alias("n"), vector_to_array(mean).alias("mean"), vector_to_array(variance).alias("variance"),
+        F.corr(F.col("features")[0], F.col("features")[1]).alias("correlation"),
+    )
+    total = F.aggregate("variance", F.lit(0.0), lambda s, x: s + x)
+    return rows.select(
+        "n",
+        F.round(total, 6).alias("total_variance"),
+        (F.array_max(F.transform("mean", lambda x: F.abs(x))) < 1e-9).alias("centered"),
+        (F.abs("correlation") < 1e-9).alias("uncorrelated"),
+    )
+
+
+def saved_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A model saved with its memberships, loaded, and applied to the query log."""
+    vectors = _vectors(spark, sf)
+    model = _label_model(vectors)
+    folder = stage_path(spark, "model")
+    save_model(model, spark, folder, model.predict(vectors))
+    loaded, probs = load_model(spark, folder, projected=False)
+    asked = predict(_query_log(spark, sf), loaded)
+    known = probs.select((F.col("doc_id") * 2).alias("qid"), F.size("cluster_probs").alias("known_clusters"))
+    return asked.join(known, "qid", "left").select(
+        "qid", "dominant_cluster", F.round(F.array_max("cluster_probs"), 6).alias("dominant_prob"), "known_clusters"
+    )
+
+
+def saved_reports(spark: SparkSession, sf: str) -> DataFrame:
+    """The composition report written as JSON and read back."""
+    assigned = _assigned_sources(spark, sf)
+    path = stage_path(spark, "report")
+    save_composition(confidence_bands(assigned), cluster_composition(assigned, 10), path)
+    clusters = spark.read.schema(
+        "cluster int, total_docs bigint, top_categories array<struct<category:string,n:bigint>>"
+    ).json(f"{path}/clusters")
+    named = F.transform("top_categories", lambda e: F.concat(e["category"], F.lit(":"), e["n"].cast("string")))
+    return clusters.select("cluster", "total_docs", F.array_join(named, ",").alias("top_categories"))
+
+
 def gmm_fit(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
     return membership_check(train(vectors, n_clusters=20).predict(vectors)).select(
@@ -427,6 +517,17 @@ def cache_stats_query(spark: SparkSession, sf: str) -> DataFrame:
     return cache_stats(lookup(_probes(log), entries), entries)
 
 
+def cache_admit(spark: SparkSession, sf: str) -> DataFrame:
+    """The query log filed in an empty cache: entries by cluster."""
+    log = _assigned_log(spark, sf).withColumn(
+        "result", F.expr("array()").cast("array<struct<category:string,score:double,text:string>>")
+    )
+    entries = admit(empty_cache(spark), log)
+    return entries.groupBy("dominant_cluster").agg(
+        F.count(F.lit(1)).alias("entries"), F.min("entry_id").alias("first_entry"), F.max("entry_id").alias("last_entry")
+    )
+
+
 def cache_lru(spark: SparkSession, sf: str) -> DataFrame:
     log = _assigned_log(spark, sf)
     entries, probes = _cached_originals(log), _probes(log)
@@ -513,6 +614,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "corpus_clean_job": corpus_clean_job,
     "clean_step_counts": clean_step_counts,
     "corpus_summary": corpus_summary_query,
+    "saved_corpus": saved_corpus,
+    "sample_documents": sample_documents,
+    "rejected_queries": rejected_queries,
     "docs_per_category": docs_per_category,
     "load_totals": load_totals,
     "first_document": first_document,
@@ -525,6 +629,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_filtered": topk_filtered,
     "topk_overfetch": topk_overfetch,
     "smoke_search": smoke_search,
+    "saved_index": saved_index,
     "tag_clusters": tag_clusters_query,
     "dominant_cluster": dominant_cluster,
     "confidence_bands": confidence_bands_query,
@@ -536,11 +641,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bic_aic": bic_aic,
     "silhouette_exact": silhouette_exact,
     "pca_variance": pca_variance,
+    "pca_projection": pca_projection,
+    "saved_model": saved_model,
+    "saved_reports": saved_reports,
     "gmm_fit": gmm_fit,
     "k_selection": k_selection,
     "pair_similarity": pair_similarity_query,
     "cache_lookup": cache_lookup,
     "cache_stats": cache_stats_query,
+    "cache_admit": cache_admit,
     "cache_lru": cache_lru,
     "cache_sweep": cache_sweep,
     "cache_replay": cache_replay,

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,3 +65,25 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     split = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
     size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
     return df.repartition(cores, key) if size < cores * split else df
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Prepare an application's Python workers, once: send them this package, one BLAS thread per task.
+
+    Sending is not needed where the package is installed on the executors or given by ``--py-files``.
+    """
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    for setting in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):
+        context.environment.setdefault(setting, "1")
+    package = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="corpusloom-"), "corpusloom.zip")
+    with zipfile.ZipFile(archive, "w") as files:
+        for file in sorted(package.rglob("*.py")):
+            files.write(file, file.relative_to(package.parent))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
