@@ -17,9 +17,12 @@ def l2_norm(v: Column) -> Column:
 
 
 def l2_normalize(v: Column) -> Column:
-    """Unit vector; a zero vector stays zero."""
-    norm = F.nullif(l2_norm(v), F.lit(0.0))
-    return F.transform(v, lambda x: F.coalesce(x.cast("double") / norm, F.lit(0.0)))
+    """Unit vector; a zero vector stays zero.
+
+    The norm goes in as an array, so that it is computed once per row and not once per element.
+    """
+    norms = F.array_repeat(F.nullif(l2_norm(v), F.lit(0.0)), F.size(v))
+    return F.zip_with(v, norms, lambda x, norm: F.coalesce(x.cast("double") / norm, F.lit(0.0)))
 
 
 def dominant(probs: Column) -> Column:

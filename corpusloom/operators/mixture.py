@@ -259,7 +259,7 @@ def mixture_from_labels(points: DataFrame, label: str = "label", features: str =
     Labels must run from 0 without gaps. Copies of a label merge inside the tasks; the driver
     receives one row per label.
     """
-    vector = array_to_vector(F.transform(features, lambda x: x.cast("double")))
+    vector = array_to_vector(F.col(features).cast("array<double>"))
     squares = array_to_vector(F.transform(features, lambda x: x.cast("double") * x.cast("double")))
     rows = (
         points.groupBy(label)

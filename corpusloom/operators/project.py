@@ -12,7 +12,7 @@ COMPONENTS = 50
 
 
 def _with_vectors(df: DataFrame) -> DataFrame:
-    return df.withColumn("_vector", array_to_vector(F.transform("embedding", lambda x: x.cast("double"))))
+    return df.withColumn("_vector", array_to_vector(F.col("embedding").cast("array<double>")))
 
 
 def fit_projection(vectors: DataFrame, components: int = COMPONENTS) -> PipelineModel:

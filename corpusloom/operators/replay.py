@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.blocks import SCORE_MARGIN, ordered_dots, to_matrix
 from corpusloom.operators.lookup import FAR, THRESHOLD, best_match, drop_answered, route_ranks
 from corpusloom.operators.tiles import tiles
-from corpusloom.session import stage, stage_path
+from corpusloom.session import drop_path, stage, stage_path
 
 PREFIX_ROWS = 2048
 ADMITTED_COLUMNS = ["qid", "entry_id", "embedding", "dominant_cluster"]
@@ -62,9 +62,19 @@ def replay_log(
     spark = log.sparkSession
     known = log.select("qid", "embedding", "route", "dominant_cluster").filter(F.col("embedding").isNotNull())
     undecided = log_rows = stage(known, "log")
+    old: list[str] = []
+
+    def keep_unanswered(rows: DataFrame, tile: pa.Table) -> DataFrame:
+        path = stage_path(spark, "undecided")
+        left = stage(drop_answered(rows, tile, threshold), "undecided", path=path)
+        for earlier in old:
+            drop_path(spark, earlier)
+        old[:] = [path]
+        return left
+
     if entries is not None:
         for tile in tiles(entries.select("entry_id", "embedding", "dominant_cluster"), "entry_id"):
-            undecided = stage(drop_answered(undecided, tile, threshold), "undecided")
+            undecided = keep_unanswered(undecided, tile)
     admitted_path = stage_path(spark, "admitted")
     log_rows.limit(0).withColumn("entry_id", F.col("qid")).select(*ADMITTED_COLUMNS).write.parquet(admitted_path)
     while True:
@@ -77,7 +87,9 @@ def replay_log(
         if prefix.num_rows < prefix_rows:
             break
         rest = undecided.filter(F.col("qid") > prefix["qid"][-1].as_py())
-        undecided = stage(drop_answered(rest, new, threshold), "undecided")
+        undecided = keep_unanswered(rest, new)
+    for path in old:
+        drop_path(spark, path)
     admitted = spark.read.parquet(admitted_path)
     candidates = admitted.select("entry_id", "embedding", "dominant_cluster")
     if entries is not None:

@@ -219,7 +219,7 @@ def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
 
 def _label_queries(vectors: DataFrame) -> DataFrame:
     """The mean direction of each label as a query that may look within its label only."""
-    mean = Summarizer.mean(array_to_vector(F.transform("embedding", lambda x: x.cast("double"))))
+    mean = Summarizer.mean(array_to_vector(F.col("embedding").cast("array<double>")))
     return vectors.groupBy("label").agg(vector_to_array(mean).alias("mean")).select(
         F.col("label").cast("bigint").alias("qid"),
         l2_normalize(F.col("mean")).alias("embedding"),

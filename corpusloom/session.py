@@ -34,14 +34,15 @@ def stage_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_folder(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFrame:
+def stage(df: DataFrame, name: str, partition_by: str | None = None, path: str | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
     This cuts lineage so that a lost executor costs a re-read, not a re-computation, and the
-    table read back has true sizes for the optimizer's broadcast decisions.
+    table read back has true sizes for the optimizer's broadcast decisions. Like the files of
+    ``checkpoint()``, staged tables stay until the folder is cleared; loops drop theirs.
     """
     spark = df.sparkSession
-    path = stage_path(spark, name)
+    path = path or stage_path(spark, name)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
@@ -49,6 +50,12 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a table that a job wrote and nobody reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def wave_partitions(df: DataFrame, target_rows: int, rows: int) -> DataFrame:
     """Merge small partitions for streaming passes, without a shuffle, keeping every core busy."""
     cores = df.sparkSession.sparkContext.defaultParallelism

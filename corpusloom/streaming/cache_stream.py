@@ -9,6 +9,7 @@ from corpusloom.operators.clusters import ClusterModel
 from corpusloom.operators.lookup import SEARCH_DEPTH, THRESHOLD
 from corpusloom.operators.state import ENTRY_SCHEMA, MAX_ENTRIES, empty_cache
 from corpusloom.plans.answer import answer_queries
+from corpusloom.session import drop_path
 
 
 def _state_path(folder: str, batch: int) -> str:
@@ -50,6 +51,8 @@ def answer_stream(
         answers = answer_queries(batch, index, model, before, threshold, depth, max_entries)
         answers.responses.write.mode("overwrite").parquet(f"{folder}/responses/batch={batch_id}")
         answers.entries.write.mode("overwrite").parquet(_state_path(folder, batch_id))
+        # The version before this batch stays for a repeated run; older ones are no longer read.
+        drop_path(spark, _state_path(folder, batch_id - 2))
 
     return (
         queries.writeStream.foreachBatch(answer)

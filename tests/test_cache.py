@@ -234,6 +234,20 @@ def test_answers_in_two_batches_equal_one(spark):
         assert response.dominant_cluster == int(np.argmax(probs[owner]))
 
 
+def test_long_logs_go_in_pieces(spark):
+    log = chained_log(13, 90, hot=5)
+    index, model = index_table(spark), small_model()
+    queries = query_rows(spark, log).drop("result").repartition(3)
+    whole = answer_queries(queries, index, model)
+    pieces = answer_queries(queries, index, model, batch_rows=25)
+    rows = lambda df: {r.qid: r for r in df.collect()}
+    assert rows(pieces.responses) == rows(whole.responses)
+    assert {r.entry_id for r in pieces.entries.collect()} == {r.entry_id for r in whole.entries.collect()}
+    # With room for one entry, only the most recent one outlives a piece.
+    small = answer_queries(query_rows(spark, [*np.eye(4), *np.eye(4)]).drop("result"), index, max_entries=1, batch_rows=4)
+    assert [r.cache_hit for r in small.responses.orderBy("qid").collect()] == [False] * 7 + [True]
+
+
 def test_answers_without_model_and_eviction(spark):
     queries = query_rows(spark, np.eye(4)).drop("result")
     answers = answer_queries(queries, index_table(spark), max_entries=3)
