@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import clean_text, text_digest
+from corpusloom.functions.text import add_cleaned_text, text_digest
 
 DEFAULT_ORDER = ("category", "filename")
 
@@ -42,10 +42,6 @@ def duplicate_count(df: DataFrame, column: str | Column = "text") -> DataFrame:
     )
 
 
-def with_cleaned_text(posts: DataFrame) -> DataFrame:
-    return posts.withColumn("cleaned_text", clean_text(F.col("text")))
-
-
 def surviving_posts(
     posts: DataFrame, order_by: Sequence[str] = DEFAULT_ORDER, min_length: int = 50
 ) -> DataFrame:
@@ -55,7 +51,7 @@ def surviving_posts(
     the first post of a cleaned text is also the first of its text, so the second pass leaves the
     same posts with or without the first.
     """
-    cleaned = with_cleaned_text(posts).withColumn("cleaned_len", F.length("cleaned_text"))
+    cleaned = add_cleaned_text(posts).withColumn("cleaned_len", F.length("cleaned_text"))
     kept = first_per_group(cleaned, text_digest(F.col("cleaned_text")), order_by)
     return kept.filter(F.col("cleaned_len") >= min_length)
 
@@ -65,7 +61,7 @@ def removed_per_step(posts: DataFrame, min_length: int = 50) -> DataFrame:
 
     Copies collapse before the first shuffle and again before the second; only digests move.
     """
-    keys = with_cleaned_text(posts).select(
+    keys = add_cleaned_text(posts).select(
         text_digest(F.col("text")).alias("text_key"),
         text_digest(F.col("cleaned_text")).alias("body_key"),
         F.coalesce(F.length("cleaned_text") < min_length, F.lit(True)).alias("short"),

@@ -10,7 +10,7 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import clean_text, strip_headers
+from corpusloom.functions.text import add_cleaned_text, clean_text, strip_headers
 from corpusloom.functions.vectors import dot, l2_normalize, probability_map
 from corpusloom.operators import profile as figures
 from corpusloom.operators.clusters import (
@@ -21,7 +21,7 @@ from corpusloom.operators.clusters import (
     save_model,
     train,
 )
-from corpusloom.operators.dedup import dedup_keep_first, duplicate_count, removed_per_step, with_cleaned_text
+from corpusloom.operators.dedup import dedup_keep_first, duplicate_count, removed_per_step
 from corpusloom.operators.embed import embed_documents
 from corpusloom.operators.lookup import lookup, with_route
 from corpusloom.operators.mixture import mixture_from_labels, mixture_step, one_pass
@@ -113,7 +113,7 @@ def _round(*names: str, places: int = 6) -> list[Column]:
 
 
 def clean_posts(spark: SparkSession, sf: str) -> DataFrame:
-    return with_cleaned_text(_posts(spark, sf)).select("doc_id", "cleaned_text")
+    return add_cleaned_text(_posts(spark, sf)).select("doc_id", "cleaned_text")
 
 
 def clean_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -126,7 +126,7 @@ def dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_body(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = with_cleaned_text(_posts(spark, sf))
+    cleaned = add_cleaned_text(_posts(spark, sf))
     return dedup_keep_first(cleaned, "cleaned_text").select("category", "filename", "cleaned_text")
 
 
@@ -206,12 +206,12 @@ def rejected_queries(spark: SparkSession, sf: str) -> DataFrame:
 
 def _indexed_documents(spark: SparkSession, sf: str) -> DataFrame:
     """Vector table of the cleaned documents, staged: text is hashed once."""
-    docs = with_cleaned_text(_plain_posts(spark, sf))
+    docs = add_cleaned_text(_plain_posts(spark, sf))
     return stage(build_index(embed_documents(docs, dimension=EMBED_DIMENSION)), "index")
 
 
 def hash_embed(spark: SparkSession, sf: str) -> DataFrame:
-    docs = with_cleaned_text(_plain_posts(spark, sf))
+    docs = add_cleaned_text(_plain_posts(spark, sf))
     digits = F.transform("embedding", lambda x: F.round(x.cast("double") * 1_000_000).cast("bigint").cast("string"))
     embedded = embed_documents(docs, dimension=EMBED_DIMENSION)
     return embedded.select("doc_id", F.array_join(digits, ",").alias("embedding_e6"))

@@ -58,8 +58,11 @@ def test_edges_agree_with_plain_rules(name):
 
 
 def clean_all(spark, texts):
-    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
-    return [r[0] for r in rows.orderBy("i").select(rules.clean_text(F.col("text"))).collect()]
+    """The cleaned texts, both as one expression and rule by rule."""
+    rows = spark.createDataFrame(list(enumerate(texts)), "i int, text string").orderBy("i")
+    one = [r[0] for r in rows.select(rules.clean_text(F.col("text"))).collect()]
+    assert [r.cleaned_text for r in rules.add_cleaned_text(rows).collect()] == one
+    return one
 
 
 def test_edge_rows(spark):
@@ -119,8 +122,9 @@ def test_random_features(spark):
 
 @pytest.mark.parametrize("unit", ["<", "a", " ", "a@", "\n", "<a", "\n>", "h", "www", "@", "a.", "\n "])
 def test_long_runs_are_linear(spark, unit):
-    text = unit * (400_000 // len(unit))
-    one = spark.range(1).select(F.lit(text).alias("text"))
+    repeats = 400_000 // len(unit)
+    one = spark.range(repeats, repeats + 1).select(F.repeat(F.lit(unit), F.col("id").cast("int")).alias("text"))
+    assert rules.add_cleaned_text(one).agg(F.max(F.length("cleaned_text"))).first()[0] >= 0
     out = one.select(
         F.length(rules.clean_text(F.col("text"))), rules.has_html_tag(F.col("text")), rules.email_count(F.col("text"))
     )
@@ -133,8 +137,9 @@ def test_newlines(spark):
 
 
 def test_cleaning_needs_no_python_and_keeps_codegen(spark):
-    plan = spark.range(1).select(F.col("id").cast("string").alias("text")).select(rules.clean_text(F.col("text")))
-    text = plan._jdf.queryExecution().explainString(
-        spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
-    )
-    assert "Python" not in text and "Found 1 WholeStageCodegen" in text
+    posts = spark.range(1).select(F.col("id").cast("string").alias("text"))
+    for plan in (posts.select(rules.clean_text(F.col("text"))), rules.add_cleaned_text(posts).select("cleaned_text")):
+        text = plan._jdf.queryExecution().explainString(
+            spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("codegen")
+        )
+        assert "Python" not in text and "Found 1 WholeStageCodegen" in text
