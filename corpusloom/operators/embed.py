@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.session import ship
+
 DIMENSION = 384
 
 
@@ -41,6 +43,7 @@ def hash_embedding(text: Column, dimension: int = DIMENSION) -> Column:
     Adding into a dense array is the one step without a built-in, so it is an Arrow function over
     whole batches. Every distinct token of a batch is hashed once.
     """
+    ship()
 
     @F.arrow_udf("array<float>")
     def scatter(lists: pa.Array) -> pa.Array:
@@ -76,6 +79,8 @@ def embed_documents(
     if encoder is None:
         return df.withColumn("embedding", hash_embedding(F.col(text), dimension))
 
+    ship(df.sparkSession)
+
     def encode(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = None
         for frame in frames:

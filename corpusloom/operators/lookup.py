@@ -12,7 +12,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
 from corpusloom.functions.vectors import route
-from corpusloom.operators.tiles import TILE_ROWS, over_tiles
+from corpusloom.operators.tiles import TILE_ROWS, over_tiles, with_vectors
+from corpusloom.session import ship
 
 THRESHOLD = 0.85
 SEARCH_DEPTH = 3
@@ -88,7 +89,7 @@ def _match(earlier_only: bool, min_score: float):
             if shared.value.num_rows == 0:
                 return
             entries = _Entries(shared.value)
-            for batch in batches:
+            for batch in map(with_vectors, batches):
                 if batch.num_rows == 0:
                     continue
                 rows, cols, score, rank = entries.best(batch, earlier_only, min_score)
@@ -109,6 +110,7 @@ def _match(earlier_only: bool, min_score: float):
 
 def drop_answered(queries: DataFrame, tile: pa.Table, threshold: float) -> DataFrame:
     """Queries that no entry of the tile answers: a filter in place, without a shuffle."""
+    ship(queries.sparkSession)
     shared = queries.sparkSession.sparkContext.broadcast(tile)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,14 +140,16 @@ def best_match(
     """
     types = dict(queries.dtypes)["qid"], dict(entries.dtypes)["entry_id"]
     schema = f"qid {types[0]}, entry_id {types[1]}, score double, route_rank int"
-    matches = over_tiles(
-        queries.select("qid", "embedding", "route").filter(F.col("embedding").isNotNull()),
+    matches, several = over_tiles(
+        queries.select("qid", "embedding", "route"),
         entries.select("entry_id", "embedding", "dominant_cluster"),
         "entry_id",
         _match(earlier_only, min_score),
         schema,
         tile_rows,
     )
+    if not several:
+        return matches.select("qid", "entry_id", "score")
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "route_rank", "entry_id")
     best = matches.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") == 1)
     return best.select("qid", "entry_id", "score")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import row_blocks, to_lists, to_matrix
 from corpusloom.operators.sample import hash_sample
+from corpusloom.session import ship
 
 VARIANCE_FLOOR = 1e-6
 SEED_ROWS = 5000
@@ -114,6 +115,7 @@ def one_pass(points: DataFrame, models: dict[int, Mixture | Centers]) -> dict[in
     A task keeps one sum per model and sends that alone; the driver receives ``k * (2d + 1)``
     numbers per model.
     """
+    ship(points.sparkSession)
     shared = points.sparkSession.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,6 +239,7 @@ def mixture_step(points: DataFrame, mixture: Mixture) -> tuple[Mixture, Statisti
 
 def memberships(features: Column, mixture: Mixture) -> Column:
     """Membership probabilities of each vector as ``ARRAY<DOUBLE>``; null for a missing vector."""
+    ship()
 
     @F.arrow_udf("array<double>")
     def soft(vectors: pa.Array) -> pa.Array:

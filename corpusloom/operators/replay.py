@@ -60,8 +60,8 @@ def replay_log(
     No pairs are kept. At the end each query takes its best match among all earlier entries.
     """
     spark = log.sparkSession
-    known = log.select("qid", "embedding", "route", "dominant_cluster").filter(F.col("embedding").isNotNull())
-    undecided = log_rows = stage(known, "log")
+    log_rows = stage(log.select("qid", "embedding", "route", "dominant_cluster"), "log")
+    undecided = log_rows = log_rows.filter(F.col("embedding").isNotNull())
     old: list[str] = []
 
     def keep_unanswered(rows: DataFrame, tile: pa.Table) -> DataFrame:

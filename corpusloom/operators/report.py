@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.vectors import dominant
+from corpusloom.session import stage
 
 
 def confidence_bands(assignments: DataFrame) -> DataFrame:
@@ -35,10 +36,12 @@ def confidence_bands(assignments: DataFrame) -> DataFrame:
 def cluster_categories(assignments: DataFrame, top: int = 5) -> DataFrame:
     """``(cluster, total_docs, rank, category, n)``: the largest categories of each cluster.
 
-    ``assignments`` has ``category, dominant_cluster``. Rows merge into counts before any shuffle.
+    ``assignments`` has ``category, dominant_cluster``. Rows merge into counts before any shuffle;
+    the counts are staged, so memberships are computed once for ranks and totals.
     """
-    counts = assignments.groupBy(F.col("dominant_cluster").alias("cluster"), "category").agg(
-        F.count(F.lit(1)).alias("n")
+    counts = stage(
+        assignments.groupBy(F.col("dominant_cluster").alias("cluster"), "category").agg(F.count(F.lit(1)).alias("n")),
+        "counts",
     )
     totals = counts.groupBy("cluster").agg(F.sum("n").alias("total_docs"))
     order = Window.partitionBy("cluster").orderBy(F.desc("n"), "category")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
-from corpusloom.operators.tiles import TILE_ROWS, over_tiles
+from corpusloom.operators.tiles import TILE_ROWS, over_tiles, with_vectors
 from corpusloom.session import stage
 
 SNIPPET_LENGTH = 500
@@ -57,7 +57,7 @@ def _scan(k: int, filtered: bool):
             best_query = np.zeros(0, dtype=np.int64)
             best_id = best_score = None
             floor = np.full(len(queries), -np.inf)
-            for batch in batches:
+            for batch in map(with_vectors, batches):
                 if batch.num_rows == 0:
                     continue
                 vectors, ids = to_matrix(batch["embedding"]), to_keys(batch["doc_id"])
@@ -117,9 +117,9 @@ def top_k(
     small = queries.select("qid", "embedding", *(["category_filter"] if filtered else []))
     key_types = dict(queries.dtypes)["qid"], dict(vectors.dtypes)["doc_id"]
     schema = f"qid {key_types[0]}, doc_id {key_types[1]}, score double"
-    hits = over_tiles(
-        large.filter(F.col("embedding").isNotNull()),
-        small.filter(F.col("embedding").isNotNull()),
+    hits, _ = over_tiles(
+        large,
+        small,
         "qid",
         _scan(k, filtered),
         schema,

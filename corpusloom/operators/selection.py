@@ -14,7 +14,7 @@ from corpusloom.functions.blocks import row_blocks, to_keys, to_matrix
 from corpusloom.functions.vectors import dominant
 from corpusloom.operators.mixture import Fit, fit_mixtures, memberships, one_pass
 from corpusloom.operators.sample import SAMPLE_ROWS, hash_sample
-from corpusloom.session import stage
+from corpusloom.session import ship, stage
 
 
 def bic(log_likelihood: Column, parameters: Column, n: Column) -> Column:
@@ -48,6 +48,7 @@ def silhouette(sample: DataFrame, labels: Sequence[str]) -> DataFrame:
     clusters the silhouette is null.
     """
     spark = sample.sparkSession
+    ship(spark)
     staged = stage(sample.select("doc_id", "features", *labels), "sample")
     shared = spark.sparkContext.broadcast(staged.toArrow())
 

@@ -15,37 +15,50 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.session import stage, stage_path
+from corpusloom.session import ship, stage, stage_path
 
 TILE_ROWS = 4096
 
 
+def with_vectors(rows: pa.Table | pa.RecordBatch) -> pa.Table | pa.RecordBatch:
+    """Rows that have a vector. Checked here and not as a filter of the plan, which would be pushed
+    below the function that makes the vectors and run it twice."""
+    return rows.filter(rows["embedding"].is_valid()) if rows["embedding"].null_count else rows
+
+
 def tiles(df: DataFrame, key: str, tile_rows: int = TILE_ROWS) -> Iterator[pa.Table]:
-    """The table in pieces of about ``tile_rows`` rows; an empty table is one empty piece."""
+    """The rows with a vector in pieces of about ``tile_rows``; an empty table is one empty piece."""
     head = df.limit(tile_rows + 1).toArrow()
     if head.num_rows <= tile_rows:
-        yield head
+        yield with_vectors(head)
         return
     staged = stage(df, "tile-input")
     # Keys are unique, so hashing spreads them evenly; a tenth more tiles absorbs the spread.
     count = -(-staged.count() * 11 // (tile_rows * 10))
     tiled = stage(staged.withColumn("_tile", F.pmod(F.xxhash64(key), F.lit(count))), "tiles", partition_by="_tile")
     for tile in range(count):
-        yield tiled.filter(F.col("_tile") == tile).drop("_tile").toArrow()
+        yield with_vectors(tiled.filter(F.col("_tile") == tile).drop("_tile").toArrow())
+
 
+def over_tiles(
+    large: DataFrame, small: DataFrame, key: str, run: Callable, schema: str, tile_rows: int = TILE_ROWS
+) -> tuple[DataFrame, bool]:
+    """Rows that ``run(tile)``, a function over Arrow batches, yields for every tile of ``small``,
+    and whether there was more than one tile.
 
-def over_tiles(large: DataFrame, small: DataFrame, key: str, run: Callable, schema: str, tile_rows: int = TILE_ROWS) -> DataFrame:
-    """Rows that ``run(tile)``, a function over Arrow batches, yields for every tile of ``small``."""
+    ``large`` is read once per tile, so it should be a stored table when ``small`` may be long.
+    """
     spark = large.sparkSession
+    ship(spark)
     pieces = tiles(small, key, tile_rows)
     first = next(pieces)
     second = next(pieces, None)
     if second is None:
-        return large.mapInArrow(run(spark.sparkContext.broadcast(first)), schema)
+        return large.mapInArrow(run(spark.sparkContext.broadcast(first)), schema), False
     path = stage_path(spark, "tile-results")
     for piece in chain((first, second), pieces):
         _append(large, run, piece, schema, path)
-    return spark.read.schema(schema).parquet(path)
+    return spark.read.schema(schema).parquet(path), True
 
 
 def _append(large: DataFrame, run: Callable, piece: pa.Table, schema: str, path: str) -> None:

@@ -77,12 +77,12 @@ def spread(df: DataFrame, key: str) -> DataFrame:
 _shipped: set[str] = set()
 
 
-def ship(spark: SparkSession) -> None:
+def ship(spark: SparkSession | None = None) -> None:
     """Prepare an application's Python workers, once: send them this package, one BLAS thread per task.
 
-    Sending is not needed where the package is installed on the executors or given by ``--py-files``.
+    Every operator that runs Python in tasks calls this.
     """
-    context = spark.sparkContext
+    context = (spark or SparkSession.active()).sparkContext
     if context.applicationId in _shipped:
         return
     for setting in ("OMP_NUM_THREADS", "OPENBLAS_NUM_THREADS"):

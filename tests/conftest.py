@@ -20,8 +20,5 @@ def spark(tmp_path_factory):
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
-    from corpusloom.session import ship
-
-    ship(session)
     yield session
     session.stop()
