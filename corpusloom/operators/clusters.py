@@ -14,7 +14,7 @@ from corpusloom.functions.vectors import dominant
 from corpusloom.operators.mixture import Mixture, fit_mixtures, memberships
 from corpusloom.operators.project import COMPONENTS, fit_projection, project
 from corpusloom.operators.selection import Selection, select_k
-from corpusloom.session import stage, wave_partitions
+from corpusloom.session import spread, stage, wave_partitions
 from corpusloom.sources.tables import read_or_none
 
 ROWS_PER_TASK = 2_000_000
@@ -55,7 +55,8 @@ def predict(vectors: DataFrame, model: ClusterModel | None) -> DataFrame:
 def reduced_points(vectors: DataFrame, components: int = COMPONENTS) -> tuple[DataFrame, PipelineModel]:
     """Staged ``(doc_id, features)``: computed once, read by every fitting round in few large tasks."""
     projection = fit_projection(vectors, components)
-    staged = stage(project(vectors.select("doc_id", "embedding"), projection).select("doc_id", "features"), "points")
+    reduced = project(spread(vectors.select("doc_id", "embedding"), "doc_id"), projection)
+    staged = stage(reduced.select("doc_id", "features"), "points")
     return wave_partitions(staged, ROWS_PER_TASK, staged.count()), projection
 
 

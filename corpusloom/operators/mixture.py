@@ -18,6 +18,7 @@ from corpusloom.session import ship
 
 VARIANCE_FLOOR = 1e-6
 SEED_ROWS = 5000
+DIRECT_BYTES = 32 * 1024 * 1024
 
 
 @dataclass(frozen=True)
@@ -109,14 +110,18 @@ def _pack(model, x: np.ndarray) -> np.ndarray:
     )
 
 
-def one_pass(points: DataFrame, models: dict[int, Mixture | Centers]) -> dict[int, Statistics]:
+def one_pass(
+    points: DataFrame, models: dict[int, Mixture | Centers], tasks: int | None = None
+) -> dict[int, Statistics]:
     """Statistics of every model from one pass over ``points(features)``.
 
-    A task keeps one sum per model and sends that alone; the driver receives ``k * (2d + 1)``
-    numbers per model.
+    A task keeps one sum per model and sends that alone; Spark adds them up and the driver receives
+    ``k * (2d + 1)`` numbers per model. Where the number of ``tasks`` is known and all their sums
+    stay below ``DIRECT_BYTES``, the driver adds them itself and the shuffle is saved.
     """
-    ship(points.sparkSession)
-    shared = points.sparkSession.sparkContext.broadcast(models)
+    spark = points.sparkSession
+    ship(spark)
+    shared = spark.sparkContext.broadcast(models)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         totals: dict[int, np.ndarray] = {}
@@ -132,16 +137,18 @@ def one_pass(points: DataFrame, models: dict[int, Mixture | Centers]) -> dict[in
                 names=["model", "statistics"],
             )
 
-    sums = (
-        points.select("features")
-        .mapInArrow(run, "model int, statistics array<double>")
-        .groupBy("model")
-        .agg(Summarizer.sum(array_to_vector("statistics")).alias("statistics"))
-        .select("model", vector_to_array("statistics").alias("statistics"))
-        .collect()
-    )
+    sums = points.select("features").mapInArrow(run, "model int, statistics array<double>")
+    size = sum(model.k * (2 * model.means.shape[1] + 1) * 8 for model in models.values())
+    if tasks is None or tasks * size > DIRECT_BYTES:
+        total = Summarizer.sum(array_to_vector("statistics"))
+        sums = sums.groupBy("model").agg(vector_to_array(total).alias("statistics"))
+    totals: dict[int, np.ndarray] = {}
+    rows = sums.toArrow()
+    for name, statistics in zip(rows["model"].to_pylist(), rows["statistics"]):
+        flat = statistics.values.to_numpy()
+        totals[name] = totals[name] + flat if name in totals else flat
     shared.unpersist()
-    return {row.model: Statistics.unpack(np.array(row.statistics), models[row.model].k) for row in sums}
+    return {name: Statistics.unpack(flat, models[name].k) for name, flat in totals.items()}
 
 
 def _spread_seeds(sample: np.ndarray, k: int, rng: np.random.Generator) -> Centers:
@@ -186,6 +193,7 @@ def fit_mixtures(
     sample = to_matrix(hash_sample(points, SEED_ROWS, seed).select("features").toArrow()["features"])
     if len(sample) < max(ks):
         raise ValueError(f"{len(sample)} rows are too few for {max(ks)} components")
+    tasks = points.rdd.getNumPartitions()
     jobs = [(k, start) for k in ks for start in range(n_init)]
     active: dict[int, Mixture | Centers] = {
         i: _spread_seeds(sample, k, np.random.default_rng([seed, k, start])) for i, (k, start) in enumerate(jobs)
@@ -193,20 +201,20 @@ def fit_mixtures(
 
     settled: dict[int, Mixture | Centers] = {}
     for _ in range(center_rounds):
-        statistics = one_pass(points, active)
+        statistics = one_pass(points, active, tasks)
         moved = {i: statistics[i].centers(model) for i, model in active.items()}
         still = {i for i in active if not np.allclose(moved[i].means, active[i].means, atol=1e-6)}
         settled |= {i: moved[i] for i in active if i not in still}
         active = {i: moved[i] for i in still}
         if not active:
             break
-    statistics = one_pass(points, settled | active)
+    statistics = one_pass(points, settled | active, tasks)
     active = {i: s.mixture() for i, s in sorted(statistics.items())}
 
     fits: dict[int, Fit] = {}
     last = dict.fromkeys(active, -np.inf)
     for round_ in range(1, max_iter + 1):
-        statistics = one_pass(points, active)
+        statistics = one_pass(points, active, tasks)
         mean_fit = {i: s.log_likelihood / s.n for i, s in statistics.items()}
         if on_round:
             on_round(mean_fit)

@@ -17,7 +17,7 @@ from corpusloom.session import stage
 
 SNIPPET_LENGTH = 500
 # Hits whose ids and details (a snippet each) a broadcast may carry.
-BROADCAST_HITS = 200_000
+BROADCAST_HITS = 50_000
 
 
 def _best_candidates(scores: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -16,6 +16,8 @@ from corpusloom.operators.mixture import Fit, fit_mixtures, memberships, one_pas
 from corpusloom.operators.sample import SAMPLE_ROWS, hash_sample
 from corpusloom.session import ship, stage
 
+LARGEST_SAMPLE = 20_000
+
 
 def bic(log_likelihood: Column, parameters: Column, n: Column) -> Column:
     return -2 * log_likelihood + parameters * F.log(n.cast("double"))
@@ -50,6 +52,8 @@ def silhouette(sample: DataFrame, labels: Sequence[str]) -> DataFrame:
     spark = sample.sparkSession
     ship(spark)
     staged = stage(sample.select("doc_id", "features", *labels), "sample")
+    if staged.count() > LARGEST_SAMPLE:
+        raise ValueError(f"a silhouette compares all pairs: draw a sample of at most {LARGEST_SAMPLE} rows")
     shared = spark.sparkContext.broadcast(staged.toArrow())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -6,6 +6,8 @@ small tables only.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from corpusloom.functions.text import ASCII_BLANKS_IN_LINE, BLANKS, BLANKS_IN_LINE, WORD
 from corpusloom.operators.profile import HEADER_KEYS
 from corpusloom.operators.sweep import THRESHOLDS
@@ -27,19 +29,41 @@ def header(t: str) -> str:
     return f"case when contains({t}, {NL}||{NL}) then split_part({t}, {NL}||{NL}, 1) else '' end"
 
 
+def without_signature(t: str) -> str:
+    return f"split_part(split_part({t}, {NL}||'-- '||{NL}, 1), {NL}||'--'||{NL}, 1)"
+
+
+def without_quotes(t: str) -> str:
+    lines = f"string_split({t}, {NL})"
+    return f"array_to_string(list_filter({lines}, lambda l: not regexp_matches(l, '^[{BLANKS_IN_LINE}]*[>|]')), {NL})"
+
+
+def without(pattern: str) -> Callable[[str], str]:
+    return lambda t: f"regexp_replace({t}, '{pattern}', '', 'g')"
+
+
+def tidy(t: str) -> str:
+    lines = rf"string_split(regexp_replace({t}, '\n{{3,}}', {NL}||{NL}, 'g'), {NL})"
+    stripped = f"array_to_string(list_transform({lines}, lambda l: rtrim(l, {ASCII_BLANK_CHARS})), {NL})"
+    return f"trim({stripped}, {ASCII_BLANK_CHARS})"
+
+
+RULES = {
+    "strip_headers": body,
+    "remove_signature": without_signature,
+    "remove_quoted_lines": without_quotes,
+    "remove_emails": without(rf"[{WORD}.\-+]+@[{WORD}.\-]+\.[{WORD}]+"),
+    "remove_tags": without("<[^>]+>"),
+    "remove_urls": without(rf"https?://[^{BLANKS}]+|ftp://[^{BLANKS}]+|www\.[^{BLANKS}]+"),
+    "remove_non_ascii": without(r"[^\x00-\x7F]"),
+    "normalize_whitespace": tidy,
+}
+
+
 def cleaned(t: str) -> str:
-    e = body(t)
-    e = f"split_part({e}, {NL}||'-- '||{NL}, 1)"
-    e = f"split_part({e}, {NL}||'--'||{NL}, 1)"
-    lines = f"string_split({e}, {NL})"
-    e = f"array_to_string(list_filter({lines}, lambda l: not regexp_matches(l, '^[{BLANKS_IN_LINE}]*[>|]')), {NL})"
-    e = rf"regexp_replace({e}, '[{WORD}.\-+]+@[{WORD}.\-]+\.[{WORD}]+', '', 'g')"
-    e = f"regexp_replace({e}, '<[^>]+>', '', 'g')"
-    e = rf"regexp_replace({e}, 'https?://[^{BLANKS}]+|ftp://[^{BLANKS}]+|www\.[^{BLANKS}]+', '', 'g')"
-    e = rf"regexp_replace({e}, '[^\x00-\x7F]', '', 'g')"
-    e = rf"regexp_replace({e}, '\n{{3,}}', {NL}||{NL}, 'g')"
-    e = f"array_to_string(list_transform(string_split({e}, {NL}), lambda l: rtrim(l, {ASCII_BLANK_CHARS})), {NL})"
-    return f"trim({e}, {ASCII_BLANK_CHARS})"
+    for rule in RULES.values():
+        t = rule(t)
+    return t
 
 
 PLAIN = "plain as (select doc_id, source category, doc_id::varchar filename, text from documents)"
@@ -307,6 +331,13 @@ STEP = """updated as (select k, d, sum(p) as n, sum(p * x) / sum(p) as mean, sum
 ORACLE_SQL: dict[str, str] = {
     "clean_posts": f"with {POSTS} select doc_id, {cleaned('text')} as cleaned_text from posts",
     "clean_pages": f"select page_id, {cleaned('html')} as cleaned_text from pages",
+    "clean_rules": f"with {POSTS}, texts as (select 'd'||filename as id, text from posts "
+    "union all select 'p'||page_id, html from pages) select id, "
+    + ", ".join(
+        f"md5({rule(RULES['remove_non_ascii']('text') if name == 'normalize_whitespace' else 'text')}) as {name}"
+        for name, rule in RULES.items()
+    )
+    + " from texts",
     "dedup_exact": f"with {PLAIN} {first_of('text', 'plain', 'category, filename, text')}",
     "dedup_body": f"with {POSTS}, c as (select *, {cleaned('text')} as cleaned_text from posts) "
     + first_of("cleaned_text", "c", "category, filename, cleaned_text"),

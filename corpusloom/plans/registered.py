@@ -10,7 +10,14 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.functions.text import add_cleaned_text, clean_text, strip_headers
+from corpusloom.functions.text import (
+    CLEANING_RULES,
+    add_cleaned_text,
+    clean_text,
+    normalize_whitespace,
+    remove_non_ascii,
+    strip_headers,
+)
 from corpusloom.functions.vectors import dot, l2_normalize, probability_map
 from corpusloom.operators import profile as figures
 from corpusloom.operators.clusters import (
@@ -116,6 +123,19 @@ def clean_posts(spark: SparkSession, sf: str) -> DataFrame:
     return add_cleaned_text(_posts(spark, sf)).select("doc_id", "cleaned_text")
 
 
+def clean_rules(spark: SparkSession, sf: str) -> DataFrame:
+    """Each cleaning rule by itself, over posts and pages; the whitespace rule expects ASCII text."""
+    pages = spread(_table(spark, sf, "pages"), "page_id")
+    texts = _posts(spark, sf).select(F.concat(F.lit("d"), "filename").alias("id"), "text").unionByName(
+        pages.select(F.concat(F.lit("p"), F.col("page_id").cast("string")).alias("id"), F.col("html").alias("text"))
+    )
+    results = {}
+    for rule in CLEANING_RULES:
+        source = remove_non_ascii(F.col("text")) if rule is normalize_whitespace else F.col("text")
+        results[rule.__name__] = F.md5(rule(source))
+    return texts.select("id", *[result.alias(name) for name, result in results.items()])
+
+
 def clean_pages(spark: SparkSession, sf: str) -> DataFrame:
     pages = spread(_table(spark, sf, "pages"), "page_id")
     return pages.select("page_id", clean_text(F.col("html")).alias("cleaned_text"))
@@ -609,6 +629,7 @@ def cache_stream(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_posts": clean_posts,
     "clean_pages": clean_pages,
+    "clean_rules": clean_rules,
     "dedup_exact": dedup_exact,
     "dedup_body": dedup_body,
     "corpus_clean_job": corpus_clean_job,

@@ -50,6 +50,13 @@ def stage(df: DataFrame, name: str, partition_by: str | None = None, path: str |
     return spark.read.schema(df.schema).parquet(path)
 
 
+def child_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none when it does not exist."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [child.getPath().getName() for child in system.listStatus(target)] if system.exists(target) else []
+
+
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a table that a job wrote and nobody reads any more."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

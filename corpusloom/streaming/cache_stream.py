@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.clusters import ClusterModel
 from corpusloom.operators.lookup import SEARCH_DEPTH, THRESHOLD
-from corpusloom.operators.state import ENTRY_SCHEMA, MAX_ENTRIES, empty_cache
+from corpusloom.operators.state import ENTRY_SCHEMA, MAX_ENTRIES, cache_stats, empty_cache
 from corpusloom.plans.answer import answer_queries
-from corpusloom.session import drop_path
+from corpusloom.session import child_names, drop_path
 
 
 def _state_path(folder: str, batch: int) -> str:
@@ -23,8 +24,37 @@ def read_state(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     return spark.read.schema(ENTRY_SCHEMA).parquet(_state_path(folder, batch))
 
 
-def read_responses(spark: SparkSession, folder: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/responses").drop("batch")
+def read_responses(spark: SparkSession, folder: str, after: int = -1) -> DataFrame:
+    """All responses, or those of the batches after one."""
+    return spark.read.parquet(f"{folder}/responses").filter(F.col("batch") > after).drop("batch")
+
+
+def latest_batch(spark: SparkSession, folder: str) -> int:
+    """The last batch that left a cache version; -1 before the first."""
+    return max((int(name.removeprefix("after=")) for name in child_names(spark, f"{folder}/entries")), default=-1)
+
+
+def _last_flush(spark: SparkSession, folder: str) -> int:
+    return max((int(name.removeprefix("after=")) for name in child_names(spark, f"{folder}/flushes")), default=-1)
+
+
+def stream_stats(spark: SparkSession, folder: str) -> DataFrame:
+    """Entries, hits, misses and hit rate of the stream's cache since it was last flushed."""
+    latest = latest_batch(spark, folder)
+    if latest < 0:
+        nothing = spark.createDataFrame([], "cache_hit boolean")
+        return cache_stats(nothing, empty_cache(spark))
+    lookups = read_responses(spark, folder, _last_flush(spark, folder))
+    return cache_stats(lookups, read_state(spark, folder, latest))
+
+
+def flush_stream(spark: SparkSession, folder: str) -> None:
+    """Empty the cache and start counting anew. Call it while no batch is running."""
+    latest = latest_batch(spark, folder)
+    if latest < 0:
+        return
+    empty_cache(spark).write.mode("overwrite").parquet(_state_path(folder, latest))
+    empty_cache(spark).write.mode("overwrite").parquet(f"{folder}/flushes/after={latest}")
 
 
 def answer_stream(

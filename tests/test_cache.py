@@ -11,7 +11,13 @@ from corpusloom.operators.replay import replay_log
 from corpusloom.operators.state import admit, cache_stats, empty_cache, retain, touch
 from corpusloom.operators.sweep import pair_similarity, threshold_sweep
 from corpusloom.plans.answer import answer_queries, split_empty
-from corpusloom.streaming.cache_stream import answer_stream, read_responses, read_state
+from corpusloom.streaming.cache_stream import (
+    answer_stream,
+    flush_stream,
+    read_responses,
+    read_state,
+    stream_stats,
+)
 
 START = dt.datetime(2024, 1, 1)
 
@@ -300,4 +306,22 @@ def test_stream_equals_batch(spark, tmp_path):
     whole = answer_queries(queries, index, model)
     assert {r.qid: r for r in read_responses(spark, folder).collect()} == {r.qid: r for r in whole.responses.collect()}
     left = {r.entry_id for r in read_state(spark, folder, 1).collect()}
+    hits = whole.responses.filter("cache_hit").count()
+    assert tuple(stream_stats(spark, folder).first()) == (40 - hits, hits, 40 - hits, round(hits / 40, 4))
     assert left == {r.entry_id for r in whole.entries.collect()}
+
+
+def test_flushed_stream(spark, tmp_path):
+    folder, source = str(tmp_path / "cache"), str(tmp_path / "source")
+    flush_stream(spark, folder)
+    assert tuple(stream_stats(spark, folder).first()) == (0, 0, 0, 0.0)
+    index = index_table(spark)
+    queries = query_rows(spark, [*np.eye(4), np.eye(4)[0], np.eye(4)[0]]).drop("result")
+    queries.filter("qid < 5").coalesce(1).write.parquet(source)
+    answer_stream(spark.readStream.schema(queries.schema).parquet(source), index, folder).awaitTermination()
+    assert tuple(stream_stats(spark, folder).first()) == (4, 1, 4, 0.2)
+    flush_stream(spark, folder)
+    assert tuple(stream_stats(spark, folder).first()) == (0, 0, 0, 0.0)
+    queries.filter("qid = 5").coalesce(1).write.mode("append").parquet(source)
+    answer_stream(spark.readStream.schema(queries.schema).parquet(source), index, folder).awaitTermination()
+    assert tuple(stream_stats(spark, folder).first()) == (1, 0, 1, 0.0)
