@@ -45,6 +45,12 @@ class ClusterModel:
         return spark.createDataFrame(list(rows), "k int, weight double, mean array<double>, var array<double>")
 
 
+def tag_with_model(index: DataFrame, model: ClusterModel) -> DataFrame:
+    """Set ``dominant_cluster`` of a vector table from its own vectors: one pass, no join."""
+    columns = index.columns
+    return model.predict(index.drop("dominant_cluster")).select(*columns)
+
+
 def predict(vectors: DataFrame, model: ClusterModel | None) -> DataFrame:
     """Memberships of query vectors; an error without a model."""
     if model is None:

@@ -32,13 +32,17 @@ def dedup_keep_first(df: DataFrame, column: str = "text", order_by: Sequence[str
     return first_per_group(df, text_digest(F.col(column)), order_by)
 
 
-def duplicate_count(df: DataFrame, column: str | Column = "text") -> DataFrame:
-    """Rows minus distinct texts; grouping on a digest, so no text is shuffled."""
-    text = F.col(column) if isinstance(column, str) else column
-    return (
-        df.groupBy(text_digest(text).alias("_key"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
+def duplicate_counts(keys: DataFrame) -> DataFrame:
+    """``(exact_duplicates, body_duplicates)``: rows minus distinct texts, rows minus distinct bodies.
+
+    ``keys`` has ``text_key, body_key`` per post. A text has one body, so grouping by both and then
+    by the body gives both numbers from one scan; copies merge before each shuffle.
+    """
+    texts = keys.groupBy("text_key", "body_key").agg(F.count(F.lit(1)).alias("posts"))
+    bodies = texts.groupBy("body_key").agg(F.sum("posts").alias("posts"), F.count(F.lit(1)).alias("texts"))
+    return bodies.agg(
+        F.coalesce(F.sum(F.col("posts") - F.col("texts")), F.lit(0)).alias("exact_duplicates"),
+        F.coalesce(F.sum(F.col("posts") - 1), F.lit(0)).alias("body_duplicates"),
     )
 
 

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
 from corpusloom.functions.vectors import route
-from corpusloom.operators.tiles import TILE_ROWS, over_tiles, with_vectors
+from corpusloom.operators.tiles import over_tiles, with_vectors
 from corpusloom.session import ship
 
 THRESHOLD = 0.85
 SEARCH_DEPTH = 3
 FAR = np.iinfo(np.int16).max
+# A cache of default capacity is one tile.
+ENTRY_TILE_ROWS = 16384
 
 
 def route_ranks(routes: pa.Array, clusters: np.ndarray) -> np.ndarray:
@@ -129,7 +131,7 @@ def best_match(
     entries: DataFrame,
     earlier_only: bool = False,
     min_score: float = -1.0,
-    tile_rows: int = TILE_ROWS,
+    tile_rows: int = ENTRY_TILE_ROWS,
 ) -> DataFrame:
     """``(qid, entry_id, score)``: the most similar entry in each query's route.
 

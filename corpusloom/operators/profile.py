@@ -6,12 +6,11 @@ aggregate over those columns.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions import text as rules
+from corpusloom.operators.dedup import duplicate_counts
 from corpusloom.session import stage
 
 # The header keys that are counted.
@@ -164,33 +163,18 @@ def _as_rows(one_row: DataFrame) -> DataFrame:
     return one_row.select(F.inline(pairs))
 
 
-def distinct_counts(features: DataFrame, column: str, name: str) -> DataFrame:
-    """Rows minus distinct keys, as a ``(metric, value)`` row; copies merge before the shuffle."""
-    duplicates = (
-        features.groupBy(column)
-        .agg(F.count(F.lit(1)).alias("n"))
-        .agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias(name))
-    )
-    return _as_rows(duplicates)
-
-
 def profile_all(posts: DataFrame) -> DataFrame:
     """Every figure as ``(metric, value)`` rows.
 
     The texts are read once: their features go to a narrow staged table, whose columns then feed
-    one plain aggregate and two distinct counts.
+    one plain aggregate and the counts of duplicates.
     """
     features = stage(post_features(posts), "features")
     figures = {"documents": F.count(F.lit(1))}
     for make, _ in FIGURES.values():
         figures |= make()
     plain = features.agg(*[value.alias(name) for name, value in figures.items()])
-    parts = [
-        _as_rows(plain),
-        distinct_counts(features, "text_key", "exact_duplicates"),
-        distinct_counts(features, "body_key", "body_duplicates"),
-    ]
-    return reduce(DataFrame.unionByName, parts)
+    return _as_rows(plain).unionByName(_as_rows(duplicate_counts(features)))
 
 
 def docs_per_category(docs: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, ordered_dots, to_matrix
-from corpusloom.operators.lookup import FAR, THRESHOLD, best_match, drop_answered, route_ranks
+from corpusloom.operators.lookup import ENTRY_TILE_ROWS, FAR, THRESHOLD, best_match, drop_answered, route_ranks
 from corpusloom.operators.tiles import tiles
 from corpusloom.session import drop_path, stage, stage_path
 
@@ -73,7 +73,8 @@ def replay_log(
         return left
 
     if entries is not None:
-        for tile in tiles(entries.select("entry_id", "embedding", "dominant_cluster"), "entry_id"):
+        before = entries.select("entry_id", "embedding", "dominant_cluster")
+        for tile in tiles(before, "entry_id", ENTRY_TILE_ROWS):
             undecided = keep_unanswered(undecided, tile)
     admitted_path = stage_path(spark, "admitted")
     log_rows.limit(0).withColumn("entry_id", F.col("qid")).select(*ADMITTED_COLUMNS).write.parquet(admitted_path)

@@ -361,8 +361,8 @@ ORACLE_SQL: dict[str, str] = {
     "load_totals": "select count(*) as documents, count(distinct source) as categories from documents",
     "first_document": "select source as category, doc_id::varchar as filename, substr(text, 1, 500) as sample "
     "from documents order by 1, 2 limit 1",
-    "duplicate_counts": f"with {MIXED} select 'exact' as kind, count(*) - count(distinct text) as duplicates from mixed "
-    f"union all select 'body', count(*) - count(distinct {body('text')}) from mixed",
+    "duplicate_counts": f"with {MIXED} select count(*) - count(distinct text) as exact_duplicates, "
+    f"count(*) - count(distinct {body('text')}) as body_duplicates from mixed",
     **{f"profile_{part}": profile_sql(part) for part in PROFILE},
     "profile_pages": f"with pages_text as (select html as text from pages), {FEATURES % 'pages_text'} "
     + "select "
@@ -388,6 +388,7 @@ ORACLE_SQL: dict[str, str] = {
     "len(embedding)::integer as dimension from documents join embeddings on vec_id = doc_id",
     "tag_clusters": f"with {ASSIGNED} select doc_id, substr(text, 1, 500) as snippet, best as dominant_cluster "
     "from documents left join probs_best on id = doc_id",
+    "tag_index": f"with {ASSIGNED} select doc_id, category, best as dominant_cluster from vectors join probs_best on id = doc_id",
     "dominant_cluster": f"with {ASSIGNED} select id as doc_id, best as dominant_cluster, round(top, 6) as dominant_prob from probs_best",
     "confidence_bands": f"with {ASSIGNED} select count(*) as n_documents, "
     + ", ".join(
@@ -428,8 +429,9 @@ select 'label' as labelling, round(avg(case when a is null then 0 else (b - a) /
     "cache_admit": f"with {ASSIGNED_LOG} select best as dominant_cluster, count(*) as entries, min(id) as first_entry, "
     "max(id) as last_entry from probs_best group by best",
     "cache_lru": f"with {CACHE}, touched as (select h.entry_id, max(l.ts + interval 1 day) as ts from hits h join log l on l.id = h.id group by all) "
-    "select e.entry_id, e.query, epoch_us(greatest(e.ts, coalesce(t.ts, e.ts))) as last_accessed_us from entries e "
-    f"left join touched t on t.entry_id = e.entry_id order by last_accessed_us desc, e.entry_id desc limit {LRU_ENTRIES}",
+    "select e.entry_id, e.query, strftime(greatest(e.ts, coalesce(t.ts, e.ts)), '%Y-%m-%d %H:%M:%S.%f') as last_accessed "
+    "from entries e left join touched t on t.entry_id = e.entry_id "
+    f"order by greatest(e.ts, coalesce(t.ts, e.ts)) desc, e.entry_id desc limit {LRU_ENTRIES}",
     "cache_sweep": f"with {NEIGHBOURS}, entries as (select vec_id as entry_id, v from queries3 order by vec_id desc limit 10000), "
     "probes as (select 'paraphrase' as kind, vec_id, p as v from queries3 union all select 'unrelated', vec_id, u from queries3), "
     "best as (select kind, probes.vec_id, max(list_inner_product(probes.v, entries.v)) as score from probes, entries group by all) "

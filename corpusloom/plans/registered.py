@@ -16,9 +16,9 @@ from corpusloom.functions.text import (
     clean_text,
     normalize_whitespace,
     remove_non_ascii,
-    strip_headers,
 )
 from corpusloom.functions.vectors import dot, l2_normalize, probability_map
+from corpusloom.operators import dedup
 from corpusloom.operators import profile as figures
 from corpusloom.operators.clusters import (
     ClusterModel,
@@ -26,9 +26,10 @@ from corpusloom.operators.clusters import (
     load_model,
     predict,
     save_model,
+    tag_with_model,
     train,
 )
-from corpusloom.operators.dedup import dedup_keep_first, duplicate_count, removed_per_step
+from corpusloom.operators.dedup import dedup_keep_first, removed_per_step
 from corpusloom.operators.embed import embed_documents
 from corpusloom.operators.lookup import lookup, with_route
 from corpusloom.operators.mixture import mixture_from_labels, mixture_step, one_pass
@@ -176,10 +177,7 @@ def first_document(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def duplicate_counts(spark: SparkSession, sf: str) -> DataFrame:
-    posts = _mixed_posts(spark, sf)
-    exact = duplicate_count(posts).select(F.lit("exact").alias("kind"), "duplicates")
-    body = duplicate_count(posts, strip_headers(F.col("text"))).select(F.lit("body").alias("kind"), "duplicates")
-    return exact.unionByName(body)
+    return dedup.duplicate_counts(figures.post_features(_mixed_posts(spark, sf), "text_key", "body_key"))
 
 
 def _profile_part(part: str) -> Callable[[SparkSession, str], DataFrame]:
@@ -355,6 +353,13 @@ def tag_clusters_query(spark: SparkSession, sf: str) -> DataFrame:
     return tag_clusters(index, _assigned(spark, sf)).select("doc_id", "snippet", "dominant_cluster")
 
 
+def tag_index(spark: SparkSession, sf: str) -> DataFrame:
+    """The vector table tagged in place by the model."""
+    vectors = _vectors(spark, sf)
+    tagged = tag_with_model(_label_index(vectors).withColumn("dominant_cluster", F.lit(None).cast("int")), _label_model(vectors))
+    return tagged.select("doc_id", "category", "dominant_cluster")
+
+
 def _points(vectors: DataFrame) -> DataFrame:
     return vectors.select("doc_id", F.col("embedding").alias("features"), "label")
 
@@ -553,7 +558,8 @@ def cache_lru(spark: SparkSession, sf: str) -> DataFrame:
     entries, probes = _cached_originals(log), _probes(log)
     hits = lookup(probes, entries).filter("cache_hit").join(probes.select("qid", "ts"), "qid")
     later = hits.withColumn("ts", F.col("ts") + F.expr("INTERVAL 1 DAY"))
-    return retain(touch(entries, later), LRU_ENTRIES).select("entry_id", "query", F.unix_micros("last_accessed").alias("last_accessed_us"))
+    kept = retain(touch(entries, later), LRU_ENTRIES)
+    return kept.select("entry_id", "query", F.date_format("last_accessed", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("last_accessed"))
 
 
 def cache_sweep(spark: SparkSession, sf: str) -> DataFrame:
@@ -652,6 +658,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "smoke_search": smoke_search,
     "saved_index": saved_index,
     "tag_clusters": tag_clusters_query,
+    "tag_index": tag_index,
     "dominant_cluster": dominant_cluster,
     "confidence_bands": confidence_bands_query,
     "cluster_composition": cluster_composition_query,

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import profile
-from corpusloom.operators.dedup import dedup_keep_first, duplicate_count, removed_per_step, surviving_posts
+from corpusloom.operators.dedup import dedup_keep_first, duplicate_counts, removed_per_step, surviving_posts
 from corpusloom.plans.clean_job import clean_corpus, corpus_summary, run_clean_job
 from corpusloom.sources.posts import load_posts, save_raw
 
@@ -81,8 +81,9 @@ def test_keep_first_limits_before_the_shuffle(spark):
 def test_dedup_and_duplicate_count(spark):
     df = posts(spark, make_rows())
     assert sorted(r.filename for r in dedup_keep_first(df).filter("category < 'c'").collect()) == ["1", "9"]
-    assert duplicate_count(df).first()[0] == 1
-    assert duplicate_count(posts(spark, [])).first()[0] == 0
+    keys = lambda rows: profile.post_features(posts(spark, rows), "text_key", "body_key")
+    assert tuple(duplicate_counts(keys(make_rows())).first()) == (1, 2)
+    assert tuple(duplicate_counts(keys([])).first()) == (0, 0)
 
 
 def test_empty_table(spark):
