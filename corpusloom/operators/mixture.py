@@ -164,15 +164,48 @@ def _spread_seeds(sample: np.ndarray, k: int, rng: np.random.Generator) -> Cente
 
 @dataclass(frozen=True)
 class Fit:
-    """The best start of one component count."""
+    """A mixture after its last round, with the log-likelihood that round started from."""
 
-    k: int
     mixture: Mixture
     log_likelihood: float
     n: int
     rounds: int
     converged: bool
 
+    @property
+    def k(self) -> int:
+        return self.mixture.k
+
+
+def expectation_maximization(
+    points: DataFrame,
+    starts: dict[int, Mixture],
+    max_iter: int = 300,
+    tol: float = 1e-3,
+    tasks: int | None = None,
+    on_round: Callable[[dict[int, float]], None] | None = None,
+) -> dict[int, Fit]:
+    """Improve every mixture until its mean log-likelihood gains less than ``tol``.
+
+    All of them share the pass of a round; finished ones leave it.
+    """
+    fits: dict[int, Fit] = {}
+    active, last = dict(starts), dict.fromkeys(starts, -np.inf)
+    for round_ in range(1, max_iter + 1):
+        statistics = one_pass(points, active, tasks)
+        mean_fit = {i: s.log_likelihood / s.n for i, s in statistics.items()}
+        if on_round:
+            on_round(mean_fit)
+        for i, s in statistics.items():
+            done = abs(mean_fit[i] - last[i]) < tol
+            if done or round_ == max_iter:
+                fits[i] = Fit(s.mixture(), s.log_likelihood, s.n, round_, done)
+        active = {i: s.mixture() for i, s in statistics.items() if i not in fits}
+        last = mean_fit
+        if not active:
+            break
+    return fits
+
 
 def fit_mixtures(
     points: DataFrame,
@@ -209,23 +242,9 @@ def fit_mixtures(
         if not active:
             break
     statistics = one_pass(points, settled | active, tasks)
-    active = {i: s.mixture() for i, s in sorted(statistics.items())}
+    starts = {i: s.mixture() for i, s in sorted(statistics.items())}
 
-    fits: dict[int, Fit] = {}
-    last = dict.fromkeys(active, -np.inf)
-    for round_ in range(1, max_iter + 1):
-        statistics = one_pass(points, active, tasks)
-        mean_fit = {i: s.log_likelihood / s.n for i, s in statistics.items()}
-        if on_round:
-            on_round(mean_fit)
-        for i, s in statistics.items():
-            done = abs(mean_fit[i] - last[i]) < tol
-            if done or round_ == max_iter:
-                fits[i] = Fit(jobs[i][0], s.mixture(), s.log_likelihood, s.n, round_, done)
-        active = {i: s.mixture() for i, s in statistics.items() if i not in fits}
-        last = mean_fit
-        if not active:
-            break
+    fits = expectation_maximization(points, starts, max_iter, tol, tasks, on_round)
     best: dict[int, Fit] = {}
     for i, (k, _) in enumerate(jobs):
         # Starts that end in the same optimum differ by rounding only: the first of them is kept.

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from corpusloom.functions.text import ASCII_BLANKS_IN_LINE, BLANKS, BLANKS_IN_LINE, WORD
 from corpusloom.operators.profile import HEADER_KEYS
 from corpusloom.operators.sweep import THRESHOLDS
-from corpusloom.plans.registered import EMBED_DIMENSION, LRU_ENTRIES, POST_TEXT, SMOKE_QUERIES
+from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, LRU_ENTRIES, POST_TEXT, SMOKE_QUERIES
 
 NL = "chr(10)"
 ASCII_BLANK_CHARS = "||".join(f"chr({c})" for c in [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
@@ -328,6 +328,23 @@ SWEEP_ROWS = " union all ".join(
 STEP = """updated as (select k, d, sum(p) as n, sum(p * x) / sum(p) as mean, sum(p * x * x) / sum(p) as square
   from probs join probs_x using (id) group by k, d)"""
 
+
+
+def rounds(n: int) -> str:
+    """CTEs that end in ``p<n>(k, d, mu, var)`` and ``w<n>(k, w)`` after ``n`` rounds from the labels."""
+    steps = ["p0 as (select * from parameters), w0 as (select * from weights)"]
+    for i in range(n):
+        steps.append(f"""j{i} as (select e.doc_id as id, k, ln(any_value(w)) + sum(-0.5 * (ln(2 * pi() * var) + (x - mu) * (x - mu) / var)) as l
+    from elements e join p{i} using (d) join w{i} using (k) group by e.doc_id, k),
+  s{i} as (select id, k, exp(l - max(l) over (partition by id)) as e from j{i}),
+  r{i} as materialized (select id, k, e / sum(e) over (partition by id) as p from s{i}),
+  w{i + 1} as materialized (select k, sum(p) / (select count(*) from vectors) as w from r{i} group by k),
+  p{i + 1} as materialized (select k, d, sum(p * x) / sum(p) as mu,
+    sum(p * x * x) / sum(p) - (sum(p * x) / sum(p)) * (sum(p * x) / sum(p)) + 1e-6 as var
+    from r{i} join elements e on e.doc_id = id group by k, d)""")
+    return ",\n  ".join(steps)
+
+
 ORACLE_SQL: dict[str, str] = {
     "clean_posts": f"with {POSTS} select doc_id, {cleaned('text')} as cleaned_text from posts",
     "clean_pages": f"select page_id, {cleaned('html')} as cleaned_text from pages",
@@ -408,6 +425,9 @@ ORACLE_SQL: dict[str, str] = {
     "saved_reports": composition(10, 5, "category||':'||n", ","),
     "gmm_one_step": f"with {ASSIGNED}, {STEP} select k, (d - 1)::integer as d, round(n / (select count(*) from vectors), 6) as weight, "
     "round(mean, 6) as mean, round(square - mean * mean + 1e-6, 6) as var from updated",
+    "gmm_rounds": f"with {VECTORS}, {ELEMENTS}, {PARAMETERS}, {rounds(GMM_ROUNDS)} "
+    f"select k, (d - 1)::integer as d, round(w, 6) as weight, round(mu, 6) as mean, round(var, 6) as var "
+    f"from p{GMM_ROUNDS} join w{GMM_ROUNDS} using (k)",
     "bic_aic": f"with {ASSIGNED}, fit as (select count(*) as n, sum(lse) as ll from probs where place = 1), "
     "size as (select count(distinct k)::integer as k, count(*) as cells from parameters), "
     "total as (select n, ll, k, 2 * cells + k - 1 as free from fit, size) "

@@ -32,7 +32,7 @@ from corpusloom.operators.clusters import (
 from corpusloom.operators.dedup import dedup_keep_first, removed_per_step
 from corpusloom.operators.embed import embed_documents
 from corpusloom.operators.lookup import lookup, with_route
-from corpusloom.operators.mixture import mixture_from_labels, mixture_step, one_pass
+from corpusloom.operators.mixture import Mixture, expectation_maximization, mixture_from_labels, mixture_step, one_pass
 from corpusloom.operators.project import explained_variance, fit_projection, project
 from corpusloom.operators.replay import replay_log
 from corpusloom.operators.report import (
@@ -72,6 +72,7 @@ SMOKE_QUERIES = [
 ]
 
 LRU_ENTRIES = 300
+GMM_ROUNDS = 5
 EMBED_DIMENSION = 384
 
 
@@ -366,7 +367,17 @@ def _points(vectors: DataFrame) -> DataFrame:
 
 def gmm_one_step(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
-    mixture, _ = mixture_step(_points(vectors), mixture_from_labels(vectors))
+    return _parameter_rows(spark, mixture_step(_points(vectors), mixture_from_labels(vectors))[0])
+
+
+def gmm_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """Several rounds of fitting from the labels; the same rounds as a fit from random starts."""
+    vectors = _vectors(spark, sf)
+    fits = expectation_maximization(_points(vectors), {0: mixture_from_labels(vectors)}, max_iter=GMM_ROUNDS, tol=0.0)
+    return _parameter_rows(spark, fits[0].mixture)
+
+
+def _parameter_rows(spark: SparkSession, mixture: Mixture) -> DataFrame:
     rows = ClusterModel(mixture).parameters(spark)
     elements = rows.select("k", "weight", F.posexplode(F.arrays_zip("mean", "var")).alias("d", "e"))
     return elements.select(
@@ -666,6 +677,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "prob_map_top5": prob_map_top5,
     "membership_check": membership_check_query,
     "gmm_one_step": gmm_one_step,
+    "gmm_rounds": gmm_rounds,
     "bic_aic": bic_aic,
     "silhouette_exact": silhouette_exact,
     "pca_variance": pca_variance,
