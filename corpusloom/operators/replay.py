@@ -9,12 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.functions.blocks import SCORE_MARGIN, ordered_dots, to_matrix
+from corpusloom.functions.blocks import SCORE_MARGIN, ordered_dots, row_blocks, to_matrix
 from corpusloom.operators.lookup import ENTRY_TILE_ROWS, FAR, THRESHOLD, best_match, drop_answered, route_ranks
 from corpusloom.operators.tiles import tiles
 from corpusloom.session import drop_path, stage, stage_path
 
-PREFIX_ROWS = 2048
+PREFIX_ROWS = 8192
 ADMITTED_COLUMNS = ["qid", "entry_id", "embedding", "dominant_cluster"]
 
 
@@ -31,14 +31,14 @@ def _first_admitted(prefix: pa.Table, threshold: float) -> np.ndarray:
     vectors = to_matrix(prefix["embedding"])
     clusters, code = np.unique(prefix["dominant_cluster"].to_numpy(), return_inverse=True)
     ranks = route_ranks(prefix["route"].combine_chunks(), clusters)
-    similar = vectors @ vectors.T
-    close = np.abs(similar - threshold) <= SCORE_MARGIN
-    rows, cols = np.nonzero(close)
-    similar[rows, cols] = ordered_dots(vectors, vectors, rows, cols)
-    answers = (similar >= threshold) & (ranks[:, code] < FAR)
     admitted = np.zeros(len(vectors), dtype=bool)
-    for i in range(len(vectors)):
-        admitted[i] = not (answers[i, :i] & admitted[:i]).any()
+    for part in row_blocks(len(vectors), len(vectors)):
+        similar = vectors[part] @ vectors[: part.stop].T
+        rows, cols = np.nonzero(np.abs(similar - threshold) <= SCORE_MARGIN)
+        similar[rows, cols] = ordered_dots(vectors[part], vectors, rows, cols)
+        answers = (similar >= threshold) & (ranks[part][:, code[: part.stop]] < FAR)
+        for i in range(part.start, part.stop):
+            admitted[i] = not (answers[i - part.start, :i] & admitted[:i]).any()
     return admitted
 
 

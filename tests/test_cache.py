@@ -189,7 +189,7 @@ def chained_log(seed, n, d=4, hot=0):
 
 
 @pytest.mark.parametrize("routed", [False, True])
-@pytest.mark.parametrize("prefix_rows", [2048, 11])
+@pytest.mark.parametrize("prefix_rows", [8192, 11])
 def test_replay_equals_the_loop(spark, routed, prefix_rows):
     log = chained_log(5, 300, hot=3)
     probs = np.random.default_rng(6).dirichlet(np.ones(5), 300).tolist() if routed else None
