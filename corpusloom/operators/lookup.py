@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -39,6 +40,13 @@ def route_ranks(routes: pa.Array, clusters: np.ndarray) -> np.ndarray:
     return ranks
 
 
+def last_uses(rows: pa.Table) -> np.ndarray:
+    """The last query that can still find each entry, from the column ``until``; infinite without one."""
+    if "until" not in rows.column_names:
+        return np.full(rows.num_rows, np.inf)
+    return pc.fill_null(rows["until"].cast(pa.float64()), np.inf).to_numpy()
+
+
 class _Entries:
     """A tile of cache entries filed by cluster, ready to be compared with batches of queries.
 
@@ -47,11 +55,11 @@ class _Entries:
 
     def __init__(self, tile: pa.Table):
         vectors, cluster = to_matrix(tile["embedding"]), tile["dominant_cluster"].to_numpy()
-        ids = to_keys(tile["entry_id"].combine_chunks())
+        ids, until = to_keys(tile["entry_id"].combine_chunks()), last_uses(tile)
         order = np.lexsort((ids, cluster))
-        firsts = np.unique(np.column_stack([cluster, vectors])[order], axis=0, return_index=True)[1]
+        firsts = np.unique(np.column_stack([cluster, until, vectors])[order], axis=0, return_index=True)[1]
         order = order[np.sort(firsts)]
-        self.vectors, self.ids = vectors[order], ids[order]
+        self.vectors, self.ids, self.until = vectors[order], ids[order], until[order]
         self.clusters, self.starts = np.unique(cluster[order], return_index=True)
         self.parts = [slice(a, b) for a, b in zip(self.starts, [*self.starts[1:], len(order)])]
 
@@ -70,7 +78,8 @@ class _Entries:
                 rows = routed[part]
                 scores = vectors[rows] @ self.vectors[entries].T
                 if earlier_only:
-                    scores[self.ids[entries][None, :] >= qids[rows][:, None]] = -np.inf
+                    asked = qids[rows][:, None]
+                    scores[(self.ids[entries][None, :] >= asked) | (self.until[entries][None, :] < asked)] = -np.inf
                 floor[rows] = np.maximum(floor[rows], scores.max(axis=1))
                 near, entry = np.nonzero(scores >= floor[rows][:, None] - SCORE_MARGIN)
                 found.append(np.stack([rows[near], entry + entries.start]))
@@ -137,14 +146,15 @@ def best_match(
 
     ``queries`` has ``qid, embedding, route`` (null route: every cluster), ``entries`` has
     ``entry_id, embedding, dominant_cluster``. Equal scores go to the cluster routed first, then to
-    the earlier entry. ``earlier_only`` limits a query to entries whose id lies below its own.
+    the earlier entry. ``earlier_only`` limits a query to entries whose id lies below its own and,
+    if there is a column ``until``, whose last use does not.
     Queries without a routed entry at or above ``min_score``, or without a vector, have no row.
     """
     types = dict(queries.dtypes)["qid"], dict(entries.dtypes)["entry_id"]
     schema = f"qid {types[0]}, entry_id {types[1]}, score double, route_rank int"
     matches, several = over_tiles(
         queries.select("qid", "embedding", "route"),
-        entries.select("entry_id", "embedding", "dominant_cluster"),
+        entries.select(*[c for c in ("entry_id", "embedding", "dominant_cluster", "until") if c in entries.columns]),
         "entry_id",
         _match(earlier_only, min_score),
         schema,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import OrderedDict
 from dataclasses import dataclass
 
 import numpy as np
@@ -10,20 +11,28 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, ordered_dots, row_blocks, to_matrix
-from corpusloom.operators.lookup import ENTRY_TILE_ROWS, FAR, THRESHOLD, best_match, drop_answered, route_ranks
+from corpusloom.operators.lookup import ENTRY_TILE_ROWS, FAR, THRESHOLD, best_match, drop_answered, last_uses, route_ranks
 from corpusloom.operators.tiles import tiles
 from corpusloom.session import drop_path, stage, stage_path
 
 PREFIX_ROWS = 8192
-ADMITTED_COLUMNS = ["qid", "entry_id", "embedding", "dominant_cluster"]
+ADMITTED_COLUMNS = ["qid", "entry_id", "embedding", "dominant_cluster", "until"]
 
 
 @dataclass(frozen=True)
 class Replay:
-    """``admitted(qid)``: the misses, which became entries; ``hits(qid, entry_id, score)``: the rest."""
+    """``admitted(qid)``: the misses, which became entries; ``hits(qid, entry_id, score)``: the rest.
+
+    ``evicted(entry_id, until)``, if anything was: the entries that left, and the miss that pushed each out.
+    """
 
     admitted: DataFrame
     hits: DataFrame
+    evicted: DataFrame | None = None
+
+
+def _with_until(rows: DataFrame) -> DataFrame:
+    return rows if "until" in rows.columns else rows.withColumn("until", F.lit(None).cast("bigint"))
 
 
 def _first_admitted(prefix: pa.Table, threshold: float) -> np.ndarray:
@@ -31,12 +40,14 @@ def _first_admitted(prefix: pa.Table, threshold: float) -> np.ndarray:
     vectors = to_matrix(prefix["embedding"])
     clusters, code = np.unique(prefix["dominant_cluster"].to_numpy(), return_inverse=True)
     ranks = route_ranks(prefix["route"].combine_chunks(), clusters)
+    qids, until = prefix["qid"].to_numpy(), last_uses(prefix)
     admitted = np.zeros(len(vectors), dtype=bool)
     for part in row_blocks(len(vectors), len(vectors)):
         similar = vectors[part] @ vectors[: part.stop].T
         rows, cols = np.nonzero(np.abs(similar - threshold) <= SCORE_MARGIN)
         similar[rows, cols] = ordered_dots(vectors[part], vectors, rows, cols)
         answers = (similar >= threshold) & (ranks[part][:, code[: part.stop]] < FAR)
+        answers &= until[: part.stop] >= qids[part, None]
         for i in range(part.start, part.stop):
             admitted[i] = not (answers[i - part.start, :i] & admitted[:i]).any()
     return admitted
@@ -51,7 +62,8 @@ def replay_log(
     """Hits and misses as if the queries came one by one, each miss becoming an entry at once.
 
     ``log`` has ``qid`` (its order), ``embedding, route, dominant_cluster``; ``entries``, if given,
-    is the cache before the log, with ids below those of the log. Nothing is evicted on the way.
+    is the cache before the log, with ids below those of the log. Nothing is evicted on the way,
+    but entries and queries may have a column ``until``: the last query that can find the entry.
 
     A query is decided by the admitted ones before it. So the first few undecided queries can be
     settled among themselves (a bounded stretch, on the driver), and one pass over the rest drops
@@ -60,7 +72,7 @@ def replay_log(
     No pairs are kept. At the end each query takes its best match among all earlier entries.
     """
     spark = log.sparkSession
-    log_rows = stage(log.select("qid", "embedding", "route", "dominant_cluster"), "log")
+    log_rows = stage(_with_until(log).select("qid", "embedding", "route", "dominant_cluster", "until"), "log")
     undecided = log_rows = log_rows.filter(F.col("embedding").isNotNull())
     old: list[str] = []
 
@@ -73,7 +85,7 @@ def replay_log(
         return left
 
     if entries is not None:
-        before = entries.select("entry_id", "embedding", "dominant_cluster")
+        before = _with_until(entries).select("entry_id", "embedding", "dominant_cluster", "until")
         for tile in tiles(before, "entry_id", ENTRY_TILE_ROWS):
             undecided = keep_unanswered(undecided, tile)
     admitted_path = stage_path(spark, "admitted")
@@ -92,8 +104,59 @@ def replay_log(
     for path in old:
         drop_path(spark, path)
     admitted = spark.read.parquet(admitted_path)
-    candidates = admitted.select("entry_id", "embedding", "dominant_cluster")
+    candidates = admitted.select("entry_id", "embedding", "dominant_cluster", "until")
     if entries is not None:
-        candidates = candidates.unionByName(entries.select("entry_id", "embedding", "dominant_cluster"))
+        candidates = candidates.unionByName(before)
     hits = best_match(log_rows, candidates, earlier_only=True, min_score=threshold)
     return Replay(admitted.select("qid"), hits)
+
+
+def replay_with_eviction(
+    log: DataFrame, entries: DataFrame, max_entries: int, threshold: float = THRESHOLD, prefix_rows: int = PREFIX_ROWS
+) -> Replay:
+    """A replay in which a miss at full capacity first pushes out the entry that was used longest ago.
+
+    Hits and misses give the order of use, and so which entry leaves when; that in turn limits who
+    can find it. Starting without evictions, both are worked out in turn until they agree. Every
+    turn is right at least up to the first eviction it gets wrong, so the agreement is the result of
+    asking one query at a time. A log that fits into the cache needs one turn.
+
+    ``entries`` also has ``last_accessed``. The driver sees the ids of the log, so it should be a
+    piece of bounded length.
+    """
+    spark = log.sparkSession
+    before = entries.select("entry_id", "last_accessed").orderBy("last_accessed", "entry_id").toArrow()
+    held = before["entry_id"].to_pylist()
+    leaving: dict[int, int] = {}
+    while True:
+        evicted = spark.createDataFrame(list(leaving.items()), "entry_id bigint, until bigint")
+        asked = log.join(evicted.withColumnRenamed("entry_id", "qid"), "qid", "left") if leaving else log
+        known = entries.join(evicted, "entry_id", "left") if leaving else entries
+        replayed = replay_log(asked, known, threshold, prefix_rows)
+        misses = replayed.admitted.toArrow()["qid"].to_numpy()
+        if len(held) + len(misses) <= max_entries:
+            return replayed
+        hits = stage(replayed.hits, "hits")
+        found = hits.select("qid", "entry_id").toArrow()
+        now = _evictions(held, misses, found["qid"].to_numpy(), found["entry_id"].to_numpy(), max_entries)
+        if now == leaving:
+            return Replay(replayed.admitted, hits, evicted)
+        leaving = now
+
+
+def _evictions(
+    held: list[int], misses: np.ndarray, hits: np.ndarray, used: np.ndarray, max_entries: int
+) -> dict[int, int]:
+    """Which entry leaves at which miss, given the entries held from the longest unused on."""
+    qids = np.concatenate([misses, hits])
+    entry = np.concatenate([misses, used])
+    order = np.argsort(qids)
+    in_use, leaving = OrderedDict.fromkeys(held), {}
+    for qid, target in zip(qids[order].tolist(), entry[order].tolist()):
+        if target == qid:
+            if len(in_use) >= max_entries:
+                leaving[in_use.popitem(last=False)[0]] = qid
+            in_use[qid] = None
+        elif target in in_use:
+            in_use.move_to_end(target)
+    return leaving

@@ -11,7 +11,7 @@ from collections.abc import Callable
 from corpusloom.functions.text import ASCII_BLANKS_IN_LINE, BLANKS, BLANKS_IN_LINE, WORD
 from corpusloom.operators.profile import HEADER_KEYS
 from corpusloom.operators.sweep import THRESHOLDS
-from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, LRU_ENTRIES, POST_TEXT, SMOKE_QUERIES
+from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, LRU_ENTRIES, POST_TEXT, SMALL_CACHE, SMOKE_QUERIES
 
 NL = "chr(10)"
 ASCII_BLANK_CHARS = "||".join(f"chr({c})" for c in [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
@@ -269,13 +269,17 @@ LOOKUP = """found as (select l.id, entry_id, query, best, e.ts as entry_ts, list
 CACHE = f"{ASSIGNED_LOG}, {ENTRIES}, {LOOKUP}"
 
 
-def replayed(pairs: str) -> str:
-    """CTEs that end in ``hits(id, entry_id, score)`` for ``seq(id, i)`` numbering the log from 0."""
+def replayed(pairs: str, capacity: int = 10000) -> str:
+    """CTEs that end in ``hits(id, entry_id, score)`` for ``seq(id, i)`` numbering the log from 0.
+
+    ``held`` lists the entries from the longest unused to the last used.
+    """
     return f"""s as materialized (select qi.i as q, pi.i as p, sc, place from ({pairs}) join seq qi on qi.id = qid join seq pi on pi.id = pid),
-  r as (select -1::bigint as q, []::bigint[] as admitted, null::bigint as m
+  r as (select -1::bigint as q, []::bigint[] as held, null::bigint as m
     union all
-    select r.q + 1, case when x.p is null then list_append(r.admitted, r.q + 1) else r.admitted end, x.p
-    from r left join lateral (select p from s where s.q = r.q + 1 and list_contains(r.admitted, s.p)
+    select r.q + 1, case when x.p is not null then list_append(list_filter(r.held, lambda e: e <> x.p), x.p)
+      when len(r.held) >= {capacity} then list_append(r.held[2:], r.q + 1) else list_append(r.held, r.q + 1) end, x.p
+    from r left join lateral (select p from s where s.q = r.q + 1 and list_contains(r.held, s.p)
       order by sc desc, place, p limit 1) x on true
     where r.q < (select max(i) from seq)),
   hits as (select sq.id, sp.id as entry_id, s.sc as score from r join s on s.q = r.q and s.p = r.m
@@ -287,6 +291,7 @@ ROUTED_PAIRS = """select a.id as qid, b.id as pid, list_inner_product(a.v, b.v)
     join routes r on r.id = a.id join probs_best e on e.best = r.k join log b on b.id = e.id
     where b.id < a.id and sc >= 0.85"""
 REPLAY = f"{ASSIGNED_LOG}, {SEQUENCE}, {replayed(ROUTED_PAIRS)}"
+SMALL_REPLAY = f"{ASSIGNED_LOG}, {SEQUENCE}, {replayed(ROUTED_PAIRS, SMALL_CACHE)}"
 
 
 def result_lists(source: str) -> str:
@@ -458,6 +463,8 @@ select 'label' as labelling, round(avg(case when a is null then 0 else (b - a) /
     + SWEEP_ROWS,
     "cache_replay": f"with recursive {REPLAY} select l.id as qid, h.entry_id is not null as cache_hit, h.entry_id, "
     "round(h.score, 6) as score from log l left join hits h on h.id = l.id",
+    "cache_evict": f"with recursive {SMALL_REPLAY} select l.id as qid, h.entry_id is not null as cache_hit, h.entry_id, "
+    "round(h.score, 6) as score from log l left join hits h on h.id = l.id",
     "answer_log": ANSWER_LOG,
     "answer_conversations": ANSWER_CONVERSATIONS,
     "cache_stream": ANSWER_LOG,

@@ -34,7 +34,7 @@ from corpusloom.operators.embed import embed_documents
 from corpusloom.operators.lookup import lookup, with_route
 from corpusloom.operators.mixture import Mixture, expectation_maximization, mixture_from_labels, mixture_step, one_pass
 from corpusloom.operators.project import explained_variance, fit_projection, project
-from corpusloom.operators.replay import replay_log
+from corpusloom.operators.replay import replay_log, replay_with_eviction
 from corpusloom.operators.report import (
     cluster_composition,
     confidence_bands,
@@ -73,6 +73,7 @@ SMOKE_QUERIES = [
 
 LRU_ENTRIES = 300
 GMM_ROUNDS = 5
+SMALL_CACHE = 50
 EMBED_DIMENSION = 384
 
 
@@ -600,6 +601,15 @@ def cache_replay(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def cache_evict(spark: SparkSession, sf: str) -> DataFrame:
+    """The replay with a cache so small that entries leave while the log runs."""
+    log = with_route(_assigned_log(spark, sf))
+    replayed = replay_with_eviction(log, empty_cache(spark), SMALL_CACHE)
+    return log.select("qid").join(replayed.hits, "qid", "left").select(
+        "qid", F.col("entry_id").isNotNull().alias("cache_hit"), "entry_id", *_round("score")
+    )
+
+
 def _flat_responses(responses: DataFrame) -> DataFrame:
     listed = F.transform("result", lambda e: F.concat(e["category"], F.lit(":"), F.format_string("%.4f", e["score"])))
     return responses.select(
@@ -693,6 +703,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "cache_lru": cache_lru,
     "cache_sweep": cache_sweep,
     "cache_replay": cache_replay,
+    "cache_evict": cache_evict,
     "answer_log": answer_log,
     "answer_conversations": answer_conversations,
     "cache_stream": cache_stream,

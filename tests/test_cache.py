@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.clusters import ClusterModel
 from corpusloom.operators.lookup import best_match, lookup, with_route
 from corpusloom.operators.mixture import Mixture
-from corpusloom.operators.replay import replay_log
+from corpusloom.operators.replay import replay_log, replay_with_eviction
 from corpusloom.operators.state import admit, cache_stats, empty_cache, retain, touch
 from corpusloom.operators.sweep import pair_similarity, threshold_sweep
 from corpusloom.plans.answer import answer_queries, split_empty
@@ -158,8 +158,9 @@ def test_sweep_and_pairs(spark):
 class PlainCache:
     """The cache in a loop: what a replay must equal."""
 
-    def __init__(self, threshold=0.85, depth=3):
-        self.threshold, self.depth, self.entries = threshold, depth, []
+    def __init__(self, threshold=0.85, depth=3, capacity=10000):
+        self.threshold, self.depth, self.capacity = threshold, depth, capacity
+        self.entries, self.used = [], {}
 
     def ask(self, qid, v, probs):
         if probs is None:
@@ -173,7 +174,12 @@ class PlainCache:
                 if c == cluster and (best is None or score > best[0]):
                     best = (score, entry)
         if best and best[0] >= self.threshold:
+            self.used[best[1]] = qid
             return best[1]
+        if len(self.entries) >= self.capacity:
+            oldest = min(self.entries, key=lambda entry: self.used[entry[0]])
+            self.entries.remove(oldest)
+        self.used[qid] = qid
         self.entries.append((qid, v, 0 if probs is None else int(np.argmax(probs))))
         return None
 
@@ -206,6 +212,22 @@ def test_replay_equals_the_loop(spark, routed, prefix_rows):
     assert {r.qid for r in replayed.admitted.collect()} == {i for i, m in expected.items() if m is None}
 
 
+@pytest.mark.parametrize("capacity, prefix_rows", [(5, 8192), (20, 8192), (20, 9), (1, 8192)])
+def test_eviction_equals_the_loop(spark, capacity, prefix_rows):
+    log = chained_log(21, 160, hot=6)
+    probs = np.random.default_rng(22).dirichlet(np.ones(4), 160).tolist()
+    cache = PlainCache(capacity=capacity)
+    expected = {i: cache.ask(i, v, probs[i]) for i, v in enumerate(log)}
+    rows = query_rows(spark, log, probs=probs).repartition(3).withColumn(
+        "dominant_cluster", F.expr("cast(array_position(cluster_probs, array_max(cluster_probs)) - 1 as int)")
+    )
+    replayed = replay_with_eviction(with_route(rows), empty_cache(spark), capacity, prefix_rows=prefix_rows)
+    hits = {r.qid: r.entry_id for r in replayed.hits.collect()}
+    assert {i: hits.get(i) for i in expected} == expected
+    gone = {r.entry_id for r in replayed.evicted.collect()} if replayed.evicted is not None else set()
+    assert {i for i, m in expected.items() if m is None} - gone == {entry[0] for entry in cache.entries}
+
+
 def index_table(spark, n=20, d=4):
     rng = np.random.default_rng(9)
     rows = [(i, f"c{i % 3}", f"f{i}", f"text {i}", unit(v).tolist()) for i, v in enumerate(rng.normal(size=(n, d)))]
@@ -249,9 +271,15 @@ def test_long_logs_go_in_pieces(spark):
     rows = lambda df: {r.qid: r for r in df.collect()}
     assert rows(pieces.responses) == rows(whole.responses)
     assert {r.entry_id for r in pieces.entries.collect()} == {r.entry_id for r in whole.entries.collect()}
-    # With room for one entry, only the most recent one outlives a piece.
-    small = answer_queries(query_rows(spark, [*np.eye(4), *np.eye(4)]).drop("result"), index, max_entries=1, batch_rows=4)
-    assert [r.cache_hit for r in small.responses.orderBy("qid").collect()] == [False] * 7 + [True]
+    # A full cache gives the same answers in one piece and in several.
+    for rows_per_piece in (1000, 40):
+        small = answer_queries(queries, index, model, max_entries=7, batch_rows=rows_per_piece)
+        cache = PlainCache(capacity=7)
+        probs = {r.qid: r.cluster_probs for r in model.predict(queries).collect()}
+        matches = {i: cache.ask(i, v, probs[i]) for i, v in enumerate(log)}
+        found = {r.qid: r.matched_query for r in small.responses.collect()}
+        assert found == {i: None if m is None else f"q{m}" for i, m in matches.items()}
+        assert {r.entry_id for r in small.entries.collect()} == {entry[0] for entry in cache.entries}
 
 
 def test_answers_without_model_and_eviction(spark):
@@ -263,8 +291,8 @@ def test_answers_without_model_and_eviction(spark):
 
 
 def test_hit_refreshes_the_entry(spark):
-    queries = query_rows(spark, [*np.eye(4), np.eye(4)[0]]).drop("result")
-    answers = answer_queries(queries, index_table(spark), max_entries=2)
+    e = np.eye(4)
+    answers = answer_queries(query_rows(spark, [e[0], e[1], e[0], e[2]]).drop("result"), index_table(spark), max_entries=2)
     assert {r.entry_id for r in answers.entries.collect()} == {0, 3}
 
 
