@@ -73,7 +73,7 @@ SMOKE_QUERIES = [
 
 LRU_ENTRIES = 300
 GMM_ROUNDS = 5
-SMALL_CACHE = 50
+SMALL_CACHE = 200
 EMBED_DIMENSION = 384
 
 

@@ -212,7 +212,7 @@ def test_replay_equals_the_loop(spark, routed, prefix_rows):
     assert {r.qid for r in replayed.admitted.collect()} == {i for i, m in expected.items() if m is None}
 
 
-@pytest.mark.parametrize("capacity, prefix_rows", [(5, 8192), (20, 8192), (20, 9), (1, 8192)])
+@pytest.mark.parametrize("capacity, prefix_rows", [(5, 8192), (20, 9), (1, 8192)])
 def test_eviction_equals_the_loop(spark, capacity, prefix_rows):
     log = chained_log(21, 160, hot=6)
     probs = np.random.default_rng(22).dirichlet(np.ones(4), 160).tolist()
