@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from corpusloom.functions.text import ASCII_BLANKS_IN_LINE, BLANKS, BLANKS_IN_LINE, WORD
+from corpusloom.functions.text import BLANKS, BLANKS_IN_LINE, WORD
 from corpusloom.operators.profile import HEADER_KEYS
 from corpusloom.operators.sweep import THRESHOLDS
 from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, LRU_ENTRIES, POST_TEXT, SMALL_CACHE, SMOKE_QUERIES

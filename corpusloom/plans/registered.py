@@ -17,7 +17,7 @@ from corpusloom.functions.text import (
     normalize_whitespace,
     remove_non_ascii,
 )
-from corpusloom.functions.vectors import dot, l2_normalize, probability_map
+from corpusloom.functions.vectors import l2_normalize, probability_map
 from corpusloom.operators import dedup
 from corpusloom.operators import profile as figures
 from corpusloom.operators.clusters import (
