@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 ROUNDS = 8
 #: Steps of cycle walking in the plan. A step leaves the range for less than one number in
 #: ``sqrt(n)``, so even ten in a row are out of reach; a number that needed more would fail the job.
-WALK_STEPS = 32
+WALK_STEPS = 12
 BUCKET_ROWS = 1 << 20
 LEAST_BUCKETS = 64
 
