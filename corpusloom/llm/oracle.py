@@ -47,4 +47,17 @@ select page_id, host, path, rule, case
 from ruled
 """
 
-ORACLE_SQL: dict[str, str] = {"op7_chat_format": CHAT, "op8_url_rules": URLS}
+TOP = """
+with v as (
+  select vec_id, list_transform(embedding, lambda x: cast(floor(1024 * cast(x as double)) as bigint)) as w from embeddings
+  where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), scored as (
+  select q.vec_id as query_id, c.vec_id, cast(list_sum(list_transform(list_zip(q.w, c.w), lambda p: p[1] * p[2])) as bigint) as score
+  from v q join v c on q.vec_id % 100 = 0 and c.vec_id <> q.vec_id
+), ranked as (
+  select *, row_number() over (partition by query_id order by score desc, vec_id) as r from scored
+)
+select query_id, cast(r as integer) as rank, vec_id, score from ranked where r <= 10
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_maxscore": TOP, "op7_chat_format": CHAT, "op8_url_rules": URLS}

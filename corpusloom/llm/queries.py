@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, chat, feistel, repair, url_rules
+from corpusloom.llm import byte_bpe, chat, feistel, maxscore, packing, quality, repair, simhash, url_rules
 from corpusloom.session import stage_path
 
 
@@ -27,6 +27,28 @@ def op2_repair_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.read_digests(spark, path)
 
 
+def op3_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    judged = quality.judge_documents(docs, quality.fit_quality(docs, table(spark, sf_dir, "labels")))
+    return judged.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
+def op4_maxscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxscore.search(table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0)
+
+
+def op5_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(packing.document_lengths(table(spark, sf_dir, "documents")))
+
+
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    digits = F.lower(F.lpad(F.hex("fingerprint"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = "</s>[INST] ok [/INST]"
     added = spark.range(1).select(
@@ -62,6 +84,10 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_repair_files": op2_repair_files,
+    "op3_quality_trees": op3_quality_trees,
+    "op4_maxscore": op4_maxscore,
+    "op5_best_fit": op5_best_fit,
+    "op6_simhash": op6_simhash,
     "op7_chat_format": op7_chat_format,
     "op8_url_rules": op8_url_rules,
     "op10_feistel_shards": op10_feistel_shards,
