@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, chat, feistel, maxscore, packing, quality, repair, simhash, url_rules
+from corpusloom.llm import byte_bpe, chat, feistel, maxscore, packing, quality, repair, simhash, suffixes, url_rules
 from corpusloom.session import stage_path
 
 
@@ -74,6 +74,10 @@ def op8_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", site.alias("rule"), "verdict")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digests(suffixes.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")))
+
+
 def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = feistel.shard_documents(table(spark, sf_dir, "documents"))
     return placed.select(
@@ -90,5 +94,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_simhash": op6_simhash,
     "op7_chat_format": op7_chat_format,
     "op8_url_rules": op8_url_rules,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_feistel_shards": op10_feistel_shards,
 }
