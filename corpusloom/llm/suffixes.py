@@ -17,7 +17,8 @@ Documents of equal text are settled by a digest: all but the smallest id lose al
 
 Defined results: a null text counts as empty; ids must be integers; rows with a null id neither lose bytes nor make
 others lose any; rows of equal ids don't count as smaller than each other; repeated rows are
-answered each; an empty table gives an empty result; other columns pass through.
+answered each; an empty table gives an empty result; other columns pass through, but for columns
+named like the result's own, which ``keep_texts`` alone preserves.
 """
 
 from __future__ import annotations
@@ -334,13 +335,27 @@ def removed_bytes(held: Documents, notes: pa.Table) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
-    """All columns of ``docs`` with ``n_bytes, n_removed, n_spans, kept`` (binary) of every row."""
+def whole_only(removed: np.ndarray, flat: np.ndarray) -> np.ndarray:
+    """The flags of bytes whose character is flagged in full."""
+    if not len(flat):
+        return removed
+    first = np.flatnonzero((flat & 0xC0) != 0x80)
+    first = first if len(first) and first[0] == 0 else np.append(0, first)
+    return np.repeat(np.logical_and.reduceat(removed, first), np.diff(np.append(first, len(flat))))
+
+
+def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame:
+    """All columns of ``docs`` with ``n_bytes, n_removed, n_spans, kept`` (binary) of every row.
+
+    ``whole_characters`` leaves the bytes of a character that other bytes of it keep from going.
+    """
     spark = docs.sparkSession
     ship(spark)
     n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
-    columns = docs.columns
-    # The result's own names are put aside, so columns of the same name pass through.
+    own = ["n_bytes", "n_removed", "n_spans", "kept"]
+    columns = [c for c in docs.columns if c not in own]
+    docs = docs.select(*columns)
+    # Names that the job uses itself may be the input's, too.
     aside = [f"in_{i}" if c not in ("doc_id", "text") else c for i, c in enumerate(columns)]
     named = docs.toDF(*aside)
     bucketed = named.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("bucket", bucket_column(F.col("doc_id"), n))
@@ -354,11 +369,12 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     hints = with_copies(shared_hashes(named, n, n))
     windows = with_copies(repeated_windows(shared_fragments(bucketed, hints, n), n))
     kinds = {f.name: f.dataType.simpleString() for f in named.schema}
-    own = ["n_bytes", "n_removed", "n_spans", "kept"]
 
     def run(rows: pa.Table, notes: pa.Table) -> pa.Table:
         held = Documents(rows, notes)
         removed = removed_bytes(held, notes)
+        if whole_characters:
+            removed = whole_only(removed, held.flat)
         total = np.concatenate([np.zeros(1, np.int64), np.cumsum(removed, dtype=np.int64)])
         opens = removed.copy()
         opens[1:] &= ~removed[:-1]
@@ -381,3 +397,10 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 def digests(found: DataFrame) -> DataFrame:
     """``doc_id`` and the counts with the digest of the bytes that are kept."""
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def keep_texts(docs: DataFrame) -> DataFrame:
+    """``docs`` with texts that lost their removed bytes; a character goes if all of its bytes do. Null stays null."""
+    aside = docs.toDF(*[c if c in ("doc_id", "text") else f"in_{i}" for i, c in enumerate(docs.columns)])
+    text = F.when(F.col("text").isNotNull(), F.decode("kept", "utf-8")).alias("text")
+    return remove_repeats(aside, whole_characters=True).select(*(text if c == "text" else c for c in aside.columns)).toDF(*docs.columns)
