@@ -27,8 +27,8 @@ from corpusloom.llm.batches import pieces, starts_of
 from corpusloom.llm.words import Kept, as_bytes, cut_after, letters_and_tail
 from corpusloom.session import ship
 
-#: Distinct words, and units of words, that a task keeps encoded; at the limit it starts anew.
-KEPT_WORDS = 500_000
+#: Distinct words that a task keeps encoded, and twice as many units of words.
+KEPT_WORDS = 350_000
 
 
 def byte_characters() -> list[str]:

@@ -16,17 +16,22 @@ def letters_and_tail(part: str) -> tuple[str, str] | None:
     Split patterns that take a run of letters, and a run of other visible characters, match both apart.
     """
     core = part.rstrip(TAIL)
-    if core.isalpha() and max(core) < "İ":
-        return core, part[len(core) :]
-    return None
+    if not core.isalpha():
+        return None
+    if not core.isascii():
+        try:
+            core.encode("latin-1")
+        except UnicodeEncodeError:
+            return None
+    return core, part[len(core) :]
 
 
 class Kept:
     """Ids of words, as little-endian unsigned 32-bit integers, made from the ids of their units.
 
     ``split`` gives the units of a word, which are encoded together, or None for a word that is encoded
-    alone. ``limit`` bounds the words and the units that are kept; at the limit they start anew, with
-    the ``fixed`` units.
+    alone. ``limit`` words and twice as many units are kept at most; at their limit they start anew,
+    with the ``fixed`` units.
     """
 
     def __init__(self, encode_alone, encode_units, split, limit: int, fixed: dict[str, bytes] | None = None):
@@ -44,7 +49,7 @@ class Kept:
         alone = [word for word, units in parts.items() if units is None]
         self.words.update(zip(alone, self.encode_alone(alone)))
         units = {unit for found in parts.values() if found for unit in found} - self.units.keys()
-        if len(self.units) + len(units) > self.limit:
+        if len(self.units) + len(units) > 2 * self.limit:
             self.units = dict(self.fixed)
             units = {unit for found in parts.values() if found for unit in found} - self.units.keys()
         listed = list(units)
