@@ -6,7 +6,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
 from corpusloom.functions.vectors import route
 from corpusloom.operators.tiles import over_tiles, with_vectors
-from corpusloom.session import ship
 
 THRESHOLD = 0.85
 SEARCH_DEPTH = 3
@@ -40,14 +38,7 @@ def route_ranks(routes: pa.Array, clusters: np.ndarray) -> np.ndarray:
     return ranks
 
 
-def last_uses(rows: pa.Table) -> np.ndarray:
-    """The last query that can still find each entry, from the column ``until``; infinite without one."""
-    if "until" not in rows.column_names:
-        return np.full(rows.num_rows, np.inf)
-    return pc.fill_null(rows["until"].cast(pa.float64()), np.inf).to_numpy()
-
-
-class _Entries:
+class Entries:
     """A tile of cache entries filed by cluster, ready to be compared with batches of queries.
 
     Of equal vectors in a cluster only the first entry can be a match, so the others are left out.
@@ -55,11 +46,11 @@ class _Entries:
 
     def __init__(self, tile: pa.Table):
         vectors, cluster = to_matrix(tile["embedding"]), tile["dominant_cluster"].to_numpy()
-        ids, until = to_keys(tile["entry_id"].combine_chunks()), last_uses(tile)
+        ids = to_keys(tile["entry_id"].combine_chunks())
         order = np.lexsort((ids, cluster))
-        firsts = np.unique(np.column_stack([cluster, until, vectors])[order], axis=0, return_index=True)[1]
+        firsts = np.unique(np.column_stack([cluster, vectors])[order], axis=0, return_index=True)[1]
         order = order[np.sort(firsts)]
-        self.vectors, self.ids, self.until = vectors[order], ids[order], until[order]
+        self.vectors, self.ids = vectors[order], ids[order]
         self.clusters, self.starts = np.unique(cluster[order], return_index=True)
         self.parts = [slice(a, b) for a, b in zip(self.starts, [*self.starts[1:], len(order)])]
 
@@ -78,8 +69,7 @@ class _Entries:
                 rows = routed[part]
                 scores = vectors[rows] @ self.vectors[entries].T
                 if earlier_only:
-                    asked = qids[rows][:, None]
-                    scores[(self.ids[entries][None, :] >= asked) | (self.until[entries][None, :] < asked)] = -np.inf
+                    scores[self.ids[entries][None, :] >= qids[rows][:, None]] = -np.inf
                 floor[rows] = np.maximum(floor[rows], scores.max(axis=1))
                 near, entry = np.nonzero(scores >= floor[rows][:, None] - SCORE_MARGIN)
                 found.append(np.stack([rows[near], entry + entries.start]))
@@ -99,7 +89,7 @@ def _match(earlier_only: bool, min_score: float):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if shared.value.num_rows == 0:
                 return
-            entries = _Entries(shared.value)
+            entries = Entries(shared.value)
             for batch in map(with_vectors, batches):
                 if batch.num_rows == 0:
                     continue
@@ -119,22 +109,6 @@ def _match(earlier_only: bool, min_score: float):
     return for_tile
 
 
-def drop_answered(queries: DataFrame, tile: pa.Table, threshold: float) -> DataFrame:
-    """Queries that no entry of the tile answers: a filter in place, without a shuffle."""
-    ship(queries.sparkSession)
-    shared = queries.sparkSession.sparkContext.broadcast(tile)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = _Entries(shared.value)
-        for batch in batches:
-            if batch.num_rows:
-                open_rows = np.ones(batch.num_rows, dtype=bool)
-                open_rows[entries.best(batch, True, threshold)[0]] = False
-                yield batch.filter(pa.array(open_rows))
-
-    return queries.mapInArrow(run, queries.schema) if tile.num_rows else queries
-
-
 def best_match(
     queries: DataFrame,
     entries: DataFrame,
@@ -146,22 +120,24 @@ def best_match(
 
     ``queries`` has ``qid, embedding, route`` (null route: every cluster), ``entries`` has
     ``entry_id, embedding, dominant_cluster``. Equal scores go to the cluster routed first, then to
-    the earlier entry. ``earlier_only`` limits a query to entries whose id lies below its own and,
-    if there is a column ``until``, whose last use does not.
+    the earlier entry. ``earlier_only`` limits a query to entries whose id lies below its own.
     Queries without a routed entry at or above ``min_score``, or without a vector, have no row.
     """
     types = dict(queries.dtypes)["qid"], dict(entries.dtypes)["entry_id"]
     schema = f"qid {types[0]}, entry_id {types[1]}, score double, route_rank int"
     matches, several = over_tiles(
         queries.select("qid", "embedding", "route"),
-        entries.select(*[c for c in ("entry_id", "embedding", "dominant_cluster", "until") if c in entries.columns]),
+        entries.select("entry_id", "embedding", "dominant_cluster"),
         "entry_id",
         _match(earlier_only, min_score),
         schema,
         tile_rows,
     )
-    if not several:
-        return matches.select("qid", "entry_id", "score")
+    return best_of_matches(matches) if several else matches.select("qid", "entry_id", "score")
+
+
+def best_of_matches(matches: DataFrame) -> DataFrame:
+    """Each query's best row of ``(qid, entry_id, score, route_rank)``."""
     order = Window.partitionBy("qid").orderBy(F.desc("score"), "route_rank", "entry_id")
     best = matches.withColumn("_place", F.row_number().over(order)).filter(F.col("_place") == 1)
     return best.select("qid", "entry_id", "score")

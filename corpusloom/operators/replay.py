@@ -2,161 +2,210 @@
 
 from __future__ import annotations
 
-from collections import OrderedDict
+from collections.abc import Callable
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, ordered_dots, row_blocks, to_matrix
-from corpusloom.operators.lookup import ENTRY_TILE_ROWS, FAR, THRESHOLD, best_match, drop_answered, last_uses, route_ranks
-from corpusloom.operators.tiles import tiles
-from corpusloom.session import drop_path, stage, stage_path
+from corpusloom.functions.vectors import dot
+from corpusloom.operators.lookup import THRESHOLD, Entries, best_of_matches
+from corpusloom.operators.state import retain, touch
+from corpusloom.session import child_names, drop_path, ship, stage, stage_path
 
-PREFIX_ROWS = 8192
-ADMITTED_COLUMNS = ["qid", "entry_id", "embedding", "dominant_cluster", "until"]
+#: Rows on either side of a cell, about.
+BLOCK_ROWS = 8192
+#: Queries between two cuts of the cache back to its capacity.
+SLICE_ROWS = 1_000_000
+LOG_COLUMNS = ["qid", "embedding", "route", "dominant_cluster"]
 
 
 @dataclass(frozen=True)
 class Replay:
-    """``admitted(qid)``: the misses, which became entries; ``hits(qid, entry_id, score)``: the rest.
-
-    ``evicted(entry_id, until)``, if anything was: the entries that left, and the miss that pushed each out.
-    """
+    """``admitted(qid)``: the misses, which became entries; ``hits(qid, entry_id, score)``: the rest."""
 
     admitted: DataFrame
     hits: DataFrame
-    evicted: DataFrame | None = None
-
 
-def _with_until(rows: DataFrame) -> DataFrame:
-    return rows if "until" in rows.columns else rows.withColumn("until", F.lit(None).cast("bigint"))
 
+def in_cells(asked: DataFrame, held: DataFrame, run: Callable, schema: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """What ``run(queries, entries)``, a function of Arrow tables, yields for every cell.
 
-def _first_admitted(prefix: pa.Table, threshold: float) -> np.ndarray:
-    """Which rows of a short stretch of the log, in order, no earlier admitted row of it answers."""
-    vectors = to_matrix(prefix["embedding"])
-    clusters, code = np.unique(prefix["dominant_cluster"].to_numpy(), return_inverse=True)
-    ranks = route_ranks(prefix["route"].combine_chunks(), clusters)
-    qids, until = prefix["qid"].to_numpy(), last_uses(prefix)
-    admitted = np.zeros(len(vectors), dtype=bool)
-    for part in row_blocks(len(vectors), len(vectors)):
-        similar = vectors[part] @ vectors[: part.stop].T
-        rows, cols = np.nonzero(np.abs(similar - threshold) <= SCORE_MARGIN)
-        similar[rows, cols] = ordered_dots(vectors[part], vectors, rows, cols)
-        answers = (similar >= threshold) & (ranks[part][:, code[: part.stop]] < FAR)
-        answers &= until[: part.stop] >= qids[part, None]
-        for i in range(part.start, part.stop):
-            admitted[i] = not (answers[i - part.start, :i] & admitted[:i]).any()
-    return admitted
+    A cell is a block of queries and a block of the entries of one cluster in the queries' routes, so a
+    cluster of any size is spread over many cells. ``asked`` has ``qid, embedding, route``, ``held``
+    has ``entry_id, embedding, dominant_cluster``; both should be stored tables.
+    """
+    ship(asked.sparkSession)
+    # A row for each cluster of the model.
+    sizes = {r["dominant_cluster"]: r["count"] for r in held.groupBy("dominant_cluster").count().collect()}
+    blocks = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, -(-n // block_rows))]) if sizes else None
+    if blocks is None:
+        return asked.sparkSession.createDataFrame([], schema)
+    query_blocks = max(1, -(-asked.count() // block_rows))
+
+    def numbers(n: Column) -> Column:
+        return F.explode(F.sequence(F.lit(0), n - 1))
+
+    present = F.array(*[F.lit(c) for c in sizes])
+    cluster = F.explode(F.when(F.col("route").isNull(), present).otherwise(F.array_intersect("route", present)))
+    queries = (
+        asked.withColumn("cluster", cluster)
+        .withColumn("entry_block", numbers(blocks[F.col("cluster")]))
+        .withColumn("query_block", F.pmod(F.xxhash64("qid"), F.lit(query_blocks)))
+    )
+    entries = (
+        held.withColumnRenamed("dominant_cluster", "cluster")
+        .withColumn("dominant_cluster", F.col("cluster"))
+        .withColumn("entry_block", F.pmod(F.xxhash64("entry_id"), blocks[F.col("cluster")]))
+        .withColumn("query_block", numbers(F.lit(query_blocks)))
+    )
+    keys = ["cluster", "query_block", "entry_block"]
+    return queries.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInArrow(run, schema)
+
+
+def _decide(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """For the queries of a cell that find an earlier row: whether an entry answers, whether an open query might."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        qids = asked["qid"].to_numpy()
+        answered, blocked = np.zeros(len(qids), bool), np.zeros(len(qids), bool)
+        if asked.num_rows and held.num_rows:
+            vectors, others = to_matrix(asked["embedding"]), to_matrix(held["embedding"])
+            ids, is_open = held["entry_id"].to_numpy(), held["is_open"].to_numpy(zero_copy_only=False)
+            for part in row_blocks(len(vectors), len(others)):
+                similar = vectors[part] @ others.T
+                rows, cols = np.nonzero(np.abs(similar - threshold) <= SCORE_MARGIN)
+                similar[rows, cols] = ordered_dots(vectors[part], others, rows, cols)
+                found = (similar >= threshold) & (ids[None, :] < qids[part, None])
+                answered[part] = (found & ~is_open).any(axis=1)
+                blocked[part] = (found & is_open).any(axis=1)
+        told = np.flatnonzero(answered | blocked)
+        return pa.table({"qid": qids[told], "answered": answered[told], "blocked": blocked[told]})
+
+    return run
+
+
+def _find(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The best earlier entry of each query of a cell."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        names = ["qid", "entry_id", "score", "route_rank"]
+        if not (asked.num_rows and held.num_rows):
+            return pa.table(dict(zip(names, [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.int32())])))
+        entries = Entries(held)
+        rows, cols, score, rank = entries.best(asked.combine_chunks().to_batches()[0], True, threshold)
+        return pa.table(dict(zip(names, [asked["qid"].take(pa.array(rows)), entries.ids[cols], score, rank.astype(np.int32)])))
+
+    return run
+
+
+def first_of_equals(log: DataFrame, threshold: float) -> DataFrame:
+    """Queries that equal no earlier one. The others are hits whatever becomes of the first of them.
+
+    That holds where a query finds its own like: its cluster is in its route, and its vector is long enough.
+    """
+    vector = F.col("embedding").cast("array<double>")
+    finds_itself = (dot(vector, vector) >= threshold + SCORE_MARGIN) & F.coalesce(
+        F.array_contains("route", F.col("dominant_cluster")), F.lit(True)
+    )
+    own = F.when(~finds_itself, F.col("qid"))
+    firsts = log.groupBy("embedding", "route", "dominant_cluster", own.alias("own")).agg(F.min("qid").alias("qid"))
+    return firsts.select(*LOG_COLUMNS)
 
 
 def replay_log(
-    log: DataFrame,
-    entries: DataFrame | None = None,
-    threshold: float = THRESHOLD,
-    prefix_rows: int = PREFIX_ROWS,
+    log: DataFrame, entries: DataFrame | None = None, threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS
 ) -> Replay:
     """Hits and misses as if the queries came one by one, each miss becoming an entry at once.
 
     ``log`` has ``qid`` (its order), ``embedding, route, dominant_cluster``; ``entries``, if given,
-    is the cache before the log, with ids below those of the log. Nothing is evicted on the way,
-    but entries and queries may have a column ``until``: the last query that can find the entry.
-
-    A query is decided by the admitted ones before it. So the first few undecided queries can be
-    settled among themselves (a bounded stretch, on the driver), and one pass over the rest drops
-    every query that the newly admitted ones answer. Each pass removes all later copies of a hot
-    query at once, and the number of passes grows with the admitted queries, not with the log.
-    No pairs are kept. At the end each query takes its best match among all earlier entries.
+    is the cache before the log, with ids below those of the log. Nothing is evicted on the way.
+
+    Queries are settled in rounds in the tasks: one is answered if an admitted earlier one reaches the
+    threshold, and admitted if no open or admitted earlier one does. A round settles all queries
+    whose earlier likes are settled, so there are as many rounds as the longest chain of queries of which
+    each is like the one before. No pairs are kept, and the driver sees counts only. At the end
+    each query takes its best match among all earlier entries.
     """
     spark = log.sparkSession
-    log_rows = stage(_with_until(log).select("qid", "embedding", "route", "dominant_cluster", "until"), "log")
-    undecided = log_rows = log_rows.filter(F.col("embedding").isNotNull())
-    old: list[str] = []
-
-    def keep_unanswered(rows: DataFrame, tile: pa.Table) -> DataFrame:
-        path = stage_path(spark, "undecided")
-        left = stage(drop_answered(rows, tile, threshold), "undecided", path=path)
-        for earlier in old:
-            drop_path(spark, earlier)
-        old[:] = [path]
-        return left
-
-    if entries is not None:
-        before = _with_until(entries).select("entry_id", "embedding", "dominant_cluster", "until")
-        for tile in tiles(before, "entry_id", ENTRY_TILE_ROWS):
-            undecided = keep_unanswered(undecided, tile)
-    admitted_path = stage_path(spark, "admitted")
-    log_rows.limit(0).withColumn("entry_id", F.col("qid")).select(*ADMITTED_COLUMNS).write.parquet(admitted_path)
-    while True:
-        prefix = undecided.orderBy("qid").limit(prefix_rows).toArrow()
-        if prefix.num_rows == 0:
-            break
-        new = prefix.filter(pa.array(_first_admitted(prefix, threshold))).drop_columns("route")
-        new = new.append_column("entry_id", new["qid"])
-        spark.createDataFrame(new).select(*ADMITTED_COLUMNS).coalesce(1).write.mode("append").parquet(admitted_path)
-        if prefix.num_rows < prefix_rows:
-            break
-        rest = undecided.filter(F.col("qid") > prefix["qid"][-1].as_py())
-        undecided = keep_unanswered(rest, new)
-    for path in old:
-        drop_path(spark, path)
-    admitted = spark.read.parquet(admitted_path)
-    candidates = admitted.select("entry_id", "embedding", "dominant_cluster", "until")
+    rows = log.select(*LOG_COLUMNS).filter(F.col("embedding").isNotNull())
+    log_rows = stage(rows, "log")
+    path, admitted_path = stage_path(spark, "open"), stage_path(spark, "admitted")
+    still_open = stage(first_of_equals(log_rows, threshold), "open", path=path)
+
+    def as_entries(queries: DataFrame, is_open: bool) -> DataFrame:
+        held = queries.select(F.col("qid").alias("entry_id"), "embedding", "dominant_cluster")
+        return held.withColumn("is_open", F.lit(is_open))
+
+    log_rows.limit(0).write.parquet(admitted_path)
+    new = None if entries is None else entries.select("entry_id", "embedding", "dominant_cluster", F.lit(False).alias("is_open"))
+    while not still_open.isEmpty():
+        held = as_entries(still_open, True)
+        if new is not None:
+            held = held.unionByName(new)
+        told = in_cells(still_open, held, _decide(threshold), "qid bigint, answered boolean, blocked boolean", block_rows)
+        told = told.groupBy("qid").agg(F.max("answered").alias("answered"), F.max("blocked").alias("blocked"))
+        marked = still_open.join(told, "qid", "left")
+        state = F.when(F.col("answered"), F.lit("answered")).when(F.col("blocked"), F.lit("open")).otherwise(F.lit("admitted"))
+        marked_path, old = stage_path(spark, "marked"), path
+        marked = stage(marked.select(*LOG_COLUMNS, state.alias("state")), "marked", path=marked_path)
+        admitted_now = marked.filter("state = 'admitted'").select(*LOG_COLUMNS)
+        admitted_now.write.mode("append").parquet(admitted_path)
+        path = stage_path(spark, "open")
+        still_open = stage(marked.filter("state = 'open'").select(*LOG_COLUMNS), "open", path=path)
+        new_path = stage_path(spark, "new")
+        new = stage(as_entries(admitted_now, False), "new", path=new_path)
+        for done in (old, marked_path):
+            drop_path(spark, done)
+    admitted = spark.read.schema(log_rows.schema).parquet(admitted_path)
+    candidates = admitted.select(F.col("qid").alias("entry_id"), "embedding", "dominant_cluster")
     if entries is not None:
-        candidates = candidates.unionByName(before)
-    hits = best_match(log_rows, candidates, earlier_only=True, min_score=threshold)
+        candidates = candidates.unionByName(entries.select("entry_id", "embedding", "dominant_cluster"))
+    schema = "qid bigint, entry_id bigint, score double, route_rank int"
+    hits = best_of_matches(in_cells(log_rows, candidates, _find(threshold), schema, block_rows))
     return Replay(admitted.select("qid"), hits)
 
 
-def replay_with_eviction(
-    log: DataFrame, entries: DataFrame, max_entries: int, threshold: float = THRESHOLD, prefix_rows: int = PREFIX_ROWS
-) -> Replay:
-    """A replay in which a miss at full capacity first pushes out the entry that was used longest ago.
-
-    Hits and misses give the order of use, and so which entry leaves when; that in turn limits who
-    can find it. Starting without evictions, both are worked out in turn until they agree. Every
-    turn is right at least up to the first eviction it gets wrong, so the agreement is the result of
-    asking one query at a time. A log that fits into the cache needs one turn.
+def ordered_slices(log: DataFrame, key: str, rows: int) -> list[DataFrame]:
+    """The log in the order of ``key``, cut after every ``rows`` rows.
 
-    ``entries`` also has ``last_accessed``. The driver sees the ids of the log, so it should be a
-    piece of bounded length.
+    Rows are ranked within sorted ranges, and ranges start where the ones before end.
+    """
+    spark = log.sparkSession
+    ranged = log.repartitionByRange(key).withColumn("_range", F.spark_partition_id())
+    ranged = stage(ranged, "ordered")
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_range").count().select("_range", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("_start"))
+    rank = F.row_number().over(Window.partitionBy("_range").orderBy(key)) - 1
+    number = F.floor((F.col("_start") + F.col("_rank")) / rows).cast("int")
+    sliced = ranged.withColumn("_rank", rank).join(starts, "_range").withColumn("_slice", number)
+    path = stage_path(spark, "slices")
+    stage(sliced.drop("_range", "_start", "_rank"), "slices", partition_by="_slice", path=path)
+    names = sorted(int(x.removeprefix("_slice=")) for x in child_names(spark, path) if x.startswith("_slice="))
+    return [spark.read.schema(log.schema).parquet(f"{path}/_slice={i}") for i in names] or [log.limit(0)]
+
+
+def replay_with_retention(
+    log: DataFrame, entries: DataFrame, max_entries: int, slice_rows: int = SLICE_ROWS, threshold: float = THRESHOLD
+) -> tuple[DataFrame, DataFrame]:
+    """Hits of the whole log, and the entries afterwards, if every slice ends with the most recently used entries.
+
+    With slices of one query this is eviction before each insert at capacity; a longer slice lets the
+    cache grow by its misses until it ends. ``log`` also has ``ts``, which grows with ``qid``;
+    ``entries`` has ``entry_id, embedding, dominant_cluster, last_accessed``.
     """
     spark = log.sparkSession
-    before = entries.select("entry_id", "last_accessed").orderBy("last_accessed", "entry_id").toArrow()
-    held = before["entry_id"].to_pylist()
-    leaving: dict[int, int] = {}
-    while True:
-        evicted = spark.createDataFrame(list(leaving.items()), "entry_id bigint, until bigint")
-        asked = log.join(evicted.withColumnRenamed("entry_id", "qid"), "qid", "left") if leaving else log
-        known = entries.join(evicted, "entry_id", "left") if leaving else entries
-        replayed = replay_log(asked, known, threshold, prefix_rows)
-        misses = replayed.admitted.toArrow()["qid"].to_numpy()
-        if len(held) + len(misses) <= max_entries:
-            return replayed
+    path = stage_path(spark, "slice-hits")
+    columns = ["entry_id", "embedding", "dominant_cluster", "last_accessed"]
+    before = entries.select(*columns)
+    for part in ordered_slices(log, "qid", slice_rows):
+        replayed = replay_log(part, before, threshold)
         hits = stage(replayed.hits, "hits")
-        found = hits.select("qid", "entry_id").toArrow()
-        now = _evictions(held, misses, found["qid"].to_numpy(), found["entry_id"].to_numpy(), max_entries)
-        if now == leaving:
-            return Replay(replayed.admitted, hits, evicted)
-        leaving = now
-
-
-def _evictions(
-    held: list[int], misses: np.ndarray, hits: np.ndarray, used: np.ndarray, max_entries: int
-) -> dict[int, int]:
-    """Which entry leaves at which miss, given the entries held from the longest unused on."""
-    qids = np.concatenate([misses, hits])
-    entry = np.concatenate([misses, used])
-    order = np.argsort(qids)
-    in_use, leaving = OrderedDict.fromkeys(held), {}
-    for qid, target in zip(qids[order].tolist(), entry[order].tolist()):
-        if target == qid:
-            if len(in_use) >= max_entries:
-                leaving[in_use.popitem(last=False)[0]] = qid
-            in_use[qid] = None
-        elif target in in_use:
-            in_use.move_to_end(target)
-    return leaving
+        hits.write.mode("append").parquet(path)
+        new = part.join(replayed.admitted, "qid", "left_semi").withColumnsRenamed({"qid": "entry_id", "ts": "last_accessed"})
+        touched = touch(before.unionByName(new.select(*columns)), hits.join(part.select("qid", "ts"), "qid"))
+        before = stage(retain(touched, max_entries), "entries")
+    return spark.read.parquet(path), before

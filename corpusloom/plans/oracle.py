@@ -11,7 +11,7 @@ from collections.abc import Callable
 from corpusloom.functions.text import BLANKS, BLANKS_IN_LINE, WORD
 from corpusloom.operators.profile import HEADER_KEYS
 from corpusloom.operators.sweep import THRESHOLDS
-from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, LRU_ENTRIES, POST_TEXT, SMALL_CACHE, SMOKE_QUERIES
+from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, LRU_ENTRIES, POST_TEXT, SLICE, SMALL_CACHE, SMOKE_QUERIES
 
 NL = "chr(10)"
 ASCII_BLANK_CHARS = "||".join(f"chr({c})" for c in [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
@@ -233,7 +233,8 @@ PROBABILITY_TEXT = (
     "(select id, string_agg('cluster_'||k||'='||printf('%.4f', round(p, 4)), ',' order by place) as probabilities "
     "from probs where place <= 5 group by id)"
 )
-SOURCES = "sourced as (select b.id, b.best, source as category from probs_best b join documents d on d.doc_id = b.id)"
+SOURCES = """sourced as (select b.id, b.best, source as category from documents d
+    join probs_best b on b.id = d.doc_id % (select max(vec_id) + 1 from embeddings))"""
 
 
 def composition(clusters: int, top: int, label: str, separator: str) -> str:
@@ -256,12 +257,12 @@ NEIGHBOURS = """neighbours as (select a.vec_id, a.embedding::double[] as v,
   queries3 as (select vec_id, v, list_transform(p, lambda x: x / sqrt(list_inner_product(p, p))) as p,
     list_transform(u, lambda x: x / sqrt(list_inner_product(u, u))) as u from mixes)"""
 LOG = f"""{NEIGHBOURS}, log as (
-    select 2 * vec_id as id, v, ts from queries3 join events on event_id = vec_id
-    union all select 2 * vec_id + 1, p, ts from queries3 join events on event_id = vec_id)"""
+    select 2 * vec_id as id, v, coalesce(ts, make_timestamp(vec_id * 1000000)) as ts from queries3 left join events on event_id = vec_id
+    union all select 2 * vec_id + 1, p, coalesce(ts, make_timestamp(vec_id * 1000000)) from queries3 left join events on event_id = vec_id)"""
 ASSIGNED_LOG = f"""{VECTORS}, {ELEMENTS}, {PARAMETERS}, {LOG}, {memberships('log')},
   routes as (select id, k, place from probs where place <= 3)"""
 ENTRIES = """entries as (select l.id as entry_id, 'q'||l.id as query, l.v, b.best, l.ts
-    from log l join probs_best b on b.id = l.id where l.id % 2 = 0 order by l.ts desc, l.id desc limit 10000)"""
+    from log l join probs_best b on b.id = l.id where l.id % 2 = 0)"""
 LOOKUP = """found as (select l.id, entry_id, query, best, e.ts as entry_ts, list_inner_product(l.v, e.v) as score, place
     from log l join routes r on r.id = l.id join entries e on e.best = r.k where l.id % 2 = 1
     qualify row_number() over (partition by l.id order by score desc, place, entry_id) = 1),
@@ -269,16 +270,16 @@ LOOKUP = """found as (select l.id, entry_id, query, best, e.ts as entry_ts, list
 CACHE = f"{ASSIGNED_LOG}, {ENTRIES}, {LOOKUP}"
 
 
-def replayed(pairs: str, capacity: int = 10000) -> str:
+def replayed(pairs: str, capacity: int = 10000, slice_rows: int = 1_000_000) -> str:
     """CTEs that end in ``hits(id, entry_id, score)`` for ``seq(id, i)`` numbering the log from 0.
 
-    ``held`` lists the entries from the longest unused to the last used.
+    ``held`` lists the entries from the longest unused to the last used; a slice ends with the last ``capacity``.
     """
+    held = "case when x.p is not null then list_append(list_filter(r.held, lambda e: e <> x.p), x.p) else list_append(r.held, r.q + 1) end"
     return f"""s as materialized (select qi.i as q, pi.i as p, sc, place from ({pairs}) join seq qi on qi.id = qid join seq pi on pi.id = pid),
   r as (select -1::bigint as q, []::bigint[] as held, null::bigint as m
     union all
-    select r.q + 1, case when x.p is not null then list_append(list_filter(r.held, lambda e: e <> x.p), x.p)
-      when len(r.held) >= {capacity} then list_append(r.held[2:], r.q + 1) else list_append(r.held, r.q + 1) end, x.p
+    select r.q + 1, case when (r.q + 2) % {slice_rows} = 0 then ({held})[-{capacity}:] else {held} end, x.p
     from r left join lateral (select p from s where s.q = r.q + 1 and list_contains(r.held, s.p)
       order by sc desc, place, p limit 1) x on true
     where r.q < (select max(i) from seq)),
@@ -291,7 +292,10 @@ ROUTED_PAIRS = """select a.id as qid, b.id as pid, list_inner_product(a.v, b.v)
     join routes r on r.id = a.id join probs_best e on e.best = r.k join log b on b.id = e.id
     where b.id < a.id and sc >= 0.85"""
 REPLAY = f"{ASSIGNED_LOG}, {SEQUENCE}, {replayed(ROUTED_PAIRS)}"
-SMALL_REPLAY = f"{ASSIGNED_LOG}, {SEQUENCE}, {replayed(ROUTED_PAIRS, SMALL_CACHE)}"
+# The vectors first, then the paraphrases.
+TWO_ROUNDS = "seq as (select id, row_number() over (order by id % 2, id) - 1 as i from log)"
+TWO_ROUNDS_PAIRS = ROUTED_PAIRS.replace("b.id < a.id", "(b.id % 2, b.id) < (a.id % 2, a.id)")
+SMALL_REPLAY = f"{ASSIGNED_LOG}, {TWO_ROUNDS}, {replayed(TWO_ROUNDS_PAIRS, SMALL_CACHE, SLICE)}"
 
 
 def result_lists(source: str) -> str:
@@ -308,7 +312,7 @@ select l.id as qid, h.entry_id is not null as cache_hit, 'q'||h.entry_id as matc
 from log l left join hits h on h.id = l.id left join answers a on a.qid = coalesce(h.entry_id, l.id)
 left join probs_best e on e.id = h.entry_id join probs_best b on b.id = l.id join {PROBABILITY_TEXT} t on t.id = l.id"""
 
-TURNS = "turns as (select conv_id * 1000 + turn as id, text from conversations where role = 'user' and length(text) >= 1)"
+TURNS = "turns as (select conv_id * 4294967296 + turn as id, text from conversations where role = 'user' and length(text) >= 1)"
 ANSWER_CONVERSATIONS = f"""with recursive {CLEANED_DOCS}, {hash_vectors('docs', 'doc_id', 'cleaned_text', 'doc_vectors')},
   {TURNS}, {hash_vectors('turns', 'id', 'text', 'turn_vectors')},
   log as (select id, vec as v from turn_vectors), {SEQUENCE},
@@ -407,7 +411,7 @@ ORACLE_SQL: dict[str, str] = {
     "list_inner_product(s.vec, d.vec) as score from smoke_vectors s, doc_vectors d join docs using (doc_id)) "
     f"select qid, rank, doc_id, category, round(score, 6) as score, text, filename from {ranked('scores', 3)}",
     "saved_index": "select doc_id, source as category, doc_id::varchar as filename, substr(text, 1, 500) as snippet, "
-    "len(embedding)::integer as dimension from documents join embeddings on vec_id = doc_id",
+    "len(embedding)::integer as dimension from documents join embeddings on vec_id = doc_id % (select max(vec_id) + 1 from embeddings)",
     "tag_clusters": f"with {ASSIGNED} select doc_id, substr(text, 1, 500) as snippet, best as dominant_cluster "
     "from documents left join probs_best on id = doc_id",
     "tag_index": f"with {ASSIGNED} select doc_id, category, best as dominant_cluster from vectors join probs_best on id = doc_id",
@@ -437,7 +441,7 @@ ORACLE_SQL: dict[str, str] = {
     "size as (select count(distinct k)::integer as k, count(*) as cells from parameters), "
     "total as (select n, ll, k, 2 * cells + k - 1 as free from fit, size) "
     "select k, n, round(ll, 4) as log_likelihood, round(-2 * ll + free * ln(n), 4) as bic, round(-2 * ll + 2 * free, 4) as aic from total",
-    "silhouette_exact": f"""with {VECTORS},
+    "silhouette_sample": f"""with {VECTORS},
   sample as (select * from vectors order by md5('42:'||doc_id), doc_id limit 5000),
   pairs as (select a.doc_id, a.label as own, b.label as other, a.doc_id = b.doc_id as self, list_distance(a.v, b.v) as dist
     from sample a, sample b),
@@ -457,14 +461,14 @@ select 'label' as labelling, round(avg(case when a is null then 0 else (b - a) /
     "select e.entry_id, e.query, strftime(greatest(e.ts, coalesce(t.ts, e.ts)), '%Y-%m-%d %H:%M:%S.%f') as last_accessed "
     "from entries e left join touched t on t.entry_id = e.entry_id "
     f"order by greatest(e.ts, coalesce(t.ts, e.ts)) desc, e.entry_id desc limit {LRU_ENTRIES}",
-    "cache_sweep": f"with {NEIGHBOURS}, entries as (select vec_id as entry_id, v from queries3 order by vec_id desc limit 10000), "
+    "cache_sweep": f"with {NEIGHBOURS}, entries as (select vec_id as entry_id, v from queries3), "
     "probes as (select 'paraphrase' as kind, vec_id, p as v from queries3 union all select 'unrelated', vec_id, u from queries3), "
     "best as (select kind, probes.vec_id, max(list_inner_product(probes.v, entries.v)) as score from probes, entries group by all) "
     + SWEEP_ROWS,
     "cache_replay": f"with recursive {REPLAY} select l.id as qid, h.entry_id is not null as cache_hit, h.entry_id, "
     "round(h.score, 6) as score from log l left join hits h on h.id = l.id",
-    "cache_evict": f"with recursive {SMALL_REPLAY} select l.id as qid, h.entry_id is not null as cache_hit, h.entry_id, "
-    "round(h.score, 6) as score from log l left join hits h on h.id = l.id",
+    "cache_evict": f"with recursive {SMALL_REPLAY} select l.id % 2 * 1000000000 + l.id // 2 as qid, h.entry_id is not null as cache_hit, "
+    "h.entry_id % 2 * 1000000000 + h.entry_id // 2 as entry_id, round(h.score, 6) as score from log l left join hits h on h.id = l.id",
     "answer_log": ANSWER_LOG,
     "answer_conversations": ANSWER_CONVERSATIONS,
     "cache_stream": ANSWER_LOG,

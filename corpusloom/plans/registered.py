@@ -34,7 +34,7 @@ from corpusloom.operators.embed import embed_documents
 from corpusloom.operators.lookup import lookup, with_route
 from corpusloom.operators.mixture import Mixture, expectation_maximization, mixture_from_labels, mixture_step, one_pass
 from corpusloom.operators.project import explained_variance, fit_projection, project
-from corpusloom.operators.replay import replay_log, replay_with_eviction
+from corpusloom.operators.replay import replay_log, replay_with_retention
 from corpusloom.operators.report import (
     cluster_composition,
     confidence_bands,
@@ -74,6 +74,7 @@ SMOKE_QUERIES = [
 LRU_ENTRIES = 300
 GMM_ROUNDS = 5
 SMALL_CACHE = 200
+SLICE = 150
 EMBED_DIMENSION = 384
 
 
@@ -276,10 +277,11 @@ def smoke_search(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def saved_index(spark: SparkSession, sf: str) -> DataFrame:
-    """Vectors saved and loaded, joined to the documents of the same ids, written in two appends, loaded."""
+    """A vector for every document, saved and loaded, joined to the documents, written in two appends, loaded."""
     folder = stage_path(spark, "vectors")
-    save_embeddings(_vectors(spark, sf), f"{folder}/embeddings")
     docs = _plain_posts(spark, sf).withColumnRenamed("text", "cleaned_text")
+    vectors = _vectors(spark, sf).select("doc_id", "embedding")
+    save_embeddings(_with_vector(spark, sf, docs.select("doc_id"), vectors), f"{folder}/embeddings")
     index = build_index(docs, load_embeddings(spark, f"{folder}/embeddings"))
     long = F.length("snippet") >= 500
     save_index(index.filter(long), f"{folder}/index")
@@ -301,9 +303,15 @@ def _assigned(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _assigned_sources(spark: SparkSession, sf: str) -> DataFrame:
-    """Assignments with the source of the document of the same id as category."""
-    sources = _table(spark, sf, "documents").select("doc_id", F.col("source").alias("category"))
-    return _assigned(spark, sf).drop("category").join(sources, "doc_id")
+    """Every document with the assignment of a vector, and its source as category."""
+    return _with_vector(spark, sf, _table(spark, sf, "documents").select("doc_id", F.col("source").alias("category")), _assigned(spark, sf).drop("category"))
+
+
+def _with_vector(spark: SparkSession, sf: str, docs: DataFrame, vectors: DataFrame) -> DataFrame:
+    """Documents and vectors, joined by the document's id modulo the number of vector ids."""
+    count = _table(spark, sf, "embeddings").agg(F.max("vec_id") + 1).first()[0]
+    vector = vectors.withColumnRenamed("doc_id", "vec_id")
+    return docs.withColumn("vec_id", F.col("doc_id") % count).join(vector, "vec_id").drop("vec_id")
 
 
 def dominant_cluster(spark: SparkSession, sf: str) -> DataFrame:
@@ -408,7 +416,7 @@ def bic_aic(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def silhouette_exact(spark: SparkSession, sf: str) -> DataFrame:
+def silhouette_sample(spark: SparkSession, sf: str) -> DataFrame:
     score = silhouette(hash_sample(_points(_vectors(spark, sf))), ["label"])
     return score.select("labelling", *_round("silhouette"), "n")
 
@@ -503,9 +511,10 @@ def _unrelated() -> Column:
 
 
 def _query_log(spark: SparkSession, sf: str, vectors: DataFrame | None = None) -> DataFrame:
-    """Two queries per vector, the vector and its paraphrase, at the time of the event of the same id."""
+    """Two queries per vector, the vector and its paraphrase, at the time of the event of the same id, or so many seconds after 1970."""
     times = _table(spark, sf, "events").select(F.col("event_id").alias("vec_id"), F.col("ts").cast("timestamp").alias("ts"))
-    rows = _neighbours(spark, sf, vectors).join(times, "vec_id")
+    rows = _neighbours(spark, sf, vectors).join(times, "vec_id", "left")
+    rows = rows.withColumn("ts", F.coalesce("ts", F.timestamp_seconds("vec_id")))
     both = F.array(
         F.struct(F.lit(0).alias("i"), F.col("v").alias("embedding")),
         F.struct(F.lit(1).alias("i"), _paraphrase(rows).alias("embedding")),
@@ -519,11 +528,9 @@ def _query_log(spark: SparkSession, sf: str, vectors: DataFrame | None = None) -
 
 
 def _cached_originals(log: DataFrame) -> DataFrame:
-    """The original queries as cache entries, as many as the cache holds."""
-    return retain(
-        log.filter(F.col("qid") % 2 == 0).select(
-            F.col("qid").alias("entry_id"), "query", "embedding", "dominant_cluster", F.col("ts").alias("last_accessed")
-        )
+    """The original queries as cache entries."""
+    return log.filter(F.col("qid") % 2 == 0).select(
+        F.col("qid").alias("entry_id"), "query", "embedding", "dominant_cluster", F.col("ts").alias("last_accessed")
     )
 
 
@@ -580,7 +587,6 @@ def cache_sweep(spark: SparkSession, sf: str) -> DataFrame:
         F.col("vec_id").alias("entry_id"),
         F.col("v").alias("embedding"),
         F.lit(0).alias("dominant_cluster"),
-        F.lit(0).alias("last_accessed"),
     )
     both = F.array(
         F.struct(F.lit(0).alias("i"), F.lit("paraphrase").alias("kind"), _paraphrase(rows).alias("embedding")),
@@ -589,7 +595,7 @@ def cache_sweep(spark: SparkSession, sf: str) -> DataFrame:
     probes = rows.select("vec_id", F.inline(both)).select(
         (F.col("vec_id") * 2 + F.col("i")).alias("qid"), "kind", "embedding"
     )
-    sweep = threshold_sweep(probes, retain(entries))
+    sweep = threshold_sweep(probes, entries)
     return sweep.select("threshold", "hits", "misses", *_round("hit_rate"), "false_positives")
 
 
@@ -602,10 +608,12 @@ def cache_replay(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def cache_evict(spark: SparkSession, sf: str) -> DataFrame:
-    """The replay with a cache so small that entries leave while the log runs."""
-    log = with_route(_assigned_log(spark, sf))
-    replayed = replay_with_eviction(log, empty_cache(spark), SMALL_CACHE)
-    return log.select("qid").join(replayed.hits, "qid", "left").select(
+    """All vectors, then all paraphrases, through a cache so small that most entries leave in between."""
+    second = (F.col("qid") % 2).cast("bigint")
+    log = _assigned_log(spark, sf).withColumn("qid", second * 1_000_000_000 + F.floor(F.col("qid") / 2))
+    log = stage(with_route(log.withColumn("ts", F.timestamp_seconds("qid"))), "two-rounds")
+    hits, _ = replay_with_retention(log, empty_cache(spark), SMALL_CACHE, SLICE)
+    return log.select("qid").join(hits, "qid", "left").select(
         "qid", F.col("entry_id").isNotNull().alias("cache_hit"), "entry_id", *_round("score")
     )
 
@@ -634,7 +642,7 @@ def answer_conversations(spark: SparkSession, sf: str) -> DataFrame:
     """User turns as queries over the documents, both through the hashing embedding, without clusters."""
     turns = _table(spark, sf, "conversations").filter(F.col("role") == "user")
     queries = turns.select(
-        (F.col("conv_id") * 1000 + F.col("turn")).alias("qid"),
+        (F.col("conv_id") * 2**32 + F.col("turn")).cast("bigint").alias("qid"),
         F.col("text").alias("query"),
         F.timestamp_seconds(F.col("conv_id")).alias("ts"),
     )
@@ -689,7 +697,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gmm_one_step": gmm_one_step,
     "gmm_rounds": gmm_rounds,
     "bic_aic": bic_aic,
-    "silhouette_exact": silhouette_exact,
+    "silhouette_sample": silhouette_sample,
     "pca_variance": pca_variance,
     "pca_projection": pca_projection,
     "saved_model": saved_model,

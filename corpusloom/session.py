@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import os
 import tempfile
+import threading
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,9 +32,25 @@ def checkpoint_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir().rstrip("/")
 
 
+_scratch = threading.local()
+
+
 def stage_path(spark: SparkSession, name: str) -> str:
     """A fresh path for one intermediate table in the shared folder."""
-    return f"{checkpoint_folder(spark)}/corpusloom/{name}-{uuid.uuid4().hex}"
+    folder = getattr(_scratch, "folder", None) or f"{checkpoint_folder(spark)}/corpusloom"
+    return f"{folder}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Intermediate tables that this thread stages within are dropped at the end."""
+    outer = getattr(_scratch, "folder", None)
+    _scratch.folder = stage_path(spark, "scratch")
+    try:
+        yield
+    finally:
+        drop_path(spark, _scratch.folder)
+        _scratch.folder = outer
 
 
 def stage(df: DataFrame, name: str, partition_by: str | None = None, path: str | None = None) -> DataFrame:

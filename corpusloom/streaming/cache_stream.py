@@ -8,20 +8,29 @@ from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.clusters import ClusterModel
 from corpusloom.operators.lookup import SEARCH_DEPTH, THRESHOLD
-from corpusloom.operators.state import ENTRY_SCHEMA, MAX_ENTRIES, cache_stats, empty_cache
+from corpusloom.operators.state import ENTRY_SCHEMA, MAX_ENTRIES, empty_cache
 from corpusloom.plans.answer import answer_queries
-from corpusloom.session import child_names, drop_path
+from corpusloom.session import child_names, drop_path, scratch
 
+COUNTS_SCHEMA = "hit_count bigint, miss_count bigint"
 
-def _state_path(folder: str, batch: int) -> str:
-    return f"{folder}/entries/after={batch}"
+
+def _version(folder: str, kind: str, batch: int) -> str:
+    return f"{folder}/{kind}/after={batch}"
 
 
 def read_state(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     """The cache as batch ``batch`` left it; empty before the first."""
     if batch < 0:
         return empty_cache(spark)
-    return spark.read.schema(ENTRY_SCHEMA).parquet(_state_path(folder, batch))
+    return spark.read.schema(ENTRY_SCHEMA).parquet(_version(folder, "entries", batch))
+
+
+def _counts(spark: SparkSession, folder: str, batch: int) -> DataFrame:
+    """Hits and misses since the last flush, up to batch ``batch``."""
+    if batch < 0:
+        return spark.range(1).selectExpr("0L as hit_count", "0L as miss_count")
+    return spark.read.schema(COUNTS_SCHEMA).parquet(_version(folder, "counts", batch))
 
 
 def read_responses(spark: SparkSession, folder: str, after: int = -1) -> DataFrame:
@@ -34,27 +43,22 @@ def latest_batch(spark: SparkSession, folder: str) -> int:
     return max((int(name.removeprefix("after=")) for name in child_names(spark, f"{folder}/entries")), default=-1)
 
 
-def _last_flush(spark: SparkSession, folder: str) -> int:
-    return max((int(name.removeprefix("after=")) for name in child_names(spark, f"{folder}/flushes")), default=-1)
-
-
 def stream_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Entries, hits, misses and hit rate of the stream's cache since it was last flushed."""
     latest = latest_batch(spark, folder)
-    if latest < 0:
-        nothing = spark.createDataFrame([], "cache_hit boolean")
-        return cache_stats(nothing, empty_cache(spark))
-    lookups = read_responses(spark, folder, _last_flush(spark, folder))
-    return cache_stats(lookups, read_state(spark, folder, latest))
+    total = read_state(spark, folder, latest).agg(F.count(F.lit(1)).alias("total_entries"))
+    lookups = F.col("hit_count") + F.col("miss_count")
+    rate = F.round(F.coalesce(F.try_divide("hit_count", lookups), F.lit(0.0)), 4).alias("hit_rate")
+    both = total.withColumn("one", F.lit(1)).join(_counts(spark, folder, latest).withColumn("one", F.lit(1)), "one")
+    return both.select("total_entries", "hit_count", "miss_count", rate)
 
 
 def flush_stream(spark: SparkSession, folder: str) -> None:
     """Empty the cache and start counting anew. Call it while no batch is running."""
     latest = latest_batch(spark, folder)
-    if latest < 0:
-        return
-    empty_cache(spark).write.mode("overwrite").parquet(_state_path(folder, latest))
-    empty_cache(spark).write.mode("overwrite").parquet(f"{folder}/flushes/after={latest}")
+    if latest >= 0:
+        empty_cache(spark).write.mode("overwrite").parquet(_version(folder, "entries", latest))
+        _counts(spark, folder, -1).write.mode("overwrite").parquet(_version(folder, "counts", latest))
 
 
 def answer_stream(
@@ -69,20 +73,29 @@ def answer_stream(
 ) -> StreamingQuery:
     """Answer a stream of ``queries(qid, query, ts[, embedding])`` micro-batch by micro-batch.
 
-    Within a batch the order of ``qid`` is kept exactly; between batches the cache lives in
-    ``folder`` (shared storage), one version per batch. A batch that is run again after a failure
-    reads the version before it and overwrites its own output, so nothing counts twice. Ids must
-    grow from batch to batch.
+    Within a batch the order of ``qid`` is kept exactly; between batches the cache and its counters
+    live in ``folder`` (shared storage), one version per batch. A batch that is run again after a
+    failure reads the version before it and overwrites its own output, so nothing counts twice. Ids
+    must grow from batch to batch. What a batch stages is dropped when it is done.
     """
     spark = queries.sparkSession
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         before = read_state(spark, folder, batch_id - 1)
-        answers = answer_queries(batch, index, model, before, threshold, depth, max_entries)
-        answers.responses.write.mode("overwrite").parquet(f"{folder}/responses/batch={batch_id}")
-        answers.entries.write.mode("overwrite").parquet(_state_path(folder, batch_id))
+        path = f"{folder}/responses/batch={batch_id}"
+        with scratch(spark):
+            answers = answer_queries(batch, index, model, before, threshold, depth, max_entries)
+            answers.responses.write.mode("overwrite").parquet(path)
+            answers.entries.write.mode("overwrite").parquet(_version(folder, "entries", batch_id))
+        hit = F.col("cache_hit").cast("bigint")
+        new = spark.read.parquet(path).agg(F.coalesce(F.sum(hit), F.lit(0)).alias("hit_count"), F.coalesce(F.sum(1 - hit), F.lit(0)).alias("miss_count"))
+        both = _counts(spark, folder, batch_id - 1).unionByName(new)
+        both.agg(F.sum("hit_count").alias("hit_count"), F.sum("miss_count").alias("miss_count")).write.mode("overwrite").parquet(
+            _version(folder, "counts", batch_id)
+        )
         # The version before this batch stays for a repeated run; older ones are no longer read.
-        drop_path(spark, _state_path(folder, batch_id - 2))
+        for kind in ("entries", "counts"):
+            drop_path(spark, _version(folder, kind, batch_id - 2))
 
     return (
         queries.writeStream.foreachBatch(answer)

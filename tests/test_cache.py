@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators.clusters import ClusterModel
 from corpusloom.operators.lookup import best_match, lookup, with_route
 from corpusloom.operators.mixture import Mixture
-from corpusloom.operators.replay import replay_log, replay_with_eviction
+from corpusloom.operators.replay import replay_log, replay_with_retention
 from corpusloom.operators.state import admit, cache_stats, empty_cache, retain, touch
 from corpusloom.operators.sweep import pair_similarity, threshold_sweep
 from corpusloom.plans.answer import answer_queries, split_empty
@@ -156,13 +156,20 @@ def test_sweep_and_pairs(spark):
 
 
 class PlainCache:
-    """The cache in a loop: what a replay must equal."""
+    """The cache in a loop: what a replay must equal. Entries leave at the end of each slice of queries."""
 
-    def __init__(self, threshold=0.85, depth=3, capacity=10000):
-        self.threshold, self.depth, self.capacity = threshold, depth, capacity
-        self.entries, self.used = [], {}
+    def __init__(self, threshold=0.85, depth=3, capacity=10000, slice_rows=1):
+        self.threshold, self.depth, self.capacity, self.slice_rows = threshold, depth, capacity, slice_rows
+        self.entries, self.used, self.asked = [], {}, 0
 
     def ask(self, qid, v, probs):
+        match = self.find(qid, v, probs)
+        self.asked += 1
+        if self.asked % self.slice_rows == 0:
+            self.entries = sorted(self.entries, key=lambda entry: -self.used[entry[0]])[: self.capacity]
+        return match
+
+    def find(self, qid, v, probs):
         if probs is None:
             routes = [0]
         else:
@@ -176,9 +183,6 @@ class PlainCache:
         if best and best[0] >= self.threshold:
             self.used[best[1]] = qid
             return best[1]
-        if len(self.entries) >= self.capacity:
-            oldest = min(self.entries, key=lambda entry: self.used[entry[0]])
-            self.entries.remove(oldest)
         self.used[qid] = qid
         self.entries.append((qid, v, 0 if probs is None else int(np.argmax(probs))))
         return None
@@ -195,8 +199,8 @@ def chained_log(seed, n, d=4, hot=0):
 
 
 @pytest.mark.parametrize("routed", [False, True])
-@pytest.mark.parametrize("prefix_rows", [8192, 11])
-def test_replay_equals_the_loop(spark, routed, prefix_rows):
+@pytest.mark.parametrize("block_rows", [8192, 70])
+def test_replay_equals_the_loop(spark, routed, block_rows):
     log = chained_log(5, 300, hot=3)
     probs = np.random.default_rng(6).dirichlet(np.ones(5), 300).tolist() if routed else None
     cache = PlainCache()
@@ -206,26 +210,65 @@ def test_replay_equals_the_loop(spark, routed, prefix_rows):
         rows = rows.withColumn("dominant_cluster", F.expr("cast(array_position(cluster_probs, array_max(cluster_probs)) - 1 as int)"))
     else:
         rows = rows.withColumn("dominant_cluster", F.lit(0))
-    replayed = replay_log(with_route(rows), prefix_rows=prefix_rows)
+    replayed = replay_log(with_route(rows), block_rows=block_rows)
     hits = {r.qid: r.entry_id for r in replayed.hits.collect()}
     assert {i: hits.get(i) for i in expected} == expected
     assert {r.qid for r in replayed.admitted.collect()} == {i for i, m in expected.items() if m is None}
 
 
-@pytest.mark.parametrize("capacity, prefix_rows", [(5, 8192), (20, 9), (1, 8192)])
-def test_eviction_equals_the_loop(spark, capacity, prefix_rows):
-    log = chained_log(21, 160, hot=6)
+def retained(spark, log, capacity, slice_rows, probs=None):
+    """Hits and entries of a log that goes through in slices, and the loop's."""
+    cache = PlainCache(capacity=capacity, slice_rows=slice_rows)
+    expected = {i: cache.ask(i, v, probs and probs[i]) for i, v in enumerate(log)}
+    # A log that ends within a slice is cut back at its end, too.
+    cache.entries = sorted(cache.entries, key=lambda entry: -cache.used[entry[0]])[:capacity]
+    rows = query_rows(spark, log, probs=probs).repartition(3)
+    cluster = "cast(array_position(cluster_probs, array_max(cluster_probs)) - 1 as int)" if probs else "0"
+    rows = rows.withColumn("dominant_cluster", F.expr(cluster))
+    hits, entries = replay_with_retention(with_route(rows), empty_cache(spark), capacity, slice_rows)
+    found = {r.qid: r.entry_id for r in hits.collect()}
+    assert {i: found.get(i) for i in expected} == expected
+    assert {r.entry_id for r in entries.collect()} == {entry[0] for entry in cache.entries}
+
+
+@pytest.mark.parametrize("capacity, slice_rows", [(5, 40), (20, 60), (1, 33)])
+def test_retention_equals_the_loop(spark, capacity, slice_rows):
     probs = np.random.default_rng(22).dirichlet(np.ones(4), 160).tolist()
-    cache = PlainCache(capacity=capacity)
-    expected = {i: cache.ask(i, v, probs[i]) for i, v in enumerate(log)}
-    rows = query_rows(spark, log, probs=probs).repartition(3).withColumn(
-        "dominant_cluster", F.expr("cast(array_position(cluster_probs, array_max(cluster_probs)) - 1 as int)")
-    )
-    replayed = replay_with_eviction(with_route(rows), empty_cache(spark), capacity, prefix_rows=prefix_rows)
-    hits = {r.qid: r.entry_id for r in replayed.hits.collect()}
-    assert {i: hits.get(i) for i in expected} == expected
-    gone = {r.entry_id for r in replayed.evicted.collect()} if replayed.evicted is not None else set()
-    assert {i for i, m in expected.items() if m is None} - gone == {entry[0] for entry in cache.entries}
+    retained(spark, chained_log(21, 160, hot=6), capacity, slice_rows, probs)
+
+
+def test_slices_of_one_query_evict_before_each_insert(spark):
+    log = [unit(v).astype(np.float32).astype(float) for v in np.eye(4)[[0, 1, 0, 2, 1, 3]]]
+    retained(spark, log, 2, 1)
+
+
+def test_cyclic_log_takes_as_many_turns_as_slices(spark, monkeypatch):
+    """One vector more than the cache holds, asked in turn."""
+    from corpusloom.operators import replay
+
+    turns = []
+    plain = replay.replay_log
+    monkeypatch.setattr(replay, "replay_log", lambda *args: turns.append(1) or plain(*args))
+    retained(spark, [v.astype(float) for _ in range(125) for v in np.eye(4)], 3, 125)
+    assert len(turns) == 4
+
+
+def test_replay_reads_no_rows_on_the_driver():
+    from pathlib import Path
+
+    from corpusloom.operators import replay
+
+    source = Path(replay.__file__).read_text()
+    assert "toArrow" not in source and "toPandas" not in source
+    # The one collect is of the clusters' sizes.
+    assert source.count(".collect()") == 1 and '.groupBy("dominant_cluster").count().collect()' in source
+
+
+def test_null_vectors_are_misses_and_no_entries(spark):
+    rows = spark.createDataFrame([(0, None), (1, [1.0, 0.0]), (2, None), (3, [1.0, 0.0])], "qid bigint, embedding array<double>")
+    replayed = replay_log(with_route(rows.withColumn("dominant_cluster", F.lit(0))))
+    assert [r.qid for r in replayed.admitted.collect()] == [1]
+    assert [(r.qid, r.entry_id) for r in replayed.hits.collect()] == [(3, 1)]
 
 
 def index_table(spark, n=20, d=4):
@@ -262,24 +305,25 @@ def test_answers_in_two_batches_equal_one(spark):
         assert response.dominant_cluster == int(np.argmax(probs[owner]))
 
 
-def test_long_logs_go_in_pieces(spark):
+def test_long_logs_go_in_slices(spark):
     log = chained_log(13, 90, hot=5)
     index, model = index_table(spark), small_model()
     queries = query_rows(spark, log).drop("result").repartition(3)
     whole = answer_queries(queries, index, model)
-    pieces = answer_queries(queries, index, model, batch_rows=25)
+    pieces = answer_queries(queries, index, model, slice_rows=25)
     rows = lambda df: {r.qid: r for r in df.collect()}
     assert rows(pieces.responses) == rows(whole.responses)
     assert {r.entry_id for r in pieces.entries.collect()} == {r.entry_id for r in whole.entries.collect()}
-    # A full cache gives the same answers in one piece and in several.
-    for rows_per_piece in (1000, 40):
-        small = answer_queries(queries, index, model, max_entries=7, batch_rows=rows_per_piece)
-        cache = PlainCache(capacity=7)
+    # A full cache is cut back after each slice.
+    for slice_rows in (1000, 40):
+        small = answer_queries(queries, index, model, max_entries=7, slice_rows=slice_rows)
+        cache = PlainCache(capacity=7, slice_rows=slice_rows)
         probs = {r.qid: r.cluster_probs for r in model.predict(queries).collect()}
         matches = {i: cache.ask(i, v, probs[i]) for i, v in enumerate(log)}
         found = {r.qid: r.matched_query for r in small.responses.collect()}
         assert found == {i: None if m is None else f"q{m}" for i, m in matches.items()}
-        assert {r.entry_id for r in small.entries.collect()} == {entry[0] for entry in cache.entries}
+        last = sorted(cache.entries, key=lambda entry: -cache.used[entry[0]])[:7]
+        assert {r.entry_id for r in small.entries.collect()} == {entry[0] for entry in last}
 
 
 def test_answers_without_model_and_eviction(spark):
