@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import add_cleaned_text, text_digest
+from corpusloom.session import stage
 
 DEFAULT_ORDER = ("category", "filename")
 
@@ -27,9 +28,50 @@ def first_per_group(df: DataFrame, key: Column, order_by: Sequence[str]) -> Data
     )
 
 
+def later_copies(keys: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """The places ``order_by`` of rows whose ``key`` an earlier row has, staged.
+
+    Only digests and places move. Counts and least places merge in the tasks; a key without copies
+    goes no further, and a key of many rows is split by the join.
+    """
+    narrow = keys.select(key, *order_by)
+    place = F.struct(*order_by)
+    groups = narrow.groupBy(key).agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).filter("_n > 1")
+    found = narrow.join(groups, key).filter(place > F.col("_first"))
+    return stage(found.select(*order_by), "later-copies")
+
+
+def without_later_copies(df: DataFrame, key: str, order_by: Sequence[str]) -> DataFrame:
+    """The first row of each ``key``; ``order_by`` names a row and has no nulls. ``df`` should be a stored table.
+
+    Copies are few as a rule, and their places small enough for a broadcast, so the rows that stay
+    are not moved. Where there are too many, Spark joins by shuffle.
+    """
+    return df.join(later_copies(df, key, order_by), [*order_by], "left_anti")
+
+
 def dedup_keep_first(df: DataFrame, column: str = "text", order_by: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
     """Drop rows whose ``column`` equals that of an earlier row."""
-    return first_per_group(df, text_digest(F.col(column)), order_by)
+    keyed = stage(df.withColumn("_key", text_digest(F.col(column))), "keyed")
+    return without_later_copies(keyed, "_key", order_by).select(*df.columns)
+
+
+def prepared_posts(posts: DataFrame) -> DataFrame:
+    """Posts with ``cleaned_text, cleaned_len, text_key, body_key``, staged: texts are cleaned once."""
+    cleaned = add_cleaned_text(posts).withColumn("cleaned_len", F.length("cleaned_text"))
+    keys = {"text_key": text_digest(F.col("text")), "body_key": text_digest(F.col("cleaned_text"))}
+    return stage(cleaned.withColumns(keys), "prepared")
+
+
+def surviving_prepared(
+    prepared: DataFrame, order_by: Sequence[str] = DEFAULT_ORDER, min_length: int = 50
+) -> DataFrame:
+    """The first post of each cleaned text, if it is long enough.
+
+    Exact duplicates need no pass of their own: copies of a text share their cleaned text, and the
+    first post of a cleaned text is also the first of its text.
+    """
+    return without_later_copies(prepared, "body_key", order_by).filter(F.col("cleaned_len") >= min_length)
 
 
 def duplicate_counts(keys: DataFrame) -> DataFrame:
@@ -49,12 +91,7 @@ def duplicate_counts(keys: DataFrame) -> DataFrame:
 def surviving_posts(
     posts: DataFrame, order_by: Sequence[str] = DEFAULT_ORDER, min_length: int = 50
 ) -> DataFrame:
-    """Clean, keep the first post of each cleaned text, drop short ones; adds ``cleaned_len``.
-
-    Exact duplicates need no shuffle of their own: copies of a text share their cleaned text, and
-    the first post of a cleaned text is also the first of its text, so the second pass leaves the
-    same posts with or without the first.
-    """
+    """As ``surviving_prepared`` in one lazy plan, for results that need no text; adds ``cleaned_len``."""
     cleaned = add_cleaned_text(posts).withColumn("cleaned_len", F.length("cleaned_text"))
     kept = first_per_group(cleaned, text_digest(F.col("cleaned_text")), order_by)
     return kept.filter(F.col("cleaned_len") >= min_length)
@@ -64,12 +101,15 @@ def removed_per_step(posts: DataFrame, min_length: int = 50) -> DataFrame:
     """One row with the number of posts that each cleaning step removes, in step order.
 
     Copies collapse before the first shuffle and again before the second; only digests move.
+    ``posts`` may be prepared, or is cleaned here.
     """
-    keys = add_cleaned_text(posts).select(
-        text_digest(F.col("text")).alias("text_key"),
-        text_digest(F.col("cleaned_text")).alias("body_key"),
-        F.coalesce(F.length("cleaned_text") < min_length, F.lit(True)).alias("short"),
-    )
+    if "body_key" not in posts.columns:
+        posts = add_cleaned_text(posts).select(
+            text_digest(F.col("text")).alias("text_key"),
+            text_digest(F.col("cleaned_text")).alias("body_key"),
+            F.length("cleaned_text").alias("cleaned_len"),
+        )
+    keys = posts.select("text_key", "body_key", F.coalesce(F.col("cleaned_len") < min_length, F.lit(True)).alias("short"))
     texts = keys.groupBy("text_key", "body_key", "short").agg(F.count(F.lit(1)).alias("posts"))
     bodies = texts.groupBy("body_key", "short").agg(
         F.sum("posts").alias("posts"), F.count(F.lit(1)).alias("texts")

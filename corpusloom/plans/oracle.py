@@ -298,6 +298,18 @@ TWO_ROUNDS_PAIRS = ROUTED_PAIRS.replace("b.id < a.id", "(b.id % 2, b.id) < (a.id
 SMALL_REPLAY = f"{ASSIGNED_LOG}, {TWO_ROUNDS}, {replayed(TWO_ROUNDS_PAIRS, SMALL_CACHE, SLICE)}"
 
 
+# Queries before the cut and from it on see the entries of their own part only.
+CUT = "halves as (select 2 * (max(vec_id) * 2 // 3 + 1) as cut from embeddings)"
+FLUSHED_PAIRS = ROUTED_PAIRS + " and (a.id >= (select cut from halves)) = (b.id >= (select cut from halves))"
+FLUSHED = f"{ASSIGNED_LOG}, {CUT}, {SEQUENCE}, {replayed(FLUSHED_PAIRS)}"
+# Every seventh query has no vector: it is in the log, but finds nothing and is found by none.
+NO_VECTOR = (
+    f"{ASSIGNED_LOG}, every as (select id from log), vectored as (select id from log where id % 7 <> 0), "
+    "seq as (select id, row_number() over (order by id) - 1 as i from vectored), "
+    + replayed(ROUTED_PAIRS + " and a.id % 7 <> 0 and b.id % 7 <> 0")
+)
+
+
 def result_lists(source: str) -> str:
     return f"""answers as (select qid, string_agg(category||':'||printf('%.4f', round(score, 4)), ',' order by rank) as result
     from {ranked(source, 5)} group by qid)"""
@@ -380,7 +392,19 @@ ORACLE_SQL: dict[str, str] = {
     "min(length(cleaned_text))::integer as min_length, max(length(cleaned_text))::integer as max_length from d where length(cleaned_text) >= 50",
     "saved_corpus": f"with {POSTS}, c as (select *, {cleaned('text')} as cleaned_text from posts), "
     f"d as ({first_of('cleaned_text', 'c', 'category, filename, cleaned_text')}) select * from d where length(cleaned_text) >= 50",
+    "posts_tree_job": f"with {MIXED}, tree as (select category, filename, "
+    r"regexp_replace(regexp_replace(text, '[^\x{00}-\x{FF}]', '?', 'g'), '\r\n?', chr(10), 'g') as text from mixed), "
+    f"c as (select *, {cleaned('text')} as cleaned_text from tree), "
+    f"d as (select * from ({first_of('cleaned_text', 'c', '*')}) where length(cleaned_text) >= 50) "
+    "select count(*) as loaded, count(*) - count(distinct text) as exact_duplicates, "
+    "count(distinct text) - count(distinct cleaned_text) as body_duplicates, "
+    "count(distinct cleaned_text) filter (where length(cleaned_text) < 50) as too_short, "
+    "count(distinct cleaned_text) filter (where length(cleaned_text) >= 50) as remaining, "
+    "(select count(*) from d) as written, (select sum(length(text))::bigint from d) as characters, "
+    "(select sum(length(cleaned_text))::bigint from d) as cleaned_characters, (select min(category||'/'||filename) from d) as first_file from c",
     "sample_documents": "select doc_id, source as category from documents order by md5('42:'||doc_id), doc_id limit 5000",
+    "sample_some": "select doc_id, source as category from documents "
+    "order by md5('7:'||doc_id), doc_id limit (select count(*) // 3 from documents)",
     "rejected_queries": "select role, count(*) filter (where length(text) >= 1) as valid, "
     "count(*) filter (where not coalesce(length(text) >= 1, false)) as rejected from conversations group by role",
     "docs_per_category": "select source as category, count(*) as n from documents group by 1 order by n desc, category",
@@ -398,6 +422,10 @@ ORACLE_SQL: dict[str, str] = {
     "hash_embed": f"with {CLEANED_DOCS}, {hash_vectors('docs', 'doc_id', 'cleaned_text', 'vectors')} "
     "select doc_id, array_to_string(list_transform(vec, lambda x: round(x * 1000000)::bigint::varchar), ',') as embedding_e6 from vectors",
     "topk_search": f"with {LABEL_QUERIES} select qid, rank, doc_id, round(score, 6) as score from {ranked('scores', 5)}",
+    "topk_all": f"with {LABEL_QUERIES} select qid, count(*) as hits, min(rank) as first_rank, max(rank) as last_rank, "
+    "bool_and(place = rank) as in_order from (select *, (row_number() over (partition by qid order by score desc, doc_id))::integer as rank, "
+    "row_number() over (partition by qid order by score desc, doc_id) as place from scores) group by qid",
+    "topk_none": "select 0::bigint as hits",
     "topk_filtered": f"with {LABEL_QUERIES} select qid, rank, doc_id, round(score, 6) as score "
     f"from {ranked('scores', 5, 'category = wanted')}",
     "topk_overfetch": f"with {LABEL_QUERIES}, fetched as (select * exclude (rank) from {ranked('scores', 25)}) "
@@ -427,6 +455,11 @@ ORACLE_SQL: dict[str, str] = {
     "prob_map_top5": f"with {ASSIGNED} select id as doc_id, probabilities from {PROBABILITY_TEXT}",
     "membership_check": f"with {ASSIGNED}, sums as (select id, sum(p) as total, count(*) as n from probs group by id) "
     "select count(*) as n_documents, min(n)::integer as n_clusters, max(abs(total - 1)) < 1e-5 and min(n) > 1 as is_distribution from sums",
+    "pca_variance": f"with {VECTORS}, {ELEMENTS}, centered as (select doc_id, d, x - avg(x) over (partition by d) as x from elements), "
+    "cov as (select a.d as i, b.d as j, sum(a.x * b.x) / ((select count(*) from vectors) - 1) as c "
+    "from centered a join centered b using (doc_id) group by a.d, b.d), "
+    "total as (select sum(c) filter (where i = j) as trace, sum(c * c) as squares, count(distinct i) as n from cov) "
+    "select n as components, 1.0::double as share_sum, round(squares / (trace * trace), 6) as share_squares, true as falling from total",
     "pca_projection": f"with {VECTORS}, {ELEMENTS}, spread as (select var_samp(x) as variance from elements group by d) "
     "select (select count(*) from vectors) as n, round(sum(variance), 6) as total_variance, true as centered, true as uncorrelated from spread",
     "saved_model": f"with {ASSIGNED_LOG} select b.id as qid, best as dominant_cluster, round(top, 6) as dominant_prob, "
@@ -472,4 +505,8 @@ select 'label' as labelling, round(avg(case when a is null then 0 else (b - a) /
     "answer_log": ANSWER_LOG,
     "answer_conversations": ANSWER_CONVERSATIONS,
     "cache_stream": ANSWER_LOG,
+    "cache_flush": f"with recursive {FLUSHED}, counted as (select count(*) as n, count(h.id) as hits from log l left join hits h on h.id = l.id "
+    "where l.id >= (select cut from halves)) select n - hits as total_entries, hits as hit_count, n - hits as miss_count, "
+    "round(hits / n, 4) as hit_rate from counted",
+    "cache_no_vector": f"with recursive {NO_VECTOR} select l.id as qid, h.entry_id is not null as cache_hit, h.entry_id from every l left join hits h on h.id = l.id",
 }

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.text import (
@@ -47,11 +47,11 @@ from corpusloom.operators.selection import aic, bic, silhouette
 from corpusloom.operators.state import admit, cache_stats, empty_cache, retain, touch
 from corpusloom.operators.sweep import pair_similarity, threshold_sweep
 from corpusloom.plans.answer import answer_queries, split_empty
-from corpusloom.plans.clean_job import clean_corpus, corpus_summary
+from corpusloom.plans.clean_job import clean_corpus, corpus_summary, run_clean_job
 from corpusloom.session import spread, stage, stage_path
-from corpusloom.sources.posts import RAW_SCHEMA, load_cleaned, save_cleaned, save_cleaned_json, save_raw
+from corpusloom.sources.posts import RAW_SCHEMA, load_cleaned, save_cleaned, save_cleaned_json, save_raw, write_posts
 from corpusloom.sources.tables import append_index, load_embeddings, load_index, save_composition, save_embeddings, save_index
-from corpusloom.streaming.cache_stream import answer_stream, read_responses
+from corpusloom.streaming.cache_stream import answer_stream, flush_stream, read_responses, stream_stats
 
 # Posts made of a document: header with sender and groups, a quoted line, the text, a signature.
 # The same expression text is valid in Spark SQL and in the SQL of the checks.
@@ -209,11 +209,29 @@ def saved_corpus(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("category string, filename string, cleaned_text string").json(f"{folder}/json")
 
 
+def posts_tree_job(spark: SparkSession, sf: str) -> DataFrame:
+    """Documents as a tree of files, loaded, cleaned and counted; the counts with a digest of what was written."""
+    folder = stage_path(spark, "posts-tree")
+    write_posts(_mixed_posts(spark, sf), f"{folder}/tree")
+    counts = run_clean_job(spark, f"{folder}/tree", f"{folder}/cleaned", f"{folder}/json")
+    written = load_cleaned(spark, f"{folder}/cleaned").agg(
+        F.count(F.lit(1)).alias("written"), F.sum(F.length("text")).alias("characters"), F.sum(F.length("cleaned_text")).alias("cleaned_characters"),
+        F.min(F.concat_ws("/", "category", "filename")).alias("first_file"),
+    )
+    return counts.withColumn("one", F.lit(1)).join(written.withColumn("one", F.lit(1)), "one").drop("one")
+
+
 def sample_documents(spark: SparkSession, sf: str) -> DataFrame:
     """The sample that the silhouette draws, drawn from the documents."""
     return hash_sample(_plain_posts(spark, sf).select("doc_id", "category"))
 
 
+def sample_some(spark: SparkSession, sf: str) -> DataFrame:
+    """A sample of a third of the documents."""
+    docs = _plain_posts(spark, sf).select("doc_id", "category")
+    return hash_sample(docs, docs.count() // 3, seed=7)
+
+
 def rejected_queries(spark: SparkSession, sf: str) -> DataFrame:
     """Turns of the conversations that can and cannot be asked, by role."""
     turns = _table(spark, sf, "conversations").select("role", F.col("text").alias("query"))
@@ -253,6 +271,24 @@ def topk_search(spark: SparkSession, sf: str) -> DataFrame:
     return top_k(vectors, _label_queries(vectors)).select("qid", "rank", "doc_id", *_round("score"))
 
 
+def topk_all(spark: SparkSession, sf: str) -> DataFrame:
+    """More hits asked for than there are vectors: every query gets all of them."""
+    vectors = _vectors(spark, sf)
+    hits = top_k(vectors, _label_queries(vectors), k=vectors.count() + 10)
+    order = Window.partitionBy("qid").orderBy(F.desc("score"), "doc_id")
+    placed = hits.withColumn("place", F.row_number().over(order))
+    return placed.groupBy("qid").agg(
+        F.count(F.lit(1)).alias("hits"), F.min("rank").alias("first_rank"), F.max("rank").alias("last_rank"),
+        F.bool_and(F.col("place") == F.col("rank")).alias("in_order"),
+    )
+
+
+def topk_none(spark: SparkSession, sf: str) -> DataFrame:
+    """A search in a vector table without rows."""
+    vectors = _vectors(spark, sf)
+    return top_k(vectors.filter("doc_id < 0"), _label_queries(vectors)).agg(F.count(F.lit(1)).alias("hits"))
+
+
 def topk_filtered(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
     hits = top_k(vectors, _label_queries(vectors), filtered=True)
@@ -422,8 +458,18 @@ def silhouette_sample(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pca_variance(spark: SparkSession, sf: str) -> DataFrame:
-    shares = explained_variance(fit_projection(_vectors(spark, sf)))
-    return spark.createDataFrame(list(enumerate(shares)), "component int, share double")
+    """Shares of all components: their sum, and the sum of squares, which the covariances have too."""
+    vectors = _vectors(spark, sf)
+    dimension = vectors.select(F.max(F.size("embedding"))).first()[0]
+    shares = explained_variance(fit_projection(vectors, dimension))
+    rows = spark.createDataFrame(list(enumerate(shares)), "component int, share double")
+    ordered = F.array_sort(F.collect_list(F.struct("component", "share")))
+    falling = F.forall(F.sequence(F.lit(1), F.size("listed") - 1), lambda i: F.col("listed")[i]["share"] <= F.col("listed")[i - 1]["share"] + 1e-12)
+    summed = rows.agg(
+        F.count(F.lit(1)).alias("components"), F.round(F.sum("share"), 6).alias("share_sum"),
+        F.round(F.sum(F.col("share") * F.col("share")), 6).alias("share_squares"), ordered.alias("listed"),
+    )
+    return summed.select("components", "share_sum", "share_squares", falling.alias("falling"))
 
 
 def pca_projection(spark: SparkSession, sf: str) -> DataFrame:
@@ -650,15 +696,43 @@ def answer_conversations(spark: SparkSession, sf: str) -> DataFrame:
     return _flat_responses(answers.responses).drop("probabilities")
 
 
+def _stream_in_parts(spark: SparkSession, sf: str, folder: str, parts: list[Column]) -> DataFrame:
+    """Run the streaming cache over the vectors, a micro-batch for each part of them; returns the responses."""
+    vectors, table = _vectors(spark, sf), _table(spark, sf, "embeddings")
+    source = f"{folder}/source"
+    for part in parts:
+        table.filter(part).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 1).parquet(source)
+    answer_stream(_query_log(spark, sf, stream), _label_index(vectors), folder, _label_model(vectors)).awaitTermination()
+    return read_responses(spark, folder)
+
+
+def _thirds(spark: SparkSession, sf: str) -> list[Column]:
+    third = _table(spark, sf, "embeddings").agg(F.floor(F.max("vec_id") / 3) + 1).first()[0]
+    return [F.floor(F.col("vec_id") / third) == i for i in range(3)]
+
+
 def cache_stream(spark: SparkSession, sf: str) -> DataFrame:
-    """The query log of ``answer_log`` as a stream over the file of vectors, through the streaming cache."""
-    vectors = _vectors(spark, sf)
-    schema = _table(spark, sf, "embeddings").schema
-    stream = spark.readStream.schema(schema).option("pathGlobFilter", "embeddings.parquet").parquet(sf)
-    folder = stage_path(spark, "cache-stream")
-    query = answer_stream(_query_log(spark, sf, stream), _label_index(vectors), folder, _label_model(vectors))
-    query.awaitTermination()
-    return _flat_responses(read_responses(spark, folder))
+    """The query log of ``answer_log`` as a stream of three files, each a micro-batch."""
+    return _flat_responses(_stream_in_parts(spark, sf, stage_path(spark, "cache-stream"), _thirds(spark, sf)))
+
+
+def cache_flush(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of the stream's cache after two parts of the log, a flush, and the third."""
+    folder = stage_path(spark, "cache-flush")
+    last = _table(spark, sf, "embeddings").agg(F.floor(F.max("vec_id") * 2 / 3) + 1).first()[0]
+    half = F.floor(F.lit(last) / 2)
+    _stream_in_parts(spark, sf, folder, [F.col("vec_id") < half, F.col("vec_id").between(half, last - 1)])
+    flush_stream(spark, folder)
+    _stream_in_parts(spark, sf, folder, [F.col("vec_id") >= last])
+    return stream_stats(spark, folder)
+
+
+def cache_no_vector(spark: SparkSession, sf: str) -> DataFrame:
+    """The replay of a log in which every seventh query has no vector."""
+    log = with_route(_assigned_log(spark, sf)).withColumn("embedding", F.when(F.col("qid") % 7 != 0, F.col("embedding")))
+    hits = replay_log(log).hits
+    return log.select("qid").join(hits, "qid", "left").select("qid", F.col("entry_id").isNotNull().alias("cache_hit"), "entry_id")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -671,7 +745,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_step_counts": clean_step_counts,
     "corpus_summary": corpus_summary_query,
     "saved_corpus": saved_corpus,
+    "posts_tree_job": posts_tree_job,
     "sample_documents": sample_documents,
+    "sample_some": sample_some,
     "rejected_queries": rejected_queries,
     "docs_per_category": docs_per_category,
     "load_totals": load_totals,
@@ -682,6 +758,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "profile_all": profile_all,
     "hash_embed": hash_embed,
     "topk_search": topk_search,
+    "topk_all": topk_all,
+    "topk_none": topk_none,
     "topk_filtered": topk_filtered,
     "topk_overfetch": topk_overfetch,
     "smoke_search": smoke_search,
@@ -715,4 +793,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "answer_log": answer_log,
     "answer_conversations": answer_conversations,
     "cache_stream": cache_stream,
+    "cache_flush": cache_flush,
+    "cache_no_vector": cache_no_vector,
 }
