@@ -13,11 +13,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import row_blocks, to_lists, to_matrix
-from corpusloom.operators.sample import hash_sample
 from corpusloom.session import ship
 
 VARIANCE_FLOOR = 1e-6
-SEED_ROWS = 5000
+#: Rounds in which candidates for starting centers are drawn, about this often as many as centers in each.
+SEED_ROUNDS = 4
+SEED_FACTOR = 2
+#: Centers that move less have converged.
+CENTER_TOLERANCE = 1e-4
 DIRECT_BYTES = 32 * 1024 * 1024
 
 
@@ -147,19 +150,76 @@ def one_pass(
     for name, statistics in zip(rows["model"].to_pylist(), rows["statistics"]):
         flat = statistics.values.to_numpy()
         totals[name] = totals[name] + flat if name in totals else flat
-    shared.unpersist()
+    shared.destroy()
     return {name: Statistics.unpack(flat, models[name].k) for name, flat in totals.items()}
 
 
-def _spread_seeds(sample: np.ndarray, k: int, rng: np.random.Generator) -> Centers:
-    """``k`` sample rows, each drawn with probability growing with its distance to those before."""
-    chosen = [rng.integers(len(sample))]
-    nearest = ((sample - sample[chosen[0]]) ** 2).sum(axis=1)
+def _uniform(keys: np.ndarray, job: int, round_: int) -> np.ndarray:
+    """A number in [0, 1) for each key, job and round, by mixing bits."""
+    mixed = keys.view(np.uint64) + np.uint64((job * 1009 + round_ + 1) * 0x9E3779B97F4A7C15 % 2**64)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+        mixed = (mixed ^ (mixed >> np.uint64(shift))) * np.uint64(factor)
+    return (mixed ^ (mixed >> np.uint64(31))) / 2.0**64
+
+
+def _draw(points: DataFrame, centers: dict[int, Centers], shares: dict[int, float], round_: int) -> dict[int, np.ndarray]:
+    """Rows drawn with a chance of ``share`` times their squared distance to the nearest center."""
+    spark = points.sparkSession
+    shared = spark.sparkContext.broadcast(centers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, keys = to_matrix(batch["features"]), batch["_key"].to_numpy(zero_copy_only=False)
+            jobs, rows = [], []
+            for job, model in shared.value.items():
+                for part in row_blocks(len(x), model.k):
+                    distance = np.maximum(-model.soft(x[part])[1], 0.0)
+                    chosen = np.flatnonzero(_uniform(keys[part], job, round_) < shares[job] * distance)
+                    jobs += [job] * len(chosen)
+                    rows += x[part][chosen].tolist()
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(jobs, pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["job", "features"]
+            )
+
+    drawn = points.select(F.xxhash64("doc_id").alias("_key"), "features").mapInArrow(run, "job int, features array<double>").toArrow()
+    shared.destroy()
+    job, rows = drawn["job"].to_numpy(), to_matrix(drawn["features"])
+    return {i: rows[job == i] for i in centers}
+
+
+def spread_centers(points: DataFrame, jobs: list[tuple[int, int]], seed: int, tasks: int | None = None) -> dict[int, Centers]:
+    """Starting centers for every ``(k, start)`` of ``jobs``, drawn from all rows.
+
+    Rows far from the candidates so far are drawn in a few rounds, all jobs in the same passes; the
+    candidates, a few times ``k`` however many rows there are, are weighted by the rows nearest to
+    them, and the driver spreads ``k`` centers over them.
+    """
+    first = points.agg(
+        *[
+            F.min_by("features", F.struct(F.xxhash64("doc_id", F.lit(seed), F.lit(k), F.lit(start)), "doc_id")).alias(f"j{i}")
+            for i, (k, start) in enumerate(jobs)
+        ]
+    ).first()
+    found = {i: Centers(np.array([first[f"j{i}"]], dtype=float)) for i in range(len(jobs))}
+    for round_ in range(SEED_ROUNDS):
+        far = {i: -s.log_likelihood for i, s in one_pass(points, found, tasks).items()}
+        shares = {i: SEED_FACTOR * jobs[i][0] / far[i] if far[i] > 0 else 0.0 for i in found}
+        drawn = _draw(points, found, shares, round_)
+        # In a fixed order, whatever the partitions.
+        found = {i: Centers(np.unique(np.concatenate([c.means, drawn[i]]) if len(drawn[i]) else c.means, axis=0)) for i, c in found.items()}
+    weights = {i: s.weight for i, s in one_pass(points, found, tasks).items()}
+    return {i: _spread(found[i].means, weights[i], k, np.random.default_rng([seed, k, start])) for i, (k, start) in enumerate(jobs)}
+
+
+def _spread(rows: np.ndarray, weight: np.ndarray, k: int, rng: np.random.Generator) -> Centers:
+    """``k`` of the rows, each drawn with a chance that grows with its weight and its distance to those before."""
+    chosen = [rng.choice(len(rows), p=weight / weight.sum())]
+    nearest = ((rows - rows[chosen[0]]) ** 2).sum(axis=1)
     while len(chosen) < k:
-        share = nearest / nearest.sum() if nearest.sum() > 0 else np.full(len(sample), 1 / len(sample))
-        chosen.append(rng.choice(len(sample), p=share))
-        nearest = np.minimum(nearest, ((sample - sample[chosen[-1]]) ** 2).sum(axis=1))
-    return Centers(sample[chosen])
+        share = weight * nearest if (weight * nearest).sum() > 0 else weight
+        chosen.append(rng.choice(len(rows), p=share / share.sum()))
+        nearest = np.minimum(nearest, ((rows - rows[chosen[-1]]) ** 2).sum(axis=1))
+    return Centers(rows[chosen])
 
 
 @dataclass(frozen=True)
@@ -214,37 +274,34 @@ def fit_mixtures(
     max_iter: int = 300,
     tol: float = 1e-3,
     seed: int = 42,
-    center_rounds: int = 10,
+    starts: dict[int, Centers] | None = None,
     on_round: Callable[[dict[int, float]], None] | None = None,
 ) -> dict[int, Fit]:
     """Fit a mixture for every ``k`` over ``points(doc_id, features)``, keeping the best of ``n_init`` starts.
 
     All component counts and starts advance in the same pass, so the table is read once per round
     rather than once per round, start and count; finished ones leave the pass. ``points`` should be
-    a staged table. Every round uses all rows; only the starting centers come from a sample.
+    a staged table. Starting centers are drawn from all rows and moved until they stay, ``max_iter``
+    rounds at most; ``starts`` gives centers for each ``k`` instead, which are taken as they are.
     """
-    sample = to_matrix(hash_sample(points, SEED_ROWS, seed).select("features").toArrow()["features"])
-    if len(sample) < max(ks):
-        raise ValueError(f"{len(sample)} rows are too few for {max(ks)} components")
+    if points.count() < max(ks):
+        raise ValueError(f"too few rows for {max(ks)} components")
     tasks = points.rdd.getNumPartitions()
-    jobs = [(k, start) for k in ks for start in range(n_init)]
-    active: dict[int, Mixture | Centers] = {
-        i: _spread_seeds(sample, k, np.random.default_rng([seed, k, start])) for i, (k, start) in enumerate(jobs)
-    }
-
-    settled: dict[int, Mixture | Centers] = {}
-    for _ in range(center_rounds):
+    jobs = [(k, start) for k in ks for start in range(1 if starts else n_init)]
+    settled: dict[int, Mixture | Centers] = {i: starts[k] for i, (k, _) in enumerate(jobs)} if starts else {}
+    active: dict[int, Mixture | Centers] = {} if starts else dict(spread_centers(points, jobs, seed, tasks))
+    for _ in range(max_iter):
+        if not active:
+            break
         statistics = one_pass(points, active, tasks)
         moved = {i: statistics[i].centers(model) for i, model in active.items()}
-        still = {i for i in active if not np.allclose(moved[i].means, active[i].means, atol=1e-6)}
+        still = {i for i in active if not np.allclose(moved[i].means, active[i].means, rtol=0, atol=CENTER_TOLERANCE)}
         settled |= {i: moved[i] for i in active if i not in still}
         active = {i: moved[i] for i in still}
-        if not active:
-            break
     statistics = one_pass(points, settled | active, tasks)
-    starts = {i: s.mixture() for i, s in sorted(statistics.items())}
+    mixtures = {i: s.mixture() for i, s in sorted(statistics.items())}
 
-    fits = expectation_maximization(points, starts, max_iter, tol, tasks, on_round)
+    fits = expectation_maximization(points, mixtures, max_iter, tol, tasks, on_round)
     best: dict[int, Fit] = {}
     for i, (k, _) in enumerate(jobs):
         # Starts that end in the same optimum differ by rounding only: the first of them is kept.
@@ -253,11 +310,6 @@ def fit_mixtures(
     return best
 
 
-def log_likelihoods(points: DataFrame, mixtures: dict[int, Mixture]) -> dict[int, Statistics]:
-    """Statistics under the final parameters of every mixture, in one pass."""
-    return one_pass(points, mixtures)
-
-
 def mixture_step(points: DataFrame, mixture: Mixture) -> tuple[Mixture, Statistics]:
     """One round of expectation and maximization."""
     statistics = one_pass(points, {0: mixture})[0]
@@ -301,6 +353,8 @@ def mixture_from_labels(points: DataFrame, label: str = "label", features: str =
         .orderBy(label)
         .collect()
     )
+    if [row[label] for row in rows] != list(range(len(rows))):
+        raise ValueError("labels must run from 0 without gaps or nulls")
     n = np.array([row.n for row in rows], dtype=float)
     means = np.array([row["mean"] for row in rows])
     variances = np.array([row["square"] for row in rows]) - means**2 + VARIANCE_FLOOR

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.vectors import dominant
 from corpusloom.session import stage
 
 
@@ -85,11 +84,3 @@ def membership_check(assignments: DataFrame, tolerance: float = 1e-5) -> DataFra
         ((worst < tolerance) & (F.min(F.size("cluster_probs")) > 1)).alias("is_distribution"),
     )
 
-
-def assign(vectors: DataFrame, probs: Column) -> DataFrame:
-    """Add memberships and the dominant cluster with its probability."""
-    return (
-        vectors.withColumn("cluster_probs", probs)
-        .withColumn("dominant_cluster", dominant(F.col("cluster_probs")))
-        .withColumn("dominant_prob", F.array_max("cluster_probs"))
-    )

@@ -13,11 +13,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
 from corpusloom.operators.tiles import TILE_ROWS, over_tiles, with_vectors
-from corpusloom.session import stage
 
 SNIPPET_LENGTH = 500
-# Hits whose ids and details (a snippet each) a broadcast may carry.
-BROADCAST_HITS = 50_000
 
 
 def _best_candidates(scores: np.ndarray, k: int, floor: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,16 +136,8 @@ def top_k_overfetch(vectors: DataFrame, queries: DataFrame, k: int = 5, overfetc
 
 
 def with_metadata_columns(hits: DataFrame, table: DataFrame) -> DataFrame:
-    """Join hits to columns of the vector table by ``doc_id``.
-
-    The hits are staged, so their number is known: up to ``BROADCAST_HITS`` the table is filtered
-    in place by the hit ids and never shuffled; more hits are joined by shuffle.
-    """
-    staged = stage(hits, "hits")
-    if staged.count() <= BROADCAST_HITS:
-        wanted = F.broadcast(staged.select("doc_id").distinct())
-        table = F.broadcast(table.join(wanted, "doc_id", "left_semi"))
-    return staged.join(table, "doc_id", "left")
+    """Join hits to columns of the vector table by ``doc_id``; the side of the join is Spark's choice."""
+    return hits.join(table, "doc_id", "left")
 
 
 def with_metadata(hits: DataFrame, index: DataFrame) -> DataFrame:
@@ -193,10 +182,6 @@ def build_index(docs: DataFrame, embeddings: DataFrame | None = None) -> DataFra
     )
 
 
-def append_to_index(index: DataFrame, more: DataFrame) -> DataFrame:
-    return index.unionByName(more)
-
-
 def tag_clusters(index: DataFrame, assignments: DataFrame) -> DataFrame:
     """Set ``dominant_cluster`` from ``(doc_id, dominant_cluster)``; vectors without one get null."""
     return index.drop("dominant_cluster").join(

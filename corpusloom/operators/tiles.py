@@ -64,4 +64,4 @@ def over_tiles(
 def _append(large: DataFrame, run: Callable, piece: pa.Table, schema: str, path: str) -> None:
     shared = large.sparkSession.sparkContext.broadcast(piece)
     large.mapInArrow(run(shared), schema).write.mode("append").parquet(path)
-    shared.unpersist()
+    shared.destroy()

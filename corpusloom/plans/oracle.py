@@ -8,12 +8,15 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from corpusloom.functions.text import BLANKS, BLANKS_IN_LINE, WORD
 from corpusloom.operators.profile import HEADER_KEYS
 from corpusloom.operators.sweep import THRESHOLDS
-from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, LRU_ENTRIES, POST_TEXT, SLICE, SMALL_CACHE, SMOKE_QUERIES
+from corpusloom.plans.registered import EMBED_DIMENSION, GMM_ROUNDS, GRID, GRID_ROUNDS, LRU_ENTRIES, POST_TEXT, SLICE, SMALL_CACHE, SMOKE_QUERIES
 
 NL = "chr(10)"
+# The classes of blanks and of word characters, stated here on their own.
+BLANKS_IN_LINE = r"\t\x0B\f\r \x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+BLANKS = r"\n" + BLANKS_IN_LINE
+WORD = r"\p{L}\p{N}_"
 ASCII_BLANK_CHARS = "||".join(f"chr({c})" for c in [9, 10, 11, 12, 13, 28, 29, 30, 31, 32])
 ALL_BLANK_CHARS = "||".join(
     f"chr({c})"
@@ -351,21 +354,65 @@ STEP = """updated as (select k, d, sum(p) as n, sum(p * x) / sum(p) as mean, sum
 
 
 
-def rounds(n: int) -> str:
-    """CTEs that end in ``p<n>(k, d, mu, var)`` and ``w<n>(k, w)`` after ``n`` rounds from the labels."""
-    steps = ["p0 as (select * from parameters), w0 as (select * from weights)"]
+def rounds(n: int, tag: str = "", start: str = "p0 as (select * from parameters), w0 as (select * from weights)") -> str:
+    """CTEs that end in ``p<n>(k, d, mu, var)`` and ``w<n>(k, w)`` after ``n`` rounds from ``start``; names end in ``tag``."""
+    steps = [start]
     for i in range(n):
-        steps.append(f"""j{i} as (select e.doc_id as id, k, ln(any_value(w)) + sum(-0.5 * (ln(2 * pi() * var) + (x - mu) * (x - mu) / var)) as l
-    from elements e join p{i} using (d) join w{i} using (k) group by e.doc_id, k),
-  s{i} as (select id, k, exp(l - max(l) over (partition by id)) as e from j{i}),
-  r{i} as materialized (select id, k, e / sum(e) over (partition by id) as p from s{i}),
-  w{i + 1} as materialized (select k, sum(p) / (select count(*) from vectors) as w from r{i} group by k),
-  p{i + 1} as materialized (select k, d, sum(p * x) / sum(p) as mu,
+        steps.append(f"""j{i}{tag} as (select e.doc_id as id, k, ln(any_value(w)) + sum(-0.5 * (ln(2 * pi() * var) + (x - mu) * (x - mu) / var)) as l
+    from elements e join p{i}{tag} using (d) join w{i}{tag} using (k) group by e.doc_id, k),
+  s{i}{tag} as (select id, k, exp(l - max(l) over (partition by id)) as e from j{i}{tag}),
+  r{i}{tag} as materialized (select id, k, e / sum(e) over (partition by id) as p from s{i}{tag}),
+  w{i + 1}{tag} as materialized (select k, sum(p) / (select count(*) from vectors) as w from r{i}{tag} group by k),
+  p{i + 1}{tag} as materialized (select k, d, sum(p * x) / sum(p) as mu,
     sum(p * x * x) / sum(p) - (sum(p * x) / sum(p)) * (sum(p * x) / sum(p)) + 1e-6 as var
-    from r{i} join elements e on e.doc_id = id group by k, d)""")
+    from r{i}{tag} join elements e on e.doc_id = id group by k, d)""")
     return ",\n  ".join(steps)
 
 
+def grid_fit(k: int) -> str:
+    """CTEs that end in ``m<k>(id, k, l)``, the joint log densities after the rounds of a fit with ``k`` components."""
+    tag, last = f"_{k}", GRID_ROUNDS
+    start = f"""c{tag} as (select row_number() over (order by md5('42:'||doc_id), doc_id) - 1 as k, v from vectors
+    order by md5('42:'||doc_id), doc_id limit {k}),
+  near{tag} as (select doc_id, k from vectors x, c{tag} c
+    qualify row_number() over (partition by doc_id order by list_distance(x.v, c.v), k) = 1),
+  p0{tag} as materialized (select k, d, avg(x) as mu, greatest(avg(x * x) - avg(x) * avg(x), 0) + 1e-6 as var
+    from near{tag} join elements using (doc_id) group by k, d),
+  w0{tag} as materialized (select k, count(*) / (select count(*) from vectors) as w from near{tag} group by k)"""
+    return f"""{rounds(last, tag, start)},
+  m{tag} as materialized (select e.doc_id as id, k, ln(any_value(w)) + sum(-0.5 * (ln(2 * pi() * var) + (x - mu) * (x - mu) / var)) as l
+    from elements e join p{last}{tag} using (d) join w{last}{tag} using (k) group by e.doc_id, k),
+  best{tag} as (select id as doc_id, k as own from m{tag} qualify row_number() over (partition by id order by l desc, k) = 1)"""
+
+
+def grid_row(k: int) -> str:
+    return f"""select {k} as k, (select sum(ll) from (select max(l) + ln(sum(exp(l - top))) as ll
+      from (select *, max(l) over (partition by id) as top from m_{k}) group by id)) as ll,
+    (select 2 * {k} * count(distinct d) + {k} - 1 from elements) as free, (select count(*) from vectors) as n,
+    (select avg(case when a is null then 0 else (b - a) / greatest(a, b) end) from
+      (select doc_id, any_value(total / n) filter (where own = other and n > 0) as a, min(total / n) filter (where own <> other) as b from
+        (select x.doc_id, bx.own, bo.own as other, sum(list_distance(x.v, o.v)) filter (where x.doc_id <> o.doc_id) as total,
+            count(*) filter (where x.doc_id <> o.doc_id) as n
+          from sample x join best_{k} bx on bx.doc_id = x.doc_id, sample o join best_{k} bo on bo.doc_id = o.doc_id
+          group by x.doc_id, bx.own, bo.own) group by doc_id)) as silhouette"""
+
+
+GRID_SQL = (
+    f"with {VECTORS}, {ELEMENTS}, sample as (select * from vectors order by md5('42:'||doc_id), doc_id limit 5000), "
+    + ", ".join(grid_fit(k) for k in GRID)
+    + f", grid as ({' union all '.join(grid_row(k) for k in GRID)}), "
+    "scored as (select k, -2 * ll + free * ln(n) as bic, -2 * ll + 2 * free as aic, silhouette from grid), "
+    "won as (select k as winner from scored order by bic, k limit 1) "
+    "select k, round(bic, 3) as bic, round(aic, 3) as aic, round(silhouette, 6) as silhouette, k = winner as optimal, "
+    f"k = winner and winner in ({min(GRID)}, {max(GRID)}) as at_edge from scored, won"
+)
+TRAINED_SQL = (
+    f"with {VECTORS}, {ELEMENTS}, {grid_fit(GRID[-1])} select id as doc_id, k::integer as dominant_cluster, "
+    f"round(1 / sum(exp(l - top)) over (partition by id), 4) as dominant_prob from (select *, max(l) over (partition by id) as top from m_{GRID[-1]}) "
+    "qualify row_number() over (partition by id order by l desc, k) = 1"
+)
+
+
 ORACLE_SQL: dict[str, str] = {
     "clean_posts": f"with {POSTS} select doc_id, {cleaned('text')} as cleaned_text from posts",
     "clean_pages": f"select page_id, {cleaned('html')} as cleaned_text from pages",
@@ -482,6 +529,9 @@ ORACLE_SQL: dict[str, str] = {
   parts as (select doc_id, any_value(total / n) filter (where own = other and n > 0) as a, min(total / n) filter (where own <> other) as b
     from sums group by doc_id)
 select 'label' as labelling, round(avg(case when a is null then 0 else (b - a) / greatest(a, b) end), 6) as silhouette, count(*) as n from parts""",
+    "k_selection_rounds": GRID_SQL,
+    "train_rounds": TRAINED_SQL,
+    "saved_projection": "select count(*) as n, count(*) as same, count(distinct label)::integer as n_clusters from embeddings",
     "pair_similarity": f"with {NEIGHBOURS} select vec_id as pair_id, round(list_inner_product(v, p), 6) as similarity from queries3",
     "cache_lookup": f"with {CACHE} select l.id as qid, h.entry_id is not null as cache_hit, h.query as matched_query, "
     "round(h.score, 6) as score, h.best as dominant_cluster from log l left join hits h on h.id = l.id where l.id % 2 = 1",

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import reduce
 
+import numpy as np
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -32,7 +33,15 @@ from corpusloom.operators.clusters import (
 from corpusloom.operators.dedup import dedup_keep_first, removed_per_step
 from corpusloom.operators.embed import embed_documents
 from corpusloom.operators.lookup import lookup, with_route
-from corpusloom.operators.mixture import Mixture, expectation_maximization, mixture_from_labels, mixture_step, one_pass
+from corpusloom.operators.mixture import (
+    Centers,
+    Mixture,
+    expectation_maximization,
+    fit_mixtures,
+    mixture_from_labels,
+    mixture_step,
+    one_pass,
+)
 from corpusloom.operators.project import explained_variance, fit_projection, project
 from corpusloom.operators.replay import replay_log, replay_with_retention
 from corpusloom.operators.report import (
@@ -43,14 +52,14 @@ from corpusloom.operators.report import (
 )
 from corpusloom.operators.sample import hash_sample
 from corpusloom.operators.search import build_index, search, tag_clusters, top_k
-from corpusloom.operators.selection import aic, bic, silhouette
+from corpusloom.operators.selection import aic, bic, select_k, silhouette
 from corpusloom.operators.state import admit, cache_stats, empty_cache, retain, touch
 from corpusloom.operators.sweep import pair_similarity, threshold_sweep
 from corpusloom.plans.answer import answer_queries, split_empty
 from corpusloom.plans.clean_job import clean_corpus, corpus_summary, run_clean_job
 from corpusloom.session import spread, stage, stage_path
 from corpusloom.sources.posts import RAW_SCHEMA, load_cleaned, save_cleaned, save_cleaned_json, save_raw, write_posts
-from corpusloom.sources.tables import append_index, load_embeddings, load_index, save_composition, save_embeddings, save_index
+from corpusloom.sources.tables import append_index, load_embeddings, load_index, save_composition, save_embeddings, save_index, save_selection
 from corpusloom.streaming.cache_stream import answer_stream, flush_stream, read_responses, stream_stats
 
 # Posts made of a document: header with sender and groups, a quoted line, the text, a signature.
@@ -73,6 +82,8 @@ SMOKE_QUERIES = [
 
 LRU_ENTRIES = 300
 GMM_ROUNDS = 5
+GRID = (2, 3, 5)
+GRID_ROUNDS = 2
 SMALL_CACHE = 200
 SLICE = 150
 EMBED_DIMENSION = 384
@@ -530,6 +541,52 @@ def k_selection(spark: SparkSession, sf: str) -> DataFrame:
     return selection.table
 
 
+def _ordered_starts(vectors: DataFrame, ks: Sequence[int]) -> dict[int, Centers]:
+    """The first vectors in the order of a hash of their ids, as many as the largest count; a center each."""
+    first = hash_sample(vectors, max(ks)).select("embedding").collect()
+    rows = np.array([row[0] for row in first], dtype=np.float32).astype(float)
+    return {k: Centers(rows[:k]) for k in ks}
+
+
+def k_selection_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """The grid from starts that SQL can state, with a given number of rounds, on the vectors themselves."""
+    vectors = _vectors(spark, sf)
+    points = stage(_points(vectors), "points")
+    chosen = select_k(points, GRID, max_iter=GRID_ROUNDS, tol=0.0, starts=_ordered_starts(vectors, GRID))
+    folder = stage_path(spark, "selection")
+    save_selection(chosen.table, folder)
+    saved = spark.read.schema("k int, bic double, aic double, silhouette double, optimal boolean, at_edge boolean").json(folder)
+    return saved.select("k", *_round("bic", "aic", places=3), *_round("silhouette", places=6), "optimal", "at_edge")
+
+
+def train_rounds(spark: SparkSession, sf: str) -> DataFrame:
+    """A model trained at one count from given starts for a given number of rounds, saved, loaded and applied."""
+    vectors = _vectors(spark, sf)
+    points = stage(_points(vectors), "points")
+    fit = fit_mixtures(points, [GRID[-1]], max_iter=GRID_ROUNDS, tol=0.0, starts=_ordered_starts(vectors, GRID[-1:]))
+    folder = stage_path(spark, "trained")
+    save_model(ClusterModel(fit[GRID[-1]].mixture), spark, folder)
+    loaded, _ = load_model(spark, folder, projected=False)
+    return predict(vectors, loaded).select("doc_id", "dominant_cluster", F.round(F.array_max("cluster_probs"), 4).alias("dominant_prob"))
+
+
+def saved_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """A model with its projection, saved and loaded: the same clusters for the same vectors, and how many."""
+    vectors = _vectors(spark, sf)
+    projection = fit_projection(vectors, 8)
+    points = stage(project(vectors, projection), "projected")
+    model = ClusterModel(mixture_from_labels(points, features="features"), projection)
+    folder = stage_path(spark, "projected-model")
+    save_model(model, spark, folder)
+    loaded, _ = load_model(spark, folder)
+    before = model.predict(vectors).select("doc_id", F.col("dominant_cluster").alias("before"))
+    both = loaded.predict(vectors).select("doc_id", "dominant_cluster", "cluster_probs").join(before, "doc_id")
+    return both.agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("before") == F.col("dominant_cluster")).alias("same"),
+        F.min(F.size("cluster_probs")).alias("n_clusters"),
+    )
+
+
 # --- cache ----------------------------------------------------------------------------------------
 
 
@@ -782,6 +839,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "saved_reports": saved_reports,
     "gmm_fit": gmm_fit,
     "k_selection": k_selection,
+    "k_selection_rounds": k_selection_rounds,
+    "train_rounds": train_rounds,
+    "saved_projection": saved_projection,
     "pair_similarity": pair_similarity_query,
     "cache_lookup": cache_lookup,
     "cache_stats": cache_stats_query,

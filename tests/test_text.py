@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import text as rules
 
+# The markers and patterns of the rules.
 MARKERS = ["\n-- \n", "\n--\n"]
 EMAIL = r"[\w.\-+]+@[\w.\-]+\.\w+"
 URL = r"https?://\S+|ftp://\S+|www\.\S+"
