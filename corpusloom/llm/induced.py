@@ -73,24 +73,42 @@ def induce(text: np.ndarray, smaller: np.ndarray, starts: np.ndarray, larger_of:
     return order
 
 
+def group_starts(values: np.ndarray) -> np.ndarray:
+    """Flags of places where sorted values begin anew."""
+    return np.concatenate([[True], values[1:] != values[:-1]])
+
+
 def order_names(names: np.ndarray) -> np.ndarray:
-    """Order of the suffixes of a string of names: pairs of neighbours get names, and pairs of pairs in turn.
+    """Order of the suffixes of a string of names: names of neighbours make pairs, and pairs of pairs in turn.
 
-    The alphabet is about as large as the string, so there are no buckets to sweep; a name after the
-    string's end is 0.
+    The alphabet is about as large as the string, so there are no buckets to sweep. A suffix's rank is
+    the place where its group of equals begins; groups are taken apart by the ranks that follow, at twice
+    the reach each time, until all are alone. What follows the string's end is least.
     """
-    reach = 1
-    while True:
-        count = int(names.max()) + 1
-        if count == len(names):
-            return np.argsort(names)
-        following = np.zeros(len(names), np.int64)
-        following[:-reach] = names[reach:] + 1
-        keys = names.astype(np.int64) * (count + 1) + following
-        by_key = np.argsort(keys, kind="stable")
-        new = np.empty(len(names), np.int64)
-        new[by_key] = np.append(0, np.cumsum(keys[by_key][1:] != keys[by_key][:-1]))
-        names, reach = new, 2 * reach
+    n = len(names)
+    order = np.argsort(names, kind="stable")
+    place = np.arange(n)
+    begins = group_starts(names[order])
+    rank = np.empty(n, np.int64)
+    rank[order] = np.maximum.accumulate(np.where(begins, place, 0))
+    alone = begins & np.append(begins[1:], True)
+    together, reach = order[~alone], 1
+    while len(together):
+        own = rank[together]
+        following = np.zeros(len(together), np.int64)
+        inside = np.flatnonzero(together + reach < n)
+        following[inside] = rank[together[inside] + reach] + 1
+        keys = own * (n + 1) + following
+        by_key = np.argsort(keys)
+        together, own, keys = together[by_key], own[by_key], keys[by_key]
+        index = np.arange(len(together))
+        at = own + index - np.maximum.accumulate(np.where(group_starts(own), index, 0))
+        begins = group_starts(keys)
+        rank[together] = np.maximum.accumulate(np.where(begins, at, 0))
+        together = together[~(begins & np.append(begins[1:], True))]
+        reach *= 2
+    order[rank] = place
+    return order
 
 
 def name_substrings(text: np.ndarray, sorted_first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -115,7 +133,7 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    text = text.astype(np.uint16) if size <= 1 << 16 else text.astype(np.int64)
+    text = text.astype(np.uint8 if size <= 1 << 8 else np.uint16 if size <= 1 << 16 else np.int64)
     smaller = is_smaller(text)
     counts = np.bincount(text, minlength=size)
     starts = np.append(0, np.cumsum(counts))

@@ -266,7 +266,7 @@ def least_documents(raw: bytes, starts: np.ndarray, windows: np.ndarray, least:
     new_starts = starts_of(np.cumsum(lengths + 1))
     places = ranges(new_starts, lengths)
     text[places] = flat[ranges(starts, lengths)].astype(np.uint16) + 1
-    order = suffix_array(text, 257)
+    order = suffix_array(text, int(text.max(initial=0)) + 1)
     plain = np.zeros(len(text) + 8, np.uint8)
     plain[places] = flat[ranges(starts, lengths)]
     at = ranges(new_starts, windows).astype(np.int32)
