@@ -40,6 +40,10 @@ GRAM = 16
 #: Window starts that are hashed at once; longer texts are hashed in parts of this size.
 PART = 1 << 20
 PRIME = 2147483647
+#: Bytes of text that a task sends hashes of at once.
+SENT_BYTES = 4 << 20
+#: Shards, and buckets of documents, for each of Spark's shuffle partitions; a task has one of them in memory at a time.
+GROUPS_PER_PARTITION = 4
 #: Ordinal of an entry that stands for several documents, which need no answer.
 SETTLED = (1 << 32) - 1
 _FACTORS = ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9), (8, 0x27D4EB2F165667C5))
@@ -141,7 +145,7 @@ def shared_hashes(docs: DataFrame, n_shards: int, n_buckets: int) -> DataFrame:
     """``bucket, payload``: ids and fragment numbers whose hash two documents hold (steps 1 and 2)."""
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for piece in pieces(batches):
+        for piece in pieces(batches, limit=SENT_BYTES):
             if piece.column("doc_id").null_count:
                 piece = pa.RecordBatch.from_struct_array(piece.to_struct_array().filter(piece.column("doc_id").is_valid()))
             if not piece.num_rows:
@@ -265,10 +269,11 @@ def least_documents(raw: bytes, starts: np.ndarray, windows: np.ndarray, least:
     text = np.zeros(int(lengths.sum()) + len(starts), np.uint16)
     new_starts = starts_of(np.cumsum(lengths + 1))
     places = ranges(new_starts, lengths)
-    text[places] = flat[ranges(starts, lengths)].astype(np.uint16) + 1
-    order = suffix_array(text, int(text.max(initial=0)) + 1)
     plain = np.zeros(len(text) + 8, np.uint8)
     plain[places] = flat[ranges(starts, lengths)]
+    text[places] = plain[places] + np.uint16(1)
+    del places
+    order = suffix_array(text, int(text.max(initial=0)) + 1)
     at = ranges(new_starts, windows).astype(np.int32)
     same = permuted_matches(plain, order, at, MATCH)
     window_of = np.full(len(text), -1, np.int32)
@@ -332,7 +337,14 @@ def removed_bytes(held: Documents, notes: pa.Table) -> np.ndarray:
     whole = np.flatnonzero(held.copy & (held.ends - held.starts >= MATCH))
     np.add.at(change, held.starts[whole], 1)
     np.add.at(change, held.ends[whole], -1)
-    return np.cumsum(change[:-1]) > 0
+    return np.cumsum(change[:-1], dtype=np.int32) > 0
+
+
+def running(flags: np.ndarray) -> np.ndarray:
+    """How many flags stand before each place, and in all."""
+    out = np.zeros(len(flags) + 1, np.int32)
+    np.cumsum(flags, dtype=np.int32, out=out[1:])
+    return out
 
 
 def whole_only(removed: np.ndarray, flat: np.ndarray) -> np.ndarray:
@@ -351,7 +363,7 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame
     """
     spark = docs.sparkSession
     ship(spark)
-    n = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
     own = ["n_bytes", "n_removed", "n_spans", "kept"]
     columns = [c for c in docs.columns if c not in own]
     docs = docs.select(*columns)
@@ -375,13 +387,13 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame
         removed = removed_bytes(held, notes)
         if whole_characters:
             removed = whole_only(removed, held.flat)
-        total = np.concatenate([np.zeros(1, np.int64), np.cumsum(removed, dtype=np.int64)])
+        total = running(removed)
         opens = removed.copy()
         opens[1:] &= ~removed[:-1]
         begins = held.starts[held.ends > held.starts]
         opens[begins] = removed[begins]
-        spans = np.concatenate([np.zeros(1, np.int64), np.cumsum(opens, dtype=np.int64)])
-        gone = total[held.ends] - total[held.starts]
+        spans = running(opens)
+        gone = (total[held.ends] - total[held.starts]).astype(np.int64)
         kept = held.flat[~removed].tobytes()
         kept_ends = np.cumsum(held.ends - held.starts - gone)
         parts = [kept[a:b] for a, b in zip(starts_of(kept_ends).tolist(), kept_ends.tolist())]
