@@ -70,10 +70,16 @@ def test_hot_text_with_a_third_of_all_rows(spark):
     assert clean_corpus(hot).filter("category = 'hot'").select("filename").collect() == [("00000",)]
 
 
-def test_keep_first_limits_before_the_shuffle(spark):
+def test_posts_that_stay_are_not_moved(spark):
     plan = clean_corpus(posts(spark, make_rows()))._jdf.queryExecution().toString()
     physical = plan[plan.index("Physical Plan") :]
-    assert physical.count("Exchange hashpartitioning") == 1
+    assert "Exchange hashpartitioning" not in physical and "BroadcastHashJoin" in physical
+    assert "Python" not in physical
+
+
+def test_summary_limits_before_the_shuffle(spark):
+    plan = corpus_summary(posts(spark, make_rows()))._jdf.queryExecution().toString()
+    physical = plan[plan.index("Physical Plan") :]
     assert "WindowGroupLimit" in physical[physical.index("Exchange") :] and "Partial" in physical
     assert "Python" not in physical
 
