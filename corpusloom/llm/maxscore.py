@@ -26,34 +26,55 @@ LARGEST = 1 << 26
 #: Rows of a shard and of a block of queries, about; small tables still get as many shards as ``LEAST_SHARDS``.
 SHARD_ROWS = 1 << 16
 BLOCK_ROWS = 1 << 12
-LEAST_SHARDS = 24
+LEAST_SHARDS = 12
 #: Vectors that are scored in full to begin with; later strips are ever longer.
 FIRST_STRIP = 256
+#: Terms that are probed before vectors that can't get there any more are left out.
+PROBED = 8
 
 
 def weights(vectors: pa.ChunkedArray | pa.Array) -> np.ndarray:
     """Rows of integer components, padded with zeros."""
-    rows = [np.asarray(x, np.float64) for x in vectors.to_pylist()]
-    out = np.zeros((len(rows), max(map(len, rows), default=0)), np.int64)
-    for i, x in enumerate(rows):
-        out[i, : len(x)] = np.clip(np.floor(SCALE * x), -LARGEST, LARGEST).astype(np.int64)
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    lengths = np.diff(vectors.offsets.to_numpy())
+    values = np.clip(np.floor(SCALE * vectors.flatten().to_numpy(zero_copy_only=False)), -LARGEST, LARGEST)
+    out = np.zeros((len(lengths), int(lengths.max(initial=0))), np.int64)
+    row = np.repeat(np.arange(len(lengths)), lengths)
+    out[row, np.arange(len(values)) - np.repeat(np.cumsum(lengths) - lengths, lengths)] = values
     return out
 
 
 class Shard:
-    """Postings of one shard, vectors in ascending order of id."""
+    """Postings of one shard, vectors in ascending order of id.
+
+    Postings that hold half of the vectors or more need no list of them; they are kept as columns of one
+    array, with zeros for the others.
+    """
 
     def __init__(self, ids: np.ndarray, matrix: np.ndarray):
         order = np.argsort(ids, kind="stable")
         self.ids, matrix = ids[order], matrix[order]
-        self.postings = []
-        for column in matrix.T:
-            held = np.flatnonzero(column)
-            self.postings.append((held, column[held]))
         n = len(ids)
+        held = [np.flatnonzero(column) for column in matrix.T]
+        self.full = np.array([2 * len(h) >= n for h in held], bool)
+        self.postings = [None if f else (h, column[h]) for f, h, column in zip(self.full, held, matrix.T)]
+        self.weights = np.where(self.full[None, :], matrix, 0)
         # The most and the least of each component; a vector without a posting counts as zero.
-        self.most = np.array([max(w.max(), 0 if len(w) < n else w.max()) if len(w) else 0 for _, w in self.postings], np.int64)
-        self.least = np.array([min(w.min(), 0 if len(w) < n else w.min()) if len(w) else 0 for _, w in self.postings], np.int64)
+        self.most = matrix.max(0, initial=np.iinfo(np.int64).min) if n else np.zeros(matrix.shape[1], np.int64)
+        self.least = matrix.min(0, initial=np.iinfo(np.int64).max) if n else np.zeros(matrix.shape[1], np.int64)
+        # Sums of products are exact as doubles, and fast, if they stay below 2**53.
+        largest = max(int(np.abs(matrix).max(initial=0)), 1)
+        self.exact_below = (1 << 53) // (largest * max(1, matrix.shape[1]))
+        self.doubles = self.weights.astype(np.float64)
+
+    def full_sums(self, query: np.ndarray, terms: np.ndarray, at) -> np.ndarray:
+        """What the full postings of ``terms`` add to the vectors ``at``, a slice or places."""
+        asked = np.zeros(self.weights.shape[1], np.int64)
+        asked[terms] = query[terms]
+        if np.abs(asked).max(initial=0) < self.exact_below:
+            return (self.doubles[at] @ asked.astype(np.float64)).astype(np.int64)
+        return self.weights[at] @ asked
 
     def part(self, term: int, start: int, stop: int) -> tuple[np.ndarray, np.ndarray]:
         held, values = self.postings[term]
@@ -90,30 +111,35 @@ class Shard:
         essential = min(essential, len(terms))
         total = np.full(stop - start, floor, np.int64)
         seen = np.zeros(stop - start, bool) if needed is not None else np.ones(stop - start, bool)
-        for term, least in zip(terms[:essential], low[:essential]):
+        first, is_full = terms[:essential], self.full[terms[:essential]]
+        if is_full.any():
+            total += self.full_sums(query, first[is_full], slice(start, stop)) - low[:essential][is_full].sum()
+            seen[:] = True
+        for term, least in zip(first[~is_full], low[:essential][~is_full]):
+            # No posting is a weight of zero, which lies -least above the term's least.
             at, values = self.part(term, start, stop)
-            if len(at) == stop - start:
-                total += query[term] * values - least
+            total -= least
+            total[at] += query[term] * values
+            seen[at] = True
+            if least < 0:
                 seen[:] = True
-            else:
-                # No posting is a weight of zero, which lies -least above the term's least.
-                total -= least
-                total[at] += query[term] * values
-                seen[at] = True
-                if least < 0:
-                    seen[:] = True
         candidates = np.flatnonzero(seen)
         total = total[candidates]
-        for i in range(essential, len(terms)):
+        for i in range(essential, len(terms), PROBED):
             able = total + rest[i] >= needed
             candidates, total = candidates[able], total[able]
             if not len(candidates):
                 break
-            at, values = self.part(terms[i], start, stop)
-            place = np.searchsorted(at, candidates)
-            hit = at[np.minimum(place, len(at) - 1)] == candidates if len(at) else np.zeros(len(candidates), bool)
-            total = total - low[i]
-            total[hit] += query[terms[i]] * values[place[hit]]
+            probed, is_full = terms[i : i + PROBED], self.full[terms[i : i + PROBED]]
+            total = total - low[i : i + PROBED].sum()
+            if is_full.any():
+                total += self.full_sums(query, probed[is_full], candidates + start)
+            for term in probed[~is_full]:
+                at, values = self.part(term, start, stop)
+                if len(at):
+                    place = np.searchsorted(at, candidates)
+                    hit = at[np.minimum(place, len(at) - 1)] == candidates
+                    total[hit] += query[term] * values[place[hit]]
         if needed is not None:
             reach = total >= needed
             candidates, total = candidates[reach], total[reach]

@@ -198,7 +198,9 @@ def text_copies(docs: DataFrame, n_buckets: int) -> DataFrame:
     """``bucket, copy_id, copy_hash``: documents whose text a smaller id has; the text's hash tells apart rows of one id."""
     text = F.coalesce("text", F.lit(""))
     rows = docs.filter("doc_id is not null").select(F.col("doc_id").cast("long").alias("copy_id"), F.md5(text.cast("binary")).alias("digest"), F.xxhash64(text).alias("copy_hash"))
-    least = rows.groupBy("digest").agg(F.min("copy_id").alias("least"))
+    least = rows.groupBy("digest").agg(F.min("copy_id").alias("least"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    # A table of its own, so that Spark sees how small it is, or splits the rows of a text that many have.
+    least = stage(least, "least-of-copies")
     copies = rows.join(least, "digest").filter("copy_id > least").select("copy_id", "copy_hash").distinct()
     return copies.select(bucket_column(F.col("copy_id"), n_buckets).alias("bucket"), "copy_id", "copy_hash")
 
