@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import pieces, ranges, starts_of
 from corpusloom.llm.words import Kept, as_bytes, cut_after, letters_and_tail
-from corpusloom.session import ship
+from corpusloom.session import ship, stage
 
 END_ID = 2
 #: Distinct words that a task keeps encoded, and twice as many units of words.
@@ -89,7 +89,7 @@ class WordBpe:
         words = pc.split_pattern(texts.fill_null(""), " ")
         coded = words.flatten().dictionary_encode()
         distinct = coded.dictionary.to_pylist()
-        table = self.kept.add(set(distinct))
+        table = self.kept.add(distinct)
         found = [table[x] for x in distinct]
         lengths = np.array([len(x) // 4 for x in found], np.int64)
         which = coded.indices.to_numpy(zero_copy_only=False)
@@ -282,6 +282,7 @@ def _read(spark: SparkSession, path: str, field: str, column) -> DataFrame:
     )
     own = F.coalesce(F.sum("n_tokens").over(earlier.partitionBy("shard").orderBy("piece")), F.lit(0))
     bases = files.select("shard", "piece", own.alias("own")).join(shards, "shard")
-    bases = bases.select("shard", "piece", (F.col("own") + F.col("shard_base")).alias("base"))
+    # A table of its own, so that Spark sees how small it is and leaves the files where they are.
+    bases = stage(bases.select("shard", "piece", (F.col("own") + F.col("shard_base")).alias("base")), "token-bases")
     placed = files.join(bases, ["shard", "piece"])
     return placed.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, {field}")

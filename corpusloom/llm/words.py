@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 import numpy as np
 
 #: Words of one call, joined by a separator.
@@ -40,12 +42,14 @@ class Kept:
         self.words: dict[str, bytes] = {}
         self.units: dict[str, bytes] = dict(self.fixed)
 
-    def add(self, distinct: set[str]) -> dict[str, bytes]:
+    def add(self, distinct: Collection[str]) -> dict[str, bytes]:
         """The table of ids, holding at least the words of ``distinct``."""
-        new = distinct - self.words.keys()
+        words = self.words
+        new: Collection[str] = [word for word in distinct if word not in words]
         if len(self.words) + len(new) > self.limit:
             self.words, new = {}, distinct
-        parts = {word: self.split(word) for word in new}
+        split = self.split
+        parts = {word: split(word) for word in new}
         alone = [word for word, units in parts.items() if units is None]
         self.words.update(zip(alone, self.encode_alone(alone)))
         units = {unit for found in parts.values() if found for unit in found} - self.units.keys()
