@@ -31,20 +31,25 @@ class Replay:
     hits: DataFrame
 
 
-def in_cells(asked: DataFrame, held: DataFrame, run: Callable, schema: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def cluster_sizes(held: DataFrame) -> dict[int, int]:
+    """Rows of each cluster, of which there are as many as the model has components."""
+    return {r["dominant_cluster"]: r["count"] for r in held.groupBy("dominant_cluster").count().collect()}
+
+
+def in_cells(
+    asked: DataFrame, held: DataFrame, run: Callable, schema: str, n_asked: int, sizes: dict[int, int], block_rows: int = BLOCK_ROWS
+) -> DataFrame:
     """What ``run(queries, entries)``, a function of Arrow tables, yields for every cell.
 
     A cell is a block of queries and a block of the entries of one cluster in the queries' routes, so a
     cluster of any size is spread over many cells. ``asked`` has ``qid, embedding, route``, ``held``
-    has ``entry_id, embedding, dominant_cluster``; both should be stored tables.
+    has ``entry_id, embedding, dominant_cluster``; ``n_asked`` and ``sizes`` are their rows, by cluster for ``held``.
     """
     ship(asked.sparkSession)
-    # A row for each cluster of the model.
-    sizes = {r["dominant_cluster"]: r["count"] for r in held.groupBy("dominant_cluster").count().collect()}
-    blocks = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, -(-n // block_rows))]) if sizes else None
-    if blocks is None:
+    if not sizes:
         return asked.sparkSession.createDataFrame([], schema)
-    query_blocks = max(1, -(-asked.count() // block_rows))
+    blocks = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, -(-n // block_rows))])
+    query_blocks = max(1, -(-n_asked // block_rows))
 
     def numbers(n: Column) -> Column:
         return F.explode(F.sequence(F.lit(0), n - 1))
@@ -133,39 +138,43 @@ def replay_log(
     spark = log.sparkSession
     rows = log.select(*LOG_COLUMNS).filter(F.col("embedding").isNotNull())
     log_rows = stage(rows, "log")
-    path, admitted_path = stage_path(spark, "open"), stage_path(spark, "admitted")
-    still_open = stage(first_of_equals(log_rows, threshold), "open", path=path)
+    path, admitted_path = stage_path(spark, "settling"), stage_path(spark, "admitted")
+    settling = first_of_equals(log_rows, threshold).withColumn("state", F.lit("open"))
+    settling = stage(settling, "settling", path=path)
+    given = None if entries is None else entries.select("entry_id", "embedding", "dominant_cluster")
 
-    def as_entries(queries: DataFrame, is_open: bool) -> DataFrame:
-        held = queries.select(F.col("qid").alias("entry_id"), "embedding", "dominant_cluster")
-        return held.withColumn("is_open", F.lit(is_open))
+    def as_entries(state: str) -> DataFrame:
+        held = settling.filter(F.col("state") == state)
+        return held.select(F.col("qid").alias("entry_id"), "embedding", "dominant_cluster", F.lit(state == "open").alias("is_open"))
 
     log_rows.limit(0).write.parquet(admitted_path)
-    new = None if entries is None else entries.select("entry_id", "embedding", "dominant_cluster", F.lit(False).alias("is_open"))
-    while not still_open.isEmpty():
-        held = as_entries(still_open, True)
-        if new is not None:
-            held = held.unionByName(new)
-        told = in_cells(still_open, held, _decide(threshold), "qid bigint, answered boolean, blocked boolean", block_rows)
+    before = None if given is None else given.withColumn("is_open", F.lit(False))
+    while True:
+        counts = settling.filter("state != 'answered'").groupBy("state", "dominant_cluster").count().collect()
+        n_open = sum(r["count"] for r in counts if r["state"] == "open")
+        if not n_open:
+            break
+        sizes: dict[int, int] = {} if before is None else cluster_sizes(before)
+        for r in counts:
+            sizes[r["dominant_cluster"]] = sizes.get(r["dominant_cluster"], 0) + r["count"]
+        held = as_entries("open").unionByName(as_entries("admitted") if before is None else before)
+        still_open = settling.filter("state = 'open'").select(*LOG_COLUMNS)
+        told = in_cells(still_open, held, _decide(threshold), "qid bigint, answered boolean, blocked boolean", n_open, sizes, block_rows)
         told = told.groupBy("qid").agg(F.max("answered").alias("answered"), F.max("blocked").alias("blocked"))
-        marked = still_open.join(told, "qid", "left")
         state = F.when(F.col("answered"), F.lit("answered")).when(F.col("blocked"), F.lit("open")).otherwise(F.lit("admitted"))
-        marked_path, old = stage_path(spark, "marked"), path
-        marked = stage(marked.select(*LOG_COLUMNS, state.alias("state")), "marked", path=marked_path)
-        admitted_now = marked.filter("state = 'admitted'").select(*LOG_COLUMNS)
-        admitted_now.write.mode("append").parquet(admitted_path)
-        path = stage_path(spark, "open")
-        still_open = stage(marked.filter("state = 'open'").select(*LOG_COLUMNS), "open", path=path)
-        new_path = stage_path(spark, "new")
-        new = stage(as_entries(admitted_now, False), "new", path=new_path)
-        for done in (old, marked_path):
-            drop_path(spark, done)
+        old, path = path, stage_path(spark, "settling")
+        settling = stage(still_open.join(told, "qid", "left").select(*LOG_COLUMNS, state.alias("state")), "settling", path=path)
+        settling.filter("state = 'admitted'").select(*LOG_COLUMNS).write.mode("append").parquet(admitted_path)
+        drop_path(spark, old)
+        before = None
+    drop_path(spark, path)
     admitted = spark.read.schema(log_rows.schema).parquet(admitted_path)
     candidates = admitted.select(F.col("qid").alias("entry_id"), "embedding", "dominant_cluster")
-    if entries is not None:
-        candidates = candidates.unionByName(entries.select("entry_id", "embedding", "dominant_cluster"))
+    if given is not None:
+        candidates = candidates.unionByName(given)
     schema = "qid bigint, entry_id bigint, score double, route_rank int"
-    hits = best_of_matches(in_cells(log_rows, candidates, _find(threshold), schema, block_rows))
+    found = in_cells(log_rows, candidates, _find(threshold), schema, log_rows.count(), cluster_sizes(candidates), block_rows)
+    hits = best_of_matches(found)
     return Replay(admitted.select("qid"), hits)
 
 

@@ -473,6 +473,11 @@ ORACLE_SQL: dict[str, str] = {
     "bool_and(place = rank) as in_order from (select *, (row_number() over (partition by qid order by score desc, doc_id))::integer as rank, "
     "row_number() over (partition by qid order by score desc, doc_id) as place from scores) group by qid",
     "topk_none": "select 0::bigint as hits",
+    "topk_tiles": f"with {VECTORS}, {LOG}, scores as (select l.id as qid, x.doc_id, list_inner_product(l.v, x.v) as score from log l, vectors x) "
+    f"select qid, rank, doc_id, round(score, 6) as score from {ranked('scores', 3)}",
+    "search_defaults": f"with {LABEL_QUERIES} select qid, rank, doc_id, case when doc_id % 3 = 0 then 'unknown' else category end as category, "
+    "round(score, 6) as score, case when doc_id % 3 = 0 then '' else 'text' end as text, "
+    f"case when doc_id % 3 = 0 then '' else doc_id::varchar end as filename from {ranked('scores', 5)}",
     "topk_filtered": f"with {LABEL_QUERIES} select qid, rank, doc_id, round(score, 6) as score "
     f"from {ranked('scores', 5, 'category = wanted')}",
     "topk_overfetch": f"with {LABEL_QUERIES}, fetched as (select * exclude (rank) from {ranked('scores', 25)}) "
@@ -560,3 +565,4 @@ select 'label' as labelling, round(avg(case when a is null then 0 else (b - a) /
     "round(hits / n, 4) as hit_rate from counted",
     "cache_no_vector": f"with recursive {NO_VECTOR} select l.id as qid, h.entry_id is not null as cache_hit, h.entry_id from every l left join hits h on h.id = l.id",
 }
+ORACLE_SQL["saved_bands"] = ORACLE_SQL["confidence_bands"]

@@ -82,6 +82,7 @@ SMOKE_QUERIES = [
 
 LRU_ENTRIES = 300
 GMM_ROUNDS = 5
+TILE = 300
 GRID = (2, 3, 5)
 GRID_ROUNDS = 2
 SMALL_CACHE = 200
@@ -294,6 +295,23 @@ def topk_all(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def topk_tiles(spark: SparkSession, sf: str) -> DataFrame:
+    """The vectors and their paraphrases as queries, in tiles that take turns."""
+    queries = stage(_query_log(spark, sf).select("qid", "embedding"), "many-queries")
+    hits = top_k(_vectors(spark, sf), queries, k=3, tile_rows=TILE)
+    return hits.select("qid", "rank", "doc_id", *_round("score"))
+
+
+def search_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """Hits in a vector table in which every third vector has no metadata."""
+    vectors = _vectors(spark, sf)
+    known = F.col("doc_id") % 3 != 0
+    index = _label_index(vectors).withColumn("category", F.when(known, F.col("category")))
+    index = index.withColumn("filename", F.when(known, F.col("filename"))).withColumn("snippet", F.when(known, F.lit("text")))
+    hits = search(index, _label_queries(vectors))
+    return hits.select("qid", "rank", "doc_id", "category", *_round("score"), "text", "filename")
+
+
 def topk_none(spark: SparkSession, sf: str) -> DataFrame:
     """A search in a vector table without rows."""
     vectors = _vectors(spark, sf)
@@ -529,6 +547,15 @@ def saved_reports(spark: SparkSession, sf: str) -> DataFrame:
     return clusters.select("cluster", "total_docs", F.array_join(named, ",").alias("top_categories"))
 
 
+def saved_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """The confidence bands of the report, read back."""
+    assigned = _assigned(spark, sf)
+    path = stage_path(spark, "report")
+    bands = confidence_bands(assigned)
+    save_composition(bands, cluster_composition(assigned, 10), path)
+    return spark.read.schema(bands.schema).json(f"{path}/bands")
+
+
 def gmm_fit(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
     return membership_check(train(vectors, n_clusters=20).predict(vectors)).select(
@@ -817,6 +844,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "topk_search": topk_search,
     "topk_all": topk_all,
     "topk_none": topk_none,
+    "topk_tiles": topk_tiles,
+    "search_defaults": search_defaults,
     "topk_filtered": topk_filtered,
     "topk_overfetch": topk_overfetch,
     "smoke_search": smoke_search,
@@ -837,6 +866,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pca_projection": pca_projection,
     "saved_model": saved_model,
     "saved_reports": saved_reports,
+    "saved_bands": saved_bands,
     "gmm_fit": gmm_fit,
     "k_selection": k_selection,
     "k_selection_rounds": k_selection_rounds,

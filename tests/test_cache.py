@@ -260,8 +260,8 @@ def test_replay_reads_no_rows_on_the_driver():
 
     source = Path(replay.__file__).read_text()
     assert "toArrow" not in source and "toPandas" not in source
-    # The one collect is of the clusters' sizes.
-    assert source.count(".collect()") == 1 and '.groupBy("dominant_cluster").count().collect()' in source
+    # What is collected are counts, by cluster and state.
+    assert source.count(".collect()") == source.count(".count().collect()") == 2
 
 
 def test_null_vectors_are_misses_and_no_entries(spark):
