@@ -42,8 +42,9 @@ PART = 1 << 20
 PRIME = 2147483647
 #: Bytes of text that a task sends hashes of at once.
 SENT_BYTES = 4 << 20
-#: Shards, and buckets of documents, for each of Spark's shuffle partitions; a task has one of them in memory at a time.
-GROUPS_PER_PARTITION = 4
+#: Shards, and buckets of documents, for each of Spark's shuffle partitions. A task has one of them in memory at a
+#: time; a bucket sends a row to every shard that it has something for.
+GROUPS_PER_PARTITION = 2
 #: Ordinal of an entry that stands for several documents, which need no answer.
 SETTLED = (1 << 32) - 1
 _FACTORS = ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9), (8, 0x27D4EB2F165667C5))
