@@ -44,7 +44,7 @@ from corpusloom.session import ship, stage
 
 END_ID = 2
 #: Distinct words that a task keeps encoded, and twice as many units of words.
-KEPT_WORDS = 350_000
+KEPT_WORDS = 280_000
 #: A pair is frequent if a piece has it so often; a round that removes a smaller part is the last.
 LEAST_COUNT = 8
 LEAST_GAIN = 0.08
@@ -117,12 +117,12 @@ def frequent_pairs(keys: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.
 
 
 def slots_of(keys: np.ndarray) -> np.ndarray:
-    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int64)
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
 
 
 def compress(symbols: np.ndarray, ends: np.ndarray, n_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules ``(n, 2)``, the symbols left, and where the documents end in them."""
-    symbols = symbols.astype(np.int64)
+    symbols = symbols.astype(np.int32)
     last = np.zeros(len(symbols), bool)
     last[ends - 1] = True
     rules = np.zeros((0, 2), np.int64)
@@ -130,7 +130,7 @@ def compress(symbols: np.ndarray, ends: np.ndarray, n_ids: int) -> tuple[np.ndar
         if len(symbols) < 2:
             break
         n = n_ids + len(rules)
-        keys = symbols[:-1] * n + symbols[1:]
+        keys = symbols[:-1].astype(np.int64) * n + symbols[1:]
         slots = slots_of(keys)
         inside = ~last[:-1]
         pairs, counts = frequent_pairs(keys[inside], slots[inside])
@@ -139,12 +139,13 @@ def compress(symbols: np.ndarray, ends: np.ndarray, n_ids: int) -> tuple[np.ndar
         # A slot names its most frequent pair; another pair of that slot waits for a later round.
         by_count = np.lexsort((pairs, counts))
         pairs = pairs[by_count]
-        named = np.zeros(SLOTS, np.int64)
+        named = np.zeros(SLOTS, np.int32)
         named[slots_of(pairs)] = np.arange(1, len(pairs) + 1)
         # Each place's pair by rank (0: none); the more frequent of two that overlap stays, the left of equal ones.
-        ranks = np.zeros(len(keys) + 2, np.int64)
-        rank = named[slots]
-        ranks[1:-1] = np.where(inside & (pairs[rank - 1] == keys), rank, 0)
+        ranks = np.zeros(len(keys) + 2, np.int32)
+        ranks[1:-1] = named[slots]
+        ranks[1:-1][~inside | (pairs[ranks[1:-1] - 1] != keys)] = 0
+        del keys, slots
         places = np.flatnonzero((ranks[1:-1] > ranks[:-2]) & (ranks[1:-1] >= ranks[2:]))
         number = np.zeros(len(pairs) + 1, np.int64)
         number[ranks[places + 1]] = 1
