@@ -1,9 +1,9 @@
 """Token ids in files of grammar-compressed pieces (Re-Pair).
 
 Documents are laid out in ascending order of id over shards; a shard is cut into pieces of bounded
-size, and each piece gets a grammar of its own. A round counts all adjacent pairs of a piece, names the
-frequent ones and replaces them where they don't overlap a more frequent one; rounds go on until they
-gain little. No pair reaches over the end of a document, so a document is a run of symbols, and
+size, and each piece gets a grammar of its own. A round counts the adjacent pairs of a piece, names the
+frequent ones and replaces them where they don't overlap a more frequent one; rounds go on until no
+pair is frequent, and count only what the round before left frequent or made. No pair reaches over the end of a document, so a document is a run of symbols, and
 with the rules' expansion lengths any ids of it are found without expanding the rest.
 
 A piece is one row of a Parquet file, written and committed by Spark:
@@ -45,12 +45,10 @@ from corpusloom.session import ship, stage
 END_ID = 2
 #: Distinct words that a task keeps encoded, and twice as many units of words.
 KEPT_WORDS = 280_000
-#: A pair is frequent if a piece has it so often; a round that removes a smaller part is the last.
+#: A pair is frequent if a piece has it so often.
 LEAST_COUNT = 8
-LEAST_GAIN = 0.08
-MOST_ROUNDS = 8
+#: Slots to count pairs in, at most.
 SLOT_BITS = 21
-SLOTS = 1 << SLOT_BITS
 
 
 class WordBpe:
@@ -104,10 +102,13 @@ def load(path: str) -> WordBpe:
     return WordBpe(path)
 
 
-def frequent_pairs(keys: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pair keys that occur often, and how often, counted exactly; ``slots`` are hashes of the keys."""
-    rare = np.bincount(slots, minlength=SLOTS) < LEAST_COUNT
-    keys = np.sort(keys[~rare[slots]])
+def slots_of(keys: np.ndarray, bits: int) -> np.ndarray:
+    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int32)
+
+
+def frequent_pairs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The pair keys that occur often, and how often, counted exactly."""
+    keys = np.sort(keys)
     if not len(keys):
         return keys, keys
     first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -116,50 +117,95 @@ def frequent_pairs(keys: np.ndarray, slots: np.ndarray) -> tuple[np.ndarray, np.
     return keys[first[often]], counts[often]
 
 
-def slots_of(keys: np.ndarray) -> np.ndarray:
-    return ((keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - SLOT_BITS)).astype(np.int32)
+class Chain:
+    """Symbols in order, linked to their neighbours, so that replacing some leaves the others in place."""
+
+    def __init__(self, symbols: np.ndarray, ends: np.ndarray):
+        n = len(symbols)
+        # One place more at the end, which is no symbol, stands for the neighbours that are not there.
+        self.symbols = np.append(symbols, 0).astype(np.int32)
+        self.after = np.minimum(np.arange(1, n + 2, dtype=np.int32), np.int32(n))
+        self.before = np.append(np.int32(n), np.arange(n, dtype=np.int32))
+        self.alive = np.ones(n + 1, bool)
+        self.last = np.zeros(n + 1, bool)
+        self.last[ends - 1] = True
+        self.last[n] = True
+        self.alive[n] = False
+        self.ranks = np.zeros(n + 1, np.int32)
+
+    def chosen(self, at: np.ndarray, ranks: np.ndarray) -> np.ndarray:
+        """Which of the places ``at``, ascending, are replaced: the more frequent of pairs that overlap, and every other one of a run of equal ones."""
+        self.ranks[at] = ranks
+        same = self.ranks[self.before[at]] == ranks
+        higher = self.ranks[self.before[at]] > ranks
+        # A run of equal pairs, each of which overlaps the next one, as places next to each other in ``at``.
+        begin = ~same
+        number = np.cumsum(begin) - 1
+        first = np.flatnonzero(begin)
+        offset = np.arange(len(at)) - first[number]
+        # Only the last of a run can be less than the pair after it, only the first less than the one before.
+        under = higher[first[number]] & (offset == 0)
+        fits = (offset - higher[first[number]].astype(np.int64)) % 2 == 0
+        out = fits & ~under & (self.ranks[self.after[at]] <= ranks)
+        self.ranks[at] = 0
+        return out
+
+    def replace(self, places: np.ndarray, names: np.ndarray) -> np.ndarray:
+        """Put ``names`` in place of the pairs; the places of pairs that have a new symbol."""
+        gone = self.after[places]
+        self.symbols[places] = names
+        self.last[places] = self.last[gone]
+        self.alive[gone] = False
+        self.after[places] = self.after[gone]
+        self.before[self.after[places]] = places
+        return np.concatenate([places, self.before[places]])
 
 
 def compress(symbols: np.ndarray, ends: np.ndarray, n_ids: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Rules ``(n, 2)``, the symbols left, and where the documents end in them."""
-    symbols = symbols.astype(np.int32)
-    last = np.zeros(len(symbols), bool)
-    last[ends - 1] = True
-    rules = np.zeros((0, 2), np.int64)
-    for _ in range(MOST_ROUNDS):
-        if len(symbols) < 2:
-            break
-        n = n_ids + len(rules)
-        keys = symbols[:-1].astype(np.int64) * n + symbols[1:]
-        slots = slots_of(keys)
-        inside = ~last[:-1]
-        pairs, counts = frequent_pairs(keys[inside], slots[inside])
+    chain = Chain(symbols, ends)
+    rules: list[np.ndarray] = []
+    n = n_ids
+    # A pair without a new symbol only gets rarer, so a round counts those that were frequent, and new ones.
+    open_places = ~chain.last
+    while True:
+        at = np.flatnonzero(open_places).astype(np.int32)
+        keys = chain.symbols[at].astype(np.int64) * n + chain.symbols[chain.after[at]]
+        bits = min(SLOT_BITS, max(10, len(at).bit_length() + 1))
+        slots = slots_of(keys, bits)
+        often = np.bincount(slots, minlength=1 << bits) >= LEAST_COUNT
+        often = often[slots]
+        at, keys, slots = at[often], keys[often], slots[often]
+        pairs, counts = frequent_pairs(keys)
         if not len(pairs):
             break
         # A slot names its most frequent pair; another pair of that slot waits for a later round.
-        by_count = np.lexsort((pairs, counts))
-        pairs = pairs[by_count]
-        named = np.zeros(SLOTS, np.int32)
-        named[slots_of(pairs)] = np.arange(1, len(pairs) + 1)
-        # Each place's pair by rank (0: none); the more frequent of two that overlap stays, the left of equal ones.
-        ranks = np.zeros(len(keys) + 2, np.int32)
-        ranks[1:-1] = named[slots]
-        ranks[1:-1][~inside | (pairs[ranks[1:-1] - 1] != keys)] = 0
+        pairs = pairs[np.lexsort((pairs, counts))]
+        named = np.zeros(1 << bits, np.int32)
+        named[slots_of(pairs, bits)] = np.arange(1, len(pairs) + 1)
+        # Each place's pair by rank (0: none).
+        ranks = named[slots]
+        known = pairs[ranks - 1] == keys
+        known &= ranks > 0
         del keys, slots
-        places = np.flatnonzero((ranks[1:-1] > ranks[:-2]) & (ranks[1:-1] >= ranks[2:]))
+        open_places[:] = False
+        open_places[at] = True
+        places, ranks = at[known], ranks[known]
+        taken = chain.chosen(places, ranks)
+        places, ranks = places[taken], ranks[taken]
+        # A pair that the others leave few places of waits, too; the most frequent one keeps half of its places.
+        enough = np.bincount(ranks, minlength=len(pairs) + 1) >= LEAST_COUNT // 2
+        taken = enough[ranks]
+        places, ranks = places[taken], ranks[taken]
+        used = np.flatnonzero(enough)
         number = np.zeros(len(pairs) + 1, np.int64)
-        number[ranks[places + 1]] = 1
-        used = np.flatnonzero(number)
         number[used] = np.arange(len(used))
-        rules = np.concatenate([rules, np.stack([pairs[used - 1] // n, pairs[used - 1] % n], 1)])
-        symbols[places] = n + number[ranks[places + 1]]
-        last[places] = last[places + 1]
-        left = np.ones(len(symbols), bool)
-        left[places + 1] = False
-        before, symbols, last = len(symbols), symbols[left], last[left]
-        if len(symbols) > (1 - LEAST_GAIN) * before:
-            break
-    return rules, symbols, np.flatnonzero(last) + 1
+        rules.append(np.stack([pairs[used - 1] // n, pairs[used - 1] % n], 1))
+        open_places[chain.replace(places, n + number[ranks])] = True
+        open_places &= chain.alive & ~chain.last
+        n += len(used)
+    left = chain.alive
+    return np.concatenate(rules) if rules else np.zeros((0, 2), np.int64), chain.symbols[left], np.flatnonzero(chain.last[left]) + 1
 
 
 def rule_lengths(rules: np.ndarray, n_ids: int) -> np.ndarray:

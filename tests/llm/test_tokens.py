@@ -143,3 +143,23 @@ def test_many_pieces_keep_their_order(spark, tmp_path, monkeypatch):
     repair.write_ids(frame, str(tmp_path / "b"), WORDS, n_shards=1)
     a, b = (sorted(map(tuple, repair.read_digests(spark, str(tmp_path / x)).collect())) for x in "ab")
     assert a == b and [r[0] for r in a] == list(range(300))
+
+
+def test_replacement_goes_on_while_pairs_are_frequent():
+    draw = np.random.default_rng(8)
+    text = draw.integers(0, 1000, 3000)
+    cases = [[text] * 600, [np.full(5000, 7), np.tile([1, 2], 900), np.tile([1, 2, 2], 50)], [draw.integers(0, 3, 400) for _ in range(30)]]
+    for docs, most in zip(cases, (600, 40, 4000)):
+        symbols, ends = np.concatenate(docs).astype(np.uint32), np.cumsum([len(x) for x in docs])
+        rules, left, left_ends = repair.compress(symbols, ends, 1000)
+        assert len(left) <= most
+        inside = np.ones(len(left), bool)
+        inside[left_ends - 1] = False
+        _, counts = np.unique(np.stack([left[:-1], left[1:]])[:, inside[:-1]], axis=1, return_counts=True)
+        assert counts.max(initial=0) < repair.LEAST_COUNT
+        row = {
+            "n_ids": 1000, "rules": rules.astype("<u4").tobytes(), "symbols": left.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "width": 4,
+            "doc_ends": left_ends.astype("<u4").tobytes(), "rule_lengths": repair.rule_lengths(rules, 1000).astype("<u4").tobytes(),
+        }
+        tokens, token_ends = repair.Grammar(row).tokens()
+        assert (tokens == symbols).all() and (token_ends == ends).all()
