@@ -7,11 +7,13 @@ equal passages together without sorting every suffix in one place:
    next to each other mostly share it; such a run is a fragment. Equal windows have equal hashes. Tasks send the
    hashes of their fragments to shards, each hash once if several of their documents hold it.
 2. The shards answer which hashes two documents hold. Only those fragments are of interest.
-3. Documents and answers meet; the bytes of these fragments go to shards by hash.
+3. Documents and answers meet; the bytes of these fragments go to shards by hash, once for each bucket of
+   documents, from the smallest id that has the fragment there: others of the bucket lose all of it.
 4. A shard builds the suffix array of its distinct fragments by induced sorting, and its permuted common
    prefixes tell which windows are equal. For each window that gives the smallest document; larger
    documents get the window's place as an answer.
-5. Documents and these answers meet, and the places become removed bytes.
+5. Documents and these answers meet, and the places become removed bytes, as do fragments that a smaller
+   id of the bucket has.
 
 Documents of equal text are settled by a digest: all but the smallest id lose all windows.
 
@@ -45,6 +47,8 @@ SENT_BYTES = 4 << 20
 #: Shards, and buckets of documents, for each of Spark's shuffle partitions. A task has one of them in memory at a
 #: time; a bucket sends a row to every shard that it has something for.
 GROUPS_PER_PARTITION = 2
+#: Bytes of text in a bucket, about; larger inputs get more groups.
+GROUP_BYTES = 32 << 20
 #: Ordinal of an entry that stands for several documents, which need no answer.
 SETTLED = (1 << 32) - 1
 _FACTORS = ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9), (8, 0x27D4EB2F165667C5))
@@ -133,6 +137,13 @@ def by_key(keys: np.ndarray, *columns: np.ndarray) -> Iterator[tuple[int, list[n
         yield int(keys[a]), [c[order[a:b]] for c in columns]
 
 
+def group_count(docs: DataFrame) -> int:
+    """How many shards, and buckets, there are: by Spark's partitions, or by the bytes of the texts if these are many."""
+    partitions = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n_bytes = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    return max(GROUPS_PER_PARTITION * partitions, -(-n_bytes // GROUP_BYTES))
+
+
 def bucket_column(doc_id: Column, n: int) -> Column:
     scattered = F.pmod(F.pmod(doc_id.cast("long"), F.lit(PRIME)) * 48271, F.lit(PRIME))
     return F.coalesce(F.pmod(scattered, F.lit(n)), F.lit(0)).cast("int")
@@ -227,6 +238,27 @@ class Documents:
         self.variant = np.arange(len(self.ids)) - first
 
 
+def held_before(held: Documents, doc: np.ndarray, hashes: np.ndarray, first: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """A flag for each fragment: a smaller id of the bucket, which is no copy, has the same one. Fragments come by document."""
+    out = np.zeros(len(doc), bool)
+    taking = np.flatnonzero((held.known & ~held.copy)[doc])
+    order = taking[np.lexsort((n[taking], hashes[taking]))]
+    if len(order) < 2:
+        return out
+    same = (hashes[order[1:]] == hashes[order[:-1]]) & (n[order[1:]] == n[order[:-1]])
+    meets, begins = np.append(same, False), np.append(False, same)
+    some = np.flatnonzero(meets | begins)
+    raw, at = held.flat.tobytes(), order[some]
+    ends = first[at] + n[at] + MATCH - 1
+    least: dict[bytes, int] = {}
+    # Documents are in ascending order of id, and so are the fragments of one hash and length.
+    for i, new, a, b, own in zip(at.tolist(), (~begins[some]).tolist(), first[at].tolist(), ends.tolist(), held.ids[doc[at]].tolist()):
+        if new:
+            least.clear()
+        out[i] = least.setdefault(raw[a:b], own) < own
+    return out
+
+
 def cogroup_rows(docs: DataFrame, notes: DataFrame, run, fields: str) -> DataFrame:
     return docs.groupBy("bucket").cogroup(notes.groupBy("bucket")).applyInArrow(run, fields)
 
@@ -249,6 +281,7 @@ def shared_fragments(docs: DataFrame, notes: DataFrame, n_shards: int) -> DataFr
             keys = place[doc].astype(np.uint64) * scale + own_number.astype(np.uint64)
             at = np.minimum(np.searchsorted(wanted, keys), len(wanted) - 1)
             chosen = np.flatnonzero((wanted[at] == keys) & is_named[doc])
+            chosen = chosen[~held_before(held, doc[chosen], hashes[chosen], first[chosen], n[chosen])]
             doc, hashes, first, n = doc[chosen], hashes[chosen], first[chosen], n[chosen]
             shard = ((hashes >> np.uint64(32)) % np.uint64(n_shards)).astype(np.int64)
             for s, (d, f, m) in by_key(shard, doc, first, n):
@@ -337,6 +370,11 @@ def removed_bytes(held: Documents, notes: pa.Table) -> np.ndarray:
         start = held.starts[row] + first.astype(np.int64)
         np.add.at(change, start, 1)
         np.add.at(change, start + n.astype(np.int64) + MATCH - 1, -1)
+    doc, _, hashes, first, n = fragments(held.flat, held.ends)
+    again = held_before(held, doc, hashes, first, n)
+    np.add.at(change, first[again], 1)
+    np.add.at(change, first[again] + n[again] + MATCH - 1, -1)
+    del doc, hashes, first, n
     whole = np.flatnonzero(held.copy & (held.ends - held.starts >= MATCH))
     np.add.at(change, held.starts[whole], 1)
     np.add.at(change, held.ends[whole], -1)
@@ -366,13 +404,15 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame
     """
     spark = docs.sparkSession
     ship(spark)
-    n = GROUPS_PER_PARTITION * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = group_count(docs)
     own = ["n_bytes", "n_removed", "n_spans", "kept"]
     columns = [c for c in docs.columns if c not in own]
     docs = docs.select(*columns)
     # Names that the job uses itself may be the input's, too.
     aside = [f"in_{i}" if c not in ("doc_id", "text") else c for i, c in enumerate(columns)]
-    named = docs.toDF(*aside)
+    every = docs.toDF(*aside)
+    # Rows without an id neither lose bytes nor make others lose any, so they go by no group.
+    named, nameless = every.filter("doc_id is not null"), every.filter("doc_id is null")
     bucketed = named.withColumn("text_hash", F.xxhash64(F.coalesce("text", F.lit("")))).withColumn("bucket", bucket_column(F.col("doc_id"), n))
     copies = stage(text_copies(named, n), "text-copies")
     copy_notes = copies.select("bucket", F.lit(None).cast("binary").alias("payload"), "copy_id", "copy_hash")
@@ -406,7 +446,10 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame
 
     fields = ", ".join([*(f"`{c}` {kinds[c]}" for c in aside), "n_bytes long, n_removed long, n_spans long, kept binary"])
     found = cogroup_rows(bucketed, windows, run, fields)
-    return found.toDF(*columns, *own)
+    whole = F.coalesce("text", F.lit("")).cast("binary")
+    none = F.lit(0).cast("long")
+    untouched = nameless.select(*aside, F.octet_length(whole).cast("long").alias("n_bytes"), none.alias("n_removed"), none.alias("n_spans"), whole.alias("kept"))
+    return found.unionByName(untouched).toDF(*columns, *own)
 
 
 def digests(found: DataFrame) -> DataFrame:

@@ -106,3 +106,32 @@ def test_long_texts_are_hashed_in_parts(monkeypatch):
     assert covered == [(d, i) for d, (a, b) in enumerate(zip(starts, ends)) for i in range(a, b - 49)]
     assert all((windows[f : f + m] == h).all() for h, f, m in zip(hashes, first, n))
     assert all(number[i] == (0 if i == 0 or doc[i] != doc[i - 1] else number[i - 1] + 1) for i in range(len(doc)))
+
+
+def test_a_hot_passage_is_sent_once_a_bucket(spark):
+    draw = random.Random(6)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(300))
+    own = ["".join(draw.choice("abcdefgh ") for _ in range(80)) for _ in range(200)]
+    rows = [(i, own[i] + passage + own[-i]) for i in range(200)] + [(None, passage)] * 300
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    n = 2
+    named = docs.filter("doc_id is not null")
+    none = suffixes.F.lit(None).cast("long")
+    hints = suffixes.shared_hashes(named, n, n).select("bucket", "payload", none.alias("copy_id"), none.alias("copy_hash"))
+    text_hash = suffixes.F.xxhash64("text")
+    bucketed = named.withColumn("text_hash", text_hash).withColumn("bucket", suffixes.bucket_column(suffixes.F.col("doc_id"), n))
+    sent = suffixes.shared_fragments(bucketed, hints, n).collect()
+    texts = []
+    for r in sent:
+        ends = np.cumsum(suffixes.unpack(bytes(r.payload), 8, 2, 4, 4)[3].astype(int) + suffixes.MATCH - 1)
+        texts += [bytes(r.bytes)[a:b] for a, b in zip([0, *ends], ends)]
+    assert any(x in passage.encode() for x in texts) and max(texts.count(x) for x in texts) <= n
+    got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.remove_repeats(docs).collect()), key=str)
+    assert got == sorted(plain_removal(rows), key=str)
+
+
+def test_large_inputs_get_more_groups(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "é" * 50) for i in range(40)] + [(40, None)], "doc_id long, text string")
+    assert suffixes.group_count(docs) == 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    monkeypatch.setattr(suffixes, "GROUP_BYTES", 100)
+    assert suffixes.group_count(docs) == 40 and suffixes.group_count(docs.limit(0)) == 8
