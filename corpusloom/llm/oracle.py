@@ -60,4 +60,31 @@ with v as (
 select query_id, cast(r as integer) as rank, vec_id, score from ranked where r <= 10
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_maxscore": TOP, "op7_chat_format": CHAT, "op8_url_rules": URLS}
+LEAKS = r"""
+with d as (
+  select row_number() over () as place, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from documents
+), i as (
+  select item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as words
+  from benchmark
+), w as (
+  select distinct item_id, n, unnest(list_transform(generate_series(1, len(words) - n + 1), lambda k: list_slice(words, k, k + n - 1))) as cut
+  from (select *, least(10, len(words)) as n from i where len(words) > 0)
+), p as (
+  select place, n, unnest(generate_series(1, len(words) - n + 1)) as pos, unnest(list_transform(generate_series(1, len(words) - n + 1), lambda k: list_slice(words, k, k + n - 1))) as cut
+  from d join (select distinct n from w) on len(words) >= n
+), h as (
+  select place, pos, p.n, item_id from p join w on p.n = w.n and p.cut = w.cut
+), covered as (
+  select place, count(distinct word) as n_hit from (select place, unnest(generate_series(pos, pos + n - 1)) as word from h) group by place
+), met as (
+  select place, count(*) as n_items, string_agg(item, ',' order by item) as items
+  from (select distinct place, cast(item_id as varchar) as item from h where item_id is not null) group by place
+)
+select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from d left join covered using (place) left join met using (place)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_maxscore": TOP, "op7_chat_format": CHAT, "op8_url_rules": URLS, "op13_decontaminate": LEAKS}

@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, chat, feistel, maxscore, packing, quality, repair, simhash, suffixes, url_rules
+from corpusloom.llm import (
+    byte_bpe, chat, decontaminate, feistel, maxscore, merkle, packing, periodic, quality, repair, simhash, suffixes, url_rules,
+)
 from corpusloom.session import stage_path
 
 
@@ -85,6 +87,48 @@ def op10_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``docs(doc_id, text)`` where, in a tenth of the documents by checksum of the id, words from some place on repeat."""
+    n, hashed = F.size("words"), F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    part = F.call_function("div", hashed, F.lit(10))
+    chosen = docs.select("doc_id", "text", hashed.alias("hashed"), F.when(hashed % 10 == 0, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))).alias("words"))
+    first = F.pmod(part, n)
+    length = 1 + F.call_function("div", n - first, 3 + F.pmod(part, F.lit(8)))
+    placed = chosen.withColumn("first", F.when(n > 0, first)).withColumn("length", F.when(n > 0, length))
+    words = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.get("words", F.when(i < F.col("first"), i).otherwise(F.col("first") + F.pmod(i - F.col("first"), F.col("length"))).cast("int")))
+    return placed.select("doc_id", F.when(F.col("length").isNotNull(), F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic.find_runs(planted_repeats(table(spark, sf_dir, "documents")))
+    best = found.withColumn("best", periodic.longest(F.col("runs")))
+    return best.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.call_function("div", 1000 * F.col("best.length"), F.col("best.period")).alias("exponent_milli"),
+        F.sha2(periodic.run_lines(F.col("runs")), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tampers = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    text = F.when(tampers, decontaminate.lower_ascii(F.col("text"))).otherwise(F.col("text"))
+    docs = table(spark, sf_dir, "documents")
+    found = merkle.manifest(docs.withColumn("claimed", merkle.leaf({**{c: F.col(c) for c in merkle.FIELDS}, "text": text})), ["claimed"])
+    folded = found.withColumn("folded_root", merkle.fold(F.col("claimed"), F.col("proof")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", merkle.proof_digest(F.col("proof")).alias("proof_sha256"), "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+def op13_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = decontaminate.judge_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    names = F.array_join(F.array_sort(F.transform("items", lambda i: i.cast("string"))), ",")
+    return judged.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(names, 256).alias("items_sha256"), "contaminated"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_byte_bpe": op1_byte_bpe,
     "op2_repair_files": op2_repair_files,
@@ -96,4 +140,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_url_rules": op8_url_rules,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_feistel_shards": op10_feistel_shards,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_decontaminate": op13_decontaminate,
 }

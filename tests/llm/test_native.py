@@ -14,7 +14,7 @@ from corpusloom.llm import chat, feistel, queries, url_rules
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.mark.parametrize("name", ["op7_chat_format", "op8_url_rules", "op10_feistel_shards"])
+@pytest.mark.parametrize("name", ["op7_chat_format", "op8_url_rules", "op10_feistel_shards", "op13_decontaminate"])
 def test_no_python_in_plans(spark, name):
     plan = queries.QUERIES[name](spark, SF)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|InArrow|CartesianProduct|NestedLoop", plan)

@@ -20,6 +20,9 @@ COLUMNS = {
     8: "page_id host path rule verdict",
     9: "doc_id n_bytes n_removed n_spans kept_sha256",
     10: "doc_id size text_crc32 law shard slot grown_shard",
+    11: "doc_id n_runs start length period exponent_milli runs_sha256 collapsed_sha256",
+    12: "doc_id leaf subroot root proof_sha256 folded_root verified",
+    13: "doc_id n_words n_hit n_items items_sha256 contaminated",
 }
 
 
@@ -55,4 +58,4 @@ def test_query(spark, duck, name):
 def test_entry_registers_them():
     assert QUERIES.items() <= entry.queries().items() and entry.queries()["pipeline"] is corpus_pipeline.run
     assert ORACLE_SQL.items() <= entry.oracle_sql().items()
-    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 11))
+    assert {int(n[2:].split("_")[0]) for n in QUERIES} == set(range(1, 14))
