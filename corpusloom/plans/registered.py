@@ -230,7 +230,9 @@ def posts_tree_job(spark: SparkSession, sf: str) -> DataFrame:
         F.count(F.lit(1)).alias("written"), F.sum(F.length("text")).alias("characters"), F.sum(F.length("cleaned_text")).alias("cleaned_characters"),
         F.min(F.concat_ws("/", "category", "filename")).alias("first_file"),
     )
-    return counts.withColumn("one", F.lit(1)).join(written.withColumn("one", F.lit(1)), "one").drop("one")
+    # Two tables of one row as one row: each lacks the other's columns.
+    columns = [*counts.columns, *written.columns]
+    return counts.unionByName(written, allowMissingColumns=True).agg(*[F.max(c).alias(c) for c in columns])
 
 
 def sample_documents(spark: SparkSession, sf: str) -> DataFrame:

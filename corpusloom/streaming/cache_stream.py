@@ -46,11 +46,14 @@ def latest_batch(spark: SparkSession, folder: str) -> int:
 def stream_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Entries, hits, misses and hit rate of the stream's cache since it was last flushed."""
     latest = latest_batch(spark, folder)
-    total = read_state(spark, folder, latest).agg(F.count(F.lit(1)).alias("total_entries"))
-    lookups = F.col("hit_count") + F.col("miss_count")
-    rate = F.round(F.coalesce(F.try_divide("hit_count", lookups), F.lit(0.0)), 4).alias("hit_rate")
-    both = total.withColumn("one", F.lit(1)).join(_counts(spark, folder, latest).withColumn("one", F.lit(1)), "one")
-    return both.select("total_entries", "hit_count", "miss_count", rate)
+    none = F.lit(0).cast("bigint")
+    entries = read_state(spark, folder, latest).select(F.lit(1).cast("bigint").alias("entries"), none.alias("hits"), none.alias("misses"))
+    lookups = _counts(spark, folder, latest).select(none.alias("entries"), F.col("hit_count").alias("hits"), F.col("miss_count").alias("misses"))
+    total = entries.unionByName(lookups).agg(
+        F.sum("entries").alias("total_entries"), F.sum("hits").alias("hit_count"), F.sum("misses").alias("miss_count")
+    )
+    rate = F.round(F.coalesce(F.try_divide("hit_count", F.col("hit_count") + F.col("miss_count")), F.lit(0.0)), 4)
+    return total.select("total_entries", "hit_count", "miss_count", rate.alias("hit_rate"))
 
 
 def flush_stream(spark: SparkSession, folder: str) -> None:
