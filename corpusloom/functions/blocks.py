@@ -11,6 +11,12 @@ SCORE_MARGIN = 1e-9
 BLOCK_CELLS = 2_000_000
 
 
+def with_vectors(rows: pa.Table) -> pa.Table:
+    """Rows that have a vector. Checked in the task and not as a filter of the plan, which would be pushed
+    below the function that makes the vectors and run it twice."""
+    return rows.filter(rows["embedding"].is_valid()) if rows["embedding"].null_count else rows
+
+
 def to_matrix(lists: pa.Array) -> np.ndarray:
     """Rows of a list column as a float64 matrix."""
     if isinstance(lists, pa.ChunkedArray):

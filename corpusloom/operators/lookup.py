@@ -2,23 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
+from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix, with_vectors
 from corpusloom.functions.vectors import route
-from corpusloom.operators.tiles import over_tiles, with_vectors
+from corpusloom.operators.cells import ENTRY_ROWS, cluster_sizes, count_up_to, in_cells
 
 THRESHOLD = 0.85
 SEARCH_DEPTH = 3
 FAR = np.iinfo(np.int16).max
-# A cache of default capacity is one tile.
-ENTRY_TILE_ROWS = 16384
 
 
 def route_ranks(routes: pa.Array, clusters: np.ndarray) -> np.ndarray:
@@ -39,14 +36,14 @@ def route_ranks(routes: pa.Array, clusters: np.ndarray) -> np.ndarray:
 
 
 class Entries:
-    """A tile of cache entries filed by cluster, ready to be compared with batches of queries.
+    """Cache entries filed by cluster, ready to be compared with batches of queries.
 
     Of equal vectors in a cluster only the first entry can be a match, so the others are left out.
     """
 
-    def __init__(self, tile: pa.Table):
-        vectors, cluster = to_matrix(tile["embedding"]), tile["dominant_cluster"].to_numpy()
-        ids = to_keys(tile["entry_id"].combine_chunks())
+    def __init__(self, held: pa.Table):
+        vectors, cluster = to_matrix(held["embedding"]), held["dominant_cluster"].to_numpy()
+        ids = to_keys(held["entry_id"].combine_chunks())
         order = np.lexsort((ids, cluster))
         firsts = np.unique(np.column_stack([cluster, vectors])[order], axis=0, return_index=True)[1]
         order = order[np.sort(firsts)]
@@ -82,31 +79,21 @@ class Entries:
         return rows[pick], cols[pick], score[pick], rank[pick]
 
 
-def _match(earlier_only: bool, min_score: float):
-    """A pass over queries that yields each one's best entry of the tile."""
+def best_of_cell(earlier_only: bool, min_score: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """The best entry of each query of a cell, among the earlier ones if ``earlier_only``."""
 
-    def for_tile(shared: Broadcast):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            if shared.value.num_rows == 0:
-                return
-            entries = Entries(shared.value)
-            for batch in map(with_vectors, batches):
-                if batch.num_rows == 0:
-                    continue
-                rows, cols, score, rank = entries.best(batch, earlier_only, min_score)
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch["qid"].take(pa.array(rows)),
-                        pa.array(entries.ids[cols]),
-                        pa.array(score),
-                        pa.array(rank.astype(np.int32)),
-                    ],
-                    names=["qid", "entry_id", "score", "route_rank"],
-                )
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        asked, held = with_vectors(asked), with_vectors(held)
+        kinds = asked.schema.field("qid").type, held.schema.field("entry_id").type
+        rows, ids, score, rank = np.zeros(0, np.int64), [], np.zeros(0), np.zeros(0)
+        if asked.num_rows and held.num_rows:
+            entries = Entries(held)
+            rows, cols, score, rank = entries.best(asked.combine_chunks().to_batches()[0], earlier_only, min_score)
+            ids = entries.ids[cols]
+        columns = [asked["qid"].take(pa.array(rows)).cast(kinds[0]), pa.array(ids, kinds[1]), pa.array(score), pa.array(rank.astype(np.int32))]
+        return pa.table(dict(zip(["qid", "entry_id", "score", "route_rank"], columns)))
 
-        return run
-
-    return for_tile
+    return run
 
 
 def best_match(
@@ -114,26 +101,22 @@ def best_match(
     entries: DataFrame,
     earlier_only: bool = False,
     min_score: float = -1.0,
-    tile_rows: int = ENTRY_TILE_ROWS,
+    block_rows: int = ENTRY_ROWS,
 ) -> DataFrame:
     """``(qid, entry_id, score)``: the most similar entry in each query's route.
 
-    ``queries`` has ``qid, embedding, route`` (null route: every cluster), ``entries`` has
+    ``queries`` has ``qid, embedding, route`` (null route: every cluster), ``entries``, a stored table, has
     ``entry_id, embedding, dominant_cluster``. Equal scores go to the cluster routed first, then to
     the earlier entry. ``earlier_only`` limits a query to entries whose id lies below its own.
     Queries without a routed entry at or above ``min_score``, or without a vector, have no row.
     """
     types = dict(queries.dtypes)["qid"], dict(entries.dtypes)["entry_id"]
     schema = f"qid {types[0]}, entry_id {types[1]}, score double, route_rank int"
-    matches, several = over_tiles(
-        queries.select("qid", "embedding", "route"),
-        entries.select("entry_id", "embedding", "dominant_cluster"),
-        "entry_id",
-        _match(earlier_only, min_score),
-        schema,
-        tile_rows,
-    )
-    return best_of_matches(matches) if several else matches.select("qid", "entry_id", "score")
+    held = entries.select("entry_id", "embedding", "dominant_cluster")
+    asked = queries.select("qid", "embedding", "route")
+    n_asked = count_up_to(queries.select("qid"), block_rows)
+    found = in_cells(asked, held, best_of_cell(earlier_only, min_score), schema, n_asked, cluster_sizes(held), block_rows)
+    return best_of_matches(found)
 
 
 def best_of_matches(matches: DataFrame) -> DataFrame:

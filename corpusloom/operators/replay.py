@@ -7,17 +7,16 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import SCORE_MARGIN, ordered_dots, row_blocks, to_matrix
 from corpusloom.functions.vectors import dot
-from corpusloom.operators.lookup import THRESHOLD, Entries, best_of_matches
+from corpusloom.operators.cells import ENTRY_ROWS, cluster_sizes, in_cells
+from corpusloom.operators.lookup import THRESHOLD, best_of_cell, best_of_matches
 from corpusloom.operators.state import retain, touch
-from corpusloom.session import child_names, drop_path, ship, stage, stage_path
+from corpusloom.session import child_names, stage, stage_path
 
-#: Rows on either side of a cell, about.
-BLOCK_ROWS = 8192
 #: Queries between two cuts of the cache back to its capacity.
 SLICE_ROWS = 1_000_000
 LOG_COLUMNS = ["qid", "embedding", "route", "dominant_cluster"]
@@ -31,46 +30,6 @@ class Replay:
     hits: DataFrame
 
 
-def cluster_sizes(held: DataFrame) -> dict[int, int]:
-    """Rows of each cluster, of which there are as many as the model has components."""
-    return {r["dominant_cluster"]: r["count"] for r in held.groupBy("dominant_cluster").count().collect()}
-
-
-def in_cells(
-    asked: DataFrame, held: DataFrame, run: Callable, schema: str, n_asked: int, sizes: dict[int, int], block_rows: int = BLOCK_ROWS
-) -> DataFrame:
-    """What ``run(queries, entries)``, a function of Arrow tables, yields for every cell.
-
-    A cell is a block of queries and a block of the entries of one cluster in the queries' routes, so a
-    cluster of any size is spread over many cells. ``asked`` has ``qid, embedding, route``, ``held``
-    has ``entry_id, embedding, dominant_cluster``; ``n_asked`` and ``sizes`` are their rows, by cluster for ``held``.
-    """
-    ship(asked.sparkSession)
-    if not sizes:
-        return asked.sparkSession.createDataFrame([], schema)
-    blocks = F.create_map(*[F.lit(x) for c, n in sizes.items() for x in (c, -(-n // block_rows))])
-    query_blocks = max(1, -(-n_asked // block_rows))
-
-    def numbers(n: Column) -> Column:
-        return F.explode(F.sequence(F.lit(0), n - 1))
-
-    present = F.array(*[F.lit(c) for c in sizes])
-    cluster = F.explode(F.when(F.col("route").isNull(), present).otherwise(F.array_intersect("route", present)))
-    queries = (
-        asked.withColumn("cluster", cluster)
-        .withColumn("entry_block", numbers(blocks[F.col("cluster")]))
-        .withColumn("query_block", F.pmod(F.xxhash64("qid"), F.lit(query_blocks)))
-    )
-    entries = (
-        held.withColumnRenamed("dominant_cluster", "cluster")
-        .withColumn("dominant_cluster", F.col("cluster"))
-        .withColumn("entry_block", F.pmod(F.xxhash64("entry_id"), blocks[F.col("cluster")]))
-        .withColumn("query_block", numbers(F.lit(query_blocks)))
-    )
-    keys = ["cluster", "query_block", "entry_block"]
-    return queries.groupBy(*keys).cogroup(entries.groupBy(*keys)).applyInArrow(run, schema)
-
-
 def _decide(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     """For the queries of a cell that find an earlier row: whether an entry answers, whether an open query might."""
 
@@ -93,20 +52,6 @@ def _decide(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
     return run
 
 
-def _find(threshold: float) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    """The best earlier entry of each query of a cell."""
-
-    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
-        names = ["qid", "entry_id", "score", "route_rank"]
-        if not (asked.num_rows and held.num_rows):
-            return pa.table(dict(zip(names, [pa.array([], t) for t in (pa.int64(), pa.int64(), pa.float64(), pa.int32())])))
-        entries = Entries(held)
-        rows, cols, score, rank = entries.best(asked.combine_chunks().to_batches()[0], True, threshold)
-        return pa.table(dict(zip(names, [asked["qid"].take(pa.array(rows)), entries.ids[cols], score, rank.astype(np.int32)])))
-
-    return run
-
-
 def first_of_equals(log: DataFrame, threshold: float) -> DataFrame:
     """Queries that equal no earlier one. The others are hits whatever becomes of the first of them.
 
@@ -122,60 +67,67 @@ def first_of_equals(log: DataFrame, threshold: float) -> DataFrame:
 
 
 def replay_log(
-    log: DataFrame, entries: DataFrame | None = None, threshold: float = THRESHOLD, block_rows: int = BLOCK_ROWS
+    log: DataFrame, entries: DataFrame | None = None, threshold: float = THRESHOLD, block_rows: int = ENTRY_ROWS
 ) -> Replay:
     """Hits and misses as if the queries came one by one, each miss becoming an entry at once.
 
-    ``log`` has ``qid`` (its order), ``embedding, route, dominant_cluster``; ``entries``, if given,
+    ``log``, a stored table, has ``qid`` (its order), ``embedding, route, dominant_cluster``; ``entries``, if given,
     is the cache before the log, with ids below those of the log. Nothing is evicted on the way.
 
     Queries are settled in rounds in the tasks: one is answered if an admitted earlier one reaches the
     threshold, and admitted if no open or admitted earlier one does. A round settles all queries
     whose earlier likes are settled, so there are as many rounds as the longest chain of queries of which
-    each is like the one before. No pairs are kept, and the driver sees counts only. At the end
-    each query takes its best match among all earlier entries.
+    each is like the one before. A round is one job: it compares what is still open with itself and with what the round
+    before admitted, writes the open queries with their new state, and counts them on the way. No pairs are kept, and the driver sees
+    counts only. At the end each query takes its best match among all earlier entries.
     """
     spark = log.sparkSession
     rows = log.select(*LOG_COLUMNS).filter(F.col("embedding").isNotNull())
-    log_rows = stage(rows, "log")
-    path, admitted_path = stage_path(spark, "settling"), stage_path(spark, "admitted")
-    settling = first_of_equals(log_rows, threshold).withColumn("state", F.lit("open"))
-    settling = stage(settling, "settling", path=path)
-    given = None if entries is None else entries.select("entry_id", "embedding", "dominant_cluster")
-
-    def as_entries(state: str) -> DataFrame:
-        held = settling.filter(F.col("state") == state)
+    asked_sizes = cluster_sizes(rows)
+    n_asked = sum(asked_sizes.values())
+    given = None if entries is None else entries.select("entry_id", "embedding", "dominant_cluster").filter(F.col("embedding").isNotNull())
+    given_sizes = {} if given is None else cluster_sizes(given)
+    rounds: list[str] = []
+
+    def settled(table: DataFrame) -> tuple[DataFrame, dict[int, int], dict[int, int]]:
+        """A round's table, written, and how many of it are open and admitted in each cluster, counted as it is written."""
+        seen, rounds_path = Observation(), stage_path(spark, "settling")
+        counts = [F.count_if((F.col("state") == state) & (F.col("dominant_cluster") == c)).alias(f"{state}_{c}") for state in ("open", "admitted") for c in asked_sizes]
+        rounds.append(rounds_path)
+        written = stage(table.observe(seen, F.count(F.lit(1)).alias("n"), *counts), "settling", path=rounds_path)
+        found = seen.get
+        return written, *({c: found[f"{state}_{c}"] for c in asked_sizes if found[f"{state}_{c}"]} for state in ("open", "admitted"))
+
+    def as_entries(table: DataFrame, state: str) -> DataFrame:
+        held = table.filter(F.col("state") == state)
         return held.select(F.col("qid").alias("entry_id"), "embedding", "dominant_cluster", F.lit(state == "open").alias("is_open"))
 
-    log_rows.limit(0).write.parquet(admitted_path)
-    before = None if given is None else given.withColumn("is_open", F.lit(False))
-    while True:
-        counts = settling.filter("state != 'answered'").groupBy("state", "dominant_cluster").count().collect()
-        n_open = sum(r["count"] for r in counts if r["state"] == "open")
-        if not n_open:
-            break
-        sizes: dict[int, int] = {} if before is None else cluster_sizes(before)
-        for r in counts:
-            sizes[r["dominant_cluster"]] = sizes.get(r["dominant_cluster"], 0) + r["count"]
-        held = as_entries("open").unionByName(as_entries("admitted") if before is None else before)
+    settling, n_open, _ = settled(first_of_equals(rows, threshold).withColumn("state", F.lit("open")))
+    n_admitted: dict[int, int] = {}
+    # What a query may meet in a round: open ones, and what was admitted since the round before.
+    newest, newest_sizes = None if given is None else given.withColumn("is_open", F.lit(False)), given_sizes
+    while n_open:
+        held = as_entries(settling, "open")
+        held = held if newest is None else held.unionByName(newest)
+        sizes = _added(n_open, newest_sizes)
         still_open = settling.filter("state = 'open'").select(*LOG_COLUMNS)
-        told = in_cells(still_open, held, _decide(threshold), "qid bigint, answered boolean, blocked boolean", n_open, sizes, block_rows)
+        told = in_cells(still_open, held, _decide(threshold), "qid bigint, answered boolean, blocked boolean", sum(n_open.values()), sizes, block_rows)
         told = told.groupBy("qid").agg(F.max("answered").alias("answered"), F.max("blocked").alias("blocked"))
         state = F.when(F.col("answered"), F.lit("answered")).when(F.col("blocked"), F.lit("open")).otherwise(F.lit("admitted"))
-        old, path = path, stage_path(spark, "settling")
-        settling = stage(still_open.join(told, "qid", "left").select(*LOG_COLUMNS, state.alias("state")), "settling", path=path)
-        settling.filter("state = 'admitted'").select(*LOG_COLUMNS).write.mode("append").parquet(admitted_path)
-        drop_path(spark, old)
-        before = None
-    drop_path(spark, path)
-    admitted = spark.read.schema(log_rows.schema).parquet(admitted_path)
+        settling, n_open, newest_sizes = settled(still_open.join(told, "qid", "left").select(*LOG_COLUMNS, state.alias("state")))
+        newest = as_entries(settling, "admitted")
+        n_admitted = _added(n_admitted, newest_sizes)
+    admitted = spark.read.schema(settling.schema).parquet(*rounds).filter("state = 'admitted'")
     candidates = admitted.select(F.col("qid").alias("entry_id"), "embedding", "dominant_cluster")
     if given is not None:
         candidates = candidates.unionByName(given)
     schema = "qid bigint, entry_id bigint, score double, route_rank int"
-    found = in_cells(log_rows, candidates, _find(threshold), schema, log_rows.count(), cluster_sizes(candidates), block_rows)
-    hits = best_of_matches(found)
-    return Replay(admitted.select("qid"), hits)
+    found = in_cells(rows, candidates, best_of_cell(True, threshold), schema, n_asked, _added(given_sizes, n_admitted), block_rows)
+    return Replay(admitted.select("qid"), best_of_matches(found))
+
+
+def _added(a: dict[int, int], b: dict[int, int]) -> dict[int, int]:
+    return {c: a.get(c, 0) + b.get(c, 0) for c in a.keys() | b.keys()}
 
 
 def ordered_slices(log: DataFrame, key: str, rows: int) -> list[DataFrame]:
@@ -209,12 +161,12 @@ def replay_with_retention(
     spark = log.sparkSession
     path = stage_path(spark, "slice-hits")
     columns = ["entry_id", "embedding", "dominant_cluster", "last_accessed"]
-    before = entries.select(*columns)
+    before, paths = entries.select(*columns), []
     for part in ordered_slices(log, "qid", slice_rows):
         replayed = replay_log(part, before, threshold)
-        hits = stage(replayed.hits, "hits")
-        hits.write.mode("append").parquet(path)
+        paths.append(f"{path}/{len(paths)}")
+        hits = stage(replayed.hits, "hits", path=paths[-1])
         new = part.join(replayed.admitted, "qid", "left_semi").withColumnsRenamed({"qid": "entry_id", "ts": "last_accessed"})
         touched = touch(before.unionByName(new.select(*columns)), hits.join(part.select("qid", "ts"), "qid"))
         before = stage(retain(touched, max_entries), "entries")
-    return spark.read.parquet(path), before
+    return spark.read.schema(hits.schema).parquet(*paths), before

@@ -2,17 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix
-from corpusloom.operators.tiles import TILE_ROWS, over_tiles, with_vectors
+from corpusloom.functions.blocks import SCORE_MARGIN, first_in_order, ordered_dots, row_blocks, to_keys, to_matrix, with_vectors
+from corpusloom.operators.cells import HELD_ROWS, QUERY_ROWS, TASK_ROWS, all_cells, block_count, count_up_to
 
 SNIPPET_LENGTH = 500
 
@@ -39,57 +36,46 @@ def _first_copies(block: np.ndarray, ids: np.ndarray, rows: np.ndarray, cols: np
     return rows[kept], cols[kept]
 
 
-def _scan(k: int, filtered: bool):
-    """A pass over vectors that yields, per task, the ``k`` best rows of every query of the tile."""
-
-    def for_tile(shared: Broadcast):
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            tile = shared.value
-            if tile.num_rows == 0:
-                return
-            queries = to_matrix(tile["embedding"])
+def _best_of_cell(k: int, filtered: bool):
+    """The ``k`` best rows of a cell's vectors for every query of the cell."""
+
+    def run(asked: pa.Table, held: pa.Table) -> pa.Table:
+        asked, held = with_vectors(asked), with_vectors(held)
+        queries, vectors, ids = to_matrix(asked["embedding"]), to_matrix(held["embedding"]), to_keys(held["doc_id"])
+        best_query, best_id, best_score = np.zeros(0, np.int64), ids[:0], np.zeros(0)
+        if not (len(queries) and len(vectors)):
+            return _hits(asked, held, best_query, best_id, best_score)
+        if filtered:
+            names = pc.unique(asked["category_filter"].combine_chunks().drop_null())
+            wanted = pc.fill_null(pc.index_in(asked["category_filter"], names), -1).to_numpy()
+            found = pc.fill_null(pc.index_in(held["category"], names), -2).to_numpy()
+        floor = np.full(len(queries), -np.inf)
+        for part in row_blocks(len(vectors), len(queries)):
+            block, block_ids = vectors[part], ids[part]
+            scores = block @ queries.T
             if filtered:
-                names = pc.unique(tile["category_filter"].combine_chunks().drop_null())
-                wanted = pc.fill_null(pc.index_in(tile["category_filter"], names), -1).to_numpy()
-            best_query = np.zeros(0, dtype=np.int64)
-            best_id = best_score = None
-            floor = np.full(len(queries), -np.inf)
-            for batch in map(with_vectors, batches):
-                if batch.num_rows == 0:
-                    continue
-                vectors, ids = to_matrix(batch["embedding"]), to_keys(batch["doc_id"])
-                if filtered:
-                    found = pc.fill_null(pc.index_in(batch["category"], names), -2).to_numpy()
-                for part in row_blocks(len(vectors), len(queries)):
-                    block, block_ids = vectors[part], ids[part]
-                    scores = block @ queries.T
-                    if filtered:
-                        allowed = (found[part, None] == wanted[None, :]) | (wanted[None, :] == -1)
-                        scores = np.where(allowed, scores, -np.inf)
-                    rows, cols = _best_candidates(scores, k, floor)
-                    if len(rows) > 4 * k * len(queries):
-                        rows, cols = _first_copies(block, block_ids, rows, cols, k)
-                    exact = ordered_dots(block, queries, rows, cols)
-                    if best_id is None:
-                        best_id, best_score = block_ids[:0], exact[:0]
-                    query = np.r_[best_query, cols]
-                    doc = np.concatenate([best_id, block_ids[rows]])
-                    score = np.r_[best_score, exact]
-                    kept = first_in_order(query, -score, doc, n=k)
-                    best_query, best_id, best_score = query[kept], doc[kept], score[kept]
-                    full, size = np.unique(best_query, return_counts=True)
-                    worst = np.full(len(queries), np.inf)
-                    np.minimum.at(worst, best_query, best_score)
-                    floor[full[size == k]] = worst[full[size == k]]
-            if best_id is not None and len(best_id):
-                yield pa.RecordBatch.from_arrays(
-                    [tile["qid"].combine_chunks().take(pa.array(best_query)), pa.array(best_id), pa.array(best_score)],
-                    names=["qid", "doc_id", "score"],
-                )
-
-        return run
-
-    return for_tile
+                allowed = (found[part, None] == wanted[None, :]) | (wanted[None, :] == -1)
+                scores = np.where(allowed, scores, -np.inf)
+            rows, cols = _best_candidates(scores, k, floor)
+            if len(rows) > 4 * k * len(queries):
+                rows, cols = _first_copies(block, block_ids, rows, cols, k)
+            exact = ordered_dots(block, queries, rows, cols)
+            query = np.r_[best_query, cols]
+            doc = np.concatenate([best_id, block_ids[rows]])
+            score = np.r_[best_score, exact]
+            kept = first_in_order(query, -score, doc, n=k)
+            best_query, best_id, best_score = query[kept], doc[kept], score[kept]
+            full, size = np.unique(best_query, return_counts=True)
+            worst = np.full(len(queries), np.inf)
+            np.minimum.at(worst, best_query, best_score)
+            floor[full[size == k]] = worst[full[size == k]]
+        return _hits(asked, held, best_query, best_id, best_score)
+
+    return run
+
+
+def _hits(asked: pa.Table, held: pa.Table, query: np.ndarray, ids: np.ndarray, score: np.ndarray) -> pa.Table:
+    return pa.table({"qid": asked["qid"].take(pa.array(query)), "doc_id": pa.array(ids, held.schema.field("doc_id").type), "score": pa.array(score, pa.float64())})
 
 
 def ranked(hits: DataFrame, k: int) -> DataFrame:
@@ -101,27 +87,22 @@ def ranked(hits: DataFrame, k: int) -> DataFrame:
     return hits.withColumn("rank", F.row_number().over(window)).filter(F.col("rank") <= k)
 
 
-def top_k(
-    vectors: DataFrame, queries: DataFrame, k: int = 5, filtered: bool = False, tile_rows: int = TILE_ROWS
-) -> DataFrame:
+def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, filtered: bool = False, query_rows: int = QUERY_ROWS) -> DataFrame:
     """``(qid, rank, doc_id, score)`` of the ``k`` vectors with the largest inner product per query.
 
-    ``vectors`` has ``doc_id, embedding``, ``queries`` has ``qid, embedding``. With ``filtered``,
+    ``vectors`` has ``doc_id, embedding`` and should be a stored table, ``queries`` has ``qid, embedding``. With ``filtered``,
     ``vectors`` also has ``category`` and each query's ``category_filter`` (null for none) limits
     what it may find. Rows without a vector are left out.
     """
-    large = vectors.select("doc_id", "embedding", *(["category"] if filtered else []))
-    small = queries.select("qid", "embedding", *(["category_filter"] if filtered else []))
+    held = vectors.select("doc_id", "embedding", *(["category"] if filtered else []))
+    asked = queries.select("qid", "embedding", *(["category_filter"] if filtered else []))
     key_types = dict(queries.dtypes)["qid"], dict(vectors.dtypes)["doc_id"]
     schema = f"qid {key_types[0]}, doc_id {key_types[1]}, score double"
-    hits, _ = over_tiles(
-        large,
-        small,
-        "qid",
-        _scan(k, filtered),
-        schema,
-        tile_rows,
-    )
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    n_held = vectors.select("doc_id").count()
+    held_blocks = max(block_count(n_held, HELD_ROWS), min(cores, block_count(n_held, TASK_ROWS)))
+    asked_blocks = block_count(count_up_to(queries.select("qid"), query_rows), query_rows)
+    hits = all_cells(asked, held, "qid", "doc_id", _best_of_cell(k, filtered), schema, asked_blocks, held_blocks)
     return ranked(hits, k).select("qid", "rank", "doc_id", "score")
 
 

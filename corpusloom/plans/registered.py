@@ -82,7 +82,7 @@ SMOKE_QUERIES = [
 
 LRU_ENTRIES = 300
 GMM_ROUNDS = 5
-TILE = 300
+BLOCK = 300
 GRID = (2, 3, 5)
 GRID_ROUNDS = 2
 SMALL_CACHE = 200
@@ -298,9 +298,9 @@ def topk_all(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def topk_tiles(spark: SparkSession, sf: str) -> DataFrame:
-    """The vectors and their paraphrases as queries, in tiles that take turns."""
+    """The vectors and their paraphrases as queries, in blocks that meet the vectors apart."""
     queries = stage(_query_log(spark, sf).select("qid", "embedding"), "many-queries")
-    hits = top_k(_vectors(spark, sf), queries, k=3, tile_rows=TILE)
+    hits = top_k(_vectors(spark, sf), queries, k=3, query_rows=BLOCK)
     return hits.select("qid", "rank", "doc_id", *_round("score"))
 
 

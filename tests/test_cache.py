@@ -103,8 +103,8 @@ def test_routing_depth(spark):
     assert lookup(asked.drop("cluster_probs"), entries).first().entry_id == 0
 
 
-@pytest.mark.parametrize("tile_rows", [4096, 7])
-def test_best_match_against_brute_force(spark, tile_rows):
+@pytest.mark.parametrize("block_rows", [4096, 7])
+def test_best_match_against_brute_force(spark, block_rows):
     rng = np.random.default_rng(4)
     entries = [unit(v) for v in rng.normal(size=(40, 5))] * 2
     asked = [unit(v) for v in rng.normal(size=(30, 5))]
@@ -112,7 +112,7 @@ def test_best_match_against_brute_force(spark, tile_rows):
     asked_probs = rng.dirichlet(np.ones(4), 30).tolist()
     cached = admit(empty_cache(spark), query_rows(spark, entries, probs=entry_probs))
     routed = with_route(query_rows(spark, asked, 100, probs=asked_probs).repartition(3), 2)
-    found = {r.qid: r.entry_id for r in best_match(routed, cached, tile_rows=tile_rows).collect()}
+    found = {r.qid: r.entry_id for r in best_match(routed, cached, block_rows=block_rows).collect()}
     for i, v in enumerate(asked):
         best = None
         v = v.astype(np.float32).astype(float)
@@ -253,15 +253,16 @@ def test_cyclic_log_takes_as_many_turns_as_slices(spark, monkeypatch):
     assert len(turns) == 4
 
 
-def test_replay_reads_no_rows_on_the_driver():
+def test_no_rows_on_the_driver():
     from pathlib import Path
 
-    from corpusloom.operators import replay
+    from corpusloom.operators import cells, lookup, replay, search
 
-    source = Path(replay.__file__).read_text()
-    assert "toArrow" not in source and "toPandas" not in source
-    # What is collected are counts, by cluster and state.
-    assert source.count(".collect()") == source.count(".count().collect()") == 2
+    for module in (cells, lookup, replay, search):
+        source = Path(module.__file__).read_text()
+        assert "toArrow" not in source and "toPandas" not in source and ".broadcast(" not in source
+        # What is collected are counts, by cluster.
+        assert source.count(".collect()") == source.count(".count().collect()") == (module is cells)
 
 
 def test_null_vectors_are_misses_and_no_entries(spark):

@@ -37,11 +37,11 @@ def triples(hits):
     return sorted((r.qid, r["rank"], r.doc_id) for r in hits.collect())
 
 
-@pytest.mark.parametrize("tile_rows", [4096, 3])
-def test_equals_full_sort(spark, tile_rows):
+@pytest.mark.parametrize("query_rows", [4096, 3])
+def test_equals_full_sort(spark, query_rows):
     rng = np.random.default_rng(1)
     vectors, queries = unit(rng, 200), unit(rng, 10)
-    hits = top_k(vector_table(spark, vectors), query_table(spark, queries), 5, tile_rows=tile_rows)
+    hits = top_k(vector_table(spark, vectors), query_table(spark, queries), 5, query_rows=query_rows)
     assert triples(hits) == brute(vectors, queries, 5)
 
 
