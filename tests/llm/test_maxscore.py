@@ -15,7 +15,7 @@ def plain(rows, is_query, k):
             asked[i] = min(asked.get(i, v), v, key=list)
     out = []
     for q, w in asked.items():
-        scores = sorted((-sum(int(a) * int(b) for a, b in zip(w, v)), i) for i, v in rows if i != q)
+        scores = sorted((-min(max(sum(int(a) * int(b) for a, b in zip(w, v)), -(2**63)), 2**63 - 1), i) for i, v in rows if i != q)
         out += [(q, n + 1, i, -s) for n, (s, i) in enumerate(scores[:k])]
     return sorted(out)
 
@@ -45,6 +45,19 @@ def test_search(spark, monkeypatch, kind, blocks):
     assert got == plain(rows, lambda i: i % 10 == 0, 10)
 
 
+@pytest.mark.parametrize("size", [65536.5, 1e5, 1e12, 1e200])
+def test_large_components(spark, monkeypatch, size):
+    """Scores beyond doubles, and beyond 64 bits, next to small ones."""
+    monkeypatch.setattr(maxscore, "LEAST_SHARDS", 2)
+    monkeypatch.setattr(maxscore, "FIRST_STRIP", 16)
+    draw = np.random.default_rng(8)
+    vectors = draw.normal(size=(120, 3)) * np.where(draw.random((120, 1)) < 0.4, size, 1)
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)] + [(500, [size, 0.0, 1.0]), (510, [size, size, size]), (520, [-size] * 3), (530, [1.0])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, maxscore.search(table, F.col("id") % 10 == 0).collect()))
+    assert got == plain(rows, lambda i: i % 10 == 0, 10)
+
+
 def test_few_and_none(spark):
     vectors = spark.createDataFrame([(0, [1.0, -0.5]), (1, [0.5, 0.25]), (100, [-1.0, 0.0])], "vec_id long, embedding array<float>")
     got = sorted(map(tuple, maxscore.search(vectors, F.col("id") % 100 == 0).collect()))
