@@ -1,4 +1,12 @@
-"""From raw documents to packed sequences: quality rules, near-duplicates, repeated passages, packing."""
+"""From raw documents to packed sequences: quality rules, near-duplicates, repeated passages, packing.
+
+Each stage takes what the one before kept, as a stored table, and all but the last return the columns of ``documents``.
+Defined results: a null or wordless text fails the base rules and goes; rows with a null id pass the rules by their text alone, are
+never near-duplicates, neither lose nor take passages, and are packed as pieces without an id; repeated rows and rows of one
+id count as one document, of which the near-duplicate stage keeps one row (see ``simhash.keep_one``); texts of any length go
+through whole; an empty table gives an empty result; further columns pass through the first three stages, whatever their
+names, and ``n_chars``, if there is one, follows the text.
+"""
 
 from __future__ import annotations
 
@@ -7,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import overlaps, packing, quality, suffixes
+from corpusloom.llm import packing, quality, simhash, suffixes
 from corpusloom.session import stage
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -19,13 +27,16 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def keep_one_of_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group linked by a five-word similarity of 0.8 or more."""
-    return overlaps.keep_one(docs)
+    """One document, that of the smallest id, of each group whose fingerprints of three-word shingles differ in three bits or fewer."""
+    return simhash.keep_one(docs, simhash.SHINGLE, simhash.BITS)
 
 
 def remove_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without passages that a document with a smaller id has, whole characters only."""
-    return suffixes.keep_texts(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    cleaned = suffixes.keep_texts(docs)
+    if "n_chars" not in docs.columns:
+        return cleaned
+    return cleaned.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -40,7 +51,7 @@ STAGES: list[tuple[str, Stage]] = [
     ("best-fit packing", pack),
 ]
 
-#: No SQL: trees and word sets are not stated in it. The tests hold the stages against brute force.
+#: No SQL: trees, fingerprints and byte strings are not stated in it. The tests hold the stages against brute force.
 ORACLE_SQL: str | None = None
 
 
