@@ -5,13 +5,36 @@ from __future__ import annotations
 import numpy as np
 
 
+#: Symbols, or suffixes, that are looked at together where an array operation needs wide copies.
+CHUNK = 1 << 18
+
+
+def order_of(keys: np.ndarray, most: int) -> np.ndarray:
+    """The stable order of integers from 0 to ``most``. Sorting keys with their places is much faster than sorting places by keys."""
+    bits = max(1, len(keys) - 1).bit_length()
+    if most.bit_length() + bits > 64:
+        return np.argsort(keys, kind="stable").astype(np.int32)
+    packed = keys.astype(np.uint64) << np.uint64(bits)
+    packed |= np.arange(len(keys), dtype=np.uint64)
+    packed.sort()
+    packed &= np.uint64((1 << bits) - 1)
+    return packed.astype(np.int32)
+
+
+def counts_of(text: np.ndarray, size: int) -> np.ndarray:
+    """How often each symbol occurs."""
+    return sum((np.bincount(text[i : i + CHUNK], minlength=size) for i in range(0, len(text), CHUNK)), np.zeros(size, np.int64))
+
+
 def is_smaller(text: np.ndarray) -> np.ndarray:
     """For each suffix whether it is smaller than the next one; the end is smaller than any symbol."""
-    n = len(text)
-    change = np.flatnonzero(text[1:] != text[:-1])
-    ends = np.append(change, n - 1)
-    rises = np.append(text[change] < text[change + 1], False)
-    return np.repeat(rises, np.diff(np.append(-1, ends)))
+    smaller = np.append(text[:-1] < text[1:], False)
+    # Suffixes that begin with two equal symbols are as the last one of their run of equals.
+    equal = np.flatnonzero(text[:-1] == text[1:]).astype(np.int32)
+    if len(equal):
+        last = np.flatnonzero(np.append(np.diff(equal) != 1, True))
+        smaller[equal] = np.repeat(smaller[equal[last] + 1], np.diff(np.append(-1, last)))
+    return smaller
 
 
 def induce(text: np.ndarray, smaller: np.ndarray, starts: np.ndarray, larger_of: np.ndarray, seeds: np.ndarray) -> np.ndarray:
@@ -86,22 +109,23 @@ def order_names(names: np.ndarray) -> np.ndarray:
     the reach each time, until all are alone. What follows the string's end is least.
     """
     n = len(names)
-    order = np.argsort(names, kind="stable")
-    place = np.arange(n)
+    order = order_of(names, n)
+    place = np.arange(n, dtype=np.int32)
     begins = group_starts(names[order])
-    rank = np.empty(n, np.int64)
+    rank = np.empty(n, np.int32)
     rank[order] = np.maximum.accumulate(np.where(begins, place, 0))
     alone = begins & np.append(begins[1:], True)
     together, reach = order[~alone], 1
     while len(together):
         own = rank[together]
-        following = np.zeros(len(together), np.int64)
-        inside = np.flatnonzero(together + reach < n)
-        following[inside] = rank[together[inside] + reach] + 1
-        keys = own * (n + 1) + following
-        by_key = np.argsort(keys)
+        keys = own.astype(np.int64) * (n + 1)
+        inside = np.flatnonzero(together.astype(np.int64) + reach < n).astype(np.int32)
+        keys[inside] += rank[together[inside] + reach] + 1
+        del inside
+        by_key = order_of(keys, (n + 1) ** 2)
         together, own, keys = together[by_key], own[by_key], keys[by_key]
-        index = np.arange(len(together))
+        del by_key
+        index = np.arange(len(together), dtype=np.int32)
         at = own + index - np.maximum.accumulate(np.where(group_starts(own), index, 0))
         begins = group_starts(keys)
         rank[together] = np.maximum.accumulate(np.where(begins, at, 0))
@@ -118,14 +142,14 @@ def name_substrings(text: np.ndarray, sorted_first: np.ndarray, lengths: np.ndar
     """
     left, right = sorted_first[:-1], sorted_first[1:]
     differs = lengths[1:] != lengths[:-1]
-    open_pairs = np.flatnonzero(~differs)
+    open_pairs = np.flatnonzero(~differs).astype(np.int32)
     at = 0
     while len(open_pairs):
         unequal = text[left[open_pairs] + at] != text[right[open_pairs] + at]
         differs[open_pairs[unequal]] = True
         at += 1
         open_pairs = open_pairs[~unequal & (lengths[1:][open_pairs] > at)]
-    return np.append(0, np.cumsum(differs))
+    return np.append(np.int32(0), np.cumsum(differs, dtype=np.int32))
 
 
 def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
@@ -133,26 +157,27 @@ def suffix_array(text: np.ndarray, size: int) -> np.ndarray:
     n = len(text)
     if n < 2:
         return np.arange(n, dtype=np.int32)
-    text = text.astype(np.uint8 if size <= 1 << 8 else np.uint16 if size <= 1 << 16 else np.int64)
+    text = text.astype(np.uint8 if size <= 1 << 8 else np.uint16 if size <= 1 << 16 else np.int64, copy=False)
     smaller = is_smaller(text)
-    counts = np.bincount(text, minlength=size)
+    counts = counts_of(text, size)
     starts = np.append(0, np.cumsum(counts))
-    larger_of = counts - np.bincount(text[smaller], minlength=size)
+    larger_of = counts - counts_of(text[smaller], size)
     first = (np.flatnonzero(smaller[1:] & ~smaller[:-1]) + 1).astype(np.int32)
     if len(first) > 1:
         rough = induce(text, smaller, starts, larger_of, first)
         leftmost = np.zeros(n, bool)
         leftmost[first] = True
         in_order = rough[leftmost[rough]]
+        del rough, leftmost
         # A substring reaches to the next leftmost smaller suffix; the last one reaches to the end and is like no other.
-        length_at = np.zeros(n, np.int64)
-        length_at[first] = np.append(first[1:] - first[:-1] + 1, n - first[-1] + 1)
-        lengths = length_at[in_order]
-        last = np.flatnonzero(in_order == first[-1])
-        lengths[last] = n + 1
-        names_at = np.zeros(n, np.int64)
-        names_at[in_order] = name_substrings(text, in_order, lengths)
-        first = first[order_names(names_at[first])]
+        at = np.zeros(n, np.int32)
+        at[first] = np.append(first[1:] - first[:-1] + 1, n - first[-1] + 1)
+        lengths = at[in_order]
+        lengths[np.flatnonzero(in_order == first[-1])] = n + 1
+        at[in_order] = name_substrings(text, in_order, lengths)
+        names = at[first]
+        del at, in_order, lengths
+        first = first[order_names(names)]
     return induce(text, smaller, starts, larger_of, first)
 
 
@@ -165,14 +190,16 @@ def permuted_matches(raw: np.ndarray, order: np.ndarray, starts: np.ndarray, len
     """
     previous = np.full(len(order), -1, np.int32)
     previous[order[1:]] = order[:-1]
-    other = previous[starts]
     valid = np.zeros(len(order), bool)
     valid[starts] = True
-    same = np.flatnonzero((other >= 0) & valid[other])
     offsets = [*range(0, length - 7, 8), *([length - 8] if length % 8 else [])]
     words = np.ndarray((len(raw) - 7,), "<u8", raw, 0, (1,))
-    for offset in offsets:
-        same = same[words[starts[same] + offset] == words[other[same] + offset]]
     out = np.zeros(len(starts), bool)
-    out[same] = True
+    for i in range(0, len(starts), CHUNK):
+        own = starts[i : i + CHUNK]
+        other = previous[own]
+        same = np.flatnonzero((other >= 0) & valid[other])
+        for offset in offsets:
+            same = same[words[own[same] + offset] == words[other[same] + offset]]
+        out[i + same] = True
     return out

@@ -34,7 +34,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import pieces, ranges, starts_of, text_bytes
-from corpusloom.llm.induced import permuted_matches, suffix_array
+from corpusloom.llm.induced import order_of, permuted_matches, suffix_array
 from corpusloom.session import ship, stage
 
 MATCH = 50
@@ -49,6 +49,8 @@ SENT_BYTES = 4 << 20
 GROUPS_PER_PARTITION = 2
 #: Bytes of text in a bucket, about; larger inputs get more groups.
 GROUP_BYTES = 32 << 20
+#: Bytes of an entry's columns: id, number of the row among those of its id, first window, number of windows.
+HEAD = (8, 4, 4, 4)
 #: Ordinal of an entry that stands for several documents, which need no answer.
 SETTLED = (1 << 32) - 1
 _FACTORS = ((1, 0x9E3779B97F4A7C15), (2, 0xC2B2AE3D27D4EB4F), (4, 0x165667B19E3779F9), (8, 0x27D4EB2F165667C5))
@@ -242,20 +244,23 @@ def held_before(held: Documents, doc: np.ndarray, hashes: np.ndarray, first: np.
     """A flag for each fragment: a smaller id of the bucket, which is no copy, has the same one. Fragments come by document."""
     out = np.zeros(len(doc), bool)
     taking = np.flatnonzero((held.known & ~held.copy)[doc])
-    order = taking[np.lexsort((n[taking], hashes[taking]))]
+    # Fragments meet by 40 bits of hash and length; their bytes tell them apart.
+    keys = ((hashes[taking] ^ n[taking].astype(np.uint64)) * np.uint64(_FACTORS[0][1])) >> np.uint64(24)
+    by_key = order_of(keys, (1 << 40) - 1)
+    order, keys = taking[by_key], keys[by_key]
     if len(order) < 2:
         return out
-    same = (hashes[order[1:]] == hashes[order[:-1]]) & (n[order[1:]] == n[order[:-1]])
+    same = keys[1:] == keys[:-1]
     meets, begins = np.append(same, False), np.append(False, same)
     some = np.flatnonzero(meets | begins)
-    raw, at = held.flat.tobytes(), order[some]
+    raw, at = memoryview(held.flat), order[some]
     ends = first[at] + n[at] + MATCH - 1
     least: dict[bytes, int] = {}
-    # Documents are in ascending order of id, and so are the fragments of one hash and length.
+    # Documents are in ascending order of id, and so are the fragments of one key.
     for i, new, a, b, own in zip(at.tolist(), (~begins[some]).tolist(), first[at].tolist(), ends.tolist(), held.ids[doc[at]].tolist()):
         if new:
             least.clear()
-        out[i] = least.setdefault(raw[a:b], own) < own
+        out[i] = least.setdefault(bytes(raw[a:b]), own) < own
     return out
 
 
@@ -285,7 +290,7 @@ def shared_fragments(docs: DataFrame, notes: DataFrame, n_shards: int) -> DataFr
             doc, hashes, first, n = doc[chosen], hashes[chosen], first[chosen], n[chosen]
             shard = ((hashes >> np.uint64(32)) % np.uint64(n_shards)).astype(np.int64)
             for s, (d, f, m) in by_key(shard, doc, first, n):
-                head = pack((held.ids[d], 8), (held.variant[d], 2), (f - held.starts[d], 4), (m, 4))
+                head = pack(*zip((held.ids[d], held.variant[d], f - held.starts[d], m), HEAD))
                 out.append((s, head, held.flat[ranges(f, m + MATCH - 1)].tobytes()))
         return pa.table(
             {"shard": pa.array([x[0] for x in out], pa.int32()), "payload": pa.array([x[1] for x in out], pa.binary()), "bytes": pa.array([x[2] for x in out], pa.binary())}
@@ -294,91 +299,136 @@ def shared_fragments(docs: DataFrame, notes: DataFrame, n_shards: int) -> DataFr
     return cogroup_rows(docs, notes, run, "shard int, payload binary, bytes binary")
 
 
-def least_documents(raw: bytes, starts: np.ndarray, windows: np.ndarray, least: np.ndarray) -> np.ndarray:
+def least_documents(raw: np.ndarray, starts: np.ndarray, windows: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each window of distinct fragments, one fragment after another: the smallest document that has it.
 
-    Fragment ``i`` is at ``starts[i]`` with ``windows[i]`` windows, and ``least[i]`` is its smallest document.
+    Ids, and for each window the number of its id among them. Fragment ``i`` is at ``starts[i]`` of the bytes ``raw`` with ``windows[i]`` windows, and ``least[i]`` is its smallest document.
     """
     lengths = windows + MATCH - 1
-    flat = np.frombuffer(raw, np.uint8)
     # A symbol below all bytes ends each fragment, so that no window reaches over it.
     text = np.zeros(int(lengths.sum()) + len(starts), np.uint16)
     new_starts = starts_of(np.cumsum(lengths + 1))
-    places = ranges(new_starts, lengths)
     plain = np.zeros(len(text) + 8, np.uint8)
-    plain[places] = flat[ranges(starts, lengths)]
-    text[places] = plain[places] + np.uint16(1)
-    del places
+    for part in fragment_parts(lengths):
+        places = ranges(new_starts[part], lengths[part])
+        plain[places] = raw[ranges(starts[part], lengths[part])]
+        text[places] = plain[places] + np.uint16(1)
     order = suffix_array(text, int(text.max(initial=0)) + 1)
-    at = ranges(new_starts, windows).astype(np.int32)
+    at = np.concatenate([ranges(new_starts[part], windows[part]).astype(np.int32) for part in fragment_parts(windows)])
     same = permuted_matches(plain, order, at, MATCH)
     window_of = np.full(len(text), -1, np.int32)
-    window_of[at] = np.arange(len(at))
+    del text, plain
+    window_of[at] = np.arange(len(at), dtype=np.int32)
+    n_windows = len(at)
+    del at
     in_order = window_of[order]
+    del order, window_of
     in_order = in_order[in_order >= 0]
-    document = np.repeat(least, windows)
+    # Documents by their rank, which fits in less room.
+    documents, rank = np.unique(least, return_inverse=True)
+    rank = np.repeat(rank.astype(np.int32), windows)[in_order]
     first = np.flatnonzero(~same[in_order])
-    smallest = np.minimum.reduceat(document[in_order], first)
-    out = np.empty(len(at), np.int64)
-    out[in_order] = np.repeat(smallest, np.diff(np.append(first, len(in_order))))
-    return out
+    smallest = np.minimum.reduceat(rank, first)
+    out = np.empty(n_windows, np.int32)
+    out[in_order] = np.repeat(smallest, np.diff(np.append(first, n_windows)))
+    return documents, out
+
+
+def fragment_parts(sizes: np.ndarray) -> Iterator[slice]:
+    """Slices of fragments that have ``PART`` bytes, or windows, together, or one fragment."""
+    ends, start = np.cumsum(sizes), 0
+    while start < len(sizes):
+        base = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, base + PART, side="right")))
+        yield slice(start, stop)
+        start = stop
 
 
 def repeated_windows(sent: DataFrame, n_buckets: int) -> DataFrame:
     """``bucket, payload``: ids, variants, first windows and numbers of windows that a smaller id has, too (step 4)."""
 
     def run(rows: pa.Table) -> pa.Table:
-        ids, variant, first, windows = gather(rows.column("payload").to_pylist(), 8, 2, 4, 4)
+        ids, variant, first, windows = gather(rows.column("payload").to_pylist(), *HEAD)
         ids, windows = ids.view(np.int64), windows.astype(np.int64)
-        raw = b"".join(rows.column("bytes").to_pylist())
+        flat, _ = text_bytes(rows.column("bytes"))
+        raw = memoryview(flat)
         starts = starts_of(np.cumsum(windows + MATCH - 1))
         distinct: dict[bytes, int] = {}
         ends = starts + windows + MATCH - 1
-        which = np.array([distinct.setdefault(raw[a:b], len(distinct)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+        which = np.array([distinct.setdefault(bytes(raw[a:b]), len(distinct)) for a, b in zip(starts.tolist(), ends.tolist())], np.int64)
+        del distinct
         order = np.lexsort((ids, which))
         begin = np.flatnonzero(np.concatenate([[True], which[order][1:] != which[order][:-1]]))
         some = order[begin]  # one fragment for each distinct one, of the smallest document
-        smallest = least_documents(raw, starts[some], windows[some], ids[some])
+        documents, smallest = least_documents(flat, starts[some], windows[some], ids[some])
+        own_rank = np.searchsorted(documents, ids, side="left").astype(np.int32)
         window_starts = starts_of(np.cumsum(windows[some]))
-        # Every fragment's windows against its own document, runs of removed ones.
-        fragment = np.repeat(np.arange(len(ids)), windows)
-        window = ranges(window_starts[which], windows)
-        removed = smallest[window] < ids[fragment]
-        edge = np.concatenate([[True], (removed[1:] != removed[:-1]) | (fragment[1:] != fragment[:-1])])
-        run_first = np.flatnonzero(edge)
-        run_n = np.diff(np.append(run_first, len(removed)))
-        kept = removed[run_first]
-        run_first, run_n = run_first[kept], run_n[kept]
-        own = fragment[run_first]
-        offset = first[own].astype(np.int64) + run_first - starts_of(np.cumsum(windows))[own]
-        out = [
-            (b, pack((i, 8), (v, 2), (f, 4), (n, 4)))
-            for b, (i, v, f, n) in by_key(bucket_of(ids[own], n_buckets), ids[own], variant[own], offset, run_n)
-        ]
+        found: list[tuple[np.ndarray, ...]] = []
+        for part in fragment_parts(windows):
+            # Every fragment's windows against its own document, runs of removed ones.
+            sizes = windows[part]
+            fragment = np.repeat(np.arange(part.start, part.stop), sizes)
+            removed = smallest[ranges(window_starts[which[part]], sizes)] < own_rank[fragment]
+            edge = np.concatenate([[True], (removed[1:] != removed[:-1]) | (fragment[1:] != fragment[:-1])])
+            run_first = np.flatnonzero(edge)
+            run_n = np.diff(np.append(run_first, len(removed)))
+            kept = removed[run_first]
+            run_first, run_n = run_first[kept], run_n[kept]
+            own = fragment[run_first]
+            offset = first[own].astype(np.int64) + run_first - starts_of(np.cumsum(sizes))[own - part.start]
+            found.append((ids[own], variant[own], offset, run_n))
+        columns = [np.concatenate(x) for x in zip(*found)]
+        out = [(b, pack(*zip((i, v, f, n), HEAD))) for b, (i, v, f, n) in by_key(bucket_of(columns[0], n_buckets), *columns)] if found else []
         return pa.table({"bucket": pa.array([b for b, _ in out], pa.int32()), "payload": pa.array([p for _, p in out], pa.binary())})
 
     return sent.groupBy("shard").applyInArrow(run, "bucket int, payload binary")
 
 
-def removed_bytes(held: Documents, notes: pa.Table) -> np.ndarray:
-    """A flag for each byte of the documents."""
-    change = np.zeros(len(held.flat) + 1, np.int32)
-    ids, variant, first, n = gather(notes.column("payload").to_pylist(), 8, 2, 4, 4)
+def removals(held: Documents, notes: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first byte in it and number of bytes of everything that goes, by row."""
+    ids, variant, first, n = gather(notes.column("payload").to_pylist(), *HEAD)
+    rows = np.zeros(0, np.int64)
     if len(ids):
-        ids = ids.view(np.int64)
-        row = np.searchsorted(held.ids[held.known], ids) + variant.astype(np.int64) + np.argmax(held.known)
-        start = held.starts[row] + first.astype(np.int64)
-        np.add.at(change, start, 1)
-        np.add.at(change, start + n.astype(np.int64) + MATCH - 1, -1)
-    doc, _, hashes, first, n = fragments(held.flat, held.ends)
-    again = held_before(held, doc, hashes, first, n)
-    np.add.at(change, first[again], 1)
-    np.add.at(change, first[again] + n[again] + MATCH - 1, -1)
-    del doc, hashes, first, n
+        rows = np.searchsorted(held.ids[held.known], ids.view(np.int64)) + variant.astype(np.int64) + np.argmax(held.known)
+    doc, _, hashes, own_first, own_n = fragments(held.flat, held.ends)
+    again = held_before(held, doc, hashes, own_first, own_n)
     whole = np.flatnonzero(held.copy & (held.ends - held.starts >= MATCH))
-    np.add.at(change, held.starts[whole], 1)
-    np.add.at(change, held.ends[whole], -1)
-    return np.cumsum(change[:-1], dtype=np.int32) > 0
+    row = np.concatenate([rows, doc[again], whole])
+    start = np.concatenate([first.astype(np.int64), (own_first - held.starts[doc])[again], np.zeros(len(whole), np.int64)])
+    size = np.concatenate([n.astype(np.int64) + MATCH - 1, own_n[again] + MATCH - 1, (held.ends - held.starts)[whole]])
+    order = np.argsort(row, kind="stable")
+    return row[order], start[order], size[order]
+
+
+def cut_documents(held: Documents, notes: pa.Table, whole_characters: bool) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
+    """Removed bytes, removed runs and the bytes left of every document, worked out for parts of them at a time."""
+    row, start, size = removals(held, notes)
+    sizes = held.ends - held.starts
+    gone, spans, parts = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64), []
+    for part in fragment_parts(sizes):
+        flat = held.flat[held.starts[part.start] : held.ends[part.stop - 1]]
+        starts = held.starts[part] - held.starts[part.start]
+        ends = starts + sizes[part]
+        a, b = np.searchsorted(row, (part.start, part.stop))
+        change = np.zeros(len(flat) + 1, np.int32)
+        begin = starts[row[a:b] - part.start] + start[a:b]
+        np.add.at(change, begin, 1)
+        np.add.at(change, begin + size[a:b], -1)
+        removed = np.cumsum(change[:-1], dtype=np.int32) > 0
+        if whole_characters:
+            removed = whole_only(removed, flat)
+        total = running(removed)
+        opens = removed.copy()
+        opens[1:] &= ~removed[:-1]
+        begins = starts[ends > starts]
+        opens[begins] = removed[begins]
+        opened = running(opens)
+        gone[part] = total[ends] - total[starts]
+        spans[part] = opened[ends] - opened[starts]
+        kept = flat[~removed].tobytes()
+        kept_ends = np.cumsum(sizes[part] - gone[part])
+        parts += [kept[i:j] for i, j in zip(starts_of(kept_ends).tolist(), kept_ends.tolist())]
+    return gone, spans, parts
 
 
 def running(flags: np.ndarray) -> np.ndarray:
@@ -427,20 +477,8 @@ def remove_repeats(docs: DataFrame, whole_characters: bool = False) -> DataFrame
 
     def run(rows: pa.Table, notes: pa.Table) -> pa.Table:
         held = Documents(rows, notes)
-        removed = removed_bytes(held, notes)
-        if whole_characters:
-            removed = whole_only(removed, held.flat)
-        total = running(removed)
-        opens = removed.copy()
-        opens[1:] &= ~removed[:-1]
-        begins = held.starts[held.ends > held.starts]
-        opens[begins] = removed[begins]
-        spans = running(opens)
-        gone = (total[held.ends] - total[held.starts]).astype(np.int64)
-        kept = held.flat[~removed].tobytes()
-        kept_ends = np.cumsum(held.ends - held.starts - gone)
-        parts = [kept[a:b] for a, b in zip(starts_of(kept_ends).tolist(), kept_ends.tolist())]
-        values = [held.ends - held.starts, gone, spans[held.ends] - spans[held.starts]]
+        gone, spans, parts = cut_documents(held, notes, whole_characters)
+        values = [held.ends - held.starts, gone, spans]
         out = [held.rows.column(c) for c in aside] + [pa.array(v, pa.int64()) for v in values] + [pa.array(parts, pa.binary())]
         return pa.table(dict(zip([*aside, *own], out)))
 

@@ -123,7 +123,7 @@ def test_a_hot_passage_is_sent_once_a_bucket(spark):
     sent = suffixes.shared_fragments(bucketed, hints, n).collect()
     texts = []
     for r in sent:
-        ends = np.cumsum(suffixes.unpack(bytes(r.payload), 8, 2, 4, 4)[3].astype(int) + suffixes.MATCH - 1)
+        ends = np.cumsum(suffixes.unpack(bytes(r.payload), *suffixes.HEAD)[3].astype(int) + suffixes.MATCH - 1)
         texts += [bytes(r.bytes)[a:b] for a, b in zip([0, *ends], ends)]
     assert any(x in passage.encode() for x in texts) and max(texts.count(x) for x in texts) <= n
     got = sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept)) for r in suffixes.remove_repeats(docs).collect()), key=str)
@@ -135,3 +135,32 @@ def test_large_inputs_get_more_groups(spark, monkeypatch):
     assert suffixes.group_count(docs) == 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     monkeypatch.setattr(suffixes, "GROUP_BYTES", 100)
     assert suffixes.group_count(docs) == 40 and suffixes.group_count(docs.limit(0)) == 8
+
+
+@pytest.mark.parametrize("part", [64, 1 << 20])
+def test_parts_make_no_difference(spark, monkeypatch, part):
+    monkeypatch.setattr(suffixes, "PART", part)
+    rows = made_rows()
+    held = suffixes.Documents(
+        suffixes.pa.table({"doc_id": suffixes.pa.array([r[0] for r in rows], suffixes.pa.int64()), "text": [r[1] for r in rows], "text_hash": [hash(r[1]) for r in rows]}),
+        suffixes.pa.table({"payload": suffixes.pa.array([], suffixes.pa.binary()), "copy_id": suffixes.pa.array([], suffixes.pa.int64()), "copy_hash": suffixes.pa.array([], suffixes.pa.int64())}),
+    )
+    doc, _, hashes, first, n = suffixes.fragments(held.flat, held.ends)
+    least, smallest = suffixes.least_documents(held.flat, first, n, held.ids[doc])
+    want = {}
+    spots = [(f + k, held.ids[d]) for d, f, m in zip(doc, first, n) for k in range(m)]
+    raw = held.flat.tobytes()
+    for at, own in spots:
+        want[raw[at : at + 50]] = min(own, want.get(raw[at : at + 50], own))
+    assert least[smallest].tolist() == [want[raw[at : at + 50]] for at, _ in spots]
+
+
+def test_many_rows_of_one_id(spark):
+    """More rows of an id than two bytes count: the passage goes from the rows that have it, and from no others."""
+    draw = random.Random(9)
+    passage = "".join(draw.choice("abcdefgh ") for _ in range(120))
+    rows = [(1, passage)] + [(7, f"row {i} " + (passage if i % 1000 == 0 else "")) for i in range(70_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = suffixes.remove_repeats(docs).filter("n_removed > 0")
+    got = sorted((r.doc_id, bytes(r.kept).decode(), r.n_removed) for r in found.collect())
+    assert got == sorted((7, f"row {i} ", 120) for i in range(0, 70_000, 1000))
