@@ -37,6 +37,8 @@ SEED = 42
 BLOCK = 31
 #: An anchor with more fingerprints is split by the bits outside its block.
 SHARED = 4096
+#: Ids that are broadcast at most, 24 bytes each or so.
+BROADCAST_IDS = 1 << 21
 #: Groups up to this size are compared as a batch, larger ones member by member.
 SMALL = 64
 
@@ -237,8 +239,36 @@ def near_duplicates(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, s
     return found.join(placed, "fingerprint", "left").select("doc_id", "fingerprint", component)
 
 
-def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS) -> DataFrame:
-    """The document with the smallest id of each component, one row of it, and all rows without an id."""
-    stays = near_duplicates(docs, shingle, bits).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.join(stays, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null"))
+def keep_one(docs: DataFrame, shingle: int = SHINGLE, bits: int = BITS, seed: int = SEED) -> DataFrame:
+    """One row of each component, and all rows without an id.
+
+    It is a row whose own id and component are one: of several, that of the least fingerprint (as a signed number), text and then
+    other columns (as JSON). Rows stay where they are: the ids that go are sent to them, by broadcast while they are known to be few
+    (``BROADCAST_IDS``) and else as Spark joins. Only rows of ids that occur more than once and stay are exchanged, one a task and id.
+    """
+    found = stage(near_duplicates(docs, shingle, bits, seed).filter("doc_id is not null"), "near-duplicates")
+    own = F.when(F.col("doc_id") == F.col("component_id"), F.col("fingerprint"))
+    ids = stage(found.groupBy("doc_id").agg(F.count("*").alias("n"), F.min(own).alias("least")).filter("n > 1 or least is null"), "other-ids")
+    repeated = stage(ids.filter("least is not null").select("doc_id", "least"), "repeated-ids")
+
+    def sent(table: DataFrame) -> DataFrame:
+        return F.broadcast(table) if table.count() <= BROADCAST_IDS else table
+
+    aside = docs.toDF(*[c if c in ("doc_id", "text") else f"in_{i}" for i, c in enumerate(docs.columns)])
+    once = aside.join(sent(ids.select("doc_id")), "doc_id", "left_anti").select(*aside.columns)
+    again = with_fingerprint(aside.join(sent(repeated), "doc_id").select(*aside.columns, "least"), shingle, seed).filter("own = least")
+    others = [c for c in aside.columns if c not in ("doc_id", "text")]
+    order = F.struct(F.coalesce("text", F.lit("")), F.col("text").isNotNull(), F.to_json(F.struct(F.lit(0), *others)))
+    first = again.groupBy("doc_id").agg(F.min_by(F.struct(*aside.columns), order).alias("row")).select("row.*")
+    return once.unionByName(first).toDF(*docs.columns)
+
+
+def with_fingerprint(rows: DataFrame, shingle: int, seed: int) -> DataFrame:
+    """``rows`` with ``own``, the fingerprint of their ``text``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for piece in pieces(batches):
+            yield piece.append_column("own", pa.array(fingerprints_of(piece.column("text"), shingle, seed).view(np.int64)))
+
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(run, f"{fields}, own long")

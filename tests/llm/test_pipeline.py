@@ -60,3 +60,37 @@ def test_no_documents(spark):
     for _, function in corpus_pipeline.STAGES:
         docs = function(spark, docs, SF)
     assert docs.collect() == []
+
+
+def test_edge_rows_through_all_stages(spark, tmp_path):
+    """Nulls in every column, empty and very long texts, repeated rows and ids, and columns with names that stages use."""
+    draw = np.random.default_rng(6)
+    words = ["".join(chr(97 + int(c)) for c in draw.integers(0, 26, draw.integers(2, 9))) for _ in range(400)]
+
+    def text(n):
+        return " ".join(words[int(i)] for i in draw.integers(0, 400, n))
+
+    passage = text(60)
+    rows = [(i, text(80) + ".\n" + text(40), f"s{i % 3}") for i in range(40)]
+    rows += [(100, rows[0][1], "s0"), (101, None, None), (102, "", "s"), (None, text(90), None), (None, None, None), (103, text(30) + " " + passage, "s1"), (104, passage + " " + text(50), "s2"), (105, text(30000), "s1")]
+    rows += [rows[3], rows[3], (4, text(70), "other text of an id")]
+    fields = "doc_id long, text string, source string, bin_id string, fingerprint string, kept string, n long"
+    docs = spark.createDataFrame([(*r, "b", None, "k", None) for r in rows], fields).repartition(3)
+    labels = spark.createDataFrame([(i, int(i % 4 > 0), 0) for i in range(40)], "doc_id long, quality int, toxic int")
+    labels.write.parquet(f"{tmp_path}/labels.parquet")
+    sizes, before = [], docs
+    for name, function in corpus_pipeline.STAGES:
+        after = function(spark, before, str(tmp_path))
+        if name != "best-fit packing":
+            assert after.columns == docs.columns
+            assert {(r.bin_id, r.kept) for r in after.select("bin_id", "kept").collect()} <= {("b", "k")}
+        after = spark.createDataFrame(after.collect(), after.schema)
+        sizes.append(after.count())
+        before = after
+        if name == "near-duplicates":
+            ids = [r.doc_id for r in after.collect() if r.doc_id is not None]
+            assert len(ids) == len(set(ids)) and 100 not in ids
+        if name == "repeated passages":
+            kept = {r.doc_id: r.text for r in after.collect()}
+            assert 103 not in kept or 104 not in kept or passage not in kept[104]
+    assert all(sizes)

@@ -61,6 +61,16 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(docs.limit(0)).collect() == [] and simhash.keep_one(docs.limit(0)).collect() == []
 
 
+def test_repeated_ids_keep_a_row_of_their_own(spark):
+    """Rows of one id with texts of other groups: the id stays with its own text, once."""
+    a, b = "one two three four five six seven", "entirely different words stand in this other text here"
+    rows = [(1, a, "x"), (5, a, "y"), (5, b, "z"), (5, b, "a"), (7, b, "q"), (9, None, "n"), (9, "", "m"), (9, "", "m"), (None, a, "x"), (None, a, "x")]
+    docs = spark.createDataFrame([(*r, {"k": 1}) for r in rows], "doc_id long, text string, n string, least map<string,int>").repartition(3)
+    kept = simhash.keep_one(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text, r.n) for r in kept.collect()), key=str) == sorted([(1, a, "x"), (5, b, "a"), (9, None, "n"), (None, a, "x"), (None, a, "x")], key=str)
+
+
 @pytest.mark.parametrize("shared", [200, 4096])
 def test_links_of_a_large_group(spark, monkeypatch, shared):
     draw = np.random.default_rng(3)
