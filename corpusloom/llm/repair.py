@@ -29,22 +29,21 @@ from __future__ import annotations
 import os
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.batches import pieces, ranges, starts_of
-from corpusloom.llm.words import Kept, as_bytes, cut_after, letters_and_tail
+from corpusloom.llm.words import KeptUnits, as_bytes, cut_after, cut_units
 from corpusloom.session import ship, stage
 
 END_ID = 2
-#: Distinct words that a task keeps encoded, and twice as many units of words.
-KEPT_WORDS = 280_000
+#: Units of words that a task keeps encoded.
+KEPT_UNITS = 600_000
 #: A pair is frequent if a piece has it so often.
 LEAST_COUNT = 8
 #: Slots to count pairs in, at most.
@@ -65,7 +64,7 @@ class WordBpe:
         self.ends = np.zeros(self.n_ids, bool)
         for token, rank in self.tokenizer.get_vocab(with_added_tokens=False).items():
             self.ends[rank] = token.endswith("</w>")
-        self.kept = Kept(self.alone, self.together, self.split, KEPT_WORDS)
+        self.kept = KeptUnits(self.alone, self.together, KEPT_UNITS)
 
     def alone(self, words: list[str]) -> list[bytes]:
         return as_bytes(self.tokenizer.encode_batch_fast(words, add_special_tokens=False))
@@ -74,27 +73,18 @@ class WordBpe:
         ids = np.array(self.tokenizer.encode(" ".join(units), add_special_tokens=False).ids, "<u4")
         return cut_after(ids, self.ends[ids], len(units))
 
-    @staticmethod
-    def split(word: str) -> list[str] | None:
-        """Lower-case letters, and the punctuation after them."""
-        found = letters_and_tail(word)
-        return None if found is None else [found[0].lower(), *([found[1]] if found[1] else [])]
-
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts, and where each text ends in them. White space ends a word."""
-        for space in "\n\t\r":
-            texts = pc.replace_substring(texts, space, " ")
-        words = pc.split_pattern(texts.fill_null(""), " ")
-        coded = words.flatten().dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        table = self.kept.add(distinct)
-        found = [table[x] for x in distinct]
-        lengths = np.array([len(x) // 4 for x in found], np.int64)
+        units, odd, unit_ends = cut_units(texts)
+        coded = units.dictionary_encode()
         which = coded.indices.to_numpy(zero_copy_only=False)
+        is_odd = np.zeros(len(coded.dictionary), bool)
+        is_odd[which] = odd
+        found = self.kept.find(coded.dictionary.to_pylist(), is_odd)
+        lengths = np.fromiter(map(len, found), np.int32, len(found)) // 4
         sizes = lengths[which]
-        ids = np.frombuffer(b"".join(found), "<u4")[ranges(starts_of(np.cumsum(lengths))[which], sizes)]
-        ends = np.append(0, np.cumsum(sizes))[np.cumsum(pc.list_value_length(words).to_numpy(zero_copy_only=False))]
-        return ids, ends
+        ids = np.frombuffer(b"".join(found), "<u4")[ranges(starts_of(np.cumsum(lengths, dtype=np.int64))[which], sizes)]
+        return ids, np.append(0, np.cumsum(sizes, dtype=np.int64))[unit_ends]
 
 
 @lru_cache(maxsize=1)
@@ -236,30 +226,40 @@ class Grammar:
         self.symbols = sum(plane.astype(np.int64) << (8 * i) for i, plane in enumerate(planes))
         self.doc_ends = np.frombuffer(row["doc_ends"], "<u4").astype(np.int64)
         self.lengths = np.concatenate([np.ones(self.n_ids, np.int64), np.frombuffer(row["rule_lengths"], "<u4").astype(np.int64)])
-        # All expansions in one array, level by level; an id expands to itself.
-        self.starts = np.arange(len(self.lengths), dtype=np.int64)
-        self.flat = np.arange(self.n_ids, dtype=np.uint32)
-        for first, stop in levels(self.rules, self.n_ids):
-            own = slice(self.n_ids + first, self.n_ids + stop)
-            ends = np.cumsum(self.lengths[own])
-            self.starts[own] = len(self.flat) + starts_of(ends)
-            self.flat = np.concatenate([self.flat, self.expand(self.rules[first:stop].ravel())])
 
-    def expand(self, symbols: np.ndarray) -> np.ndarray:
-        return self.flat[ranges(self.starts[symbols], self.lengths[symbols])]
+    @cached_property
+    def expansions(self) -> tuple[np.ndarray, np.ndarray]:
+        """Where each symbol's ids start, and the ids of all symbols, level by level; an id expands to itself."""
+        starts = np.arange(len(self.lengths), dtype=np.int64)
+        flat = np.arange(self.n_ids, dtype=np.uint32)
+        for first, stop in levels(self.rules, self.n_ids):
+            own, parts = slice(self.n_ids + first, self.n_ids + stop), self.rules[first:stop].ravel()
+            starts[own] = len(flat) + starts_of(np.cumsum(self.lengths[own]))
+            flat = np.concatenate([flat, flat[ranges(starts[parts], self.lengths[parts])]])
+        return starts, flat
 
     def tokens(self) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and where each document ends in them."""
-        ends = np.cumsum(self.lengths[self.symbols])
-        return self.expand(self.symbols), ends[self.doc_ends - 1] if len(ends) else self.doc_ends
+        starts, flat = self.expansions
+        sizes = self.lengths[self.symbols]
+        ends = np.cumsum(sizes)
+        return flat[ranges(starts[self.symbols], sizes)], ends[self.doc_ends - 1] if len(ends) else self.doc_ends
 
     def slice(self, doc: int, first: int, n: int) -> np.ndarray:
-        """Ids ``first .. first + n - 1`` of the piece's document number ``doc``, expanding no other symbols."""
-        symbols = self.symbols[self.doc_ends[doc - 1] if doc else 0 : self.doc_ends[doc]]
-        ends = np.cumsum(self.lengths[symbols])
-        low, high = np.searchsorted(ends, first, side="right"), np.searchsorted(ends, first + n, side="left") + 1
-        skipped = first - (ends[low - 1] if low else 0)
-        return self.expand(symbols[low:high])[skipped : skipped + n]
+        """Ids ``first .. first + n - 1`` of the piece's document number ``doc``, by the rules that these need and no others."""
+        symbols, skipped = self.symbols[self.doc_ends[doc - 1] if doc else 0 : self.doc_ends[doc]], max(0, first)
+        while True:
+            # The lengths tell which symbols hold the wanted ids; the others are never expanded.
+            ends = np.cumsum(self.lengths[symbols])
+            low, high = np.searchsorted(ends, skipped, side="right"), np.searchsorted(ends, skipped + n, side="left") + 1
+            skipped -= int(ends[low - 1]) if low else 0
+            symbols = symbols[low:high]
+            is_rule = symbols >= self.n_ids
+            if not is_rule.any():
+                return symbols[skipped : skipped + n].astype(np.uint32)
+            parts = np.stack([symbols, np.full(len(symbols), -1)], 1)
+            parts[is_rule] = self.rules[symbols[is_rule] - self.n_ids]
+            symbols = parts[parts >= 0]
 
 
 FILE = "shard int, piece int, n_tokens long, doc_ids array<{kind}>, doc_ends binary, rules binary, rule_lengths binary, n_ids int, width int, symbols binary"
@@ -333,3 +333,31 @@ def _read(spark: SparkSession, path: str, field: str, column) -> DataFrame:
     bases = stage(bases.select("shard", "piece", (F.col("own") + F.col("shard_base")).alias("base")), "token-bases")
     placed = files.join(bases, ["shard", "piece"])
     return placed.mapInArrow(run, f"doc_id {kind}, start long, n_tokens long, {field}")
+
+
+def read_slices(spark: SparkSession, path: str, wanted: DataFrame) -> DataFrame:
+    """``doc_id, first, n, ids binary`` for every row of ``wanted(doc_id, first, n)``: parts of documents, read at random.
+
+    Only pieces that hold a wanted document are opened, and of them only the rules that the wanted ids need. A document that is
+    there more than once answers each time; ids beyond its end are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = batch.slice(i, 1).to_pylist()[0]
+                grammar, asked = Grammar(row), row["asked"]
+                ids = [grammar.slice(x["at"], x["first"], x["n"]).astype("<u4").tobytes() for x in asked]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([x["doc_id"] for x in asked], batch.schema.field("doc_ids").type.value_type), *[pa.array([x[c] for x in asked], pa.int64()) for c in ("first", "n")], pa.array(ids, pa.binary())],
+                    names=["doc_id", "first", "n", "ids"],
+                )
+
+    ship(spark)
+    files = spark.read.parquet(path)
+    kind = files.schema["doc_ids"].dataType.elementType.simpleString()
+    places = files.select("shard", "piece", F.posexplode("doc_ids").alias("at", "doc_id"))
+    asked = wanted.select("doc_id", F.col("first").cast("long").alias("first"), F.col("n").cast("long").alias("n"))
+    found = places.join(asked, "doc_id").groupBy("shard", "piece").agg(F.collect_list(F.struct("at", "doc_id", "first", "n")).alias("asked"))
+    # A table of its own, so that Spark sees how small it is and leaves the files where they are.
+    return files.join(stage(found, "wanted-pieces"), ["shard", "piece"]).mapInArrow(run, f"doc_id {kind}, first long, n long, ids binary")

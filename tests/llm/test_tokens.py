@@ -163,3 +163,60 @@ def test_replacement_goes_on_while_pairs_are_frequent():
         }
         tokens, token_ends = repair.Grammar(row).tokens()
         assert (tokens == symbols).all() and (token_ends == ends).all()
+
+
+def test_odd_words_equal_whole_texts():
+    """Letters of two bytes, case, punctuation, digits, apostrophes, combining marks and blanks that are no blanks here, in any order."""
+    draw = random.Random(11)
+    pieces = ["a", "B", "é", "É", "ß", "Þ", "×", "÷", "ÿ", "ª", "µ", "é", "中", "İ", "Σ", "'s", "'", ".", ",", "...", "#$%", "/", "_", "7", "42", " ", "\x0b", " ", "don't", "<|endoftext|>", "😀"]
+    blanks = [" ", "  ", "\n", "\t", "\r\n"]
+    made = ["".join(draw.choice(pieces if draw.random() < 0.75 else blanks) for _ in range(draw.randint(0, 30))) for _ in range(1500)]
+    ids, ends = repair.load(WORDS).encode(pa.array(made))
+    assert [x.tolist() for x in np.split(ids, ends[:-1])] == plain_ids(made)
+
+
+def test_units_are_kept_in_bounds(monkeypatch):
+    monkeypatch.setattr(repair, "KEPT_UNITS", 40)
+    words = repair.WordBpe(WORDS)
+    draw = random.Random(12)
+    for _ in range(12):
+        texts = [" ".join(f"{draw.choice('abcdef')}{draw.choice('ghijkl')}{draw.choice(['', '.', '1'])}" for _ in range(50)) for _ in range(3)]
+        ids, ends = words.encode(pa.array(texts))
+        assert [x.tolist() for x in np.split(ids, ends[:-1])] == plain_ids(texts)
+        assert len(words.kept.young) <= 20 + 150 and len(words.kept.old) <= 20 + 150
+    long = "x1" * 30_000
+    monkeypatch.setattr("corpusloom.llm.words.KEPT_BYTES", 1000)
+    for _ in range(3):
+        ids, ends = words.encode(pa.array([long, "a b"]))
+        assert ids.tolist() == sum(plain_ids([long, "a b"]), [])
+
+
+def test_slices_of_documents(spark, tmp_path):
+    rows = [(i, f"word {i % 5} and again word " * (3 * i)) for i in range(40)] + [(7, "another text of this id"), (None, "no id")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    repair.write_ids(frame, str(tmp_path / "ids"), WORDS, n_shards=4)
+    wanted = [(30, 100, 7), (30, 0, 3), (7, 2, 100), (0, 0, 5), (39, 10_000, 4), (99, 0, 1)]
+    asked = spark.createDataFrame([(*w, "x") for w in wanted], "doc_id long, first int, n int, ids string")
+    got = sorted((r.doc_id, r.first, r.n, np.frombuffer(bytes(r.ids), "<u4").tolist()) for r in repair.read_slices(spark, str(tmp_path / "ids"), asked).collect())
+    want = [(d, a, n, ([*ids, 2])[a : a + n]) for d, a, n in wanted for (i, t) in rows if i == d for ids in plain_ids([t])]
+    assert got == sorted(want)
+
+
+def test_a_slice_expands_no_other_rules():
+    symbols = np.tile(np.arange(40), 400).astype(np.uint32)
+    rules, left, ends = repair.compress(symbols, np.array([len(symbols)]), 40)
+    row = {
+        "n_ids": 40, "rules": rules.astype("<u4").tobytes(), "symbols": left.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes(), "width": 4,
+        "doc_ends": ends.astype("<u4").tobytes(), "rule_lengths": repair.rule_lengths(rules, 40).astype("<u4").tobytes(),
+    }
+    grammar = repair.Grammar(row)
+    read = []
+
+    class Rules:
+        def __getitem__(self, places):
+            read.extend(np.atleast_1d(places).tolist())
+            return rules[places]
+
+    grammar.rules = Rules()
+    assert grammar.slice(0, 8001, 3).tolist() == [1, 2, 3]
+    assert "expansions" not in grammar.__dict__ and len(read) < 4 * np.log2(len(symbols))
