@@ -87,4 +87,52 @@ select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_hit, 0) as n_hi
 from d left join covered using (place) left join met using (place)
 """
 
-ORACLE_SQL: dict[str, str] = {"op4_maxscore": TOP, "op7_chat_format": CHAT, "op8_url_rules": URLS, "op13_decontaminate": LEAKS}
+MANIFEST = r"""
+with recursive rows as (
+  select row_number() over () as r, doc_id, coalesce('s' || source, '') as s, text, coalesce(octet_length(encode(doc_id::varchar)) || ':' || doc_id, '-')
+      || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+      || coalesce(octet_length(encode(n_chars::varchar)) || ':' || n_chars, '-') as fields,
+    list_reduce([4294967295::bigint] || flatten(list_transform(string_split(doc_id::varchar, ''), lambda c: [ascii(c)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+      lambda a, x: case when x >= 0 then xor(a, x) else xor(a >> 1, (a & 1) * 3988292384) end) as state
+  from documents
+), leaves as (
+  select r, doc_id, s, sha256(fields || coalesce(octet_length(encode(text)) || ':' || text, '-')) as leaf,
+    sha256(fields || coalesce(octet_length(encode(text)) || ':' || case when xor(state, 4294967295) % 5 = 0
+      then translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else text end, '-')) as claimed
+  from rows
+), placed as (
+  select *, row_number() over (partition by s order by doc_id nulls first, leaf) - 1 as place, count(*) over (partition by s) as n from leaves
+), tree as (
+  select s, 0 as level, place, leaf as node, n from placed
+  union all
+  select s, level + 1, place // 16, sha256(string_agg(node, '' order by place)), (n + 15) // 16 from tree where n > 1 group by s, level, place // 16, n
+), subroots as (
+  select s, node as subroot, row_number() over (order by encode(s)) - 1 as place, count(*) over () as n from tree where n = 1
+), top as (
+  select 0 as level, place, subroot as node, n from subroots
+  union all
+  select level + 1, place // 16, sha256(string_agg(node, '' order by place)), (n + 15) // 16 from top where n > 1 group by level, place // 16, n
+), segments as (
+  select p.r, t.level, coalesce(string_agg(t.node, '' order by t.place) filter (where t.place < p.place // (16 ** t.level)::bigint), '') as before,
+    coalesce(string_agg(t.node, '' order by t.place) filter (where t.place > p.place // (16 ** t.level)::bigint), '') as behind
+  from placed p join tree t on t.s = p.s and t.n > 1 and t.place // 16 = p.place // (16 ** (t.level + 1))::bigint group by p.r, t.level
+  union all
+  select p.r, 100 + t.level, coalesce(string_agg(t.node, '' order by t.place) filter (where t.place < b.place // (16 ** t.level)::bigint), ''),
+    coalesce(string_agg(t.node, '' order by t.place) filter (where t.place > b.place // (16 ** t.level)::bigint), '')
+  from placed p join subroots b on b.s = p.s join top t on t.n > 1 and t.place // 16 = b.place // (16 ** (t.level + 1))::bigint group by p.r, t.level
+), steps as (
+  select *, row_number() over (partition by r order by level) as step from segments
+), folded as (
+  select r, 0::bigint as step, claimed as node from leaves
+  union all
+  select f.r, t.step, sha256(t.before || f.node || t.behind) from folded f join steps t on t.r = f.r and t.step = f.step + 1
+), ends as (
+  select r, arg_max(node, step) as folded_root from folded group by r
+), proofs as (
+  select r, string_agg(before || behind, '' order by step) as proof from steps group by r
+)
+select doc_id, leaf, subroot, root, sha256(coalesce(proof, '')) as proof_sha256, folded_root, folded_root = root as verified
+from placed join (select s, subroot from subroots) using (s) join ends using (r) left join proofs using (r), (select node as root from top where n = 1)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op4_maxscore": TOP, "op7_chat_format": CHAT, "op8_url_rules": URLS, "op12_merkle_manifest": MANIFEST, "op13_decontaminate": LEAKS}
