@@ -11,10 +11,12 @@ judged each; other columns of the input are kept out of the result.
 
 from __future__ import annotations
 
+import json
 import re
+from collections.abc import Iterable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 TOKEN = "[^A-Za-z0-9]+"
@@ -66,10 +68,17 @@ def url_parts(url: Column) -> tuple[Column, Column]:
     return host, path
 
 
+def token_table(spark: SparkSession, tokens: Iterable[str]) -> DataFrame:
+    return spark.createDataFrame([(t,) for t in sorted(tokens)], "token string")
+
+
 def token_counts(urls: DataFrame, rules: list[Rule]) -> dict[str, int]:
-    """How many URLs hold each token of the rules: one row a token, so no more than the rules have."""
-    wanted = sorted({t for rule in rules for t in rule.tokens})
-    found = urls.select(F.explode(F.array_intersect("tokens", F.lit(wanted) if wanted else F.array().cast("array<string>"))).alias("token"))
+    """How many URLs hold each token of the rules: one row a token, so no more than the rules have.
+
+    The tokens of the rules come as a small table, which Spark broadcasts by its size; a URL's other tokens go no further.
+    """
+    wanted = token_table(urls.sparkSession, {t for rule in rules for t in rule.tokens})
+    found = urls.select(F.explode("tokens").alias("token")).join(wanted, "token", "left_semi")
     return {row["token"]: row["count"] for row in found.groupBy("token").count().collect()}
 
 
@@ -114,21 +123,18 @@ def judge_urls(pages: DataFrame, rules: list[Rule], default: str = "allow", key:
     )
 
 
-def slot_table(spark, index: list[tuple[str, Rule]], n_slots: int) -> Column:
-    """The index as a constant: slot ``hash(token) % n_slots`` holds the rules of its tokens."""
-    kind = "array<struct<token:string,name:string,verdict:string,pattern:string,rank:int>>"
-    tokens = sorted({token for token, _ in index})
-    slot_of = F.transform(F.lit(tokens), lambda t: F.pmod(F.xxhash64(t), F.lit(n_slots)))
-    hashed = dict(zip(tokens, spark.range(1).select(slot_of).first()[0])) if tokens else {}
-    slots = []
-    for slot in range(n_slots):
-        held = [
-            F.struct(*(F.lit(v).alias(n) for v, n in zip((token, r.name, r.verdict, r.pattern, r.rank), ("token", "name", "verdict", "pattern", "rank"))))
-            for token, r in index
-            if hashed[token] == slot
-        ]
-        slots.append((F.array(*held) if held else F.array()).cast(kind))
-    return F.array(*slots)
+def slot_table(spark: SparkSession, index: list[tuple[str, Rule]], n_slots: int) -> Column:
+    """The index as a constant: slot ``hash(token) % n_slots`` holds the rules of its tokens.
+
+    It is written as one string, which the optimizer reads once, so that planning takes no time for each rule.
+    """
+    table = token_table(spark, {token for token, _ in index})
+    slot_of = {r["token"]: r["slot"] for r in table.select("token", F.pmod(F.xxhash64("token"), F.lit(n_slots)).alias("slot")).collect()}
+    slots: list[list[dict]] = [[] for _ in range(n_slots)]
+    for token, rule in index:
+        slots[slot_of[token]].append({"token": token, "name": rule.name, "verdict": rule.verdict, "pattern": rule.pattern, "rank": rule.rank})
+    kind = "array<array<struct<token:string,name:string,verdict:string,pattern:string,rank:int>>>"
+    return F.from_json(F.lit(json.dumps(slots)), kind)
 
 
 #: The sites of the registered query (fixed values).
