@@ -51,9 +51,13 @@ def without_later_copies(df: DataFrame, key: str, order_by: Sequence[str]) -> Da
 
 
 def dedup_keep_first(df: DataFrame, column: str = "text", order_by: Sequence[str] = DEFAULT_ORDER) -> DataFrame:
-    """Drop rows whose ``column`` equals that of an earlier row."""
-    keyed = stage(df.withColumn("_key", text_digest(F.col(column))), "keyed")
-    return without_later_copies(keyed, "_key", order_by).select(*df.columns)
+    """Drop rows whose ``column`` equals that of an earlier row.
+
+    Digests and places are stored, texts are not: ``df`` is read once for them and once for the rows that stay, so it should be a
+    stored table, or columns that are cheap to make of one.
+    """
+    keys = stage(df.select(text_digest(F.col(column)).alias("_key"), *order_by), "keys")
+    return df.join(later_copies(keys, "_key", order_by), [*order_by], "left_anti")
 
 
 def prepared_posts(posts: DataFrame) -> DataFrame:

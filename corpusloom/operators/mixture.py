@@ -9,7 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions.blocks import row_blocks, to_lists, to_matrix
@@ -162,28 +162,46 @@ def _uniform(keys: np.ndarray, job: int, round_: int) -> np.ndarray:
     return (mixed ^ (mixed >> np.uint64(31))) / 2.0**64
 
 
-def _draw(points: DataFrame, centers: dict[int, Centers], shares: dict[int, float], round_: int) -> dict[int, np.ndarray]:
-    """Rows drawn with a chance of ``share`` times their squared distance to the nearest center."""
+def _draw(points: DataFrame, centers: dict[int, Centers], sizes: dict[int, int], round_: int) -> dict[int, np.ndarray]:
+    """As many rows as ``sizes`` tells for each job, drawn with chances that grow with the squared distance to the nearest center.
+
+    One pass without a total: every row has the priority ``-log(u) / distance``, and the rows of least priority are a weighted
+    sample. A task keeps as many as are wanted, and so does the merge.
+    """
     spark = points.sparkSession
     shared = spark.sparkContext.broadcast(centers)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = {job: (np.zeros(0), np.zeros(0, np.int64), np.zeros((0, model.means.shape[1]))) for job, model in shared.value.items()}
         for batch in batches:
+            if not batch.num_rows:
+                continue
             x, keys = to_matrix(batch["features"]), batch["_key"].to_numpy(zero_copy_only=False)
-            jobs, rows = [], []
             for job, model in shared.value.items():
                 for part in row_blocks(len(x), model.k):
                     distance = np.maximum(-model.soft(x[part])[1], 0.0)
-                    chosen = np.flatnonzero(_uniform(keys[part], job, round_) < shares[job] * distance)
-                    jobs += [job] * len(chosen)
-                    rows += x[part][chosen].tolist()
+                    with np.errstate(divide="ignore"):
+                        priority = -np.log(_uniform(keys[part], job, round_)) / distance
+                    far = np.flatnonzero(np.isfinite(priority))
+                    least, own, rows = kept[job]
+                    priority, key = np.append(least, priority[far]), np.append(own, keys[part][far])
+                    best = np.lexsort((key, priority))[: sizes[job]]
+                    old, new = best[best < len(least)], best[best >= len(least)] - len(least)
+                    order = np.concatenate([old, new + len(least)])
+                    kept[job] = priority[order], key[order], np.concatenate([rows[old], x[part][far[new]]])
+        for job, (priority, key, rows) in kept.items():
             yield pa.RecordBatch.from_arrays(
-                [pa.array(jobs, pa.int32()), pa.array(rows, pa.list_(pa.float64()))], names=["job", "features"]
+                [pa.array(np.full(len(key), job, np.int32)), pa.array(priority), pa.array(key), to_lists(rows, pa.float64())],
+                names=["job", "priority", "key", "features"],
             )
 
-    drawn = points.select(F.xxhash64("doc_id").alias("_key"), "features").mapInArrow(run, "job int, features array<double>").toArrow()
+    fields = "job int, priority double, key bigint, features array<double>"
+    drawn = points.select(F.xxhash64("doc_id").alias("_key"), "features").mapInArrow(run, fields)
+    place = F.row_number().over(Window.partitionBy("job").orderBy("priority", "key"))
+    wanted = F.create_map(*[F.lit(x) for pair in sizes.items() for x in pair])[F.col("job")]
+    found = drawn.withColumn("place", place).filter(F.col("place") <= wanted).select("job", "features").toArrow()
     shared.destroy()
-    job, rows = drawn["job"].to_numpy(), to_matrix(drawn["features"])
+    job, rows = found["job"].to_numpy(), to_matrix(found["features"])
     return {i: rows[job == i] for i in centers}
 
 
@@ -201,10 +219,9 @@ def spread_centers(points: DataFrame, jobs: list[tuple[int, int]], seed: int, ta
         ]
     ).first()
     found = {i: Centers(np.array([first[f"j{i}"]], dtype=float)) for i in range(len(jobs))}
+    sizes = {i: int(SEED_FACTOR * k) for i, (k, _) in enumerate(jobs)}
     for round_ in range(SEED_ROUNDS):
-        far = {i: -s.log_likelihood for i, s in one_pass(points, found, tasks).items()}
-        shares = {i: SEED_FACTOR * jobs[i][0] / far[i] if far[i] > 0 else 0.0 for i in found}
-        drawn = _draw(points, found, shares, round_)
+        drawn = _draw(points, found, sizes, round_)
         # In a fixed order, whatever the partitions.
         found = {i: Centers(np.unique(np.concatenate([c.means, drawn[i]]) if len(drawn[i]) else c.means, axis=0)) for i, c in found.items()}
     weights = {i: s.weight for i, s in one_pass(points, found, tasks).items()}

@@ -36,7 +36,7 @@ def _first_copies(block: np.ndarray, ids: np.ndarray, rows: np.ndarray, cols: np
     return rows[kept], cols[kept]
 
 
-def _best_of_cell(k: int, filtered: bool):
+def best_of_vectors(k: int, filtered: bool):
     """The ``k`` best rows of a cell's vectors for every query of the cell."""
 
     def run(asked: pa.Table, held: pa.Table) -> pa.Table:
@@ -102,7 +102,7 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 5, filtered: bool = F
     n_held = vectors.select("doc_id").count()
     held_blocks = max(block_count(n_held, HELD_ROWS), min(cores, block_count(n_held, TASK_ROWS)))
     asked_blocks = block_count(count_up_to(queries.select("qid"), query_rows), query_rows)
-    hits = all_cells(asked, held, "qid", "doc_id", _best_of_cell(k, filtered), schema, asked_blocks, held_blocks)
+    hits = all_cells(asked, held, "qid", "doc_id", best_of_vectors(k, filtered), schema, asked_blocks, held_blocks)
     return ranked(hits, k).select("qid", "rank", "doc_id", "score")
 
 

@@ -162,7 +162,7 @@ def dedup_exact(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dedup_body(spark: SparkSession, sf: str) -> DataFrame:
-    cleaned = add_cleaned_text(_posts(spark, sf))
+    cleaned = stage(add_cleaned_text(_posts(spark, sf)).select("category", "filename", "cleaned_text"), "cleaned")
     return dedup_keep_first(cleaned, "cleaned_text").select("category", "filename", "cleaned_text")
 
 

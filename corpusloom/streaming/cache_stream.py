@@ -2,35 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from corpusloom.operators.clusters import ClusterModel
 from corpusloom.operators.lookup import SEARCH_DEPTH, THRESHOLD
-from corpusloom.operators.state import ENTRY_SCHEMA, MAX_ENTRIES, empty_cache
-from corpusloom.plans.answer import answer_queries
-from corpusloom.session import child_names, drop_path, scratch
-
-COUNTS_SCHEMA = "hit_count bigint, miss_count bigint"
-
-
-def _version(folder: str, kind: str, batch: int) -> str:
-    return f"{folder}/{kind}/after={batch}"
+from corpusloom.operators.state import ENTRY_SCHEMA, MAX_ENTRIES
+from corpusloom.plans.answer import answer_log, prepare_log
+from corpusloom.session import scratch, stage
+from corpusloom.streaming import cache_store
 
 
 def read_state(spark: SparkSession, folder: str, batch: int) -> DataFrame:
     """The cache as batch ``batch`` left it; empty before the first."""
-    if batch < 0:
-        return empty_cache(spark)
-    return spark.read.schema(ENTRY_SCHEMA).parquet(_version(folder, "entries", batch))
-
-
-def _counts(spark: SparkSession, folder: str, batch: int) -> DataFrame:
-    """Hits and misses since the last flush, up to batch ``batch``."""
-    if batch < 0:
-        return spark.range(1).selectExpr("0L as hit_count", "0L as miss_count")
-    return spark.read.schema(COUNTS_SCHEMA).parquet(_version(folder, "counts", batch))
+    return cache_store.read_entries(spark, folder, batch)
 
 
 def read_responses(spark: SparkSession, folder: str, after: int = -1) -> DataFrame:
@@ -38,30 +24,18 @@ def read_responses(spark: SparkSession, folder: str, after: int = -1) -> DataFra
     return spark.read.parquet(f"{folder}/responses").filter(F.col("batch") > after).drop("batch")
 
 
-def latest_batch(spark: SparkSession, folder: str) -> int:
-    """The last batch that left a cache version; -1 before the first."""
-    return max((int(name.removeprefix("after=")) for name in child_names(spark, f"{folder}/entries")), default=-1)
-
-
 def stream_stats(spark: SparkSession, folder: str) -> DataFrame:
     """Entries, hits, misses and hit rate of the stream's cache since it was last flushed."""
-    latest = latest_batch(spark, folder)
-    none = F.lit(0).cast("bigint")
-    entries = read_state(spark, folder, latest).select(F.lit(1).cast("bigint").alias("entries"), none.alias("hits"), none.alias("misses"))
-    lookups = _counts(spark, folder, latest).select(none.alias("entries"), F.col("hit_count").alias("hits"), F.col("miss_count").alias("misses"))
-    total = entries.unionByName(lookups).agg(
-        F.sum("entries").alias("total_entries"), F.sum("hits").alias("hit_count"), F.sum("misses").alias("miss_count")
-    )
-    rate = F.round(F.coalesce(F.try_divide("hit_count", F.col("hit_count") + F.col("miss_count")), F.lit(0.0)), 4)
-    return total.select("total_entries", "hit_count", "miss_count", rate.alias("hit_rate"))
+    hits, misses, entries = cache_store.read_counts(spark, folder, cache_store.latest_batch(spark, folder))
+    rate = round(hits / (hits + misses), 4) if hits + misses else 0.0
+    return spark.createDataFrame([(entries, hits, misses, rate)], "total_entries bigint, hit_count bigint, miss_count bigint, hit_rate double")
 
 
 def flush_stream(spark: SparkSession, folder: str) -> None:
     """Empty the cache and start counting anew. Call it while no batch is running."""
-    latest = latest_batch(spark, folder)
+    latest = cache_store.latest_batch(spark, folder)
     if latest >= 0:
-        empty_cache(spark).write.mode("overwrite").parquet(_version(folder, "entries", latest))
-        _counts(spark, folder, -1).write.mode("overwrite").parquet(_version(folder, "counts", latest))
+        cache_store.flush(spark, folder, latest)
 
 
 def answer_stream(
@@ -77,28 +51,34 @@ def answer_stream(
     """Answer a stream of ``queries(qid, query, ts[, embedding])`` micro-batch by micro-batch.
 
     Within a batch the order of ``qid`` is kept exactly; between batches the cache and its counters
-    live in ``folder`` (shared storage), one version per batch. A batch that is run again after a
-    failure reads the version before it and overwrites its own output, so nothing counts twice. Ids
-    must grow from batch to batch. What a batch stages is dropped when it is done.
+    live in ``folder`` (shared storage) as ``cache_store`` lays them out: a batch reads the clusters that its queries visit
+    and writes what it changed. A batch that is run again after a failure reads the state before it and overwrites its own
+    output, so nothing counts twice. Ids must grow from batch to batch. At a batch's end the ``max_entries`` last used
+    entries stay. What a batch stages is dropped when it is done.
     """
     spark = queries.sparkSession
 
     def answer(batch: DataFrame, batch_id: int) -> None:
-        before = read_state(spark, folder, batch_id - 1)
         path = f"{folder}/responses/batch={batch_id}"
         with scratch(spark):
-            answers = answer_queries(batch, index, model, before, threshold, depth, max_entries)
-            answers.responses.write.mode("overwrite").parquet(path)
-            answers.entries.write.mode("overwrite").parquet(_version(folder, "entries", batch_id))
-        hit = F.col("cache_hit").cast("bigint")
-        new = spark.read.parquet(path).agg(F.coalesce(F.sum(hit), F.lit(0)).alias("hit_count"), F.coalesce(F.sum(1 - hit), F.lit(0)).alias("miss_count"))
-        both = _counts(spark, folder, batch_id - 1).unionByName(new)
-        both.agg(F.sum("hit_count").alias("hit_count"), F.sum("miss_count").alias("miss_count")).write.mode("overwrite").parquet(
-            _version(folder, "counts", batch_id)
-        )
-        # The version before this batch stays for a repeated run; older ones are no longer read.
-        for kind in ("entries", "counts"):
-            drop_path(spark, _version(folder, kind, batch_id - 2))
+            log = prepare_log(batch, model, depth)
+            visited = None if model is None else log.select(F.explode("route").alias("cluster"))
+            before = stage(cache_store.read_entries(spark, folder, batch_id - 1, visited), "visited-entries")
+            answers = answer_log(log, index, before, threshold, None)
+            seen = Observation()
+            hit = F.count_if("cache_hit").alias("hits")
+            answers.responses.observe(seen, hit, F.count(F.lit(1)).alias("n")).write.mode("overwrite").parquet(path)
+            old = before.select("entry_id", F.lit(True).alias("_known"), F.col("last_accessed").alias("_before"))
+            after = answers.entries.join(old, "entry_id", "left")
+            used = after.filter("_known and not last_accessed <=> _before")
+            cache_store.write_batch(folder, batch_id, after.filter("_known is null"), used)
+            hits, misses, entries = cache_store.read_counts(spark, folder, batch_id - 1)
+            added = spark.read.schema(ENTRY_SCHEMA).parquet(f"{folder}/entries/batch={batch_id}").count()
+            left = cache_store.evict(spark, folder, batch_id, entries + added, max_entries)
+        found = seen.get
+        cache_store.write_counts(spark, folder, batch_id, hits + found["hits"], misses + found["n"] - found["hits"], left)
+        if (batch_id + 1) % cache_store.COMPACT_EVERY == 0:
+            cache_store.compact(spark, folder, batch_id)
 
     return (
         queries.writeStream.foreachBatch(answer)

@@ -398,3 +398,41 @@ def test_flushed_stream(spark, tmp_path):
     queries.filter("qid = 5").coalesce(1).write.mode("append").parquet(source)
     answer_stream(spark.readStream.schema(queries.schema).parquet(source), index, folder).awaitTermination()
     assert tuple(stream_stats(spark, folder).first()) == (1, 0, 1, 0.0)
+
+
+def test_a_batch_writes_what_it_changes_and_reads_what_it_visits(spark, tmp_path, monkeypatch):
+    """Three clusters and depth 1: folders of untouched clusters stay as they are, and the plan prunes them."""
+    from corpusloom.streaming import cache_store
+
+    monkeypatch.setattr(cache_store, "COMPACT_EVERY", 3)
+    folder, source = str(tmp_path / "cache"), str(tmp_path / "source")
+    model = ClusterModel(Mixture(np.full(3, 1 / 3), np.eye(3), np.full((3, 3), 0.01)))
+    e = np.eye(3)
+    near = lambda i, j: unit(e[i] + 0.1 * e[j])
+    asked = [[e[0], e[1], e[2], near(0, 1)], [near(1, 2), unit(e[1] + 1.2 * e[0])], [near(1, 0)], [e[2], near(2, 0), near(0, 2)]]
+    index, start, whole = index_table(spark, d=3), 0, []
+    for batch in asked:
+        rows = query_rows(spark, batch, start).drop("result")
+        whole.append(rows)
+        rows.coalesce(1).write.mode("append").parquet(source)
+        start += len(batch)
+        answer_stream(spark.readStream.schema(rows.schema).parquet(source), index, folder, model, depth=1, max_entries=3).awaitTermination()
+    written = [sorted(p.name for p in (tmp_path / "cache" / "entries" / f"batch={b}").glob("dominant_cluster=*")) for b in range(4)]
+    # The first batch admits one entry a cluster; the second one in the cluster of its second query, for which that of
+    # cluster 2 leaves; the third none; the fourth that of cluster 2 again.
+    assert written[0] == [f"dominant_cluster={c}" for c in range(3)] and len(written[1]) == 1
+    assert written[2:] == [[], ["dominant_cluster=2"]]
+    clusters = spark.createDataFrame([(1,)], "cluster int")
+    read = cache_store.read_entries(spark, folder, 1, clusters)
+    assert {r.dominant_cluster for r in read.collect()} <= {1}
+    assert "dynamicpruning" in read._jdf.queryExecution().executedPlan().toString().lower()
+    # Answers and entries are those of one log whose cache is cut back after each batch.
+    entries, responses = None, {}
+    for rows in whole:
+        answers = answer_queries(rows, index, model, entries, depth=1, max_entries=3)
+        entries = spark.createDataFrame(answers.entries.collect(), answers.entries.schema)
+        responses |= {r.qid: r for r in answers.responses.collect()}
+    assert {r.qid: r for r in read_responses(spark, folder).collect()} == responses
+    left = lambda df: {(r.entry_id, r.last_accessed) for r in df.collect()}
+    assert left(read_state(spark, folder, 3)) == left(entries) and len(left(entries)) == 3
+    assert (tmp_path / "cache" / "base" / "after=2").exists()
