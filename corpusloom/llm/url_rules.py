@@ -69,7 +69,8 @@ def url_parts(url: Column) -> tuple[Column, Column]:
 
 
 def token_table(spark: SparkSession, tokens: Iterable[str]) -> DataFrame:
-    return spark.createDataFrame([(t,) for t in sorted(tokens)], "token string")
+    """A row for each token; tokens hold no blanks, so one string holds them all."""
+    return spark.range(1).select(F.explode(F.split(F.lit(" ".join(sorted(tokens))), " ")).alias("token"))
 
 
 def token_counts(urls: DataFrame, rules: list[Rule]) -> dict[str, int]:
