@@ -253,6 +253,19 @@ def test_cyclic_log_takes_as_many_turns_as_slices(spark, monkeypatch):
     assert len(turns) == 4
 
 
+def test_many_small_slices_take_no_jobs_of_their_own(spark, monkeypatch):
+    from corpusloom.operators import replay
+
+    turns = []
+    plain = replay.replay_log
+    monkeypatch.setattr(replay, "replay_log", lambda *args: turns.append(1) or plain(*args))
+    # Two jobs of the log, the second of which starts from the cache of the first.
+    monkeypatch.setattr(replay, "CHAIN_ROWS", 100)
+    probs = np.random.default_rng(24).dirichlet(np.ones(4), 160).tolist()
+    retained(spark, chained_log(23, 160, hot=6), 12, 7, probs)
+    assert not turns
+
+
 def test_no_rows_on_the_driver():
     from pathlib import Path
 
