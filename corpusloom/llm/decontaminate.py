@@ -2,8 +2,9 @@
 
 Words are lower-cased in A-Z and taken between ASCII characters that are neither letters nor digits. A window is ``GRAM``
 (10) words in a row of an item; an item of fewer words, but not none, is one window. Documents are scanned where
-they lie: each place of a document gives the hash of the words from there on, once for each length that windows
-have (at most ten), and meets the broadcast set of window hashes. What meets is verified word by word against the windows,
+they lie. Wherever a window of ten words lies, it covers five words from a place that six divides, so these places alone
+are hashed and meet the broadcast set of such parts of windows (anchors); other lengths, at most ten in all, have steps of their own. Where an anchor is met,
+the window that it would be of is hashed whole and meets the set of window hashes. What meets is verified word by word against the windows,
 and the verified places of a document become spans of words.
 
 Nothing of a document is shuffled but its verified places. The set is broadcast while the windows' words are known to have
@@ -28,6 +29,8 @@ from corpusloom.session import stage
 GRAM = 10
 #: Fixed value: what words are made of, after lower-casing A-Z.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: What lies between them.
+APART = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Bytes of windows, words and items counted, that are broadcast at most.
 BROADCAST_BYTES = 64 << 20
 
@@ -39,7 +42,13 @@ def lower_ascii(text: Column) -> Column:
 
 
 def words_of(text: Column) -> Column:
-    return F.regexp_extract_all(lower_ascii(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0))
+    return F.array_remove(F.split(lower_ascii(F.coalesce(text, F.lit(""))), APART, -1), "")
+
+
+def anchor_of(n: int) -> tuple[int, int]:
+    """Words of an anchor and steps between the places asked, so that each window of ``n`` words covers one anchor there."""
+    width = n if n <= 3 else (n + 1) // 2
+    return width, n - width + 1
 
 
 def windows_of(benchmark: DataFrame, gram: int = GRAM) -> DataFrame:
@@ -64,7 +73,8 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, broadcast
     ``spans`` is an array of ``start, stop`` in words, from 0, apart from each other; ``items`` the sorted ids of the items met.
     """
     windows = stage(windows_of(benchmark, gram), "benchmark-windows")
-    size = F.octet_length(F.array_join("window", " ")) + 16 * F.col("n") + 16 * F.size("items") + 64
+    # A window's own row, and at most as many anchors as it has words.
+    size = F.octet_length(F.array_join("window", " ")) + 16 * F.col("n") + 16 * F.size("items") + 64 + 64 * F.col("n")
     known = windows.agg(F.sum(size).alias("bytes"), F.array_sort(F.collect_set("n")).alias("lengths")).first()
     # At most ``gram`` lengths; a table without windows has none, and no place is asked.
     lengths = known["lengths"]
@@ -74,14 +84,23 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, broadcast
         return F.broadcast(side) if small else side
 
     rows = docs.select("doc_id", text_key(F.col("text")).alias("text_key"), words_of(F.col("text")).alias("words"))
-    places = rows.select("doc_id", "text_key", "words", F.size("words").alias("n_words"), F.posexplode("words").alias("place", "word")).drop("word")
+    kinds = [F.struct(*[F.lit(x).alias(c) for c, x in zip(("n", "width", "step"), (n, *anchor_of(n)))]) for n in lengths]
+    kinds = F.array(*kinds) if kinds else F.array().cast("array<struct<n:int,width:int,step:int>>")
+    places = rows.select("doc_id", "text_key", "words", F.size("words").alias("n_words"))
     if len(lengths) == 1:
-        places = places.withColumn("n", F.lit(lengths[0]))
+        places = places.select("*", *[F.lit(x).alias(c) for c, x in zip(("n", "width", "step"), (lengths[0], *anchor_of(lengths[0])))])
     else:
-        places = places.withColumn("n", F.explode(F.array(*map(F.lit, lengths)) if lengths else F.array().cast("array<int>")))
-    whole = F.col("place") + F.col("n") <= F.col("n_words")
+        places = places.select("*", F.inline(kinds))
+    asked = F.when(F.col("n_words") >= F.col("n"), F.sequence(F.lit(0), F.col("n_words") - F.col("width"), F.col("step")))
+    places = places.withColumn("at", F.explode(asked))
+    anchored = places.withColumn("anchor", F.xxhash64(F.slice("words", F.col("at") + 1, F.col("width")), "n"))
+    kind = F.element_at(F.filter(kinds, lambda k: k["n"] == F.col("n")), 1)
+    shifts = windows.select("window", "n", kind.alias("kind")).select("window", "n", "kind.width", F.explode(F.sequence(F.lit(0), F.col("kind.step") - 1)).alias("shift"))
+    anchors = shifts.groupBy(F.xxhash64(F.slice("window", F.col("shift") + 1, F.col("width")), "n").alias("anchor")).agg(F.collect_set("shift").alias("shifts"))
+    near = anchored.join(sent(anchors), "anchor").withColumn("place", F.explode(F.transform("shifts", lambda shift: F.col("at") - shift)))
+    whole = (F.col("place") >= 0) & (F.col("place") + F.col("n") <= F.col("n_words"))
     cut = F.slice("words", F.col("place") + 1, F.col("n"))
-    hashed = places.filter(whole).withColumn("hash", F.xxhash64(cut))
+    hashed = near.filter(whole).withColumn("hash", F.xxhash64(cut))
     hashes = windows.select("hash").distinct()
     met = hashed.join(sent(hashes), "hash").select("doc_id", "text_key", "place", "n", "hash", cut.alias("window"))
     verified = met.join(sent(windows.select("hash", "window", "items")), ["hash", "window"])

@@ -111,3 +111,21 @@ def test_plan(spark):
     # Places of documents meet the broadcast set where they are; only verified places are exchanged.
     assert plan.count("BroadcastHashJoin") >= 2 and "SortMergeJoin" not in plan and plan.count("Exchange hashpartitioning") == 2
     assert D.windows_of(tests).select(F.max("n")).first()[0] == 10
+
+
+@pytest.mark.parametrize("n", range(1, 12))
+def test_every_place_of_a_window_covers_one_anchor(n):
+    width, step = D.anchor_of(n)
+    for start in range(30):
+        assert sum(start <= at and at + width <= start + n for at in range(0, 60, step)) == 1
+
+
+def test_windows_of_all_lengths_are_found_wherever_they_lie(spark):
+    items = [(n, " ".join(f"w{n}x{i}" for i in range(n))) for n in range(1, 11)]
+    docs = [(100 * n + lead, " ".join(["fill"] * lead + [items[n - 1][1].upper()] + ["fill"] * 3)) for n in range(1, 11) for lead in range(13)]
+    found = D.judge_documents(
+        spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    ).collect()
+    assert {r.doc_id: (r.n_words, [tuple(s) for s in r.spans], r["items"]) for r in found} == {
+        100 * n + lead: (n + lead + 3, [(lead, lead + n)], [n]) for n in range(1, 11) for lead in range(13)
+    }
