@@ -289,3 +289,53 @@ def test_posts_arrive_as_a_stream(spark, tmp_path):
     assert arrive(["3"], 10**18 + 5) == ["1", "2", "3"]
     # Of one time, paths decide what has been taken.
     assert arrive(["30"], 10**18 + 5) == ["1", "2", "3", "30"]
+
+
+def test_bounds_of_a_cell_are_made_in_parts(monkeypatch):
+    """A cell of many queries and summaries keeps no matrix of all of them, and tells the same blocks."""
+    import pyarrow as pa
+
+    from corpusloom.functions.blocks import to_lists
+    from corpusloom.operators import block_search
+
+    rng = np.random.default_rng(31)
+    vectors, centers = rng.normal(size=(50, 4)), rng.normal(size=(40, 4))
+    asked = pa.table({"qid": pa.array(range(50)), "embedding": to_lists(vectors, pa.float64()), "floor": pa.array([0.5] * 50)})
+    held = pa.table({
+        "block": pa.array([str(i) for i in range(40)]), "center": to_lists(centers, pa.float64()),
+        "radius": pa.array([0.1] * 40), "angle": pa.array([0.1] * 40), "norm": pa.array([3.0] * 40),
+    })
+    whole = [block_search._reaching(first)(asked, held) for first in (None, 2)]
+    monkeypatch.setattr("corpusloom.functions.blocks.BLOCK_CELLS", 200)
+    cells, plain = [], block_search.bounds
+    monkeypatch.setattr(block_search, "bounds", lambda q, *rest: cells.append(len(q) * len(rest[0])) or plain(q, *rest))
+    parts = [block_search._reaching(first)(asked, held) for first in (None, 2)]
+    assert max(cells) <= 200
+    for a, b in zip(whole, parts):
+        assert a.num_rows and a.select(["qid", "block"]).equals(b.select(["qid", "block"]))
+
+
+def test_cells_are_as_large_as_tasks_can_hold():
+    """Twice the rows send a row to no more blocks while a block can hold them."""
+    from corpusloom.operators import cells
+
+    assert cells.fewest_blocks(20_000, 64, 8192, 1) == cells.fewest_blocks(40_000, 64, 8192, 1) == 1
+    assert cells.fewest_blocks(1_000_000, 64, 8192, 24) == 24 < cells.block_count(1_000_000, 8192)
+    # Wide vectors take smaller blocks, and never smaller ones than asked for.
+    assert cells.fewest_blocks(1_000_000, 384, 8192, 1) == cells.block_count(1_000_000, cells.CELL_BYTES // 3072)
+    assert cells.fewest_blocks(1_000, 1 << 20, 100, 1) == 10
+
+
+def test_small_query_blocks_send_no_more_copies_of_the_vectors(spark):
+    """Queries in blocks of 10 meet the vectors in as few cells as there are tasks for, with the hits of one block."""
+    from corpusloom.operators import search
+
+    rng = np.random.default_rng(32)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(200, 8)).round(1))]
+    vectors = spark.createDataFrame(rows, "doc_id long, embedding array<double>")
+    queries = spark.createDataFrame(rows, "qid long, embedding array<double>")
+    counts, plain = [], search.all_cells
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(search, "all_cells", lambda *args: counts.append(args[-2]) or plain(*args))
+        found = [sorted(map(tuple, search.top_k(vectors, queries, 3, query_rows=n).collect())) for n in (10, 1000)]
+    assert found[0] == found[1] and counts[0] <= 2 * spark.sparkContext.defaultParallelism
