@@ -241,3 +241,15 @@ def test_parameter_table(spark):
     mixture = Mixture(np.array([0.25, 0.75]), np.zeros((2, 3)), np.ones((2, 3)))
     rows = ClusterModel(mixture).parameters(spark).orderBy("k").collect()
     assert [r.weight for r in rows] == [0.25, 0.75] and mixture.parameter_count == 2 * 6 + 1
+
+
+def test_starting_centers_are_drawn_with_the_package_sent(spark, monkeypatch):
+    """Workers of a cluster know the package only once it was sent, and drawing is the first that needs it."""
+    from corpusloom.operators import mixture
+
+    sent = []
+    plain = mixture.ship
+    monkeypatch.setattr(mixture, "ship", lambda *args: sent.append(1) or plain(*args))
+    points = spark.createDataFrame([(i, [float(i), float(i % 3)]) for i in range(20)], "doc_id long, features array<double>")
+    drawn = mixture._draw(points, {0: mixture.Centers(np.zeros((1, 2)))}, {0: 4}, 0)
+    assert len(drawn[0]) == 4 and sent
