@@ -147,3 +147,41 @@ def test_vector_expressions(spark):
     ).first()
     assert row.dot == 25.0 and np.allclose(row.unit, [0.6, 0.8]) and row.zero == [0.0, 0.0]
     assert row.route == [1, 2] and row.map == {"cluster_1": 0.4, "cluster_2": 0.4, "cluster_0": 0.2}
+
+
+def test_products_in_single_precision_decide_like_exact_ones():
+    """What single precision cannot tell apart is scored again; the rest is compared in single precision, and not at all if it is later."""
+    import pyarrow as pa
+
+    from corpusloom.functions.blocks import for_products, to_lists
+    from corpusloom.operators.lookup import best_of_cell
+    from corpusloom.operators.replay import _decide
+    from corpusloom.operators.search import best_of_vectors
+
+    rng = np.random.default_rng(33)
+    for scale in (1e-3, 1.0, 1e6):
+        left, right = rng.normal(size=(30, 50)) * scale, rng.normal(size=(40, 50))
+        a, b, margin = for_products(left, right)
+        assert a.dtype == b.dtype == np.float32 and (np.abs(a @ b.T - left @ right.T) <= margin[:, None]).all()
+    assert for_products(left, np.full((2, 50), np.nan))[0].dtype == for_products(left, np.full((2, 50), 1e30))[1].dtype == np.float64
+
+    base = unit(rng, 20, 24).astype(float)
+    # Differences far below single precision; later ids are the nearer ones.
+    vectors = np.concatenate([base * (1 + i * 1e-10) for i in range(12)])
+    scores = np.array([[float(np.add.accumulate(q * v)[-1]) for v in vectors] for q in base])
+    held = pa.table({"doc_id": pa.array(range(240)), "embedding": to_lists(vectors, pa.float64())})
+    asked = pa.table({"qid": pa.array([7 * i + 100 for i in range(20)]), "embedding": to_lists(base, pa.float64())})
+    for step in (3, 4096):
+        found = best_of_vectors(4, False, step)(asked, held).to_pylist()
+        for q in range(20):
+            mine = sorted((-r["score"], r["doc_id"]) for r in found if r["qid"] == 7 * q + 100)
+            assert mine == sorted((-s, i) for i, s in enumerate(scores[q]))[:4]
+    limit = float(scores[3, 63])  # reached by the later copies of one vector only
+    asked = asked.append_column("route", pa.nulls(20, pa.list_(pa.int32())))
+    entries = held.rename_columns(["entry_id", "embedding"]).append_column("dominant_cluster", pa.array([0] * 240, pa.int32()))
+    reached = (scores >= limit) & (np.arange(240)[None, :] < np.array(asked["qid"])[:, None])
+    best = {r["qid"]: (r["entry_id"], r["score"]) for r in best_of_cell(True, limit)(asked, entries).to_pylist()}
+    assert best == {7 * q + 100: min(((i, scores[q, i]) for i in np.flatnonzero(reached[q])), key=lambda x: (-x[1], x[0])) for q in range(20) if reached[q].any()}
+    is_open = np.arange(240) % 2 == 0
+    told = {r["qid"]: (r["answered"], r["blocked"]) for r in _decide(limit)(asked, entries.append_column("is_open", pa.array(is_open))).to_pylist()}
+    assert told == {7 * q + 100: (bool((reached[q] & ~is_open).any()), bool((reached[q] & is_open).any())) for q in range(20) if reached[q].any()}
