@@ -169,3 +169,27 @@ def test_clean_job_writes_both_forms(spark, tree):
     assert set(lines.columns) == {"category", "filename", "cleaned_text"} and lines.count() == 2
     save_raw(load_posts(spark, str(tree / "raw")), str(tree / "raw-table"))
     assert spark.read.parquet(str(tree / "raw-table")).count() == 3
+
+
+def test_many_small_posts_take_few_tasks(spark, tmp_path):
+    """Tasks read as many posts as they can hold, not 32 each, and what Spark's own reader gives."""
+    from corpusloom.sources.posts import _load_by_spark
+
+    names = ["plain", "two words", "50%25", "a=b", "_a=b", "_metadata1", "_hidden", ".hidden", "x._COPYING_", "é"]
+    for category in ["c1", "c 2%", "_c=3", "_c4", ".c5", "empty", "_metadata"]:
+        (tmp_path / category / "deep").mkdir(parents=True)
+        (tmp_path / category / "deep" / "x").write_bytes(b"too deep")
+        for name in names if category != "empty" else []:
+            (tmp_path / category / name).write_bytes(f"{category} {name}\r\nsecond\rthird \xe9".encode("latin-1"))
+    (tmp_path / "c1" / "nothing").write_bytes(b"")
+    (tmp_path / "top").write_bytes(b"at the top")
+    (tmp_path / "many").mkdir()
+    for i in range(64 * spark.sparkContext.defaultParallelism):
+        (tmp_path / "many" / f"{i}").write_bytes(b"text %d" % i)
+    loaded = load_posts(spark, str(tmp_path))
+    assert loaded.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    expected = sorted(map(tuple, _load_by_spark(spark, str(tmp_path), f"file:{tmp_path}").collect()))
+    assert len(expected) > 64 and sorted(map(tuple, loaded.collect())) == expected
+    assert sorted(map(tuple, load_posts(spark, f"file://{tmp_path}/").collect())) == expected
+    some = load_posts(spark, f"{tmp_path}/../{tmp_path.name[:-1]}?")
+    assert sorted(map(tuple, some.filter("category = 'c1'").collect())) == [row for row in expected if row[0] == "c1"]
