@@ -185,3 +185,23 @@ def test_products_in_single_precision_decide_like_exact_ones():
     is_open = np.arange(240) % 2 == 0
     told = {r["qid"]: (r["answered"], r["blocked"]) for r in _decide(limit)(asked, entries.append_column("is_open", pa.array(is_open))).to_pylist()}
     assert told == {7 * q + 100: (bool((reached[q] & ~is_open).any()), bool((reached[q] & is_open).any())) for q in range(20) if reached[q].any()}
+
+
+def test_scores_of_a_cell_stay_in_the_cache(monkeypatch):
+    """A cell of many queries and vectors compares few of them at a time, and finds the same."""
+    import pyarrow as pa
+
+    from corpusloom.functions.blocks import to_lists
+    from corpusloom.operators import search as searching
+
+    rng = np.random.default_rng(34)
+    vectors, queries = unit(rng, 3000, 8), unit(rng, 700, 8)
+    held = pa.table({"doc_id": pa.array(range(3000)), "embedding": to_lists(vectors, pa.float32())})
+    asked = pa.table({"qid": pa.array(range(700)), "embedding": to_lists(queries, pa.float32())})
+    sizes, plain = [], searching._best_candidates
+    monkeypatch.setattr(searching, "_best_candidates", lambda scores, *rest: sizes.append(scores.nbytes) or plain(scores, *rest))
+    found = searching.best_of_vectors(3, False)(asked, held).to_pylist()
+    assert max(sizes) <= 2_000_000
+    exact = queries.astype(float) @ vectors.astype(float).T
+    mine = {(r["qid"], r["doc_id"]) for r in found}
+    assert mine == {(q, int(i)) for q in range(700) for i in np.argsort(-exact[q], kind="stable")[:3]}
