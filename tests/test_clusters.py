@@ -153,6 +153,21 @@ def test_silhouette(spark):
     assert rows["one"].silhouette is None
 
 
+def test_silhouette_of_blocks_that_lie_in_many_partitions(spark):
+    x, label = blobs(n=90, spread=2.0)
+    table = points_table(spark, x, label)
+    settings = {"spark.sql.shuffle.partitions": "23", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        row = silhouette(table, ["label"], block_rows=20).first()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert np.isclose(row.silhouette, plain_silhouette(x, label)) and row.n == 90
+
+
 def test_sample_is_repeatable(spark):
     x, _ = blobs(n=200)
     picks = [
