@@ -340,6 +340,23 @@ def test_long_logs_go_in_slices(spark):
         assert {r.entry_id for r in small.entries.collect()} == {entry[0] for entry in last}
 
 
+def test_answered_conversations_keep_every_miss(spark, tmp_path, monkeypatch):
+    """Whatever the length of the log: were it cut into slices that end with a full cache, the second half would be misses."""
+    from corpusloom.operators.replay import ordered_slices
+    from corpusloom.plans import answer, registered
+
+    words = [f"alpha{i} beta{i} gamma{i}" for i in range(12)]
+    asked = [(i, 0, "user", words[i % 12]) for i in range(24)]
+    spark.createDataFrame(asked, "conv_id bigint, turn bigint, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    docs = [(i, f"{w} " + " ".join(f"delta{i}word{j}" for j in range(12)), "en", "s", 99) for i, w in enumerate(words)]
+    spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint").write.parquet(f"{tmp_path}/documents.parquet")
+    monkeypatch.setattr(answer, "ordered_slices", lambda log, key, rows: ordered_slices(log, key, 8))
+    monkeypatch.setattr(answer, "retain", lambda entries, most: retain(entries, 3))
+    rows = registered.answer_conversations(spark, str(tmp_path)).orderBy("qid").collect()
+    assert [r.cache_hit for r in rows] == [False] * 12 + [True] * 12
+    assert [r.matched_query for r in rows[12:]] == words and [r.result for r in rows[12:]] == [r.result for r in rows[:12]]
+
+
 def test_answers_without_model_and_eviction(spark):
     queries = query_rows(spark, np.eye(4)).drop("result")
     answers = answer_queries(queries, index_table(spark), max_entries=3)
