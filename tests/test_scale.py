@@ -82,6 +82,33 @@ def test_block_search_edges(spark):
     assert top_k_blocks(empty, asked).hits.collect() == []
 
 
+def written_rows(spark, name):
+    """Rows of the tables that were staged as ``name``."""
+    folder = f"{spark.conf.get('spark.checkpoint.dir')}/corpusloom"
+    return sum(spark.read.parquet(f"{folder}/{x}").count() for x in os.listdir(folder) if x.startswith(f"{name}-"))
+
+
+def test_visits_are_counted_where_they_are_made(spark, monkeypatch):
+    """Every block is as good as the next here, so that nearly all are visited; the visits are neither stored nor sent."""
+    rng = np.random.default_rng(8)
+    vectors = rng.normal(size=(200, 12))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    entries = table_of(spark, [*vectors, vectors[3], vectors[3]], "entry_id").withColumn("dominant_cluster", F.lit(0))
+    index = build_blocks(entries, "entry_id", 4)
+    asked = with_route(table_of(spark, vectors[:60], "qid"))
+    monkeypatch.setattr(block_search, "HELD_HITS", 50)
+    stored = written_rows(spark, "visits"), written_rows(spark, "other-visits")
+    matches, visited = best_match_blocks(index, asked, 0.1, counted=True)
+    assert sorted(map(tuple, matches.collect())) == sorted(map(tuple, best_match(asked, entries, min_score=0.1).collect()))
+    pairs = best_match_blocks(index, asked, 0.1)[1].groupBy("qid").count()
+    assert sorted(map(tuple, visited.groupBy("qid").agg(F.sum("n")).collect())) == sorted(map(tuple, pairs.collect()))
+    renamed = pivots.BlockIndex(index.vectors.withColumnRenamed("entry_id", "doc_id"), index.summaries)
+    found = top_k_blocks(renamed, asked.select("qid", "embedding"))
+    assert triples(found.hits) == brute([list(v) for v in [*vectors, vectors[3], vectors[3]]], [list(v) for v in vectors[:60]], 5)
+    assert sorted(map(tuple, found.visited.collect())) == sorted(map(tuple, found.visits.groupBy("qid").count().collect()))
+    assert (written_rows(spark, "visits"), written_rows(spark, "other-visits")) == stored
+
+
 def test_hot_blocks_go_to_several_tasks(spark):
     rng = np.random.default_rng(4)
     vectors = families(rng, 60)
