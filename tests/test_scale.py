@@ -366,3 +366,50 @@ def test_small_query_blocks_send_no_more_copies_of_the_vectors(spark):
         patch.setattr(search, "all_cells", lambda *args: counts.append(args[-2]) or plain(*args))
         found = [sorted(map(tuple, search.top_k(vectors, queries, 3, query_rows=n).collect())) for n in (10, 1000)]
     assert found[0] == found[1] and counts[0] <= 2 * spark.sparkContext.defaultParallelism
+
+
+class HeldState:
+    """Stands in for a key's state."""
+
+    def __init__(self):
+        self.rows = {}
+
+    def iterator(self):
+        return iter(list(self.rows.items()))
+
+    def updateValue(self, key, value):
+        self.rows[key] = value
+
+    def removeKey(self, key):
+        del self.rows[key]
+
+
+def test_keyed_queries_meet_the_entries_in_blocks(monkeypatch):
+    """As one at a time; entries are compared with whole blocks of queries, so a product per query and entry before it is not made."""
+    from types import SimpleNamespace
+
+    from corpusloom.streaming import keyed_cache
+
+    rng = np.random.default_rng(9)
+    vectors = families(rng, 300, d=6, spread=0.4)
+    vectors = [None if i % 11 == 5 else (v / np.linalg.norm(v)).tolist() for i, v in enumerate(np.concatenate([vectors, vectors[::-3]]))]
+    products = []
+    near = keyed_cache._near
+    monkeypatch.setattr(keyed_cache, "_near", lambda matrix, queries, threshold: products.append(len(queries)) or near(matrix, queries, threshold))
+    monkeypatch.setattr(keyed_cache, "ASKED_ROWS", 16)
+    monkeypatch.setattr(keyed_cache, "HELD_ROWS", 10)
+    cache = keyed_cache.ClusterCache(0.85, 1000, None)
+    cache.entries, held = HeldState(), []
+    for start in range(0, len(vectors), 150):
+        rows = [SimpleNamespace(qid=i, embedding=v) for i, v in enumerate(vectors)][start : start + 150]
+        for row in cache.handleInputRows((3,), iter(rows[::-1]), None):
+            v = vectors[row.qid]
+            scores = [] if v is None else [sum(a * b for a, b in zip(v, w)) for _, w in held]
+            best = max(range(len(scores)), key=lambda i: scores[i], default=None)
+            if best is not None and scores[best] >= 0.85:
+                assert (row.cache_hit, row.entry_id) == (True, held[best][0]) and abs(row.score - scores[best]) < 1e-12
+            else:
+                assert (row.cache_hit, row.entry_id, row.score) == (False, None, None)
+                if v is not None:
+                    held.append((row.qid, v))
+    assert sorted(cache.entries.rows) == [(i,) for i, _ in held] and max(products) == 16 - 1
