@@ -97,6 +97,7 @@ def find_hits(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM, broadcast
     kind = F.element_at(F.filter(kinds, lambda k: k["n"] == F.col("n")), 1)
     shifts = windows.select("window", "n", kind.alias("kind")).select("window", "n", "kind.width", F.explode(F.sequence(F.lit(0), F.col("kind.step") - 1)).alias("shift"))
     anchors = shifts.groupBy(F.xxhash64(F.slice("window", F.col("shift") + 1, F.col("width")), "n").alias("anchor")).agg(F.collect_set("shift").alias("shifts"))
+    anchors = stage(anchors, "benchmark-anchors")
     near = anchored.join(sent(anchors), "anchor").withColumn("place", F.explode(F.transform("shifts", lambda shift: F.col("at") - shift)))
     whole = (F.col("place") >= 0) & (F.col("place") + F.col("n") <= F.col("n_words"))
     cut = F.slice("words", F.col("place") + 1, F.col("n"))
